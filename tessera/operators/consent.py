@@ -92,10 +92,8 @@ def merge_consent(state: DataFrame, pairs: DataFrame, as_of) -> tuple[DataFrame,
         F.lit(as_of).cast("timestamp").alias("updated_at"),
         F.lit(TERMS_VERSION).alias("terms_version"),
     )
-    gone = pairs.select(F.col("secondary_id").alias("student_id")).unionByName(rewrites.select("student_id"))
     kept = state.join(pairs.select(F.col("secondary_id").alias("student_id")), "student_id", "left_anti")
     kept = kept.join(rewrites.select(*KEY), KEY, "left_anti")
-    del gone
     return kept.unionByName(rewrites), rewrites
 
 

@@ -178,11 +178,11 @@ def consent_records(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF
 
 
 def erasure_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Erasure requests: customers with ``custkey % 50 = 0``, requested over the last days."""
+    """Erasure requests: customers with ``custkey % 50 = 0``, requested ``custkey % 7`` days before ``as_of``."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     return c.filter(F.col("c_custkey") % 50 == 0).select(
         F.col("c_custkey").cast("string").alias("student_id"),
-        (F.lit(AS_OF_EVENTS).cast("timestamp") - F.make_interval(hours=(F.col("c_custkey") % 100).cast("int"))).alias(
+        (F.lit(AS_OF_EVENTS).cast("timestamp") - F.make_interval(days=(F.col("c_custkey") % 7).cast("int"))).alias(
             "requested_at"
         ),
     )
