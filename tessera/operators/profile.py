@@ -211,7 +211,7 @@ def flatten_profile(prof: DataFrame) -> DataFrame:
         ).alias("per_source"),
         F.date_format("last_interaction_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_interaction_at"),
         "engagement_score",
-        F.element_at("segments", 1).alias("score_segment"),
+        F.try_element_at("segments", F.lit(1)).alias("score_segment"),
         F.array_join(F.array_sort(F.map_keys(F.map_filter("consent", lambda k, v: v))), ",").alias("consented_channels"),
         F.array_join(
             F.array_sort(F.transform("identifiers", lambda x: F.concat(x["type"], F.lit("="), x["value"]))), ";"

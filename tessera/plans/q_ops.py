@@ -401,7 +401,7 @@ def m2_silver_to_gold(spark, sf_dir):
     ev = canonical_events(spark, sf_dir, with_contact=True)
     ids, names = crm_master(spark, sf_dir)
     gold = silver_to_gold(ev, ids, names, AS_OF_EVENTS)
-    return gold.select("profile_id", "total_events", "engagement_score", F.element_at("segments", 1).alias("score_segment"))
+    return gold.select("profile_id", "total_events", "engagement_score", F.try_element_at("segments", F.lit(1)).alias("score_segment"))
 
 
 M4_SQL = """
