@@ -105,12 +105,18 @@ def build_profiles(
     start at version 0 + 1.
     """
     cols = set(events.columns)
+    # Per-row picks are projected once before the aggregate (each higher-order
+    # function runs once per row, not once per aggregate input).
+    pre = {f"_i_{t}": first_identifier_of_type(F.col("identifiers"), t) for t in IDENTIFIER_TYPES}
+    if "personal_info" in cols:
+        is_auth = (F.col("source") == CONTACT_INFO_AUTHORITY) & F.col("personal_info").isNotNull()
+        pre["_pi"] = F.when(is_auth, F.col("personal_info"))
+    events = events.withColumns(pre)
     order = F.struct(F.col("ts"), F.col("event_id"))
-    is_auth = F.col("source") == CONTACT_INFO_AUTHORITY
     aggs = _summary_aggs()
     if "personal_info" in cols:
         # Only the authority source overwrites contact info; newest authority event wins.
-        aggs.append(F.max_by(F.when(is_auth, F.col("personal_info")), F.when(is_auth & F.col("personal_info").isNotNull(), order)).alias("personal_info"))
+        aggs.append(F.max_by(F.col("_pi"), F.when(F.col("_pi").isNotNull(), order)).alias("personal_info"))
     if "lead_status" in cols:
         aggs.append(F.max_by(F.col("lead_status"), F.when(F.col("lead_status").isNotNull(), order)).alias("lead_status"))
     if "consent" in cols:
@@ -118,8 +124,8 @@ def build_profiles(
         aggs += [F.bool_and(F.col("consent")[ch]).alias(f"_c_{ch}") for ch in CONSENT_CHANNELS]
     # A4: first value per identifier type, by (time, event id); 5 fixed types -> bounded.
     for t in IDENTIFIER_TYPES:
-        first_of_type = first_identifier_of_type(F.col("identifiers"), t)
-        aggs.append(F.min_by(first_of_type, F.when(first_of_type.isNotNull(), order)).alias(f"_i_{t}"))
+        v = F.col(f"_i_{t}")
+        aggs.append(F.min_by(v, F.when(v.isNotNull(), order)).alias(f"_i_{t}"))
     g = events.groupBy(key).agg(*aggs)
 
     ident_arr = F.array(*[F.struct(F.lit(t).alias("type"), F.col(f"_i_{t}").alias("value")) for t in IDENTIFIER_TYPES])
