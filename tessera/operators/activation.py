@@ -53,6 +53,17 @@ def daily_quota_rank(df: DataFrame, day: Column, order: list[Column], buckets: i
     return ranked.unionByName(rest).drop("_day")
 
 
+def crm_payload(profiles: DataFrame) -> DataFrame:
+    """P18 + F10: the CRM payload map (score default 0, segments joined by ``,``, last
+    interaction) and its idempotency key, as two projected columns."""
+    payload = F.create_map(
+        F.lit("Enrollment_Score__c"), F.coalesce(F.col("enrollment_score"), F.lit(0.0)).cast("string"),
+        F.lit("CDP_Segment__c"), F.array_join(F.coalesce(F.col("segments"), F.array().cast("array<string>")), ","),
+        F.lit("Last_Interaction__c"), F.col("last_interaction").cast("string"),
+    )
+    return profiles.withColumn("_payload", payload).withColumn("dedup_key", dedup_key("sf", F.col("profile_id"), F.col("_payload")))
+
+
 def salesforce_sync(
     profiles: DataFrame,
     sent_keys: DataFrame,
@@ -69,13 +80,7 @@ def salesforce_sync(
     last_interaction``; ``sent_keys (dedup_key)`` holds keys already pushed.  The
     quota counts only rows that would be sent, ordered by request time then id.
     """
-    p = profiles.withColumn("_valid", push_check(profiles)).withColumn("_req_ts", request_ts)
-    payload = F.create_map(
-        F.lit("Enrollment_Score__c"), F.coalesce(F.col("enrollment_score"), F.lit(0.0)).cast("string"),
-        F.lit("CDP_Segment__c"), F.array_join(F.coalesce(F.col("segments"), F.array().cast("array<string>")), ","),
-        F.lit("Last_Interaction__c"), F.col("last_interaction").cast("string"),
-    )
-    p = p.withColumn("_payload", payload).withColumn("dedup_key", dedup_key("sf", F.col("profile_id"), F.col("_payload")))
+    p = crm_payload(profiles.withColumn("_valid", push_check(profiles)).withColumn("_req_ts", request_ts))
     if consent is not None:
         c = consent.filter(F.col("channel") == consent_channel).select(F.col("student_id").alias("_cid"), F.col("consented").alias("_ok"))
         p = p.join(c, p.profile_id == c._cid, "left").drop("_cid")

@@ -91,6 +91,17 @@ def probabilistic_match(
     )
 
 
+def valid_identifier_keys(identifiers: F.Column) -> F.Column:
+    """``type:value`` strings of the known-type, non-empty identifiers of one event."""
+    ok = F.filter(identifiers, lambda x: x["type"].isin(IDENTIFIER_TYPES) & (F.length(x["value"]) > 0))
+    return F.transform(ok, lambda x: F.concat(x["type"], F.lit(":"), x["value"]))
+
+
+def smallest_identifier(events: DataFrame) -> DataFrame:
+    """Adds ``_min_id``: the smallest ``type:value`` of each event (a projection)."""
+    return events.withColumn("_min_id", F.array_min(valid_identifier_keys(F.col("identifiers"))))
+
+
 def new_profile_id(smallest_identifier: F.Column) -> F.Column:
     """Stable id for a created profile: sha256 of its smallest ``type:value``."""
     return F.sha2(smallest_identifier, 256)
@@ -120,7 +131,8 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
         out = out.join(j2, "event_id", "left")
     else:
         out = out.withColumn("j2_profile", F.lit(None).cast("string")).withColumn("j2_conf", F.lit(None).cast("double"))
-    smallest = ev_ids.groupBy("event_id").agg(F.min(F.concat_ws(":", "id_type", "id_value")).alias("_min_id"))
+    # The smallest valid identifier of the event, read from its array (no shuffle).
+    smallest = smallest_identifier(events.select("event_id", "identifiers")).select("event_id", "_min_id")
     out = out.join(smallest, "event_id", "left")
     created = new_profile_id(F.coalesce(F.col("_min_id"), F.concat(F.lit("event:"), F.col("event_id").cast("string"))))
     auto = F.col("j2_conf") >= F.lit(CONFIDENCE_AUTO_MERGE)
@@ -135,17 +147,19 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
     )
 
 
-def graph_edges(event_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def graph_edges(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes ``(node)`` and undirected edges ``(src, dst)`` of the identity graph.
 
-    Every identifier of an event is linked to the event's smallest identifier
-    (a star: k-1 edges per event, never all pairs).
+    ``events`` carries an ``identifiers`` array.  Every identifier of an event is
+    linked to the event's smallest identifier (a star: k-1 edges per event, never
+    all pairs); the hub is read from the array, so building the edges needs no
+    shuffle before the final de-duplication.
     """
-    ids = event_ids.select("event_id", F.concat_ws(":", "id_type", "id_value").alias("node"))
-    hub = ids.groupBy("event_id").agg(F.min("node").alias("hub"))
-    e = ids.join(hub, "event_id").filter(F.col("node") != F.col("hub")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
+    keys = events.select(valid_identifier_keys(F.col("identifiers")).alias("k")).filter(F.size("k") > 0)
+    star = keys.select(F.array_min("k").alias("hub"), F.explode("k").alias("node"))
+    e = star.filter(F.col("node") != F.col("hub")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
     edges = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    nodes = ids.select("node").distinct()
+    nodes = star.select("node").distinct()
     return nodes, edges
 
 

@@ -40,8 +40,7 @@ def _sync(spark, sf_dir):
     cons = consent_records(spark, sf_dir, CONSENT_START)
     req_ts = F.lit(AS_OF_EVENTS).cast("timestamp")
     # Keys pushed by an earlier run: the same payload for every fifth student.
-    first = A.salesforce_sync(prof, spark.createDataFrame([], "dedup_key string"), None, req_ts)
-    sent = first.filter(F.col("profile_id").cast("bigint") % 5 == 0).select("dedup_key")
+    sent = A.crm_payload(prof).filter(F.col("profile_id").cast("bigint") % 5 == 0).select("dedup_key")
     return A.salesforce_sync(prof, sent, cons, req_ts, used_today=SF_DAILY_API_LIMIT - QUOTA_LEFT)
 
 

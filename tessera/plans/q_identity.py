@@ -131,7 +131,7 @@ SELECT component, count(*) AS n_identifiers, sha256(component) AS profile_id FRO
 
 def identity_components(spark, sf_dir):
     ev = canonical_events(spark, sf_dir)
-    nodes, edges = I.graph_edges(I.identifier_rows(ev, "event_id"))
+    nodes, edges = I.graph_edges(ev)
     return I.connected_components(nodes, edges)
 
 

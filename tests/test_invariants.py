@@ -33,7 +33,7 @@ def test_resolve_is_order_independent(spark):
 
 def test_components_stable_on_rerun(spark):
     ev = canonical_events(spark, SF_SMALL)
-    nodes, edges = I.graph_edges(I.identifier_rows(ev, "event_id"))
+    nodes, edges = I.graph_edges(ev)
     a = sorted(I.connected_components(nodes, edges).collect())
     b = sorted(I.connected_components(nodes.orderBy(F.rand(3)), edges.orderBy(F.rand(5))).collect())
     assert a == b

@@ -161,7 +161,7 @@ def test_five_source_walkthrough_is_one_person(spark):
         (6, [("session_id", "other")], None),
     ]
     ev = _events(spark, rows)
-    nodes, edges = I.graph_edges(I.identifier_rows(ev, "event_id"))
+    nodes, edges = I.graph_edges(ev)
     comp = {r.node: r.component for r in I.connected_components(nodes, edges).collect()}
     people = {c for n, c in comp.items() if n != "session_id:other"}
     assert len(people) == 1 and comp["session_id:other"] == "session_id:other"
