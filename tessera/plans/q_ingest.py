@@ -32,7 +32,7 @@ FROM events WHERE event_type = 'view' AND event_id % 53 <> 0
 """
 
 
-@register("s1_clickstream_normalize", S1_SQL, "S1 P1 P4 P12 F1 F2 F18: clickstream JSON -> canonical events")
+@register("s1_clickstream_normalize", S1_SQL, "S1 P1 P4 P12 F1 F2 F3 F18: clickstream JSON -> canonical events")
 def s1_clickstream_normalize(spark, sf_dir):
     ev, _ = N.parse_clickstream(PL.clickstream_json(spark, sf_dir), AS_OF_EVENTS)
     nd = F.col("normalized_data")
@@ -235,7 +235,7 @@ FROM customer
 """
 
 
-@register("p2_csv_rows", P2_SQL, "P2: CSV rows through a caller schema map -> canonical events")
+@register("p2_csv_rows", P2_SQL, "P2 F3: CSV rows through a caller schema map -> canonical events")
 def p2_csv_rows(spark, sf_dir):
     rows = PL.crm_rows(spark, sf_dir)
     ev = N.normalize_csv_rows(
@@ -293,3 +293,49 @@ def u6_union_sources(spark, sf_dir):
     crm = N.normalize_csv_rows(PL.crm_rows(spark, sf_dir), {"Id": "salesforce_id", "LastModifiedDate": "timestamp"}, AS_OF_EVENTS)
     allev = N.union_sources(web, app, crm)
     return allev.groupBy("source").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+S8_SQL = f"""
+SELECT 'sf_' || CAST(c_custkey AS VARCHAR) AS Id, {O.email('c_custkey')} AS Email, c_mktsegment AS LeadStatus FROM customer
+"""
+
+
+@register("s8_load_files", S8_SQL, "S8: CSV files loaded with an explicit schema, header row skipped")
+def s8_load_files(spark, sf_dir):
+    from tessera.sources.crm import load_files
+    from tessera.streaming.pipeline import scratch_dir
+
+    path = scratch_dir(spark, "crm_export")
+    PL.crm_rows(spark, sf_dir).select("Id", "Email", "LeadStatus").write.option("header", True).csv(path)
+    return load_files(spark, path, "Id string, Email string, LeadStatus string", "csv")
+
+
+S9_SQL = "SELECT count(*) AS rows_loaded, 3 AS files FROM customer"
+
+
+@register("s9_dated_export", S9_SQL, "S9 A18: dated CSV export read by glob, rows and files reported")
+def s9_dated_export(spark, sf_dir):
+    from tessera.sources.crm import load_report, read_dated_export
+    from tessera.streaming.pipeline import scratch_dir
+
+    root = scratch_dir(spark, "exports")
+    PL.crm_rows(spark, sf_dir).repartition(3).write.option("header", True).csv(f"{root}/20240130")
+    return load_report(read_dated_export(spark, root, "2024-01-30")).select("rows_loaded", F.col("files").cast("int").alias("files"))
+
+
+K4_SQL = """
+SELECT CASE WHEN ['email_opened','email_clicked','email_bounced','email_unsubscribed','email_spam'][event_id % 5 + 1] = 'email_clicked'
+            THEN 'appended' ELSE 'rejected' END AS status, count(*) AS n
+FROM events WHERE event_type = 'signup' AND event_id % 5 <> 4 GROUP BY 1
+"""
+
+
+@register("k4_append_rows", K4_SQL, "K4: append with required fields, rejected rows reported")
+def k4_append_rows(spark, sf_dir):
+    from tessera.sinks.writers import append_rows
+
+    ev, _ = N.parse_email(PL.email_json(spark, sf_dir))
+    ok, bad = append_rows(ev, ["recipient_email", "link_url"])
+    return ok.select(F.lit("appended").alias("status")).unionByName(bad.select(F.lit("rejected").alias("status"))).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n")
+    )

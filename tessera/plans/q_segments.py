@@ -145,3 +145,24 @@ SELECT profile_id FROM ri WHERE total_events >= 5 ORDER BY profile_id LIMIT 100
 @register("j7_find_by_segment", J7_SQL, "J7: first 100 profiles (by id) of a segment")
 def j7_find_by_segment(spark, sf_dir):
     return S.find_by_segment(_profiles_with_segments(spark, sf_dir), "engaged_learner", 100).select("profile_id")
+
+
+J16_SQL = f"""
+WITH {E2_SQL},
+recent AS (SELECT DISTINCT student_id FROM ev WHERE source = 'website' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 = 0
+           AND ts > {O.AS_OF} - INTERVAL 30 DAYS AND ts <= {O.AS_OF}),
+applied AS (SELECT DISTINCT student_id FROM e2 WHERE lead_status IN ('application', 'enrollment', 'active', 'alumni'))
+SELECT student_id AS profile_id FROM recent WHERE student_id NOT IN (SELECT student_id FROM applied)
+"""
+
+
+@register("j16_viewed_not_applied", J16_SQL, "J16: MBA page viewed in the last 30 days and no application (semi + anti join)")
+def j16_viewed_not_applied(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir, with_contact=True)
+    k = F.get_json_object("raw_data", "$.k").cast("int")
+    a = F.lit(AS_OF_EVENTS).cast("timestamp")
+    viewed = ev.filter((F.col("source") == "website") & (k % 10 == 0) & (F.col("ts") > a - F.expr("INTERVAL 30 DAYS")) & (F.col("ts") <= a))
+    applied = ev.filter(F.col("lead_status").isin("application", "enrollment", "active", "alumni")).select("student_id")
+    students = ev.select("student_id").distinct()
+    out = students.join(viewed.select("student_id"), "student_id", "left_semi").join(applied, "student_id", "left_anti")
+    return out.select(F.col("student_id").alias("profile_id"))

@@ -35,6 +35,37 @@ def d1_stream_profiles(spark, sf_dir):
     return flatten_profile(job.profiles()).drop("version")
 
 
+def _stream_job(spark, sf_dir):
+    from tessera.sources.adapters import crm_contacts
+
+    bronze = canonical_events(spark, sf_dir, with_invalid=True, with_duplicates=True, with_contact=True)
+    src = S.scratch_dir(spark, "bronze_stream")
+    S.write_stream_files(bronze, src, "event_id", CHUNKS)
+    status = crm_contacts(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("student_id"), F.col("lead_status").alias("enrollment_status"))
+    job = S.ProfileStreamJob(spark, S.scratch_dir(spark, "profile_job"), AS_OF_EVENTS, status=status)
+    job.run(S.read_event_stream(spark, src, bronze.schema, max_files=1))
+    return job
+
+
+def _d7_sql():
+    from tessera.plans.q_features import W1_SQL
+
+    return W1_SQL.replace("  FROM events)", "  FROM events WHERE event_id % 97 <> 0)", 1)
+
+
+@register("d7_stream_features", _d7_sql(), "D7 K13 W1: feature rows upserted per micro-batch equal the batch features")
+def d7_stream_features(spark, sf_dir):
+    f = _stream_job(spark, sf_dir).features()
+    return f.select("entity_id", "days_since_last_interaction", "whatsapp_messages_30d", "page_views_by_category", "funnel_stage", "course_completion_rate")
+
+
+@register("d6_stream_segment_changes", None, "D6 K10 A6: segment changes emitted by each micro-batch of the profile stream")
+def d6_stream_segment_changes(spark, sf_dir):
+    job = _stream_job(spark, sf_dir)
+    ch = spark.read.parquet(f"{job.root}/segment_changes")
+    return ch.select("profile_id", F.array_join("segments_added", ",").alias("segments_added"), F.array_join("segments_removed", ",").alias("segments_removed"))
+
+
 D5_SQL = "SELECT DISTINCT event_id FROM events"
 
 

@@ -37,6 +37,14 @@ def read_crm_csv(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def load_files(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
+    """Explicit schema, CSV header row skipped (Parquet carries its own)."""
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    return reader.format(fmt).load(path)
+
+
 def read_dated_export(spark: SparkSession, root: str, day: str) -> DataFrame:
     """``{root}/{yyyymmdd}/*.csv`` with the file each row came from (for A18)."""
     path = f"{root.rstrip('/')}/{day.replace('-', '')}/*.csv"

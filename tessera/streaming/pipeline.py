@@ -97,10 +97,11 @@ class ProfileStreamJob:
     version is current), ``segment_changes`` and ``_commits/{batch_id}``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, as_of: dt.datetime) -> None:
+    def __init__(self, spark: SparkSession, root: str, as_of: dt.datetime, status: DataFrame | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.as_of = as_of
+        self.status = status  # (student_id, enrollment_status) for the funnel-stage feature
 
     # -- storage helpers ------------------------------------------------------
     def _committed(self) -> list[int]:
@@ -118,6 +119,12 @@ class ProfileStreamJob:
             return None
         return self.spark.read.parquet(f"{self.root}/profiles/v{done[-1]}")
 
+    def features(self) -> DataFrame | None:
+        done = self._committed()
+        if not done:
+            return None
+        return self.spark.read.parquet(f"{self.root}/features/v{done[-1]}")
+
     def _commit(self, batch_id: int) -> None:
         self.spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite").parquet(
             f"{self.root}/_commits/{batch_id}"
@@ -150,14 +157,26 @@ class ProfileStreamJob:
         delta_events = fresh.withColumnRenamed("student_id", "profile_id")
         new = build_profiles(delta_events, self.as_of, previous=prev)
         new.write.mode("overwrite").parquet(f"{self.root}/profiles/v{batch_id}")
-        # Segment changes of the profiles this batch touched.
-        if prev is not None:
-            rules = SegmentRules(builtins=False).add_rule("engaged", {"field": "total_events", "operator": ">=", "value": 5})
-            now = rules.evaluate(self.spark.read.parquet(f"{self.root}/profiles/v{batch_id}"))
-            before = rules.evaluate(prev)
-            segment_changes(now.join(delta_events.select("profile_id").distinct(), "profile_id", "left_semi"), before, as_of=self.as_of).write.mode(
-                "append"
-            ).parquet(f"{self.root}/segment_changes")
+        # Segment changes of the profiles this batch touched (a new profile
+        # counts against an empty membership).
+        rules = SegmentRules(builtins=False).add_rule("engaged_learner", {"field": "total_events", "operator": ">=", "value": 5})
+        now = rules.evaluate(self.spark.read.parquet(f"{self.root}/profiles/v{batch_id}"))
+        touched_now = now.join(delta_events.select("profile_id").distinct(), "profile_id", "left_semi")
+        before = rules.evaluate(prev) if prev is not None else now.limit(0)
+        segment_changes(touched_now, before.join(delta_events.select("profile_id").distinct(), "profile_id", "left_semi"), as_of=self.as_of).write.mode(
+            "append"
+        ).parquet(f"{self.root}/segment_changes")
+        # Real-time features - recompute W1 for the students this batch touched
+        # (from their full silver history) and upsert them into the feature table.
+        from tessera.operators.features import student_features
+        from tessera.operators.vectors import upsert_by_id
+
+        touched = delta_events.select(F.col("profile_id").alias("student_id")).distinct()
+        history = self.spark.read.parquet(silver_path).join(touched, "student_id", "left_semi")
+        feats = student_features(history, self.as_of, status=self.status)
+        old = self.features()
+        merged = feats if old is None else upsert_by_id(old, feats.select(*old.columns), "entity_id")
+        merged.write.mode("overwrite").parquet(f"{self.root}/features/v{batch_id}")
         self._commit(batch_id)
 
     def run(self, stream: DataFrame) -> None:
