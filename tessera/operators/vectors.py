@@ -67,12 +67,14 @@ def knn_exact(
     keys = ([by] if by else []) + ["_blk", "_chk"]
     blocks = F.array(*[F.lit(i) for i in range(index_blocks)])
     chunks = F.array(*[F.lit(i) for i in range(query_chunks)])
-    q = queries.select("qid", "qvec", *([by] if by else [])).withColumn("_chk", F.pmod(F.xxhash64("qid"), F.lit(query_chunks))).withColumn(
-        "_blk", F.explode(blocks)
-    )
-    x = index.select("vid", "vec", *([by] if by else [])).withColumn("_blk", F.pmod(F.xxhash64("vid"), F.lit(index_blocks))).withColumn(
-        "_chk", F.explode(chunks)
-    )
+    # Both sides must carry the grouping keys with identical types, or the two
+    # hash partitionings disagree and groups never meet.
+    q = queries.select("qid", "qvec", *([by] if by else [])).withColumn(
+        "_chk", F.pmod(F.xxhash64("qid"), F.lit(query_chunks)).cast("int")
+    ).withColumn("_blk", F.explode(blocks))
+    x = index.select("vid", "vec", *([by] if by else [])).withColumn(
+        "_blk", F.pmod(F.xxhash64("vid"), F.lit(index_blocks)).cast("int")
+    ).withColumn("_chk", F.explode(chunks))
     cand = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(
         _topk_block("qid", "vid", k, exclude_self), "qid long, vid long, score double"
     )

@@ -108,7 +108,15 @@ def test_knn_exact_against_numpy(spark):
     rows = [(i, [float(v) for v in X[i]], int(i % 3)) for i in range(60)]
     e = spark.createDataFrame(rows, "vid long, vec array<double>, label int")
     q = e.select(F.col("vid").alias("qid"), F.col("vec").alias("qvec"), "label")
-    got = V.knn_exact(q, e, k=4, by="label", exclude_self=True, index_blocks=3, query_chunks=2).collect()
+    # Many shuffle partitions and no coalescing, so both cogroup sides really are
+    # hash-partitioned (a key type mismatch would split groups).
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = V.knn_exact(q, e, k=4, by="label", exclude_self=True, index_blocks=3, query_chunks=2).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     got_map = {}
     for r in got:
         got_map.setdefault(r.qid, []).append((r.rank, r.vid))
