@@ -89,6 +89,11 @@ def first_identifier_of_type(identifiers: Column, id_type: str) -> Column:
     return F.get(F.filter(identifiers, lambda x: (x["type"] == F.lit(id_type)) & (F.length(x["value"]) > 0)), 0)["value"]
 
 
+def first_identifier_sql(identifiers: str, id_type: str) -> Column:
+    """``first_identifier_of_type`` as one SQL expression over a column name."""
+    return F.expr(f"get(filter({identifiers}, x -> x.type = '{id_type}' AND length(x.value) > 0), 0).value")
+
+
 def build_profiles(
     events: DataFrame,
     as_of: dt.datetime,
@@ -107,7 +112,7 @@ def build_profiles(
     cols = set(events.columns)
     # Per-row picks are projected once before the aggregate (each higher-order
     # function runs once per row, not once per aggregate input).
-    pre = {f"_i_{t}": first_identifier_of_type(F.col("identifiers"), t) for t in IDENTIFIER_TYPES}
+    pre = {f"_i_{t}": first_identifier_sql("identifiers", t) for t in IDENTIFIER_TYPES}
     if "personal_info" in cols:
         is_auth = (F.col("source") == CONTACT_INFO_AUTHORITY) & F.col("personal_info").isNotNull()
         pre["_pi"] = F.when(is_auth, F.col("personal_info"))

@@ -67,33 +67,30 @@ def phone_of(user: Column) -> Column:
     return F.concat(F.lit("+49"), F.lpad(k.cast("string"), 9, "0"))
 
 
-def _ident(t: str, v: Column) -> Column:
-    return F.struct(F.lit(t).alias("type"), v.alias("value"))
-
-
-def identifiers_of(source: Column, user: Column, event_id: Column) -> Column:
-    """ARRAY<STRUCT<type,value>> in the order the source emits them."""
-    u = user.cast("string")
-    session = F.concat(F.lit("s_"), u, F.lit("_"), (event_id % 5).cast("string"))
-    device = F.concat(F.lit("d_"), u, F.lit("_"), (event_id % 2).cast("string"))
-    email = email_of(user)
-    phone = phone_of(user)
-    sfid = F.concat(F.lit("sf_"), u)
-    null_ident = F.lit(None).cast("struct<type:string,value:string>")
-    arr = (
-        F.when(
-            source == "website",
-            F.array(_ident("session_id", session), F.when(event_id % 4 == 0, _ident("email", email)).otherwise(null_ident)),
-        )
-        .when(
-            source == "app",
-            F.array(_ident("device_id", device), F.when(event_id % 3 == 0, _ident("email", email)).otherwise(null_ident)),
-        )
-        .when(source == "crm", F.array(_ident("email", email), _ident("phone", phone), _ident("salesforce_id", sfid)))
-        .when(source == "email", F.array(_ident("email", email)))
-        .when(source == "whatsapp", F.array(_ident("phone", phone)))
-    )
-    return F.filter(arr, lambda x: x.isNotNull())
+# Identifier rule as one SQL expression: parsed once in the JVM instead of being
+# assembled from a hundred small Column calls.
+IDENTIFIERS_SQL = """filter(
+  CASE {src}
+    WHEN 'website' THEN array(
+      named_struct('type', 'session_id', 'value', concat('s_', CAST({u} AS STRING), '_', CAST({e} % 5 AS STRING))),
+      IF({e} % 4 = 0, named_struct('type', 'email', 'value', concat('u', CAST({u} AS STRING), '@example.com')), NULL))
+    WHEN 'app' THEN array(
+      named_struct('type', 'device_id', 'value', concat('d_', CAST({u} AS STRING), '_', CAST({e} % 2 AS STRING))),
+      IF({e} % 3 = 0, named_struct('type', 'email', 'value', concat('u', CAST({u} AS STRING), '@example.com')), NULL))
+    WHEN 'crm' THEN array(
+      named_struct('type', 'email', 'value', concat('u', CAST({u} AS STRING), '@example.com')),
+      named_struct('type', 'phone', 'value', concat('+49', lpad(CAST(IF({u} % 10 = 1, {u} - 1, {u}) AS STRING), 9, '0'))),
+      named_struct('type', 'salesforce_id', 'value', concat('sf_', CAST({u} AS STRING))))
+    WHEN 'email' THEN array(named_struct('type', 'email', 'value', concat('u', CAST({u} AS STRING), '@example.com')))
+    WHEN 'whatsapp' THEN array(
+      named_struct('type', 'phone', 'value', concat('+49', lpad(CAST(IF({u} % 10 = 1, {u} - 1, {u}) AS STRING), 9, '0'))))
+  END,
+  x -> x IS NOT NULL)"""
+
+
+def identifiers_of(source: str = "source", user: str = "user_id", event_id: str = "event_id") -> Column:
+    """ARRAY<STRUCT<type,value>> in the order the source emits them (column names in)."""
+    return F.expr(IDENTIFIERS_SQL.format(src=source, u=user, e=event_id))
 
 
 def canonical_events(
@@ -126,8 +123,7 @@ def canonical_events(
     if with_duplicates:
         dup = base.filter(F.col("event_id") % 20 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
         base = base.unionByName(dup)
-    base = base.withColumn("identifiers", identifiers_of(F.col("source"), F.col("user_id"), F.col("event_id")))
-    base = base.withColumn("event_date", F.to_date("ts"))
+    base = base.withColumns({"identifiers": identifiers_of(), "event_date": F.to_date("ts")})
     if not with_contact:
         return base
     crm = crm_contacts(spark, sf_dir)
