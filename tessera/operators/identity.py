@@ -117,10 +117,15 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
     """
     ev_ids = identifier_rows(events, "event_id")
     j1 = deterministic_match(ev_ids, profile_ids)
-    base = events.select("event_id", *(["personal_info"] if "personal_info" in events.columns else []))
+    # The smallest valid identifier (the id of a created profile) is a projection of
+    # the event row itself - no join needed.
+    keep = ["event_id", "identifiers"] + (["personal_info"] if "personal_info" in events.columns else [])
+    base = smallest_identifier(events.select(*keep)).drop("identifiers")
     out = base.join(j1, "event_id", "left")
     if profile_names is not None and "personal_info" in events.columns:
-        unmatched = out.filter(F.col("profile_id").isNull()).select("event_id", F.col("personal_info.name").alias("name"))
+        unmatched = out.filter(F.col("profile_id").isNull() & (F.length(F.col("personal_info.name")) > 0)).select(
+            "event_id", F.col("personal_info.name").alias("name")
+        )
         q_ids = ev_ids.join(unmatched.select("event_id"), "event_id", "left_semi").select(F.col("event_id").alias("qid"), "id_value")
         j2 = probabilistic_match(
             q_ids,
@@ -131,9 +136,6 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
         out = out.join(j2, "event_id", "left")
     else:
         out = out.withColumn("j2_profile", F.lit(None).cast("string")).withColumn("j2_conf", F.lit(None).cast("double"))
-    # The smallest valid identifier of the event, read from its array (no shuffle).
-    smallest = smallest_identifier(events.select("event_id", "identifiers")).select("event_id", "_min_id")
-    out = out.join(smallest, "event_id", "left")
     created = new_profile_id(F.coalesce(F.col("_min_id"), F.concat(F.lit("event:"), F.col("event_id").cast("string"))))
     auto = F.col("j2_conf") >= F.lit(CONFIDENCE_AUTO_MERGE)
     return out.select(
