@@ -114,6 +114,10 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
     ``match_type`` is ``deterministic``, ``probabilistic`` (J2 >= 0.85) or ``created``;
     below the threshold the candidate is kept in ``review_candidate`` and a profile is
     created, as the source system does.
+
+    ``events`` is read by several branches (J1, the J2 candidates, the created ids):
+    pass a materialised frame - the silver table - so that it is scanned, not
+    re-derived, per branch.
     """
     ev_ids = identifier_rows(events, "event_id")
     j1 = deterministic_match(ev_ids, profile_ids)
@@ -123,9 +127,9 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
     base = smallest_identifier(events.select(*keep)).drop("identifiers")
     out = base.join(j1, "event_id", "left")
     if profile_names is not None and "personal_info" in events.columns:
-        unmatched = out.filter(F.col("profile_id").isNull() & (F.length(F.col("personal_info.name")) > 0)).select(
-            "event_id", F.col("personal_info.name").alias("name")
-        )
+        named = events.select("event_id", F.col("personal_info.name").alias("name")).filter(F.length("name") > 0)
+        # Anti join on the J1 result (the same subtree as above, so its shuffle is reused).
+        unmatched = named.join(j1.select("event_id"), "event_id", "left_anti")
         q_ids = ev_ids.join(unmatched.select("event_id"), "event_id", "left_semi").select(F.col("event_id").alias("qid"), "id_value")
         j2 = probabilistic_match(
             q_ids,

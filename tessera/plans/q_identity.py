@@ -112,7 +112,11 @@ FROM ev LEFT JOIN best USING (event_id) LEFT JOIN mins USING (event_id)
 
 @register("j3_resolve", J3_SQL, "J3: deterministic, else probabilistic >= 0.85, else created profile")
 def j3_resolve(spark, sf_dir):
-    ev = canonical_events(spark, sf_dir, with_contact=True)
+    from tessera.session import cut_lineage
+
+    # Silver boundary: resolve reads the events in several branches, so they are
+    # materialised once (only the columns it needs) instead of re-derived per branch.
+    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
     ids, names = crm_master(spark, sf_dir)
     r = I.resolve(ev, ids, names)
     return r.select("event_id", "profile_id", "match_type")

@@ -14,7 +14,7 @@ from tessera.operators import profile as P
 from tessera.plans import oracle_fragments as O
 from tessera.plans.q_identity import J3_SQL, crm_master
 from tessera.plans.registry import register
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import cut_lineage, ensure_checkpoint_dir
 from tessera.sources.adapters import AS_OF_EVENTS, SOURCE_BY_EVENT_TYPE, _case, canonical_events
 from tessera.sources.tables import read_table
 
@@ -78,7 +78,7 @@ FROM j3
 def a14_match_rate(spark, sf_dir):
     from tessera.operators.identity import resolve
 
-    ev = canonical_events(spark, sf_dir, with_contact=True)
+    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
     ids, names = crm_master(spark, sf_dir)
     return M.match_rate(resolve(ev, ids, names))
 
@@ -398,7 +398,7 @@ FROM g
 def m2_silver_to_gold(spark, sf_dir):
     from tessera.plans.medallion import silver_to_gold
 
-    ev = canonical_events(spark, sf_dir, with_contact=True)
+    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True))  # the silver layer boundary
     ids, names = crm_master(spark, sf_dir)
     gold = silver_to_gold(ev, ids, names, AS_OF_EVENTS)
     return gold.select("profile_id", "total_events", "engagement_score", F.try_element_at("segments", F.lit(1)).alias("score_segment"))
@@ -444,7 +444,7 @@ def k14_audit_log(spark, sf_dir):
     from tessera.sinks.writers import append_audit
     from tessera.sources.adapters import erasure_requests
 
-    ev = canonical_events(spark, sf_dir, with_contact=True)
+    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
     ids, names = crm_master(spark, sf_dir)
     r = resolve(ev, ids, names)
     created = r.filter(F.col("match_type") == "created").select(F.lit("create").alias("action"), F.col("profile_id").alias("subject")).distinct()
