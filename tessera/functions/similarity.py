@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +16,18 @@ def name_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(la, lb).cast("double") / longest.cast("double"))
 
 
+def _difflib_ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+    from difflib import SequenceMatcher
+
+    return pd.Series([None if (p is None or q is None) else SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y)], dtype="float64")
+
+
+def difflib_ratio(a: Column, b: Column) -> Column:
+    """F6 exact mode: ``SequenceMatcher(None, a, b).ratio()`` on lower case, in Arrow
+    batches.  Used only on blocked candidate pairs; note it depends on argument order."""
+    return F.pandas_udf(_difflib_ratio, "double")(F.lower(a), F.lower(b))
+
+
 def jaccard_from_counts(shared: Column, size_a: Column, size_b: Column) -> Column:
     """U4: ``|A n B| / max(|A u B|, 1)`` from set sizes (union = a + b - shared)."""
     union = size_a + size_b - shared

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.constants import CONFIDENCE_AUTO_MERGE, CONSENT_CHANNELS, IDENTIFIER_TYPES
-from tessera.functions.similarity import jaccard_from_counts, match_confidence, name_similarity
+from tessera.functions.similarity import difflib_ratio, jaccard_from_counts, match_confidence, name_similarity
 from tessera.session import cut_lineage
 
 
@@ -54,13 +54,15 @@ def probabilistic_match(
     profile_ids: DataFrame,
     profile_names: DataFrame,
     exclude_self: bool = False,
+    name_mode: str = "levenshtein",
 ) -> DataFrame:
     """Best candidate per query entity.
 
     ``query_ids (qid, id_value)``, ``query_names (qid, name)``, ``profile_ids
     (profile_id, id_value)``, ``profile_names (profile_id, name)``.  A query needs a
     non-empty name and at least one identifier value.  Returns ``(qid, profile_id,
-    name_score, overlap, confidence)``.
+    name_score, overlap, confidence)``.  ``name_mode="difflib"`` scores names with the
+    exact ratio of the source system (an Arrow UDF over the candidate pairs only).
     """
     q = query_ids.select("qid", "id_value").filter(F.length("id_value") > 0).distinct()
     p = profile_ids.select("profile_id", "id_value").filter(F.length("id_value") > 0).distinct()
@@ -77,7 +79,10 @@ def probabilistic_match(
         .join(q_size, "qid")
         .join(p_size, "profile_id")
         .join(pn, "profile_id", "left")
-        .withColumn("name_score", name_similarity(F.col("q_name"), F.coalesce(F.col("p_name"), F.lit(""))))
+        .withColumn(
+            "name_score",
+            (difflib_ratio if name_mode == "difflib" else name_similarity)(F.col("q_name"), F.coalesce(F.col("p_name"), F.lit(""))),
+        )
         .withColumn("overlap", jaccard_from_counts(F.col("shared"), F.col("q_n"), F.col("p_n")))
         .withColumn("confidence", match_confidence(F.col("name_score"), F.col("overlap")))
     )

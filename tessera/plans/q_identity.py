@@ -191,3 +191,17 @@ def j12_merge_profiles(spark, sf_dir):
         F.array_join(F.array_sort(F.map_keys(F.map_filter("consent", lambda k, v: v))), ",").alias("consented_channels"),
         F.size("consent").alias("n_channels"),
     )
+
+
+@register("j2_probabilistic_difflib", None, "J2 F6 F7 T6: fuzzy duplicate candidates scored with the exact difflib ratio (Arrow UDF)")
+def j2_probabilistic_difflib(spark, sf_dir):
+    ids, names = crm_master(spark, sf_dir)
+    best = I.probabilistic_match(
+        ids.select(F.col("profile_id").alias("qid"), "id_value"),
+        names.select(F.col("profile_id").alias("qid"), "name"),
+        ids,
+        names,
+        exclude_self=True,
+        name_mode="difflib",
+    )
+    return best.select("qid", "profile_id", "confidence")

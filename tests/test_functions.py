@@ -136,3 +136,16 @@ def test_utm_params(spark):
 def test_email_regex(spark):
     df = spark.createDataFrame([("a@b.co",), ("bad-email",)], "e string")
     assert [r.v for r in df.select(text.is_valid_email(F.col("e")).alias("v")).collect()] == [True, False]
+
+
+def test_name_similarity_modes(spark):
+    from difflib import SequenceMatcher
+
+    from tessera.functions.similarity import difflib_ratio, name_similarity
+
+    pairs = [("Maria Lopez", "maria lopes"), ("tide", "diet"), ("", "x"), ("Customer#000000010", "Customer#000000011")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select(difflib_ratio(F.col("a"), F.col("b")).alias("d"), name_similarity(F.col("a"), F.col("b")).alias("l")).collect()
+    for (a, b), r in zip(pairs, got):
+        assert abs(r.d - SequenceMatcher(None, a.lower(), b.lower()).ratio()) < 1e-12
+    assert abs(got[3].l - (1 - 1 / 18)) < 1e-12
