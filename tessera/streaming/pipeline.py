@@ -97,11 +97,15 @@ class ProfileStreamJob:
     version is current), ``segment_changes`` and ``_commits/{batch_id}``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, as_of: dt.datetime, status: DataFrame | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, as_of: dt.datetime, status: DataFrame | None = None, dedup_horizon_days: int = 1
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.as_of = as_of
         self.status = status  # (student_id, enrollment_status) for the funnel-stage feature
+        # A repeated event_id arrives within this many days of the first copy.
+        self.dedup_horizon_days = dedup_horizon_days
 
     # -- storage helpers ------------------------------------------------------
     def _committed(self) -> list[int]:
@@ -145,14 +149,24 @@ class ProfileStreamJob:
 
         fresh = dedup_events(valid)
         silver_path = f"{self.root}/silver"
-        try:
-            seen = self.spark.read.parquet(silver_path).select("event_id")
-            fresh = fresh.join(seen, "event_id", "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: no silver yet
-            pass
-        # Materialise the accepted rows once: they feed both silver and the profile fold.
-        fresh.write.mode("overwrite").parquet(f"{self.root}/silver/batch={batch_id}")
-        fresh = self.spark.read.parquet(f"{self.root}/silver/batch={batch_id}")
+        done = self._committed()
+        if done:
+            # Only silver partitions inside the dedup horizon of this batch are read
+            # (partition pruning on event_date), and only committed batches count.
+            span = fresh.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
+            if span["lo"] is not None:
+                lo = span["lo"] - dt.timedelta(days=self.dedup_horizon_days)
+                seen = (
+                    self.spark.read.parquet(silver_path)
+                    .filter(F.col("event_date").between(F.lit(lo), F.lit(span["hi"])) & F.col("batch").isin(done))
+                    .select("event_id")
+                )
+                fresh = fresh.join(seen, "event_id", "left_anti")
+        # Materialise the accepted rows once (they feed silver, the fold and the
+        # features); a replayed batch overwrites its own folder, so it is idempotent.
+        schema = fresh.schema
+        fresh.write.mode("overwrite").partitionBy("event_date").parquet(f"{silver_path}/batch={batch_id}")
+        fresh = self.spark.read.schema(schema).parquet(f"{silver_path}/batch={batch_id}")
         prev = self.profiles()
         delta_events = fresh.withColumnRenamed("student_id", "profile_id")
         new = build_profiles(delta_events, self.as_of, previous=prev)
@@ -172,7 +186,12 @@ class ProfileStreamJob:
         from tessera.operators.vectors import upsert_by_id
 
         touched = delta_events.select(F.col("profile_id").alias("student_id")).distinct()
-        history = self.spark.read.parquet(silver_path).join(touched, "student_id", "left_semi")
+        history = (
+            self.spark.read.parquet(silver_path)
+            .filter(F.col("batch").isin(done + [batch_id]))
+            .drop("batch")
+            .join(touched, "student_id", "left_semi")
+        )
         feats = student_features(history, self.as_of, status=self.status)
         old = self.features()
         merged = feats if old is None else upsert_by_id(old, feats.select(*old.columns), "entity_id")
