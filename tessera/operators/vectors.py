@@ -122,7 +122,7 @@ def embed_with(texts: DataFrame, id_col: str, text_col: str, encoder, dim: int)
 
 def index_stats(vectors: DataFrame, namespace: str = "label", vec: str = "embedding") -> DataFrame:
     """Vector count per namespace and the dimension."""
-    return vectors.groupBy(namespace).agg(F.count(F.lit(1)).alias("vector_count"), F.max(F.size(vec)).alias("dimension"))
+    return vectors.groupBy(namespace).agg(F.count(F.lit(1)).alias("vector_count"), F.max(F.size(vec)).cast("bigint").alias("dimension"))
 
 
 def upsert_by_id(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -71,9 +71,9 @@ def r1_salesforce_sync(spark, sf_dir):
 
 A16_SQL = f"""
 {SYNC_SQL}
-SELECT count(*) AS total, sum(CASE WHEN status IN ('sent', 'deduplicated') THEN 1 ELSE 0 END) AS succeeded,
-       sum(CASE WHEN status NOT IN ('sent', 'deduplicated') THEN 1 ELSE 0 END) AS failed,
-       sum(CASE WHEN status IN ('validation_failed', 'consent_denied') THEN 1 ELSE 0 END) AS errors
+SELECT count(*) AS total, CAST(sum(CASE WHEN status IN ('sent', 'deduplicated') THEN 1 ELSE 0 END) AS BIGINT) AS succeeded,
+       CAST(sum(CASE WHEN status NOT IN ('sent', 'deduplicated') THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+       CAST(sum(CASE WHEN status IN ('validation_failed', 'consent_denied') THEN 1 ELSE 0 END) AS BIGINT) AS errors
 FROM s
 """
 

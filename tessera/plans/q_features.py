@@ -56,7 +56,7 @@ def w1_student_features(spark, sf_dir):
 
 W2_SQL = """
 SELECT event_id,
-       sum(CAST(round(value * 100) AS BIGINT)) OVER w AS rolling_sum_cents,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS rolling_sum_cents,
        count(*) OVER w AS rolling_n,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(*) OVER w AS DOUBLE) / 100.0 AS rolling_avg
 FROM events

@@ -189,7 +189,7 @@ def j12_merge_profiles(spark, sf_dir):
         "members",
         "n_identifiers",
         F.array_join(F.array_sort(F.map_keys(F.map_filter("consent", lambda k, v: v))), ",").alias("consented_channels"),
-        F.size("consent").alias("n_channels"),
+        F.size("consent").cast("bigint").alias("n_channels"),
     )
 
 

@@ -156,8 +156,8 @@ def p3_chat_intent(spark, sf_dir):
         "conv_id",
         "turn",
         "event_type",
-        "body_length",
-        F.coalesce(F.size(F.col("entities")["email"]), F.lit(0)).alias("n_emails"),
+        F.col("body_length").cast("bigint").alias("body_length"),
+        F.coalesce(F.size(F.col("entities")["email"]), F.lit(0)).cast("bigint").alias("n_emails"),
     )
 
 
@@ -174,7 +174,7 @@ def f4_document_intent(spark, sf_dir):
 
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ents = extract_entities(F.col("text"))
-    return d.select("doc_id", detect_intent(F.col("text")).alias("intent"), F.coalesce(F.size(ents["email"]), F.lit(0)).alias("n_emails"))
+    return d.select("doc_id", detect_intent(F.col("text")).alias("intent"), F.coalesce(F.size(ents["email"]), F.lit(0)).cast("bigint").alias("n_emails"))
 
 
 F8_SQL = """

@@ -66,9 +66,9 @@ def a13_active_profiles(spark, sf_dir):
 
 A14_SQL = f"""
 WITH j3 AS ({J3_SQL.strip()})
-SELECT count(*) AS events, sum(CASE WHEN match_type = 'deterministic' THEN 1 ELSE 0 END) AS deterministic,
-       sum(CASE WHEN match_type = 'probabilistic' THEN 1 ELSE 0 END) AS probabilistic,
-       sum(CASE WHEN match_type = 'created' THEN 1 ELSE 0 END) AS created,
+SELECT count(*) AS events, CAST(sum(CASE WHEN match_type = 'deterministic' THEN 1 ELSE 0 END) AS BIGINT) AS deterministic,
+       CAST(sum(CASE WHEN match_type = 'probabilistic' THEN 1 ELSE 0 END) AS BIGINT) AS probabilistic,
+       CAST(sum(CASE WHEN match_type = 'created' THEN 1 ELSE 0 END) AS BIGINT) AS created,
        avg(CASE WHEN match_type <> 'created' THEN 1.0 ELSE 0.0 END) AS match_rate
 FROM j3
 """
