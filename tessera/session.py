@@ -54,6 +54,27 @@ def get_spark(
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions start at ``input / 256 MB``, kept between 2x and 8x the
+    cores (more blocks than that overload shuffle bookkeeping); AQE then
+    coalesces small partitions and splits skewed ones from runtime sizes.  Scans
+    read up to 256 MB per split.  For 100 TB on 1000 executors x 8 cores: 64k
+    initial shuffle partitions and ~400k scan tasks.
+    """
+    parts = max(2 * total_cores, min(input_bytes // target_partition_bytes, 8 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # Broadcast only what runtime statistics prove small.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
