@@ -16,34 +16,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _topk_block(qid: str, vid: str, k: int, exclude_self: bool):
+QUERY_SLICE = 256  # queries scored per matrix product inside a task (bounds task memory)
+
+
+def _topk_block(k: int, exclude_self: bool):
     import numpy as np
     import pandas as pd
 
     def run(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         if q.empty or x.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
-        Q = np.vstack([np.asarray(v, dtype=np.float64) for v in q["qvec"]])
+            return empty
         X = np.vstack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
-        qn = np.linalg.norm(Q, axis=1)
         xn = np.linalg.norm(X, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            S = (Q @ X.T) / np.outer(qn, xn)
-        S = np.nan_to_num(S, nan=-np.inf)
-        qids = q["qid"].to_numpy()
         vids = x["vid"].to_numpy()
-        if exclude_self:
-            S[qids[:, None] == vids[None, :]] = -np.inf
-        kk = min(k, S.shape[1])
+        kk = min(k, X.shape[0])
         out_q, out_v, out_s = [], [], []
-        for i in range(S.shape[0]):
-            row = S[i]
-            # Stable order: score desc, then vector id asc.
-            order = np.lexsort((vids, -row))[:kk]
-            order = order[np.isfinite(row[order])]
-            out_q.append(np.full(len(order), qids[i]))
-            out_v.append(vids[order])
-            out_s.append(row[order])
+        for lo in range(0, len(q), QUERY_SLICE):
+            part = q.iloc[lo : lo + QUERY_SLICE]
+            Q = np.vstack([np.asarray(v, dtype=np.float64) for v in part["qvec"]])
+            qn = np.linalg.norm(Q, axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                S = (Q @ X.T) / np.outer(qn, xn)
+            S = np.nan_to_num(S, nan=-np.inf)
+            qids = part["qid"].to_numpy()
+            if exclude_self:
+                S[qids[:, None] == vids[None, :]] = -np.inf
+            for i in range(S.shape[0]):
+                row = S[i]
+                # Stable order: score desc, then vector id asc.
+                order = np.lexsort((vids, -row))[:kk]
+                order = order[np.isfinite(row[order])]
+                out_q.append(np.full(len(order), qids[i]))
+                out_v.append(vids[order])
+                out_s.append(row[order])
+        if not out_q:
+            return empty
         return pd.DataFrame({"qid": np.concatenate(out_q), "vid": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
     return run
@@ -55,15 +63,25 @@ def knn_exact(
     k: int = 5,
     by: str | None = None,
     exclude_self: bool = False,
-    index_blocks: int = 4,
-    query_chunks: int = 4,
+    index_blocks: int | None = None,
+    query_chunks: int | None = None,
+    block_rows: int = 50_000,
+    chunk_rows: int = 20_000,
 ) -> DataFrame:
     """T4 / T5: exact cosine top-``k``.
 
     ``queries (qid, qvec[, by])``, ``index (vid, vec[, by])``; with ``by`` the
     metadata filter (equality on ``by``) applies before ranking.  Returns
-    ``(qid, vid, score, rank)``.
+    ``(qid, vid, score, rank)``.  Without explicit counts, blocks and chunks are
+    sized from the row counts (two scalar counts) so that a task holds at most
+    about ``block_rows`` vectors and ``chunk_rows`` queries.
     """
+    import math
+
+    if index_blocks is None:
+        index_blocks = max(1, math.ceil(index.count() / block_rows))
+    if query_chunks is None:
+        query_chunks = max(1, math.ceil(queries.count() / chunk_rows))
     keys = ([by] if by else []) + ["_blk", "_chk"]
     blocks = F.array(*[F.lit(i) for i in range(index_blocks)])
     chunks = F.array(*[F.lit(i) for i in range(query_chunks)])
@@ -75,9 +93,7 @@ def knn_exact(
     x = index.select("vid", "vec", *([by] if by else [])).withColumn(
         "_blk", F.pmod(F.xxhash64("vid"), F.lit(index_blocks)).cast("int")
     ).withColumn("_chk", F.explode(chunks))
-    cand = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(
-        _topk_block("qid", "vid", k, exclude_self), "qid long, vid long, score double"
-    )
+    cand = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(_topk_block(k, exclude_self), "qid long, vid long, score double")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("vid").asc())
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
