@@ -92,35 +92,39 @@ def rate_limit_window(calls: DataFrame, key: str, ts: str, limit: int = API_RATE
 def rate_limit_exact(calls: DataFrame, key: str, ts: str, call_id: str, limit: int = API_RATE_LIMIT, seconds: int = API_RATE_WINDOW_SECONDS) -> DataFrame:
     """W4 exact: rejected calls do not count against the window (sequential by nature).
 
-    Work is split at idle gaps of ``seconds`` or more - no state crosses such a
-    gap - so each ``applyInPandas`` group is one burst of one key, not the key's
-    whole history.  Returns ``(key, call_id, ts, accepted)``.
+    Calls are hash-partitioned by key and sorted by (key, time, id) inside each
+    partition, then streamed through ``mapInPandas`` batch by batch.  The only state
+    is, for the current key, the accepted call times still inside the window - at
+    most ``limit`` values - so no key's calls are ever gathered in memory, however
+    hot the key is.  Returns ``(key, call_id, ts, accepted)``.
     """
-    import numpy as np
+    from collections import deque
+
     import pandas as pd
 
-    w = Window.partitionBy(key).orderBy(ts, call_id)
-    prev = F.lag(F.col(ts)).over(w)
-    new_burst = F.when(prev.isNull() | ((F.unix_micros(F.col(ts)) - F.unix_micros(prev)) >= seconds * MICROS), 1).otherwise(0)
-    b = calls.select(key, call_id, ts).withColumn("_nb", new_burst).withColumn("_burst", F.sum("_nb").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     window_us = seconds * MICROS
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([ts, call_id], kind="mergesort")
-        t = pdf[ts].astype("datetime64[us]").astype("int64").to_numpy()
-        acc = np.zeros(len(t), dtype=bool)
-        kept: list[int] = []
-        lo = 0
-        for i, x in enumerate(t):
-            while lo < len(kept) and kept[lo] <= x - window_us:
-                lo += 1
-            if len(kept) - lo < limit:
-                kept.append(x)
-                acc[i] = True
-        return pd.DataFrame({key: pdf[key].to_numpy(), call_id: pdf[call_id].to_numpy(), ts: pdf[ts].to_numpy(), "accepted": acc})
-
-    schema = f"{key} {dict(calls.dtypes)[key]}, {call_id} {dict(calls.dtypes)[call_id]}, {ts} timestamp, accepted boolean"
-    return b.groupBy(key, "_burst").applyInPandas(lambda pdf: run(pdf.drop(columns=["_nb", "_burst"])), schema)
+    ordered = calls.select(key, call_id, ts).repartition(key).sortWithinPartitions(key, ts, call_id)
+
+    def run(batches):
+        cur_key = object()
+        kept: deque = deque()
+        for pdf in batches:
+            t = pdf[ts].astype("datetime64[us]").astype("int64").to_numpy()
+            keys = pdf[key].to_numpy()
+            acc = []
+            for k, x in zip(keys, t):
+                if k != cur_key:
+                    cur_key, kept = k, deque()
+                while kept and kept[0] <= x - window_us:
+                    kept.popleft()
+                ok = len(kept) < limit
+                if ok:
+                    kept.append(x)
+                acc.append(ok)
+            yield pd.DataFrame({key: keys, call_id: pdf[call_id].to_numpy(), ts: pdf[ts].to_numpy(), "accepted": acc})
+
+    dtypes = dict(calls.dtypes)
+    return ordered.mapInPandas(run, f"{key} {dtypes[key]}, {call_id} {dtypes[call_id]}, {ts} timestamp, accepted boolean")
 
 
 def declining_engagement(events: DataFrame, as_of: dt.datetime, before: dt.datetime, key: str = "student_id") -> DataFrame:

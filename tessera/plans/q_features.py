@@ -224,3 +224,9 @@ def k12_upsert_vectors(spark, sf_dir):
     upd = e.filter(F.col("label") == 0).withColumn("embedding", F.transform("embedding", lambda v: -v))
     out = V.upsert_by_id(e, upd, "vec_id")
     return out.select("vec_id", "label", F.col("embedding")[0].cast("double").alias("first_value"))
+
+
+@register("w4_rate_limit_exact", None, "W4: exact limiter (rejected calls do not count), streamed per key with bounded state")
+def w4_rate_limit_exact(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", F.concat(F.lit("key"), (F.col("user_id") % 3).cast("string")).alias("api_key"))
+    return W.rate_limit_exact(ev, "api_key", "ts", "event_id").select("event_id", "accepted")
