@@ -38,11 +38,17 @@ def identifier_rows(df: DataFrame, key: str, identifiers: str = "identifiers") -
     )
 
 
-def deterministic_match(event_ids: DataFrame, profile_ids: DataFrame) -> DataFrame:
+def deterministic_match(event_ids: DataFrame, profile_ids: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """``(event_id, pos, id_type, id_value)`` x ``(profile_id, id_type, id_value)``
-    -> ``(event_id, profile_id, match_pos)``; events without a hit are absent."""
+    -> ``(event_id, profile_id, match_pos)``; events without a hit are absent.
+
+    ``salt_buckets`` spreads identifier values known to be hot over that many tasks
+    (``skew.salted_join``); by default AQE splits skewed partitions at run time."""
+    from tessera.operators.skew import salted_join
+
     owner = profile_ids.groupBy("id_type", "id_value").agg(F.min("profile_id").alias("profile_id"))
-    hits = event_ids.join(owner, ["id_type", "id_value"], "inner")
+    keys = ["id_type", "id_value"]
+    hits = salted_join(event_ids, owner, keys, salt_buckets) if salt_buckets else event_ids.join(owner, keys, "inner")
     return hits.groupBy("event_id").agg(
         F.min_by("profile_id", F.col("pos")).alias("profile_id"), F.min("pos").alias("match_pos")
     )
