@@ -70,19 +70,29 @@ def session_counts(events: DataFrame, key: str = "user_id", watermark: str = "40
     )
 
 
-def run_to_table(stream_df: DataFrame, output_mode: str = "append") -> DataFrame:
+def run_to_table(stream_df: DataFrame, output_mode: str = "append", state_partitions: int | None = None) -> DataFrame:
     """Drive a streaming query to completion (``availableNow``) into a Parquet table
-    under the shared folder and return that table as a batch DataFrame."""
+    under the shared folder and return that table as a batch DataFrame.
+
+    ``state_partitions`` fixes the number of state-store partitions of a stateful
+    query for its whole life (recorded in its checkpoint); by default one per task
+    slot of the cluster, so state work spreads over every core without a store
+    per idle partition."""
     spark = stream_df.sparkSession
     out = scratch_dir(spark, "stream_out")
-    q = (
-        stream_df.writeStream.outputMode(output_mode)
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", out + "_ckpt")
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = (
+            stream_df.writeStream.outputMode(output_mode)
+            .format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", out + "_ckpt")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
