@@ -88,19 +88,35 @@ def salesforce_sync(
         p = p.withColumn("_ok", F.lit(True))
     seen = sent_keys.select(F.col("dedup_key").alias("_k")).distinct().withColumn("_seen", F.lit(True))
     p = p.join(seen, p.dedup_key == seen._k, "left").drop("_k")
-    sendable = F.col("_valid") & F.coalesce(F.col("_ok"), F.lit(False)) & F.col("_seen").isNull()
-    to_send = p.filter(sendable)
-    others = p.filter(~sendable).withColumn("quota_rank", F.lit(None).cast("int"))
-    ranked = daily_quota_rank(to_send, F.to_date("_req_ts"), [F.col("_req_ts"), F.col("profile_id")], limit=max(limit - used_today, 0))
-    allp = ranked.unionByName(others)
+    p = p.withColumn("_day", F.to_date("_req_ts")).withColumn("_ord", F.struct(F.col("_req_ts"), F.col("profile_id")))
+    passes = F.col("_valid") & F.coalesce(F.col("_ok"), F.lit(False))
+    sendable = passes & F.col("_seen").isNull()
+    remaining = max(limit - used_today, 0)
+    # W5 as the source system runs it, in request order: the quota is checked for every
+    # row that passed the checks, before dedup; once `remaining` sends are done, the
+    # next such row stops the run and every row from there on fails.  The cut is found
+    # with per-day aggregates: the order key of the last allowed send, then the first
+    # passing row after it - no window over a whole day.
+    ranked = daily_quota_rank(
+        p.filter(sendable).select("_ord", "_req_ts", "profile_id"), F.to_date("_req_ts"), [F.col("_req_ts"), F.col("profile_id")], limit=remaining
+    )
+    last = ranked.filter(F.col("quota_rank") == remaining).select(F.to_date("_req_ts").alias("_day"), F.col("_ord").alias("_last_ord"))
+    if remaining == 0:
+        cut = p.filter(passes).groupBy("_day").agg(F.min("_ord").alias("_cut"))
+    else:
+        after = p.filter(passes).join(last, "_day").filter(F.col("_ord") > F.col("_last_ord"))
+        cut = after.groupBy("_day").agg(F.min("_ord").alias("_cut"))
+    # One row per day: a join on a frame bounded by the number of days.
+    p = p.join(cut, "_day", "left")
+    stopped = F.col("_cut").isNotNull() & (F.col("_ord") >= F.col("_cut"))
     status = (
-        F.when(~F.col("_valid"), F.lit("validation_failed"))
+        F.when(stopped, F.lit("quota_exceeded"))
+        .when(~F.col("_valid"), F.lit("validation_failed"))
         .when(~F.coalesce(F.col("_ok"), F.lit(False)), F.lit("consent_denied"))
         .when(F.col("_seen").isNotNull(), F.lit("deduplicated"))
-        .when(F.col("quota_rank").isNull(), F.lit("quota_exceeded"))
         .otherwise(F.lit("sent"))
     )
-    return allp.select(
+    return p.select(
         "profile_id",
         "salesforce_id",
         status.alias("status"),

@@ -52,10 +52,13 @@ p AS (SELECT g.student_id AS profile_id, {O.score('last_ts', 'n')} AS score,
              CAST(g.student_id AS BIGINT) % 13 <> 0 AS valid,
              coalesce(c.consented, false) AS ok, CAST(g.student_id AS BIGINT) % 5 = 0 AS seen
       FROM g LEFT JOIN cur c ON c.student_id = g.student_id AND c.channel = 'profiling'),
-r AS (SELECT *, CASE WHEN valid AND ok AND NOT seen THEN row_number() OVER (PARTITION BY valid AND ok AND NOT seen ORDER BY profile_id) END AS rk FROM p),
+r AS (SELECT *, coalesce(sum(CASE WHEN valid AND ok AND NOT seen THEN 1 ELSE 0 END)
+                          OVER (ORDER BY profile_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sends_before FROM p),
+cut AS (SELECT min(profile_id) AS c FROM r WHERE valid AND ok AND sends_before >= {QUOTA_LEFT}),
 s AS (SELECT profile_id, score,
-             CASE WHEN NOT valid THEN 'validation_failed' WHEN NOT ok THEN 'consent_denied' WHEN seen THEN 'deduplicated'
-                  WHEN rk > {QUOTA_LEFT} THEN 'quota_exceeded' ELSE 'sent' END AS status
+             CASE WHEN profile_id >= (SELECT c FROM cut) THEN 'quota_exceeded'
+                  WHEN NOT valid THEN 'validation_failed' WHEN NOT ok THEN 'consent_denied' WHEN seen THEN 'deduplicated'
+                  ELSE 'sent' END AS status
       FROM r)"""
 
 R1_SQL = f"""

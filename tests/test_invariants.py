@@ -174,3 +174,37 @@ def test_salted_join_equals_plain_join(spark):
     big = spark.range(500).select(F.lit("hot").alias("k"), F.col("id"))
     small = spark.createDataFrame([("hot", 1)], "k string, v int")
     assert salted_join(big, small, ["k"], 5).count() == 500
+
+
+def test_salesforce_sync_matches_sequential_loop(spark):
+    """R1/W5 against the source system's loop: check -> quota (break, rest fail) -> dedup -> send."""
+    rnd = random.Random(5)
+    n, limit, used = 120, 40, 10
+    rows = []
+    for i in range(n):
+        pid = f"p{i:03d}"
+        notes = "x@y.io" if rnd.random() < 0.15 else "ok"
+        rows.append((pid, f"sf_{i}", 50.0, ["at_risk"], "2024-01-30 10:00:00", notes))
+    prof = spark.createDataFrame(rows, "profile_id string, salesforce_id string, enrollment_score double, segments array<string>, last_interaction string, notes string")
+    keys = {r.profile_id: r.dedup_key for r in A.crm_payload(prof).collect()}
+    seen_ids = {r[0] for r in rows if rnd.random() < 0.2}
+    sent = spark.createDataFrame([(keys[p],) for p in sorted(seen_ids)], "dedup_key string")
+    got = {r.profile_id: r.status for r in A.salesforce_sync(prof, sent, None, F.lit(dt.datetime(2024, 1, 31)), used_today=used, limit=limit).collect()}
+    calls, want, stop = used, {}, False
+    for pid, *_rest, notes in sorted(rows):
+        if stop:
+            want[pid] = "quota_exceeded"
+            continue
+        if "@" in notes:
+            want[pid] = "validation_failed"
+            continue
+        if calls >= limit:
+            stop = True
+            want[pid] = "quota_exceeded"
+            continue
+        if pid in seen_ids:
+            want[pid] = "deduplicated"
+            continue
+        calls += 1
+        want[pid] = "sent"
+    assert got == want
