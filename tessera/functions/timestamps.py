@@ -49,7 +49,11 @@ def coerce_value(key: Column, value: Column) -> Column:
     """
     is_time = key.endswith("_at") | (key == "timestamp")
     ts = parse_timestamp(value)
-    as_text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+    # Rendered as Python prints an aware UTC datetime: fraction only when non-zero, "+00:00".
+    frac = F.unix_micros(ts) % 1_000_000 != 0
+    as_text = F.concat(
+        F.when(frac, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")), F.lit("+00:00")
+    )
     digits = value.rlike(r"^[0-9]+$")
     return (
         F.when(value.isNull(), value)

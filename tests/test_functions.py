@@ -45,7 +45,7 @@ def test_coerce_types_digits_and_times(spark):
     r = df.select(timestamps.coerce_types(F.col("m")).alias("c")).first().c
     assert r["n"] == "7"  # leading zeros are lost, as in the source system
     assert r["x"] == "abc"
-    assert r["created_at"].startswith("2024-01-01 00:00:00")
+    assert r["created_at"] == "2024-01-01 00:00:00+00:00"
     assert r["e"] is None
 
 
