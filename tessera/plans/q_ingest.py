@@ -339,3 +339,19 @@ def k4_append_rows(spark, sf_dir):
     return ok.select(F.lit("appended").alias("status")).unionByName(bad.select(F.lit("rejected").alias("status"))).groupBy("status").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+S4I_SQL = """
+SELECT 'sf_' || CAST(c_custkey AS VARCHAR) AS salesforce_id,
+       strftime(TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS sf_modified_at
+FROM customer
+WHERE TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)) > TIMESTAMP '2024-01-30 12:00:00'
+"""
+
+
+@register("s4_crm_changes_incremental", S4I_SQL, "S4: CRM changes after the last high-water mark, once per (id, modified)")
+def s4_crm_changes_incremental(spark, sf_dir):
+    from tessera.sources.crm import crm_changes_since
+
+    m = N.map_crm_fields(PL.crm_rows(spark, sf_dir))
+    return crm_changes_since(m, "2024-01-30 12:00:00").select("salesforce_id", "sf_modified_at")
