@@ -52,8 +52,12 @@ FROM g JOIN src USING (profile_id) LEFT JOIN cons USING (profile_id) LEFT JOIN f
 
 @register("a5_build_profile", FLAGSHIP_SQL, "A5 P22 A1 A2 A3 A4 P16: unified profile per student (flagship)")
 def a5_build_profile(spark, sf_dir):
-    ev = canonical_events(spark, sf_dir, with_contact=True).withColumnRenamed("student_id", "profile_id")
-    return P.flatten_profile(P.build_profiles(ev, AS_OF_EVENTS))
+    # Folded on user_id, the key of the CRM join: at scale that join is a sort-merge
+    # join hash-partitioned on user_id, and the fold reuses that partitioning instead
+    # of shuffling the events a second time.  The string profile id is derived after.
+    ev = canonical_events(spark, sf_dir, with_contact=True).drop("student_id")
+    prof = P.build_profiles(ev, AS_OF_EVENTS, key="user_id").withColumn("profile_id", F.col("profile_id").cast("string"))
+    return P.flatten_profile(prof)
 
 
 A1_SQL = f"""

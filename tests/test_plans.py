@@ -43,7 +43,22 @@ def test_history_limits_before_the_shuffle(spark):
 def test_profile_fold_aggregates_partially(spark):
     plan = _plan(QUERIES["a5_build_profile"](spark, SF_SMALL))
     assert "partial_count" in plan or "partial_min_by" in plan
-    assert plan.count("Exchange hashpartitioning(profile_id") == 1  # one shuffle for the whole fold
+    assert plan.count("Exchange hashpartitioning(user_id") == 1  # one shuffle for the whole fold
+
+
+def test_profile_fold_reuses_join_partitioning_at_scale(spark):
+    # As on a cluster: the CRM table is too big to broadcast, so the join is a
+    # sort-merge join on user_id, and the fold must not shuffle the events again.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(QUERIES["a5_build_profile"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hashed = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "SortMergeJoin" in plan
+    assert len(hashed) == 2, hashed  # events by user_id and customers by c_custkey, nothing else
 
 
 def test_gate_is_single_aggregate_pass(spark):
