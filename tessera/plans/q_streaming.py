@@ -125,3 +125,25 @@ def d8_stream_sessions(spark, sf_dir):
     return out.filter(F.col("user_id") != -1).select(
         "user_id", F.date_format("session_start", TS).alias("session_start"), F.date_format("session_end", TS).alias("session_end"), "n"
     )
+
+
+def _late_sql() -> str:
+    return f"""
+WITH {LATE_SQL},
+b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+c AS (SELECT e.*, (e.event_id - b.lo) // ((b.hi - b.lo) // {CHUNKS} + 1) AS chunk FROM e, b),
+m AS (SELECT chunk, max(ts) AS mx FROM c GROUP BY chunk),
+w AS (SELECT m1.chunk, (SELECT max(m2.mx) FROM m m2 WHERE m2.chunk < m1.chunk) AS seen FROM m m1)
+SELECT c.event_id, c.user_id, 'behind watermark' AS error
+FROM c JOIN w USING (chunk) WHERE w.seen IS NOT NULL AND c.ts < w.seen - INTERVAL 1 DAY
+"""
+
+
+@register("d8_stream_late_rows", _late_sql(), "D8 D9: rows behind the watermark routed to a late-data dead-letter table")
+def d8_stream_late_rows(spark, sf_dir):
+    ev = _late_events(spark, sf_dir)
+    src = S.scratch_dir(spark, "late_rows_stream")
+    S.write_stream_files(ev, src, "event_id", CHUNKS)
+    router = S.LateRowRouter(spark, S.scratch_dir(spark, "late_router"), dt.timedelta(days=1))
+    router.run(S.read_event_stream(spark, src, ev.schema, max_files=1))
+    return router.late_rows(ev.schema.add("error", "string")).select("event_id", "user_id", "error")
