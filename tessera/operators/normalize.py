@@ -27,7 +27,6 @@ from tessera.constants import (
 from tessera.functions.text import detect_intent, extract_entities, first_non_empty
 from tessera.functions.timestamps import coerce_types, parse_timestamp_or
 
-IDENT_T = T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType())]))
 STR_MAP = T.MapType(T.StringType(), T.StringType())
 
 CLICKSTREAM_SCHEMA = T.StructType(

@@ -84,9 +84,9 @@ def _late_events(spark, sf_dir):
     return e.withColumn("ts", F.when(F.col("event_id") % 31 == 0, F.col("ts") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts")))
 
 
-def _with_sentinel(spark, df):
-    sentinel = spark.createDataFrame([(-1, -1, FAR_FUTURE)], "event_id long, user_id long, ts timestamp")
-    return sentinel
+def _sentinel(spark):
+    """One far-future row in a last file, so that append-mode windows close (left out of results)."""
+    return spark.createDataFrame([(-1, -1, FAR_FUTURE)], "event_id long, user_id long, ts timestamp")
 
 
 LATE_SQL = "e AS (SELECT user_id, event_id, CASE WHEN event_id % 31 = 0 THEN ts - INTERVAL 2 DAY ELSE ts END AS ts FROM events)"
@@ -101,7 +101,7 @@ SELECT user_id, {O.ts_str("date_trunc('day', ts)")} AS window_start, count(*) AS
 def d8_stream_daily_windows(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "late_stream")
-    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_with_sentinel(spark, ev))
+    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark))
     out = S.run_to_table(S.windowed_counts(S.read_event_stream(spark, src, ev.schema), "user_id", "40 days", "1 day"))
     return out.filter(F.col("user_id") != -1).select("user_id", F.date_format("window_start", TS).alias("window_start"), "n")
 
@@ -120,7 +120,7 @@ FROM g GROUP BY user_id, sid
 def d8_stream_sessions(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "session_stream")
-    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_with_sentinel(spark, ev))
+    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark))
     out = S.run_to_table(S.session_counts(S.read_event_stream(spark, src, ev.schema), "user_id", "40 days", "6 hours"))
     return out.filter(F.col("user_id") != -1).select(
         "user_id", F.date_format("session_start", TS).alias("session_start"), F.date_format("session_end", TS).alias("session_end"), "n"
