@@ -166,3 +166,36 @@ def test_five_source_walkthrough_is_one_person(spark):
     people = {c for n, c in comp.items() if n != "session_id:other"}
     assert len(people) == 1 and comp["session_id:other"] == "session_id:other"
     assert people == {"device_id:dev_1"}
+
+
+def test_gate4_pii_columns_and_count_band(spark):
+    from tessera.operators import quality as Q
+
+    df = spark.createDataFrame([("sf1", "x"), (None, "y")], "salesforce_contact_id string, marketing_email string")
+    got = {r.expectation: (r.failed_rows, r.passed, r.severity) for r in Q.gate4_outbound(df, 10).collect()}
+    assert got["row count within 20% of previous"] == (1, False, "critical")  # 2 rows vs 10 before
+    assert got["salesforce_contact_id not null"] == (1, False, "critical")
+    assert got["no PII in marketing fields"] == (1, False, "critical")
+    ok = spark.createDataFrame([("sf1", "x")], "salesforce_contact_id string, marketing_segment string")
+    assert Q.gate_passed(Q.gate4_outbound(ok, 1))
+
+
+def test_consent_update_last_write_wins_audit_and_rejects(spark):
+    state = spark.createDataFrame([("s1", "email", True)], "student_id string, channel string, consented boolean").withColumns(
+        {"legal_basis": F.lit("consent"), "updated_at": F.lit(dt.datetime(2024, 1, 1)).cast("timestamp"), "terms_version": F.lit("v1.0")}
+    )
+    changes = spark.createDataFrame(
+        [
+            ("s1", "email", False, "consent", "api", dt.datetime(2024, 1, 5)),
+            ("s1", "email", True, "consent", "api", dt.datetime(2024, 1, 7)),
+            ("s1", "fax", True, "consent", "api", dt.datetime(2024, 1, 6)),
+            ("s2", "sms", True, "consent", "api", dt.datetime(2024, 1, 6)),
+        ],
+        "student_id string, channel string, consented boolean, legal_basis string, source string, ts timestamp",
+    )
+    new, audit, rejected = C.update_consent(state, changes)
+    s = {(r.student_id, r.channel): (r.consented, r.terms_version) for r in new.collect()}
+    assert s == {("s1", "email"): (True, "v2.1"), ("s2", "sms"): (True, "v2.1")}
+    a = sorted((r.channel, r.old_value, r.new_value) for r in audit.collect())
+    assert a == [("email", False, True), ("email", True, False), ("sms", None, True)]
+    assert [r.channel for r in rejected.collect()] == ["fax"]
