@@ -59,7 +59,20 @@ def d7_stream_features(spark, sf_dir):
     return f.select("entity_id", "days_since_last_interaction", "whatsapp_messages_30d", "page_views_by_category", "funnel_stage", "course_completion_rate")
 
 
-@register("d6_stream_segment_changes", None, "D6 K10 A6: segment changes emitted by each micro-batch of the profile stream")
+def _d6_sql() -> str:
+    return f"""
+WITH {O.BRONZE},
+valid AS (SELECT DISTINCT event_id, student_id FROM bronze WHERE source IN ('website','app','crm','email','whatsapp')),
+b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+c AS (SELECT v.event_id, v.student_id, (v.event_id - b.lo) // ((b.hi - b.lo) // {CHUNKS} + 1) AS chunk FROM valid v, b),
+per AS (SELECT student_id, chunk, count(*) AS n FROM c GROUP BY 1, 2),
+cum AS (SELECT student_id, chunk, n, sum(n) OVER (PARTITION BY student_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM per)
+SELECT student_id AS profile_id, 'engaged_learner' AS segments_added, '' AS segments_removed
+FROM cum WHERE total >= 5 AND total - n < 5
+"""
+
+
+@register("d6_stream_segment_changes", _d6_sql(), "D6 K10 A6: segment changes emitted by each micro-batch of the profile stream")
 def d6_stream_segment_changes(spark, sf_dir):
     job = _stream_job(spark, sf_dir)
     ch = spark.read.parquet(f"{job.root}/segment_changes")
