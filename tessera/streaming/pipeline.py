@@ -27,9 +27,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}_{uuid.uuid4().hex}"
 
 
-def write_stream_files(df: DataFrame, path: str, order_col: str, chunks: int, sentinel: DataFrame | None = None) -> None:
+def write_stream_files(
+    df: DataFrame, path: str, order_col: str, chunks: int, sentinel: DataFrame | None = None, ordered: bool = True
+) -> None:
     """Write ``df`` as ``chunks`` files in ``order_col`` order, one append per chunk so
-    file modification times follow the order; an optional sentinel goes last."""
+    file modification times follow the order; an optional sentinel goes last.
+
+    ``ordered=False`` writes all chunks in one job (range-partitioned on
+    ``order_col``) for consumers whose result does not depend on file order."""
+    if not ordered:
+        df.repartitionByRange(chunks, order_col).write.mode("append").parquet(path)
+        if sentinel is not None:
+            sentinel.coalesce(1).write.mode("append").parquet(path)
+        return
     bounds = df.select(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // chunks + 1
