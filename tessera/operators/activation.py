@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tessera.constants import PUSH_AT_EXEMPT, PUSH_PII_FIELDS, SF_DAILY_API_LIMIT, WHATSAPP_PREFIX
 from tessera.functions.crypto import dedup_key
+from tessera.session import cut_lineage
 
 
 def push_check(df: DataFrame) -> Column:
@@ -89,6 +90,9 @@ def salesforce_sync(
     seen = sent_keys.select(F.col("dedup_key").alias("_k")).distinct().withColumn("_seen", F.lit(True))
     p = p.join(seen, p.dedup_key == seen._k, "left").drop("_k")
     p = p.withColumn("_day", F.to_date("_req_ts")).withColumn("_ord", F.struct(F.col("_req_ts"), F.col("profile_id")))
+    # The prepared requests feed three branches (quota ranks, the stop point, the
+    # statuses): materialise them once in the shared folder instead of re-joining.
+    p = cut_lineage(p)
     passes = F.col("_valid") & F.coalesce(F.col("_ok"), F.lit(False))
     sendable = passes & F.col("_seen").isNull()
     remaining = max(limit - used_today, 0)
