@@ -64,3 +64,13 @@ def test_profile_fold_reuses_join_partitioning_at_scale(spark):
 def test_gate_is_single_aggregate_pass(spark):
     plan = _plan(QUERIES["g1_gate_ingestion"](spark, SF_SMALL))
     assert plan.count("HashAggregate") == 2  # partial + final, all expectations together
+
+
+def test_scale_conf_bounds():
+    from tessera.session import scale_conf
+
+    big = scale_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 64000  # capped at 8x cores
+    small = scale_conf(1 << 30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128  # floored at 2x cores
+    assert int(big["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == 64 << 20
