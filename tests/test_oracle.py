@@ -31,9 +31,27 @@ def _rows(pdf):
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "float": "FLOAT",
+    "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
+    sdf = QUERIES[name](spark, SF_SMALL)
+    # Column types agree with the oracle's (bound without running it).
+    rel = duck.sql(ORACLE_SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(st, st) == duck_types.get(f.name), (f.name, st, duck_types.get(f.name))
+    got = sdf.toPandas()
     want = duck.execute(ORACLE_SQL[name]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
