@@ -118,3 +118,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/t_{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the Parquet table behind ``df`` if :func:`cut_lineage` wrote it (loops keep two at most)."""
+    spark = df.sparkSession
+    roots = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    jvm = spark._jvm
+    for root in roots:
+        if "/tables/t_" in root:
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
