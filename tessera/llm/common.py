@@ -42,12 +42,10 @@ def training_rows(docs: DataFrame, marks: DataFrame, label: str, bound: int) ->
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
-    n = y.count()
-    if n > bound:
-        share = int((bound / n) * (1 << 30))
-        y = y.where(F.pmod(F.xxhash64(F.lit(20), "doc_id"), F.lit(1 << 30)) < share)
+    share = int((1 << 30) * min(1.0, bound / max(1, y.count())))
+    y = y.where(F.pmod(F.xxhash64(F.lit(20), "doc_id"), F.lit(1 << 30)) < share)
     d = docs.select("doc_id", text_of(docs).alias("text"))
-    return d.join(y, "doc_id").select("text", "y")
+    return d.join(F.broadcast(y), "doc_id").select("text", "y")
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, on: dict[str, Column]) -> DataFrame:

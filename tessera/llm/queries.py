@@ -5,14 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import UPPER, documents, labels
+from tessera.llm.op02_toxicity import toxicity
 from tessera.llm.op03_simhash import simhash_components
 from tessera.llm.op05_exact_dedup import exact_dedup
+from tessera.llm.op06_packing import pack_documents
+from tessera.llm.op10_mixing import mix
+from tessera.llm.op10_mixing import oracle_sql as mixing_sql
 
 LOWER = UPPER.lower()
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and near-duplicate components of all documents."""
     return simhash_components(documents(spark, sf_dir))
@@ -23,6 +40,20 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token windows of all documents, one row per piece."""
+    return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated sampling probability and decision of every document."""
+    out = mix(documents(spark, sf_dir))
+    return out.select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+        F.round("_probability", 9).alias("probability"), F.col("_kept").alias("kept"),
+    )
+
+
 OP5_SQL = f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -31,7 +62,10 @@ FROM d JOIN g ON d.t = g.t
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
+    "op10_mixing": op10_mixing,
 }
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip()}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op10_mixing": mixing_sql().strip()}
