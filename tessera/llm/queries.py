@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import UPPER, documents, labels
+from tessera.llm.op01_minhash import document_fingerprints
 from tessera.llm.op02_toxicity import toxicity
 from tessera.llm.op03_simhash import simhash_components
+from tessera.llm.op04_quality import quality
 from tessera.llm.op05_exact_dedup import exact_dedup
 from tessera.llm.op06_packing import pack_documents
+from tessera.llm.op08_token_counts import token_counts
 from tessera.llm.op10_mixing import mix
 from tessera.llm.op10_mixing import oracle_sql as mixing_sql
 
@@ -25,6 +28,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return document_fingerprints(documents(spark, sf_dir))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
@@ -35,6 +43,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents, one row per document."""
     return exact_dedup(documents(spark, sf_dir))
@@ -45,6 +58,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
+    return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated sampling probability and decision of every document."""
     out = mix(documents(spark, sf_dir))
@@ -62,10 +80,13 @@ FROM d JOIN g ON d.t = g.t
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
+    "op8_token_counts": op8_token_counts,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op10_mixing": mixing_sql().strip()}
