@@ -25,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_of, training_rows
+from tessera.llm.common import held_out, text_of, training_rows
 from tessera.session import cut_lineage
 
 #: Labelled rows the grammar is fitted on (bounded sample; scoring reads everything).
 TRAIN_ROWS = 12_000
 #: Learned stems: prefix lengths, least toxic documents, least odds ratio, most stems kept.
 STEM_LENGTHS = range(3, 9)
-STEM_SUPPORT, STEM_ODDS, STEM_MOST = 5, 12.0, 400
+STEM_SUPPORT, STEM_ODDS, STEM_MOST = 5, 20.0, 400
+#: Texts whose stems a task counts at once.
+GROUP = 128
 
 # Word lists of the grammar.
 INSULTS = [
@@ -165,21 +167,32 @@ class Grammar:
         return out
 
 
-def _prefix_counts(batches):
-    """(prefix, toxic documents, all documents) over a task's training rows; whole words end in a blank."""
-    for b in batches:
-        count, toxic = Counter(), Counter()
-        for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = set(WORD.findall(text.lower()))
-            keys = {w[:k] for w in words for k in STEM_LENGTHS if len(w) >= k} | {w + " " for w in words}
-            count.update(keys)
-            if y:
-                toxic.update(keys)
-        keys = list(count)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([count[k] for k in keys], pa.int64())],
-            names=["stem", "toxic", "n"],
-        )
+def _keys(text: str) -> set[str]:
+    """Prefixes of the words of a text, and its whole words (ending in a blank)."""
+    words = set(WORD.findall(text.lower()))
+    return {w[:k] for w in words for k in STEM_LENGTHS if len(w) >= k} | {w + " " for w in words}
+
+
+def _stem_counts(among: frozenset[str] | None):
+    """(stem, documents) over a task's texts, ``GROUP`` texts at a time; ``among``: only these stems."""
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(0)
+            for i in range(0, len(texts), GROUP):
+                count: Counter[str] = Counter()
+                for text in texts.slice(i, GROUP).to_pylist():
+                    keys = _keys(text)
+                    count.update(keys if among is None else keys & among)
+                yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["stem", "n"])
+
+    return run
+
+
+def _count(texts: DataFrame, among: frozenset[str] | None, least: int) -> dict[str, int]:
+    """Documents of each stem, at least ``least``; bounded by the words of the bounded training sample."""
+    counts = texts.select("text").mapInArrow(_stem_counts(among), "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+    return {r.stem: r.n for r in counts.where(F.col("n") >= least).toLocalIterator()}
 
 
 def learn_stems(train: DataFrame) -> tuple[dict[str, float], frozenset[str]]:
@@ -188,18 +201,18 @@ def learn_stems(train: DataFrame) -> tuple[dict[str, float], frozenset[str]]:
     pos, neg = int(total.t or 0), int(total.n) - int(total.t or 0)
     if not pos or not neg:
         return {}, frozenset()
-    counts = train.mapInArrow(_prefix_counts, "stem string, toxic long, n long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    counts = cut_lineage(counts.where((F.col("n") >= STEM_SUPPORT) & ((F.col("toxic") >= STEM_SUPPORT) | F.col("stem").isin([w + " " for w in [*INSULTS, *THREATS]]))))
-    odds = ((F.col("toxic") + 0.5) / (pos + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (neg + 1))
-    scored = counts.withColumn("odds", odds)
-    top = scored.where((F.col("toxic") >= STEM_SUPPORT) & (F.col("odds") >= STEM_ODDS)).orderBy(F.desc(F.col("toxic") * F.log("odds")), F.desc(F.length("stem")), "stem")
+    fixed = frozenset(w + " " for w in [*INSULTS, *THREATS])
+    toxic = _count(train.where("y = 1"), None, STEM_SUPPORT)
+    clean = _count(train.where("y = 0"), frozenset(toxic) | fixed, 1)
+    odds = {s: ((toxic.get(s, 0) + 0.5) / (pos + 1)) / ((clean.get(s, 0) + 0.5) / (neg + 1)) for s in {*toxic, *clean}}
+    found = sorted((s for s in toxic if odds[s] >= STEM_ODDS), key=lambda s: (-toxic[s] * math.log(odds[s]), -len(s), s))
     stems: dict[str, float] = {}
-    for r in top.limit(STEM_MOST).collect():
-        s = r.stem.rstrip(" ")
+    for key in found[:STEM_MOST]:
+        s = key.rstrip(" ")
         if not any(s.startswith(o) or o.startswith(s) for o in stems):
-            stems[s] = min(1.5, math.log(r.odds) / math.log(STEM_ODDS) / 2)
-    against = scored.where(F.col("stem").endswith(" ") & (F.col("odds") < 1.5)).select("stem").where(F.col("stem").isin([w + " " for w in [*INSULTS, *THREATS]]))
-    return stems, frozenset(r.stem.strip() for r in against.collect())
+            stems[s] = min(1.5, math.log(odds[key]) / math.log(STEM_ODDS) / 2)
+    against = {w.strip() for w in fixed if clean.get(w, 0) >= STEM_SUPPORT and odds[w] < 1.5}
+    return stems, frozenset(against)
 
 
 def fit(x: np.ndarray, y: np.ndarray, steps: int = 30) -> np.ndarray:
@@ -261,8 +274,6 @@ def toxicity(docs: DataFrame, marks: DataFrame) -> DataFrame:
     out and gives no training row.  Without labels (an empty table) the prior weights
     score.  Repeated rows give repeated results; other columns are ignored.
     """
-    from tessera.llm.common import held_out
-
     model = train_toxicity(docs, marks)
     scored = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), model.column(text_of(docs)).alias("score"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -44,7 +44,17 @@ class Indicators:
                 known[w] = h64(w.lower().encode("utf-8", "surrogatepass"))
         one = np.array([known[w] for w in words], dtype=np.uint64)
         two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique((np.concatenate([one, two]) >> np.uint64(64 - DIM_BITS)).astype(np.int32))
+        return np.unique((np.concatenate([one, two, self.repeats(one)]) >> np.uint64(64 - DIM_BITS)).astype(np.int32))
+
+    @staticmethod
+    def repeats(one: np.ndarray) -> np.ndarray:
+        """Indicators of two- and three-grams of one repeated token: their number and share, in steps."""
+        out = []
+        for k in (1, 2):
+            same = one[k:] == one[:-k] if len(one) > k else np.zeros(0, dtype=bool)
+            n = int((same if k == 1 else same & (one[1:-1] == one[2:])).sum()) if len(same) else 0
+            out += [(k, 0, n.bit_length()), (k, 1, int(np.ceil(10 * n / max(1, len(one)))))]
+        return np.array([hash(x) & 0xFFFFFFFF for x in out], dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:

@@ -15,6 +15,7 @@ from tessera.llm.op04_quality import quality
 from tessera.llm.op05_exact_dedup import exact_dedup
 from tessera.llm.op06_packing import pack_documents
 from tessera.llm.op08_token_counts import token_counts
+from tessera.llm.op09_repeated_bytes import remove_repeats
 from tessera.llm.op10_mixing import mix
 from tessera.llm.op10_mixing import oracle_sql as mixing_sql
 
@@ -63,6 +64,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings that occur elsewhere."""
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated sampling probability and decision of every document."""
     out = mix(documents(spark, sf_dir))
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_repeated_bytes": op9_repeated_bytes,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op10_mixing": mixing_sql().strip()}
