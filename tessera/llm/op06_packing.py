@@ -14,6 +14,7 @@ packed again.  No token is dropped; only piece rows (never ids) are shuffled.
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
 
 import numpy as np
@@ -24,57 +25,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_of
-from tessera.llm.pretokens import class_table, load, split
+from tessera.llm.pretokens import class_table, load, rank_merger, split
 from tessera.session import cut_lineage
 
 WINDOW = 1024
-PIECE = 128
+PIECE = 256
 WAYS = 256
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 SEPARATOR = (0).to_bytes(4, "little")
 
 _PIECES = "doc_id long, rid long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long"
 _NAMES = [c.split()[0] for c in _PIECES.split(", ")]
 
 
-class Encoder:
-    """Token ids of whole texts, as the library gives them, little-endian 32-bit.
+class Encoder(dict):
+    """Token ids of whole texts, little-endian 32-bit: the ids the library gives for the tokenizer file.
 
-    The library encodes each distinct pre-token once per worker (its merges never
-    cross one); the memory of known pre-tokens is emptied when full.
+    Maps a pre-token to its ids; one not met before is merged on its own (merges never
+    cross a pre-token) by the rank merger over the file's vocabulary, whose ids are its
+    merge ranks.  Emptied when full.
     """
 
     def __init__(self, tokenizer_file: str):
-        self.tokenizer, self.table = load(tokenizer_file), class_table(tokenizer_file)
-        self.special = {t.content: i.to_bytes(4, "little") for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.known: dict[str, bytes] = {}
+        super().__init__()
+        self.table = class_table(tokenizer_file)
+        self.special = {t.content: i.to_bytes(4, "little") for i, t in load(tokenizer_file).get_added_tokens_decoder().items()}
+        self.merge = rank_merger(tokenizer_file)
+        self.update(self.special)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.merge(word.encode("utf-8", "surrogatepass"))
+        out = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens, special tokens cut out first."""
-        if not any(s in text for s in self.special):
-            return split(text, self.table)
         for s in self.special:
             if s in text:
-                out, rest = [], text.split(s)
-                for i, part in enumerate(rest):
+                out = []
+                for i, part in enumerate(text.split(s)):
                     out += ([s] if i else []) + self.pieces(part)
                 return out
-        return []
+        return split(text, self.table)
 
-    def __call__(self, text: str) -> bytes:
-        words = self.pieces(text)
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known, new = {}, list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[w] = self.special.get(w) or np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([self.known[w] for w in words])
+    def encode(self, text: str) -> bytes:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self.update(self.special)
+        return b"".join([self[w] for w in self.pieces(text)])
 
 
 def _cut(tokenizer_file: str):
     def run(batches):
-        encode = Encoder(tokenizer_file)
+        encode = Encoder(tokenizer_file).encode
         base, n_rows, n_full = TaskContext.get().partitionId() << 36, 0, 0
         for batch in batches:
             out = []

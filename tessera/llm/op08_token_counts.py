@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_of
-from tessera.llm.pretokens import NUMBER, OTHER, QUOTE, SPACE, WHITE, class_table, load
+from tessera.llm.pretokens import NUMBER, OTHER, QUOTE, SPACE, WHITE, byte_letters, class_table, load
 
 LIMIT = 512
 #: Characters an array pass holds, and the length of its chunks.
@@ -143,10 +143,7 @@ class MergeTransducer:
     def __init__(self, tokenizer_file: str):
         with open(tokenizer_file, encoding="utf-8") as f:
             model = json.load(f)["model"]
-        # The byte alphabet of the file: printable Latin-1 bytes stand for themselves, the others for 256, 257, ...
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        other = [b for b in range(256) if b not in set(plain)]
-        letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+        letters = byte_letters()
         spell = lambda s: bytes(letters[ch] for ch in s)
         rank = {bytes([b]): b for b in range(256)}  # bytes first, then the merges in order
         self.parts, self.merged = [(b, b) for b in range(256)], {}

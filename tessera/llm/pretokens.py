@@ -3,6 +3,7 @@ as array operations over whole texts (no per-character Python)."""
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -54,6 +55,29 @@ def load(tokenizer_file: str):
     return Tokenizer.from_file(tokenizer_file)
 
 
+def byte_letters() -> dict[str, int]:
+    """The byte alphabet of byte-level files: printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+@lru_cache(maxsize=4)
+def rank_merger(tokenizer_file: str):
+    """Ids of one pre-token's bytes.  Checks that the file's ids rise with its merges, which is what makes ids ranks."""
+    import tiktoken
+
+    with open(tokenizer_file, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    letters = byte_letters()
+    spell = lambda s: bytes(letters[ch] for ch in s)
+    ranks = {spell(k): v for k, v in model["vocab"].items() if all(ch in letters for ch in k)}
+    merged = [ranks[b"".join(map(spell, m if isinstance(m, list) else m.split(" ")))] for m in model["merges"]]
+    if any(b <= a for a, b in zip(merged, merged[1:])):
+        raise ValueError("the ids of this tokenizer do not rise with its merges")
+    return tiktoken.Encoding("merges", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 def starts(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Positions where a pre-token of the text (code points) starts."""
     n = len(codes)

@@ -14,6 +14,7 @@ from tessera.llm.op03_simhash import simhash_components
 from tessera.llm.op04_quality import quality
 from tessera.llm.op05_exact_dedup import exact_dedup
 from tessera.llm.op06_packing import pack_documents
+from tessera.llm.op07_substring_dedup import substring_dedup
 from tessera.llm.op08_token_counts import token_counts
 from tessera.llm.op09_repeated_bytes import remove_repeats
 from tessera.llm.op10_mixing import mix
@@ -59,6 +60,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte ranges of every document that repeat earlier passages."""
+    return substring_dedup(documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_mixing": op10_mixing,
