@@ -61,7 +61,9 @@ def rake(cells: DataFrame, temper: dict[str, float], targets: dict[str, DataFram
         else:  # targets need no common total: a factor over all cells cancels in the probabilities
             m = F.sum("n").over(Window.partitionBy(axis))
             out = out.withColumn("_m", m).withColumn(f"_t_{axis}", F.when(F.col("_m") > 0, F.pow("_m", F.lit(power))).otherwise(0.0)).drop("_m")
-    for _ in range(sweeps):
+    for sweep in range(sweeps):
+        if sweep and sweep % 10 == 0:  # plans stay short
+            out = cut_lineage(out)
         for axis in temper:
             m = F.sum("w").over(Window.partitionBy(axis))
             out = out.withColumn("_m", m).withColumn("w", F.when(F.col("_m") > 0, F.col("w") * F.col(f"_t_{axis}") / F.col("_m")).otherwise(0.0)).drop("_m")
