@@ -7,7 +7,7 @@
   candidate per query (ties: smallest profile id).
 * J3 resolve: J1, else J2 >= 0.85, else a new profile (J2 < 0.85 is flagged).
 * J4 identity graph: connected components over identifiers that co-occur in an
-  event, by iterative min-label propagation with reliable checkpoints.
+  event, by star contraction with a table in the shared folder per round.
 * J12 merge: fold profiles of one component (identifier union, consent AND
   with missing = false).
 
@@ -15,18 +15,19 @@ Scale notes.  The profile side of J1 is first reduced to one row per
 ``(type, value)`` (smallest profile id), which is all the first-hit rule needs,
 so a value shared by millions of profiles joins as one row.  J2's candidate
 pairs are inherent to its semantics; they are counted with partial aggregation
-and AQE splits skewed blocking keys across tasks.  J4 keeps labels as one row
-per identifier and checkpoints them every round, so lineage stays flat.
+and AQE splits skewed blocking keys across tasks.  J3 resolves distinct
+signatures (identifier list and name), not events: a person's thousandth event
+costs one join row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.constants import CONFIDENCE_AUTO_MERGE, CONSENT_CHANNELS, IDENTIFIER_TYPES
 from tessera.functions.similarity import difflib_ratio, jaccard_from_counts, match_confidence, name_similarity
-from tessera.session import cut_lineage
+from tessera.operators.components import star_labels
 
 
 def identifier_rows(df: DataFrame, key: str, identifiers: str = "identifiers") -> DataFrame:
@@ -126,31 +127,28 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
     below the threshold the candidate is kept in ``review_candidate`` and a profile is
     created, as the source system does.
 
-    ``events`` is read by several branches (J1, the J2 candidates, the created ids):
-    pass a materialised frame - the silver table - so that it is scanned, not
-    re-derived, per branch.
+    Events are first reduced to their distinct signatures (valid identifiers in list
+    order, and the name); those are resolved and joined back once.
     """
-    ev_ids = identifier_rows(events, "event_id")
-    j1 = deterministic_match(ev_ids, profile_ids)
-    # The smallest valid identifier (the id of a created profile) is a projection of
-    # the event row itself - no join needed.
-    keep = ["event_id", "identifiers"] + (["personal_info"] if "personal_info" in events.columns else [])
-    base = smallest_identifier(events.select(*keep)).drop("identifiers")
-    out = base.join(j1, "event_id", "left")
-    if profile_names is not None and "personal_info" in events.columns:
-        named = events.select("event_id", F.col("personal_info.name").alias("name")).filter(F.length("name") > 0)
-        # Anti join on the J1 result (the same subtree as above, so its shuffle is reused).
-        unmatched = named.join(j1.select("event_id"), "event_id", "left_anti")
-        q_ids = ev_ids.join(unmatched.select("event_id"), "event_id", "left_semi").select(F.col("event_id").alias("qid"), "id_value")
-        j2 = probabilistic_match(
-            q_ids,
-            unmatched.select(F.col("event_id").alias("qid"), "name"),
-            profile_ids.select("profile_id", "id_value"),
-            profile_names,
-        ).select(F.col("qid").alias("event_id"), F.col("profile_id").alias("j2_profile"), F.col("confidence").alias("j2_conf"))
-        out = out.join(j2, "event_id", "left")
+    named = profile_names is not None and "personal_info" in events.columns
+    name = F.col("personal_info.name") if named else F.lit(None).cast("string")
+    keys = valid_identifier_keys(F.col("identifiers"))
+    sig = F.sha2(F.concat_ws("\u0001", F.coalesce(name, F.lit("")), F.array_join(F.coalesce(keys, F.array().cast("array<string>")), "\u0001")), 256)
+    base = events.select("event_id", "identifiers", name.alias("name"), sig.alias("sig"), F.array_min(keys).alias("_min_id"))
+    sigs = base.groupBy("sig").agg(F.first("identifiers").alias("identifiers"), F.first("name").alias("name"))
+    ids = identifier_rows(sigs, "sig").withColumnRenamed("sig", "event_id")
+    j1 = deterministic_match(ids, profile_ids).withColumnRenamed("event_id", "sig")
+    out = sigs.select("sig", "name").join(j1, "sig", "left")
+    if named:
+        unmatched = out.filter(F.col("profile_id").isNull() & (F.length("name") > 0)).select(F.col("sig").alias("qid"), "name")
+        q_ids = ids.select(F.col("event_id").alias("qid"), "id_value").join(unmatched.select("qid"), "qid", "left_semi")
+        j2 = probabilistic_match(q_ids, unmatched, profile_ids.select("profile_id", "id_value"), profile_names).select(
+            F.col("qid").alias("sig"), F.col("profile_id").alias("j2_profile"), F.col("confidence").alias("j2_conf")
+        )
+        out = out.join(j2, "sig", "left")
     else:
         out = out.withColumn("j2_profile", F.lit(None).cast("string")).withColumn("j2_conf", F.lit(None).cast("double"))
+    out = base.select("event_id", "sig", "_min_id").join(out.drop("name"), "sig")
     created = new_profile_id(F.coalesce(F.col("_min_id"), F.concat(F.lit("event:"), F.col("event_id").cast("string"))))
     auto = F.col("j2_conf") >= F.lit(CONFIDENCE_AUTO_MERGE)
     return out.select(
@@ -165,7 +163,7 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
 
 
 def graph_edges(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``(node)`` and undirected edges ``(src, dst)`` of the identity graph.
+    """Nodes ``(node)`` and edges ``(src, dst)``, one direction each, of the identity graph.
 
     ``events`` carries an ``identifiers`` array.  Every identifier of an event is
     linked to the event's smallest identifier (a star: k-1 edges per event, never
@@ -175,44 +173,18 @@ def graph_edges(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = events.select(valid_identifier_keys(F.col("identifiers")).alias("k")).filter(F.size("k") > 0)
     star = keys.select(F.array_min("k").alias("hub"), F.explode("k").alias("node"))
     e = star.filter(F.col("node") != F.col("hub")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
-    edges = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    nodes = star.select("node").distinct()
-    return nodes, edges
+    return star.select("node").distinct(), e.distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, component)`` where ``component`` is the smallest node reachable.
 
-    Min-label propagation with pointer jumping: each round every node takes the
-    smallest label among itself and its neighbours (a join and a partial
-    aggregate), then the label of its label (a second join), which halves path
-    lengths and so cuts the rounds to about log(diameter).  Edges are
-    materialised once and labels every round with reliable checkpoints in the
-    shared folder, so the lineage never grows and a lost executor only repeats
-    one round.  The driver sees one number per round (changed labels, observed
-    on the write, so no extra job).
+    Large-star / small-star contraction (``components.star_labels``): the edge set
+    shrinks every round, chains and hubs alike end in O(log^2 n) rounds without a
+    cap, and only two edge tables exist at a time.
     """
-    edges = cut_lineage(edges.select("src", "dst"))
-    labels = cut_lineage(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
-        pushed = edges.join(labels, edges.src == labels.node).select(F.col("dst").alias("node"), F.col("label").alias("cand"))
-        best = pushed.groupBy("node").agg(F.min("cand").alias("cand"))
-        step = labels.join(best, "node", "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("cand", "label")).alias("label")
-        )
-        hop = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        jumped = step.join(hop, step.label == hop._n, "left").select(
-            "node", F.least("label", F.coalesce("_l", "label")).alias("label"), "old"
-        )
-        # The changed-label count is observed on the materialising write itself.
-        obs = Observation(f"cc_round_{_}")
-        labels = cut_lineage(jumped.observe(obs, F.sum(F.when(F.col("label") < F.col("old"), 1).otherwise(0)).alias("changed")).drop("old"))
-        changed = obs.get.get("changed") or 0
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError("connected components did not converge")
-    return labels.select("node", F.col("label").alias("component"))
+    labels = star_labels(edges).select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    return nodes.join(labels, nodes.node == labels._n, "left").select("node", F.coalesce("_c", "node").alias("component"))
 
 
 def merge_profiles(profiles: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -220,14 +192,15 @@ def merge_profiles(profiles: DataFrame, mapping: DataFrame) -> tuple[DataFrame,
 
     ``profiles (profile_id, identifiers, consent)``, ``mapping (profile_id, canonical_id)``.
     Identifiers are unioned as distinct (type, value) pairs; consent is the AND of
-    all members per channel, a member without the channel counting as false.
+    all members per channel, a member without the channel counting as false.  A
+    profile without a mapping is its own canonical profile.
 
     Returns ``(merged, identifiers)``: ``merged (canonical_id, members,
     n_identifiers, consent)`` and the union in long form ``(canonical_id, id_type,
     id_value)``.  The union stays long on purpose - a component glued together by a
     hot identifier can be huge, and no single row or task ever holds its list.
     """
-    m = profiles.join(mapping, "profile_id")
+    m = profiles.join(mapping, "profile_id", "left").withColumn("canonical_id", F.coalesce("canonical_id", "profile_id"))
     ids = (
         m.select("canonical_id", F.explode("identifiers").alias("ident"))
         .select("canonical_id", F.col("ident.type").alias("id_type"), F.col("ident.value").alias("id_value"))

@@ -212,7 +212,7 @@ def parse_email(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_whatsapp(forms: DataFrame) -> DataFrame:
     """Chat webhook form fields (``form`` MAP, receive time ``ts``) -> chat events."""
     f = F.col("form")
-    n = F.coalesce(F.try_to_number(f["NumMedia"], F.lit("99999")).cast("int"), F.lit(0))
+    n = F.coalesce(f["NumMedia"].try_cast("int"), F.lit(0))
     media = F.when(
         n > 0, F.filter(F.transform(F.sequence(F.lit(0), n - 1), lambda i: f[F.concat(F.lit("MediaUrl"), i.cast("string"))]), lambda x: x.isNotNull())
     ).otherwise(F.array().cast("array<string>"))

@@ -100,26 +100,48 @@ def j2_probabilistic_duplicates(spark, sf_dir):
     )
 
 
+# Every third CRM event carries its identifiers under another type (J1 misses, J2 finds the
+# person by value and name), every other third only the first of them (J2 stays below 0.85).
 J3_SQL = f"""
-WITH {O.EV}, {O.IDS}, {MASTER_SQL},
-mins AS (SELECT event_id, min(id_type || ':' || id_value) AS min_id FROM ids GROUP BY 1)
+WITH {O.EV}, {O.IDS.replace('ids AS', 'ids0 AS')},
+ids AS (
+  SELECT ids0.event_id, pos, CASE WHEN source = 'crm' AND ev.event_id % 3 < 2 THEN 'device_id' ELSE id_type END AS id_type, id_value
+  FROM ids0 JOIN ev USING (event_id) WHERE NOT (source = 'crm' AND ev.event_id % 3 = 1 AND pos > 0)),
+{MASTER_SQL},
+mins AS (SELECT event_id, min(id_type || ':' || id_value) AS min_id FROM ids GROUP BY 1),
+q AS (SELECT ev.event_id, c.c_name FROM ev JOIN customer c ON c.c_custkey = ev.user_id
+      WHERE source = 'crm' AND length(c.c_name) > 0 AND event_id NOT IN (SELECT event_id FROM best)),
+pairs AS (
+  SELECT i.event_id, p.profile_id, count(*) AS shared
+  FROM (SELECT DISTINCT event_id, id_value FROM ids JOIN q USING (event_id)) i JOIN (SELECT DISTINCT profile_id, id_value FROM prof) p USING (id_value)
+  GROUP BY 1, 2),
+qn AS (SELECT event_id, count(DISTINCT id_value) AS n FROM ids GROUP BY 1),
+pn AS (SELECT profile_id, count(DISTINCT id_value) AS n FROM prof GROUP BY 1),
+names AS (SELECT 'p' || CAST(c_custkey AS VARCHAR) AS profile_id, c_name FROM customer),
+scored AS (
+  SELECT pairs.event_id, pairs.profile_id,
+         0.6 * {NAME_SCORE.replace('a.c_name', 'q.c_name').replace('b.c_name', 'names.c_name')}
+         + 0.4 * (CAST(shared AS DOUBLE) / CAST(greatest(qn.n + pn.n - shared, 1) AS DOUBLE)) AS confidence
+  FROM pairs JOIN q USING (event_id) JOIN qn USING (event_id) JOIN pn USING (profile_id) JOIN names USING (profile_id)),
+j2 AS (SELECT event_id, arg_min(profile_id, (-confidence, profile_id)) AS cand, max(confidence) AS conf FROM scored GROUP BY 1)
 SELECT ev.event_id,
-       coalesce(best.profile_id, sha256(coalesce(mins.min_id, 'event:' || CAST(ev.event_id AS VARCHAR)))) AS profile_id,
-       CASE WHEN best.profile_id IS NOT NULL THEN 'deterministic' ELSE 'created' END AS match_type
-FROM ev LEFT JOIN best USING (event_id) LEFT JOIN mins USING (event_id)
+       CASE WHEN best.profile_id IS NOT NULL THEN best.profile_id WHEN conf >= 0.85 THEN cand
+            ELSE sha256(coalesce(mins.min_id, 'event:' || CAST(ev.event_id AS VARCHAR))) END AS profile_id,
+       CASE WHEN best.profile_id IS NOT NULL THEN 'deterministic' WHEN conf >= 0.85 THEN 'probabilistic' ELSE 'created' END AS match_type,
+       CASE WHEN best.profile_id IS NOT NULL THEN 1.0::DOUBLE ELSE conf END AS confidence,
+       CASE WHEN best.profile_id IS NULL AND NOT coalesce(conf >= 0.85, false) THEN cand END AS review_candidate
+FROM ev LEFT JOIN best USING (event_id) LEFT JOIN mins USING (event_id) LEFT JOIN j2 USING (event_id)
 """
 
 
-@register("j3_resolve", J3_SQL, "J3: deterministic, else probabilistic >= 0.85, else created profile")
+@register("j3_resolve", J3_SQL, "J3: deterministic, else probabilistic >= 0.85, else created profile (all three, and review candidates)")
 def j3_resolve(spark, sf_dir):
-    from tessera.session import cut_lineage
-
-    # Silver boundary: resolve reads the events in several branches, so they are
-    # materialised once (only the columns it needs) instead of re-derived per branch.
-    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
+    ev = canonical_events(spark, sf_dir, with_contact=True).select("event_id", "source", "identifiers", "personal_info")
+    other = F.transform("identifiers", lambda x: F.struct(F.lit("device_id").alias("type"), x["value"].alias("value")))
+    crm, third = F.col("source") == "crm", F.col("event_id") % 3
+    ev = ev.withColumn("identifiers", F.when(crm & (third == 0), other).when(crm & (third == 1), F.slice(other, 1, 1)).otherwise(F.col("identifiers")))
     ids, names = crm_master(spark, sf_dir)
-    r = I.resolve(ev, ids, names)
-    return r.select("event_id", "profile_id", "match_type")
+    return I.resolve(ev, ids, names)
 
 
 COMPONENTS_SQL = """nodes AS (SELECT DISTINCT event_id, id_type || ':' || id_value AS node FROM ids),
@@ -149,7 +171,9 @@ def j4_identity_graph(spark, sf_dir):
 
 J12_SQL = f"""
 WITH RECURSIVE {O.EV}, {O.IDS}, {COMPONENTS_SQL},
-canon AS (SELECT CAST(substr(node, 8, length(node) - 19) AS VARCHAR) AS student_id, component FROM comp WHERE node LIKE 'email:u%@example.com'),
+canon AS (
+  SELECT ev.student_id, coalesce(min(comp.component), ev.student_id) AS component
+  FROM ev LEFT JOIN nodes ON nodes.event_id = ev.event_id AND ev.student_id NOT LIKE '%7' LEFT JOIN comp USING (node) GROUP BY ev.student_id),
 firsts AS (
   SELECT ev.student_id, ids.id_type, arg_min(ids.id_value, (ev.ts, ev.event_id)) AS id_value
   FROM ids JOIN ev USING (event_id) GROUP BY 1, 2),
@@ -180,9 +204,9 @@ def j12_merge_profiles(spark, sf_dir):
     ev = canonical_events(spark, sf_dir, with_contact=True).withColumnRenamed("student_id", "profile_id")
     prof = P.build_profiles(ev, AS_OF_EVENTS)
     comp = identity_components(spark, sf_dir)
-    mapping = comp.filter(F.col("node").rlike("^email:u[0-9]+@example[.]com$")).select(
-        F.regexp_extract("node", r"^email:u([0-9]+)@", 1).alias("profile_id"), F.col("component").alias("canonical_id")
-    )
+    # Students whose id ends in 7 have no mapping: they stay profiles of their own.
+    first = I.smallest_identifier(ev).filter(~F.col("profile_id").endswith("7")).select("profile_id", F.col("_min_id").alias("node"))
+    mapping = first.distinct().join(comp, "node").groupBy("profile_id").agg(F.min("component").alias("canonical_id"))
     merged, _ = I.merge_profiles(prof, mapping)
     return merged.select(
         "canonical_id",
