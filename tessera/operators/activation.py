@@ -8,6 +8,8 @@ order: pre-push check (P17) -> daily quota (W5) -> idempotency (F11) -> payload
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +80,9 @@ def salesforce_sync(
     ``deduplicated`` / ``quota_exceeded`` / ``sent`` and the CRM payload (P18).
 
     ``profiles`` needs ``profile_id, salesforce_id, enrollment_score, segments,
-    last_interaction``; ``sent_keys (dedup_key)`` holds keys already pushed.  The
-    quota counts only rows that would be sent, ordered by request time then id.
+    last_interaction``; ``sent_keys (dedup_key)`` holds keys already pushed.  Requests
+    run in order of request time, then id: of equal requests in this run the first is
+    sent and the others are deduplicated (F11); the quota counts sends only.
     """
     p = crm_payload(profiles.withColumn("_valid", push_check(profiles)).withColumn("_req_ts", request_ts))
     if consent is not None:
@@ -89,12 +92,14 @@ def salesforce_sync(
         p = p.withColumn("_ok", F.lit(True))
     seen = sent_keys.select(F.col("dedup_key").alias("_k")).distinct().withColumn("_seen", F.lit(True))
     p = p.join(seen, p.dedup_key == seen._k, "left").drop("_k")
-    p = p.withColumn("_day", F.to_date("_req_ts")).withColumn("_ord", F.struct(F.col("_req_ts"), F.col("profile_id")))
-    # The prepared requests feed three branches (quota ranks, the stop point, the
-    # statuses): materialise them once in the shared folder instead of re-joining.
-    p = cut_lineage(p)
+    # The row number tells equal requests apart; materialised, it is the same for every reader.
+    p = p.withColumn("_day", F.to_date("_req_ts")).withColumn("_row", F.monotonically_increasing_id())
+    p = cut_lineage(p.withColumn("_ord", F.struct("_req_ts", "profile_id", "_row")))
     passes = F.col("_valid") & F.coalesce(F.col("_ok"), F.lit(False))
-    sendable = passes & F.col("_seen").isNull()
+    fresh = passes & F.col("_seen").isNull()
+    first = p.filter(fresh).groupBy("dedup_key").agg(F.min("_ord").alias("_first"))
+    p = p.join(first, "dedup_key", "left")
+    sends = fresh & (F.col("_ord") == F.col("_first"))
     remaining = max(limit - used_today, 0)
     # W5 as the source system runs it, in request order: the quota is checked for every
     # row that passed the checks, before dedup; once `remaining` sends are done, the
@@ -102,27 +107,28 @@ def salesforce_sync(
     # with per-day aggregates: the order key of the last allowed send, then the first
     # passing row after it - no window over a whole day.
     ranked = daily_quota_rank(
-        p.filter(sendable).select("_ord", "_req_ts", "profile_id"), F.to_date("_req_ts"), [F.col("_req_ts"), F.col("profile_id")], limit=remaining
+        p.filter(sends).select("_ord", "_req_ts", "profile_id", "_row"), F.to_date("_req_ts"), [F.col("_req_ts"), F.col("profile_id"), F.col("_row")], limit=remaining
     )
     last = ranked.filter(F.col("quota_rank") == remaining).select(F.to_date("_req_ts").alias("_day"), F.col("_ord").alias("_last_ord"))
     if remaining == 0:
         cut = p.filter(passes).groupBy("_day").agg(F.min("_ord").alias("_cut"))
     else:
+        # One row per day on the small side: the planner broadcasts it by its size.
         after = p.filter(passes).join(last, "_day").filter(F.col("_ord") > F.col("_last_ord"))
         cut = after.groupBy("_day").agg(F.min("_ord").alias("_cut"))
-    # One row per day: a join on a frame bounded by the number of days.
-    p = p.join(cut, "_day", "left")
+    p = p.join(cut_lineage(cut), "_day", "left")
     stopped = F.col("_cut").isNotNull() & (F.col("_ord") >= F.col("_cut"))
     status = (
         F.when(stopped, F.lit("quota_exceeded"))
         .when(~F.col("_valid"), F.lit("validation_failed"))
         .when(~F.coalesce(F.col("_ok"), F.lit(False)), F.lit("consent_denied"))
-        .when(F.col("_seen").isNotNull(), F.lit("deduplicated"))
+        .when(F.col("_seen").isNotNull() | (F.col("_ord") > F.col("_first")), F.lit("deduplicated"))
         .otherwise(F.lit("sent"))
     )
     return p.select(
         "profile_id",
         "salesforce_id",
+        F.col("_day").alias("day"),
         status.alias("status"),
         F.col("_payload")["Enrollment_Score__c"].alias("Enrollment_Score__c"),
         F.col("_payload")["CDP_Segment__c"].alias("CDP_Segment__c"),
@@ -143,11 +149,24 @@ def sync_result(statuses: DataFrame) -> DataFrame:
 
 
 def format_template(template: str, params: dict[str, Column]) -> Column:
-    """``template.format(**params)`` for ``{name}`` fields, as chained replaces."""
-    out = F.lit(template)
-    for k, v in params.items():
-        out = F.replace(out, F.lit("{" + k + "}"), F.coalesce(v.cast("string"), F.lit("None")))
-    return out
+    """``template.format(**params)`` for ``{name}`` fields: the template is split once
+    and its pieces concatenated, so braces inside a value stay text.  A field without a
+    parameter raises ``KeyError`` when the plan is built, as ``str.format`` does."""
+    pieces = []
+    for text, field, _, _ in Formatter().parse(template):
+        if text:
+            pieces.append(F.lit(text))
+        if field is not None:
+            pieces.append(F.coalesce(params[field].cast("string"), F.lit("None")))
+    return F.concat(*pieces) if pieces else F.lit("")
+
+
+def _first_of_equal(requests: DataFrame, status: Column, wanted: str) -> DataFrame:
+    """F11 within a run: of the rows with one key and status ``wanted`` all but the first become ``deduplicated``."""
+    r = cut_lineage(requests.withColumn("status", status).withColumn("_row", F.monotonically_increasing_id()))
+    first = r.filter(F.col("status") == wanted).groupBy("dedup_key").agg(F.min("_row").alias("_first"))
+    again = (F.col("status") == wanted) & (F.col("_row") > F.col("_first"))
+    return r.join(first, "dedup_key", "left").withColumn("status", F.when(again, F.lit("deduplicated")).otherwise(F.col("status"))).drop("_row", "_first")
 
 
 def whatsapp_outbox(
@@ -170,12 +189,13 @@ def whatsapp_outbox(
         .when(F.col("_phone").isNull(), F.lit("no_phone"))
         .otherwise(F.lit("queued"))
     )
-    queued = status == "queued"
+    queued = F.col("status") == "queued"
+    r = _first_of_equal(r.withColumn("_body", format_template(template, params)), status, "queued")
     return r.select(
         "profile_id",
-        status.alias("status"),
+        "status",
         F.when(queued, F.concat(F.lit(WHATSAPP_PREFIX), F.col("_phone"))).alias("to"),
-        F.when(queued, format_template(template, params)).alias("body"),
+        F.when(queued, F.col("_body")).alias("body"),
         "dedup_key",
     )
 
@@ -190,7 +210,8 @@ def email_outbox(requests: DataFrame, gate: DataFrame, sent_keys: DataFrame, cam
         .when(F.col("_seen").isNotNull(), F.lit("deduplicated"))
         .otherwise(F.lit("queued"))
     )
-    return r.select("profile_id", F.lit(campaign_id).alias("campaign_id"), status.alias("status"), "dedup_key")
+    r = _first_of_equal(r, status, "queued")
+    return r.select("profile_id", F.lit(campaign_id).alias("campaign_id"), "status", "dedup_key")
 
 
 def segment_change_actions(changes: DataFrame) -> DataFrame:

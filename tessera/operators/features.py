@@ -18,38 +18,38 @@ from tessera.operators.profile import days_between, engagement_score
 MICROS = 1_000_000
 
 
-def student_features(events: DataFrame, as_of: dt.datetime, key: str = "student_id", status: DataFrame | None = None) -> DataFrame:
-    """One feature row per student, ``event_timestamp = as_of`` (one aggregate pass).
+def student_features(events: DataFrame, as_of: dt.datetime, key: str = "student_id", status: DataFrame | None = None, chat_days: int = 30) -> DataFrame:
+    """One feature row per student, ``event_timestamp = as_of``.
+
+    ``events`` carry ``ts``, ``source``, a page ``category`` (null for other events)
+    and the booleans ``started`` and ``completed``.
 
     * ``days_since_last_interaction``: whole days from the last event to ``as_of``;
-    * ``whatsapp_messages_30d``: chat events with ``as_of - 30 d < ts <= as_of``;
-    * ``page_views_by_category``: JSON object of view counts per page category,
-      keys sorted (category ``c{props.k % 4}``);
+    * ``whatsapp_messages_30d``: chat events with ``as_of - chat_days < ts <= as_of``;
+    * ``page_views_by_category``: JSON object of view counts for whatever categories
+      occur, keys sorted;
     * ``funnel_stage``: enrollment status (``status`` frame ``(key, enrollment_status)``);
-    * ``course_completion_rate``: completed / started app sessions (``props.k`` even =
-      started, multiple of 4 = completed), null when none started.
+    * ``course_completion_rate``: completed / started, null when none started.
+
+    Counts are taken per (student, category) first - partial aggregates - and only
+    those few rows per student meet in the second aggregate.
     """
     a = F.lit(as_of).cast("timestamp")
-    k = F.get_json_object("raw_data", "$.k").cast("int")
-    is_view = F.col("source") == "website"
-    cats = [f"c{i}" for i in range(4)]
-    aggs = [
-        F.max("ts").alias("_last"),
-        F.sum(F.when((F.col("source") == "whatsapp") & (F.col("ts") > a - F.expr("INTERVAL 30 DAYS")) & (F.col("ts") <= a), 1).otherwise(0)).alias(
-            "whatsapp_messages_30d"
-        ),
-        F.sum(F.when((F.col("source") == "app") & (k % 2 == 0), 1).otherwise(0)).alias("_started"),
-        F.sum(F.when((F.col("source") == "app") & (k % 4 == 0), 1).otherwise(0)).alias("_completed"),
-    ] + [F.sum(F.when(is_view & (F.concat(F.lit("c"), (k % 4).cast("string")) == c), 1).otherwise(0)).alias(f"_v_{c}") for c in cats]
-    g = events.groupBy(key).agg(*aggs)
-    entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"_v_{c}").cast("bigint").alias("value")) for c in cats])
-    views = F.to_json(F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0)))
+    chat = (F.col("source") == "whatsapp") & (F.col("ts") > a - F.make_interval(days=F.lit(chat_days))) & (F.col("ts") <= a)
+    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    per = events.groupBy(key, "category").agg(
+        F.max("ts").alias("_last"), one(chat).alias("_chat"), one(F.col("started")).alias("_started"), one(F.col("completed")).alias("_completed"), F.count(F.lit(1)).alias("_n")
+    )
+    views = F.collect_list(F.when(F.col("category").isNotNull(), F.struct(F.col("category").alias("key"), F.col("_n").alias("value"))))
+    g = per.groupBy(key).agg(
+        F.max("_last").alias("_last"), F.sum("_chat").alias("_chat"), F.sum("_started").alias("_started"), F.sum("_completed").alias("_completed"), views.alias("_views")
+    )
     out = g.select(
         F.col(key).alias("entity_id"),
         a.alias("event_timestamp"),
         F.floor(days_between(as_of, F.col("_last"))).cast("bigint").alias("days_since_last_interaction"),
-        F.col("whatsapp_messages_30d").cast("bigint").alias("whatsapp_messages_30d"),
-        views.alias("page_views_by_category"),
+        F.col("_chat").cast("bigint").alias("whatsapp_messages_30d"),
+        F.to_json(F.map_from_entries(F.array_sort("_views"))).alias("page_views_by_category"),
         F.when(F.col("_started") > 0, F.col("_completed") / F.col("_started")).alias("course_completion_rate"),
     )
     if status is not None:

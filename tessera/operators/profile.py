@@ -237,18 +237,17 @@ def rule_inputs(events: DataFrame, as_of: dt.datetime, key: str = "profile_id")
     ``total_events``, ``enrollment_status`` (newest CRM lead status, else
     ``anonymous``), ``days_since_last_login`` (whole days since the last app
     event; null without one), ``viewed_mba_page`` / ``downloaded_brochure``
-    (any website / app event carrying the page or download marker: ``props.k``
-    ending in 0 / in 1), and ``purchase_value`` (sum of CRM event values).
+    (any event with the boolean column of that name), and ``purchase_value`` (sum
+    of CRM event values).
     """
     order = F.struct(F.col("ts"), F.col("event_id"))
-    k = F.get_json_object("raw_data", "$.k").cast("int")
     last_app = F.max(F.when(F.col("source") == "app", F.col("ts")))
     aggs = [
         F.count(F.lit(1)).alias("total_events"),
         F.max("ts").alias("last_interaction_at"),
         last_app.alias("_last_app"),
-        F.bool_or(F.coalesce((F.col("source") == "website") & (k % 10 == 0), F.lit(False))).alias("viewed_mba_page"),
-        F.bool_or(F.coalesce((F.col("source") == "app") & (k % 10 == 1), F.lit(False))).alias("downloaded_brochure"),
+        F.bool_or(F.coalesce("viewed_mba_page", F.lit(False))).alias("viewed_mba_page"),
+        F.bool_or(F.coalesce("downloaded_brochure", F.lit(False))).alias("downloaded_brochure"),
         F.sum(F.when(F.col("source") == "crm", F.col("value"))).alias("purchase_value"),
     ]
     if "lead_status" in events.columns:

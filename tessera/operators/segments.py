@@ -18,31 +18,30 @@ from pyspark.sql import functions as F
 
 from tessera.constants import BUILTIN_SEGMENT_RULES, RULE_OPERATORS
 
+#: Enrollment states that follow an application.
+APPLIED_STATES = ["application", "enrollment", "active", "alumni"]
 
-def _spark_type_of(value) -> str:
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, int):
-        return "bigint"
-    if isinstance(value, float):
-        return "double"
-    return "string"
+
+NUMBER_TYPES = ["tinyint", "smallint", "int", "bigint", "float", "double", "boolean"]
 
 
 def compile_condition(field: str, op: str, value) -> Column:
-    """One predicate: null field -> false (even for ``!=``), unknown operator -> false,
-    value of another type -> false (``!=`` -> true, as Python compares)."""
+    """One predicate, with Python's comparison rules.
+
+    A null field is false (even for ``!=``), an unknown operator is false.  Numbers and
+    booleans compare by value (``True == 1``), strings with strings; a value of the
+    other family is never equal (``!=`` is true) and any order comparison is false.
+    The family is the column's type, never what a string happens to hold; ``typeof`` is
+    a constant of the analysed plan, so the unused branch is folded away.
+    """
     if op not in RULE_OPERATORS:
         return F.lit(False)
     actual = F.col(field)  # dotted paths address nested struct fields
-    t = _spark_type_of(value)
-    if t in ("bigint", "double"):
-        # Numbers compare as numbers whatever their width (3 == 3.0, as in Python).
-        typed, lit = actual.try_cast("double"), F.lit(float(value))
-    elif t == "boolean":
-        typed, lit = actual.try_cast("boolean"), F.lit(value)
+    kind = F.typeof(actual)
+    if isinstance(value, (bool, int, float)):
+        family, typed, lit = kind.isin(NUMBER_TYPES) | kind.startswith("decimal"), actual.try_cast("double"), F.lit(float(value))
     else:
-        typed, lit = actual.cast("string"), F.lit(value)
+        family, typed, lit = kind == "string", actual.cast("string"), F.lit(value)
     cmp = {
         ">=": typed >= lit,
         "<=": typed <= lit,
@@ -51,10 +50,7 @@ def compile_condition(field: str, op: str, value) -> Column:
         "==": typed == lit,
         "!=": typed != lit,
     }[op]
-    mismatch = actual.isNotNull() & typed.isNull()
-    if op == "!=":
-        return F.when(actual.isNull(), F.lit(False)).when(mismatch, F.lit(True)).otherwise(F.coalesce(cmp, F.lit(False)))
-    return F.when(actual.isNull(), F.lit(False)).otherwise(F.coalesce(cmp, F.lit(False)))
+    return F.when(actual.isNull(), F.lit(False)).when(~family, F.lit(op == "!=")).otherwise(F.coalesce(cmp, F.lit(False)))
 
 
 def compile_rule(rule: dict) -> Column:
@@ -126,3 +122,16 @@ def segment_sizes(profiles: DataFrame, col: str = "segments") -> DataFrame:
 def find_by_segment(profiles: DataFrame, name: str, limit: int = 100) -> DataFrame:
     """Profiles in a segment, first ``limit`` by profile id (a top-k: TakeOrdered)."""
     return profiles.filter(F.array_contains("segments", name)).orderBy("profile_id").limit(limit)
+
+
+def viewed_not_applied(events: DataFrame, as_of, days: int = 30, key: str = "student_id") -> DataFrame:
+    """Keys that viewed an MBA page in the ``days`` up to ``as_of`` and had not applied by then.
+
+    ``events`` carry ``viewed_mba_page`` and ``lead_status``; one aggregate pass
+    instead of a semi and an anti join.
+    """
+    a = F.lit(as_of).cast("timestamp")
+    recent = F.col("viewed_mba_page") & (F.col("ts") > a - F.make_interval(days=F.lit(days))) & (F.col("ts") <= a)
+    applied = F.col("lead_status").isin(APPLIED_STATES) & (F.col("ts") <= a)
+    g = events.groupBy(key).agg(F.bool_or(F.coalesce(recent, F.lit(False))).alias("_viewed"), F.bool_or(F.coalesce(applied, F.lit(False))).alias("_applied"))
+    return g.filter(F.col("_viewed") & ~F.col("_applied")).select(key)

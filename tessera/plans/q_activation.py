@@ -11,7 +11,7 @@ from tessera.operators import profile as P
 from tessera.plans import oracle_fragments as O
 from tessera.plans.q_privacy import CONSENT_START, CUR_SQL
 from tessera.plans.registry import register
-from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, consent_records, phone_of
+from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, consent_records, page_markers, phone_of
 from tessera.sources.tables import read_table
 
 QUOTA_LEFT = 20  # the day's quota is used up to 20 calls when this sync runs
@@ -38,9 +38,11 @@ def _sync_input(spark, sf_dir):
 def _sync(spark, sf_dir):
     prof = _sync_input(spark, sf_dir)
     cons = consent_records(spark, sf_dir, CONSENT_START)
-    req_ts = F.lit(AS_OF_EVENTS).cast("timestamp")
+    # Requests of three days; every seventh student's request comes twice in the run.
+    req_ts = F.lit(AS_OF_EVENTS).cast("timestamp") - F.make_interval(days=(F.col("profile_id").cast("bigint") % 3).cast("int"))
     # Keys pushed by an earlier run: the same payload for every fifth student.
     sent = A.crm_payload(prof).filter(F.col("profile_id").cast("bigint") % 5 == 0).select("dedup_key")
+    prof = prof.unionByName(prof.filter(F.col("profile_id").cast("bigint") % 7 == 0))
     return A.salesforce_sync(prof, sent, cons, req_ts, used_today=SF_DAILY_API_LIMIT - QUOTA_LEFT)
 
 
@@ -48,28 +50,30 @@ SYNC_SQL = f"""
 WITH {O.EV}, {CUR_SQL},
 g AS (SELECT student_id, count(*) FILTER (WHERE event_type = 'purchase') AS n, max(ts) FILTER (WHERE event_type = 'purchase') AS last_ts,
              bool_or(source = 'crm') AS is_crm FROM ev GROUP BY 1),
-p AS (SELECT g.student_id AS profile_id, {O.score('last_ts', 'n')} AS score,
+p AS (SELECT g.student_id AS profile_id, {O.score('last_ts', 'n')} AS score, copy.copy,
+             CAST({O.AS_OF} AS DATE) - CAST(CAST(g.student_id AS BIGINT) % 3 AS INTEGER) AS day,
              CAST(g.student_id AS BIGINT) % 13 <> 0 AS valid,
              coalesce(c.consented, false) AS ok, CAST(g.student_id AS BIGINT) % 5 = 0 AS seen
-      FROM g LEFT JOIN cur c ON c.student_id = g.student_id AND c.channel = 'profiling'),
-r AS (SELECT *, coalesce(sum(CASE WHEN valid AND ok AND NOT seen THEN 1 ELSE 0 END)
-                          OVER (ORDER BY profile_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sends_before FROM p),
-cut AS (SELECT min(profile_id) AS c FROM r WHERE valid AND ok AND sends_before >= {QUOTA_LEFT}),
-s AS (SELECT profile_id, score,
-             CASE WHEN profile_id >= (SELECT c FROM cut) THEN 'quota_exceeded'
-                  WHEN NOT valid THEN 'validation_failed' WHEN NOT ok THEN 'consent_denied' WHEN seen THEN 'deduplicated'
+      FROM g JOIN (VALUES (0), (1)) copy(copy) ON copy.copy = 0 OR CAST(g.student_id AS BIGINT) % 7 = 0
+             LEFT JOIN cur c ON c.student_id = g.student_id AND c.channel = 'profiling'),
+r AS (SELECT *, coalesce(sum(CASE WHEN valid AND ok AND NOT seen AND copy = 0 THEN 1 ELSE 0 END)
+                          OVER (PARTITION BY day ORDER BY profile_id, copy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sends_before FROM p),
+cut AS (SELECT day, min((profile_id, copy)) AS c FROM r WHERE valid AND ok AND sends_before >= {QUOTA_LEFT} GROUP BY 1),
+s AS (SELECT profile_id, r.day, score,
+             CASE WHEN (profile_id, copy) >= cut.c THEN 'quota_exceeded'
+                  WHEN NOT valid THEN 'validation_failed' WHEN NOT ok THEN 'consent_denied' WHEN seen OR copy = 1 THEN 'deduplicated'
                   ELSE 'sent' END AS status
-      FROM r)"""
+      FROM r LEFT JOIN cut ON cut.day = r.day)"""
 
 R1_SQL = f"""
 {SYNC_SQL}
-SELECT profile_id, status, CAST(score AS VARCHAR) AS Enrollment_Score__c, coalesce({O.band('score')}, '') AS CDP_Segment__c FROM s
+SELECT profile_id, CAST(day AS VARCHAR) AS day, status, CAST(score AS VARCHAR) AS Enrollment_Score__c, coalesce({O.band('score')}, '') AS CDP_Segment__c FROM s
 """
 
 
 @register("r1_salesforce_sync", R1_SQL, "R1 W5 F10 F11 P17 P18: CRM sync statuses (check, consent, dedup, daily quota)")
 def r1_salesforce_sync(spark, sf_dir):
-    return _sync(spark, sf_dir).select("profile_id", "status", "Enrollment_Score__c", "CDP_Segment__c")
+    return _sync(spark, sf_dir).select("profile_id", F.col("day").cast("string").alias("day"), "status", "Enrollment_Score__c", "CDP_Segment__c")
 
 
 A16_SQL = f"""
@@ -100,7 +104,10 @@ def _wa(spark, sf_dir):
     req = students.join(cust, "profile_id", "left")
     ev = canonical_events(spark, sf_dir)
     phones = ev.filter(F.col("source") == "crm").select(F.col("student_id").alias("profile_id"), phone_of(F.col("user_id")).alias("phone")).distinct()
-    params = {"name": F.col("c_name"), "program": F.lit("MBA")}
+    # Every eighth request is made twice; some names hold braces, which stay text.
+    req = req.unionByName(req.filter(F.col("profile_id").cast("bigint") % 8 == 0))
+    braces = F.when(F.col("profile_id").cast("bigint") % 3 == 0, F.concat(F.col("c_name"), F.lit(" {program}"))).otherwise(F.col("c_name"))
+    params = {"name": braces, "program": F.lit("MBA")}
     first = A.whatsapp_outbox(req, phones, gate, spark.createDataFrame([], "dedup_key string"), TEMPLATE, params)
     sent = first.filter(F.col("profile_id").cast("bigint") % 6 == 0).select("dedup_key")
     return A.whatsapp_outbox(req, phones, gate, sent, TEMPLATE, params)
@@ -110,14 +117,17 @@ R2W_SQL = f"""
 WITH {O.EV}, {CUR_SQL},
 st AS (SELECT DISTINCT student_id AS profile_id FROM ev),
 ph AS (SELECT DISTINCT student_id AS profile_id, {O.phone()} AS phone FROM ev WHERE source = 'crm'),
-x AS (SELECT st.profile_id, coalesce(c.consented, false) AS allowed, CAST(st.profile_id AS BIGINT) % 6 = 0 AS seen, ph.phone, cu.c_name
-      FROM st LEFT JOIN cur c ON c.student_id = st.profile_id AND c.channel = 'whatsapp'
+x AS (SELECT st.profile_id, coalesce(c.consented, false) AS allowed,
+             CAST(st.profile_id AS BIGINT) % 6 = 0 AS seen, ph.phone, copy.copy,
+             cu.c_name || CASE WHEN CAST(st.profile_id AS BIGINT) % 3 = 0 THEN ' {{program}}' ELSE '' END AS c_name
+      FROM st JOIN (VALUES (0), (1)) copy(copy) ON copy.copy = 0 OR CAST(st.profile_id AS BIGINT) % 8 = 0
+              LEFT JOIN cur c ON c.student_id = st.profile_id AND c.channel = 'whatsapp'
               LEFT JOIN ph USING (profile_id)
               LEFT JOIN customer cu ON CAST(cu.c_custkey AS VARCHAR) = st.profile_id)
 SELECT profile_id,
-       CASE WHEN NOT allowed THEN 'consent_denied' WHEN seen THEN 'deduplicated' WHEN phone IS NULL THEN 'no_phone' ELSE 'queued' END AS status,
-       CASE WHEN allowed AND NOT seen AND phone IS NOT NULL THEN 'whatsapp:' || phone END AS "to",
-       CASE WHEN allowed AND NOT seen AND phone IS NOT NULL THEN 'Hi ' || coalesce(c_name, 'None') || ', applications for MBA close soon' END AS body
+       CASE WHEN NOT allowed THEN 'consent_denied' WHEN seen THEN 'deduplicated' WHEN phone IS NULL THEN 'no_phone' WHEN copy = 1 THEN 'deduplicated' ELSE 'queued' END AS status,
+       CASE WHEN allowed AND NOT seen AND copy = 0 AND phone IS NOT NULL THEN 'whatsapp:' || phone END AS "to",
+       CASE WHEN allowed AND NOT seen AND copy = 0 AND phone IS NOT NULL THEN 'Hi ' || coalesce(c_name, 'None') || ', applications for MBA close soon' END AS body
 FROM x
 """
 
@@ -131,8 +141,9 @@ R2E_SQL = f"""
 WITH {CUR_SQL},
 st AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS profile_id FROM events)
 SELECT st.profile_id, 'spring_mba' AS campaign_id,
-       CASE WHEN NOT coalesce(c.consented, false) THEN 'consent_denied' WHEN CAST(st.profile_id AS BIGINT) % 4 = 0 THEN 'deduplicated' ELSE 'queued' END AS status
-FROM st LEFT JOIN cur c ON c.student_id = st.profile_id AND c.channel = 'email'
+       CASE WHEN NOT coalesce(c.consented, false) THEN 'consent_denied' WHEN CAST(st.profile_id AS BIGINT) % 4 = 0 OR copy = 1 THEN 'deduplicated' ELSE 'queued' END AS status
+FROM st JOIN (VALUES (0), (1)) copy(copy) ON copy = 0 OR CAST(st.profile_id AS BIGINT) % 5 = 0
+     LEFT JOIN cur c ON c.student_id = st.profile_id AND c.channel = 'email'
 """
 
 
@@ -141,6 +152,8 @@ def r2_email_outbox(spark, sf_dir):
     students, gate = _gate(spark, sf_dir, "email")
     first = A.email_outbox(students, gate, spark.createDataFrame([], "dedup_key string"), "spring_mba")
     sent = first.filter(F.col("profile_id").cast("bigint") % 4 == 0).select("dedup_key")
+    # Every fifth request is made twice in the run.
+    students = students.unionByName(students.filter(F.col("profile_id").cast("bigint") % 5 == 0))
     return A.email_outbox(students, gate, sent, "spring_mba").select("profile_id", "campaign_id", "status")
 
 
@@ -160,10 +173,9 @@ WHERE f.mba_page_count >= 3 AND f.status = 'inquiry' AND c.consented
 def r3_campaign_trigger(spark, sf_dir):
     from tessera.operators.segments import compile_rule
 
-    ev = canonical_events(spark, sf_dir, with_contact=True)
-    k = F.get_json_object("raw_data", "$.k").cast("int")
+    ev = page_markers(canonical_events(spark, sf_dir, with_contact=True))
     f = ev.groupBy(F.col("student_id").alias("profile_id")).agg(
-        F.sum(F.when((F.col("source") == "website") & (k % 10 == 0), 1).otherwise(0)).alias("mba_page_count"),
+        F.sum(F.col("viewed_mba_page").cast("int")).alias("mba_page_count"),
         F.max_by(F.col("lead_status"), F.when(F.col("lead_status").isNotNull(), F.struct("ts", "event_id"))).alias("_lead"),
     ).withColumn("enrollment_status", F.coalesce("_lead", F.lit("anonymous")))
     rule = {"field": "mba_page_count", "operator": ">=", "value": 3, "and": {"field": "enrollment_status", "operator": "==", "value": "inquiry"}}
@@ -189,7 +201,7 @@ def r4_course_triggers(spark, sf_dir):
     from tessera.operators.features import student_features
     from tessera.operators.segments import SegmentRules
 
-    feats = student_features(canonical_events(spark, sf_dir), AS_OF_EVENTS)
+    feats = student_features(page_markers(canonical_events(spark, sf_dir)), AS_OF_EVENTS)
     feats = feats.withColumn("churn_risk", (F.col("entity_id").cast("bigint") * 37 % 100).cast("double") / 100.0)
     rules = SegmentRules(builtins=False)
     rules.add_rule("course_completion_nudge", {"field": "course_completion_rate", "operator": ">=", "value": 0.8})

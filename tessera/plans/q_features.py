@@ -11,24 +11,26 @@ from tessera.operators import features as W
 from tessera.operators import vectors as V
 from tessera.plans import oracle_fragments as O
 from tessera.plans.registry import register
-from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, crm_contacts
+from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, crm_contacts, page_markers
 from tessera.sources.tables import read_table
 
 TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# The test events span 30 days: windows shorter than that, so that they cut.
+CHAT_DAYS, ROLL_DAYS, RATE_LIMIT, RATE_SECONDS = 12, 7, 3, 3600
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 
 def _features(spark, sf_dir, as_of=AS_OF_EVENTS):
-    ev = canonical_events(spark, sf_dir).filter(F.col("ts") <= F.lit(as_of))
+    ev = page_markers(canonical_events(spark, sf_dir)).filter(F.col("ts") <= F.lit(as_of))
     status = crm_contacts(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("student_id"), F.col("lead_status").alias("enrollment_status"))
-    return W.student_features(ev, as_of, status=status)
+    return W.student_features(ev, as_of, status=status, chat_days=CHAT_DAYS)
 
 
 def _features_sql(as_of: str) -> str:
     return f"""f AS (
   SELECT student_id AS entity_id,
          CAST(floor((epoch_us({as_of}) - epoch_us(max(ts))) / {O.MICROS_PER_DAY}) AS BIGINT) AS days_since_last_interaction,
-         CAST(sum(CASE WHEN source = 'whatsapp' AND ts > {as_of} - INTERVAL 30 DAYS AND ts <= {as_of} THEN 1 ELSE 0 END) AS BIGINT) AS whatsapp_messages_30d,
+         CAST(sum(CASE WHEN source = 'whatsapp' AND ts > {as_of} - INTERVAL {CHAT_DAYS} DAYS AND ts <= {as_of} THEN 1 ELSE 0 END) AS BIGINT) AS whatsapp_messages_30d,
          sum(CASE WHEN source = 'app' AND {K} % 2 = 0 THEN 1 ELSE 0 END) AS started,
          sum(CASE WHEN source = 'app' AND {K} % 4 = 0 THEN 1 ELSE 0 END) AS completed
   FROM ev WHERE ts <= {as_of} GROUP BY 1),
@@ -54,20 +56,20 @@ def w1_student_features(spark, sf_dir):
     )
 
 
-W2_SQL = """
+W2_SQL = f"""
 SELECT event_id,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS rolling_sum_cents,
        count(*) OVER w AS rolling_n,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(*) OVER w AS DOUBLE) / 100.0 AS rolling_avg
 FROM events
-WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {ROLL_DAYS} DAYS PRECEDING AND CURRENT ROW)
 """
 
 
-@register("w2_rolling_average", W2_SQL, "W2: trailing 30-day average of an event score per student")
+@register("w2_rolling_average", W2_SQL, "W2: trailing average (7 days here) of an event score per student")
 def w2_rolling_average(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    return W.rolling_average(ev, "user_id", "ts", F.col("value")).select("event_id", "rolling_sum_cents", "rolling_n", "rolling_avg")
+    return W.rolling_average(ev, "user_id", "ts", F.col("value"), days=ROLL_DAYS).select("event_id", "rolling_sum_cents", "rolling_n", "rolling_avg")
 
 
 W3_SQL = f"""
@@ -87,17 +89,17 @@ def w3_latest_features(spark, sf_dir):
     return latest.select("entity_id", F.date_format("event_timestamp", TS).alias("event_timestamp"), "days_since_last_interaction")
 
 
-W4_SQL = """
-SELECT event_id, count(*) OVER w AS calls_in_window, count(*) OVER w <= 1000 AS accepted
+W4_SQL = f"""
+SELECT event_id, count(*) OVER w AS calls_in_window, count(*) OVER w <= {RATE_LIMIT} AS accepted
 FROM (SELECT *, 'key' || CAST(user_id % 3 AS VARCHAR) AS api_key FROM events)
-WINDOW w AS (PARTITION BY api_key ORDER BY ts RANGE BETWEEN INTERVAL 59999999 MICROSECONDS PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY api_key ORDER BY ts RANGE BETWEEN INTERVAL {RATE_SECONDS * 1_000_000 - 1} MICROSECONDS PRECEDING AND CURRENT ROW)
 """
 
 
-@register("w4_rate_limit", W4_SQL, "W4: 1000 calls per 60 s per API key (window form)")
+@register("w4_rate_limit", W4_SQL, "W4: limit per window and API key (3 an hour here; the default is 1000 in 60 s)")
 def w4_rate_limit(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", F.concat(F.lit("key"), (F.col("user_id") % 3).cast("string")).alias("api_key"))
-    return W.rate_limit_window(ev, "api_key", "ts").select("event_id", "calls_in_window", "accepted")
+    return W.rate_limit_window(ev, "api_key", "ts", RATE_LIMIT, RATE_SECONDS).select("event_id", "calls_in_window", "accepted")
 
 
 W7_SQL = f"""

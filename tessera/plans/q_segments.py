@@ -10,7 +10,7 @@ from tessera.operators import profile as P
 from tessera.operators import segments as S
 from tessera.plans import oracle_fragments as O
 from tessera.plans.registry import register
-from tessera.sources.adapters import AS_OF_EVENTS, canonical_events
+from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, page_markers
 
 AS_OF_PREV = AS_OF_EVENTS - dt.timedelta(days=7)
 AS_OF_PREV_SQL = "TIMESTAMP '2024-01-24 00:00:00'"
@@ -43,7 +43,7 @@ def segs_sql(r: str) -> str:
 
 def _profiles_with_segments(spark, sf_dir, as_of=AS_OF_EVENTS, rules=None):
     ev = canonical_events(spark, sf_dir, with_contact=True).filter(F.col("ts") < F.lit(as_of)).withColumnRenamed("student_id", "profile_id")
-    ri = P.rule_inputs(ev, as_of)
+    ri = P.rule_inputs(page_markers(ev), as_of)
     return (rules or S.SegmentRules()).evaluate(ri)
 
 
@@ -147,22 +147,46 @@ def j7_find_by_segment(spark, sf_dir):
     return S.find_by_segment(_profiles_with_segments(spark, sf_dir), "engaged_learner", 100).select("profile_id")
 
 
+J16_AS_OF = dt.datetime(2024, 1, 15)
+J16_AS_OF_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
 J16_SQL = f"""
 WITH {E2_SQL},
 recent AS (SELECT DISTINCT student_id FROM ev WHERE source = 'website' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 = 0
-           AND ts > {O.AS_OF} - INTERVAL 30 DAYS AND ts <= {O.AS_OF}),
-applied AS (SELECT DISTINCT student_id FROM e2 WHERE lead_status IN ('application', 'enrollment', 'active', 'alumni'))
+           AND ts > {J16_AS_OF_SQL} - INTERVAL 10 DAYS AND ts <= {J16_AS_OF_SQL}),
+applied AS (SELECT DISTINCT student_id FROM e2 WHERE lead_status IN ('application', 'enrollment', 'active', 'alumni') AND ts <= {J16_AS_OF_SQL})
 SELECT student_id AS profile_id FROM recent WHERE student_id NOT IN (SELECT student_id FROM applied)
 """
 
 
-@register("j16_viewed_not_applied", J16_SQL, "J16: MBA page viewed in the last 30 days and no application (semi + anti join)")
+@register("j16_viewed_not_applied", J16_SQL, "J16: MBA page viewed in the window and no application (one aggregate pass)")
 def j16_viewed_not_applied(spark, sf_dir):
-    ev = canonical_events(spark, sf_dir, with_contact=True)
-    k = F.get_json_object("raw_data", "$.k").cast("int")
-    a = F.lit(AS_OF_EVENTS).cast("timestamp")
-    viewed = ev.filter((F.col("source") == "website") & (k % 10 == 0) & (F.col("ts") > a - F.expr("INTERVAL 30 DAYS")) & (F.col("ts") <= a))
-    applied = ev.filter(F.col("lead_status").isin("application", "enrollment", "active", "alumni")).select("student_id")
-    students = ev.select("student_id").distinct()
-    out = students.join(viewed.select("student_id"), "student_id", "left_semi").join(applied, "student_id", "left_anti")
-    return out.select(F.col("student_id").alias("profile_id"))
+    ev = page_markers(canonical_events(spark, sf_dir, with_contact=True))
+    return S.viewed_not_applied(ev, J16_AS_OF, days=10).select(F.col("student_id").alias("profile_id"))
+
+
+# P13 across types: (column, operator, literal) and whether a non-null value can satisfy it as Python compares.
+TYPE_CASES = [
+    ("text_no", ">=", 2, "false"), ("text_no", "==", 3, "false"), ("text_no", "!=", 3, "true"), ("text_no", "==", "3", "text_no = '3'"),
+    ("total", "==", "3", "false"), ("total", "!=", "3", "true"), ("total", ">=", 60, "total >= 60"), ("total", "==", True, "total = 1"),
+    ("flag", "==", True, "flag"), ("flag", "==", 1, "flag"), ("flag", ">=", 1, "flag"), ("flag", "==", "true", "false"), ("flag", "!=", 5, "true"),
+    ("amount", "<", 250.5, "amount < 250.5"), ("amount", ">", "1", "false"), ("text_no", "~", "3", "false"),
+]
+P13_SQL = f"""
+WITH {O.EV},
+t AS (SELECT student_id AS profile_id, count(*) AS total, CAST(count(*) % 5 AS VARCHAR) AS text_no,
+             CASE WHEN count(*) % 4 > 0 THEN count(*) % 4 = 1 END AS flag, max(value) FILTER (WHERE source = 'crm') AS amount FROM ev GROUP BY 1)
+SELECT profile_id, {', '.join(f"coalesce({c} IS NOT NULL AND ({sql}), false) AS c{i}" for i, (c, _, _, sql) in enumerate(TYPE_CASES))} FROM t
+"""
+
+
+@register("p13_rule_types", P13_SQL, "P13: rules over text, number and boolean fields against literals of every type")
+def p13_rule_types(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir)
+    n = F.count(F.lit(1))
+    t = ev.groupBy(F.col("student_id").alias("profile_id")).agg(
+        n.alias("total"),
+        (n % 5).cast("string").alias("text_no"),
+        F.when(n % 4 > 0, n % 4 == 1).alias("flag"),
+        F.max(F.when(F.col("source") == "crm", F.col("value"))).alias("amount"),
+    )
+    return t.select("profile_id", *[S.compile_condition(c, op, v).alias(f"c{i}") for i, (c, op, v, _) in enumerate(TYPE_CASES)])

@@ -189,3 +189,21 @@ def event_identifier_rows(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.posexplode("identifiers").alias("pos", "ident")).select(
         "event_id", "pos", F.col("ident.type").alias("id_type"), F.col("ident.value").alias("id_value")
     )
+
+
+def page_markers(events: DataFrame) -> DataFrame:
+    """Marker columns of the test warehouse, from ``props.k``: website views carry a page
+    category (``c`` + k % 4) and ``viewed_mba_page`` (k ends in 0); app events carry
+    ``downloaded_brochure`` (k ends in 1), ``started`` (k even) and ``completed`` (k a
+    multiple of 4).  A real source sets these columns in its own adapter."""
+    k, src = F.get_json_object("raw_data", "$.k").cast("int"), F.col("source")
+    flag = lambda which, cond: F.coalesce((src == which) & cond, F.lit(False))
+    return events.withColumns(
+        {
+            "category": F.when(src == "website", F.concat(F.lit("c"), (k % 4).cast("string"))),
+            "viewed_mba_page": flag("website", k % 10 == 0),
+            "downloaded_brochure": flag("app", k % 10 == 1),
+            "started": flag("app", k % 2 == 0),
+            "completed": flag("app", k % 4 == 0),
+        }
+    )
