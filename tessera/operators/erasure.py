@@ -1,39 +1,51 @@
 """Right-to-erasure as set operations over every store.
 
-A batch of requests is erased from each store with one ``left_anti`` join on
-the store's key column (the key differs per store, so the store list carries
-it).  Affected counts come from the matching ``left_semi`` join.  The request
-list is typically small, and AQE turns these joins into broadcast joins from the
-measured size; a large batch stays a shuffle join and still works.
+A batch of requests is erased from each store in one pass: a join on the store's key
+column flags the rows (the key differs per store, so the store list carries it),
+flagged rows are counted and the others rewritten.  The request list is typically
+small, and AQE turns these joins into broadcast joins from the measured size; a
+large batch stays a shuffle join and still works.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.constants import ERASURE_SLA_HOURS, ERASURE_TOPICS
+from tessera.session import cut_lineage
 
 
-def erase(stores: dict[str, tuple[DataFrame, str]], requests: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Remaining rows per store and a report ``(store, records_affected)``.
+def erase(stores: dict[str, tuple[DataFrame, str]], requests: DataFrame, skip: tuple[str, ...] = ()) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The rewritten stores and a report ``(store, records_affected)``.
 
-    Write each remaining frame to a new path and swap it in; never overwrite the
-    path being read.
+    One pass per store: the request ids are joined on as a flag, flagged rows are
+    counted on the write itself and the others written as a new table in the shared
+    folder (swap it in; the table read is never overwritten).  ``skip`` leaves stores
+    as they are, as after a failed deletion.
     """
-    ids = requests.select(F.col("student_id").alias("_erase_id")).distinct()
+    ids = cut_lineage(requests.select(F.col("student_id").alias("_erase_id")).distinct())
     remaining: dict[str, DataFrame] = {}
-    report = None
+    report = []
     for name, (df, key) in stores.items():
-        cond = df[key].cast("string") == ids["_erase_id"]
-        remaining[name] = df.join(ids, cond, "left_anti")
-        hit = df.join(ids, cond, "left_semi").agg(F.count(F.lit(1)).alias("records_affected")).select(
-            F.lit(name).alias("store"), "records_affected"
-        )
-        report = hit if report is None else report.unionByName(hit)
-    return remaining, report
+        if name in skip:
+            remaining[name] = df
+            report.append((name, 0))
+            continue
+        hits = Observation(f"erase_{name}")
+        flagged = df.join(ids.withColumn("_hit", F.lit(1)), df[key].cast("string") == F.col("_erase_id"), "left")
+        flagged = flagged.observe(hits, F.sum(F.coalesce("_hit", F.lit(0))).cast("bigint").alias("n"))
+        remaining[name] = cut_lineage(flagged.filter(F.col("_hit").isNull()).drop("_hit", "_erase_id"))
+        report.append((name, hits.get.get("n") or 0))
+    return remaining, requests.sparkSession.createDataFrame(report, "store string, records_affected long")
+
+
+def erasure_audit(requests: DataFrame, report: DataFrame) -> DataFrame:
+    """One ``delete`` row per request with the stores' results (``report`` has a row per store)."""
+    results = F.to_json(F.array_sort(F.collect_list(F.struct("store", "records_affected"))))
+    return requests.select(F.lit("delete").alias("action"), F.col("student_id").alias("subject"), report.agg(results).scalar().alias("detail"))
 
 
 def verify_erasure(stores: dict[str, tuple[DataFrame, str]], requests: DataFrame) -> DataFrame:

@@ -34,29 +34,47 @@ def student_features(events: DataFrame, as_of: dt.datetime, key: str = "student_
     Counts are taken per (student, category) first - partial aggregates - and only
     those few rows per student meet in the second aggregate.
     """
+    counts = feature_counts(events, as_of, key, chat_days)
+    return features_from_counts(counts, as_of, key, status)
+
+
+def feature_counts(events: DataFrame, as_of: dt.datetime, key: str = "student_id", chat_days: int = 30) -> DataFrame:
+    """Counts per (``key``, category) that W1 is made of; rows of several batches add up (``add_counts``)."""
     a = F.lit(as_of).cast("timestamp")
     chat = (F.col("source") == "whatsapp") & (F.col("ts") > a - F.make_interval(days=F.lit(chat_days))) & (F.col("ts") <= a)
-    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    per = events.groupBy(key, "category").agg(
-        F.max("ts").alias("_last"), one(chat).alias("_chat"), one(F.col("started")).alias("_started"), one(F.col("completed")).alias("_completed"), F.count(F.lit(1)).alias("_n")
+    one = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+    return events.groupBy(key, "category").agg(
+        F.max("ts").alias("last_ts"),
+        one(chat).alias("chats"),
+        one(F.col("started")).alias("started"),
+        one(F.col("completed")).alias("completed"),
+        F.count(F.lit(1)).alias("events"),
     )
-    views = F.collect_list(F.when(F.col("category").isNotNull(), F.struct(F.col("category").alias("key"), F.col("_n").alias("value"))))
-    g = per.groupBy(key).agg(
-        F.max("_last").alias("_last"), F.sum("_chat").alias("_chat"), F.sum("_started").alias("_started"), F.sum("_completed").alias("_completed"), views.alias("_views")
+
+
+def add_counts(counts: DataFrame, key: str = "student_id") -> DataFrame:
+    """Fold count rows of several batches into one per (``key``, category)."""
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("chats", "started", "completed", "events")]
+    return counts.groupBy(key, "category").agg(F.max("last_ts").alias("last_ts"), *sums)
+
+
+def features_from_counts(counts: DataFrame, as_of: dt.datetime, key: str = "student_id", status: DataFrame | None = None) -> DataFrame:
+    """W1 rows from ``feature_counts``: a few rows per student meet in this aggregate."""
+    views = F.collect_list(F.when(F.col("category").isNotNull(), F.struct(F.col("category").alias("key"), F.col("events").alias("value"))))
+    g = counts.groupBy(key).agg(
+        F.max("last_ts").alias("_last"), F.sum("chats").alias("_chat"), F.sum("started").alias("_started"), F.sum("completed").alias("_completed"), views.alias("_views")
     )
     out = g.select(
         F.col(key).alias("entity_id"),
-        a.alias("event_timestamp"),
+        F.lit(as_of).cast("timestamp").alias("event_timestamp"),
         F.floor(days_between(as_of, F.col("_last"))).cast("bigint").alias("days_since_last_interaction"),
         F.col("_chat").cast("bigint").alias("whatsapp_messages_30d"),
         F.to_json(F.map_from_entries(F.array_sort("_views"))).alias("page_views_by_category"),
         F.when(F.col("_started") > 0, F.col("_completed") / F.col("_started")).alias("course_completion_rate"),
     )
     if status is not None:
-        out = out.join(status.select(F.col(key).alias("entity_id"), F.col("enrollment_status").alias("funnel_stage")), "entity_id", "left")
-    else:
-        out = out.withColumn("funnel_stage", F.lit(None).cast("string"))
-    return out
+        return out.join(status.select(F.col(key).alias("entity_id"), F.col("enrollment_status").alias("funnel_stage")), "entity_id", "left")
+    return out.withColumn("funnel_stage", F.lit(None).cast("string"))
 
 
 def rolling_average(df: DataFrame, key: str, ts: str, value: Column, days: int = 30) -> DataFrame:

@@ -101,23 +101,25 @@ def knn_exact(
 def hashed_embeddings(texts: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:
     """V1 default encoder: signed feature hashing of lower-case words, L2-normalised.
 
-    Runs on Spark built-ins only: distinct texts are embedded once (the cache),
-    words are exploded and hashed with ``xxhash64``, counts are summed per
-    (text, bucket) - at most ``dim`` rows per text - and assembled into an
-    ``ARRAY<DOUBLE>``.  Not comparable with a hosted model's vectors.
+    Runs on Spark built-ins only: distinct texts are embedded once (the cache), words
+    are exploded and hashed (md5: its first 32 bits give the bucket, the next 4 the
+    sign), counts are summed per (text, bucket) - at most ``dim`` rows per text - and
+    assembled into an ``ARRAY<DOUBLE>``.  Texts are joined back by the text itself.
+    Not comparable with a hosted model's vectors.
     """
-    uniq = texts.select(text_col).distinct().withColumn("_tid", F.xxhash64(text_col))
-    words = uniq.select("_tid", F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")).alias("w")).filter(F.length("w") > 0)
-    h = F.xxhash64("w")
-    buckets = words.select("_tid", F.pmod(h, F.lit(dim)).alias("b"), F.when(F.pmod(F.shiftright(h, 32), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s"))
-    agg = buckets.groupBy("_tid", "b").agg(F.sum("s").alias("v"))
-    per_text = agg.groupBy("_tid").agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("m"))
+    uniq = texts.select(F.coalesce(text_col, F.lit("")).alias("_t")).distinct()
+    words = uniq.select("_t", F.explode(F.split(F.lower("_t"), r"[^\p{L}\p{N}]+")).alias("w")).filter(F.length("w") > 0)
+    h = F.md5(F.col("w").cast("binary"))
+    bucket = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(dim))
+    sign = F.when(F.substring(h, 9, 1) < "8", 1.0).otherwise(-1.0)
+    agg = words.groupBy("_t", bucket.alias("b")).agg(F.sum(sign).alias("v"))
+    per_text = agg.groupBy("_t").agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("m"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.col("m")[i.cast("long")], F.lit(0.0)))
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, v: acc + v * v))
-    emb = per_text.select("_tid", F.transform(vec, lambda v: F.when(norm > 0, v / norm).otherwise(F.lit(0.0))).alias("embedding"))
-    keyed = texts.select(id_col, text_col).withColumn("_tid", F.xxhash64(text_col))
+    emb = per_text.select("_t", F.transform(vec, lambda v: F.when(norm > 0, v / norm).otherwise(F.lit(0.0))).alias("embedding"))
+    keyed = texts.select(id_col, F.coalesce(text_col, F.lit("")).alias("_t"))
     empty = F.array_repeat(F.lit(0.0), dim)
-    return keyed.join(emb, "_tid", "left").select(id_col, F.coalesce("embedding", empty).alias("embedding"))
+    return keyed.join(emb, "_t", "left").select(id_col, F.coalesce("embedding", empty).alias("embedding"))
 
 
 def embed_with(texts: DataFrame, id_col: str, text_col: str, encoder, dim: int) -> DataFrame:

@@ -200,11 +200,22 @@ def t5_similar_profiles(spark, sf_dir):
     return _knn(spark, sf_dir, None, True)
 
 
-@register("v1_embed_texts", None, "V1: feature-hashing embeddings of benchmark texts (distinct texts embedded once)")
+V1_SQL = r"""
+WITH w AS (SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS w FROM conversations),
+h AS (SELECT conv_id, turn, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1.0 ELSE -1.0 END AS s FROM w WHERE length(w) > 0),
+v AS (SELECT conv_id, turn, bucket, sum(s)::DOUBLE AS v FROM h GROUP BY ALL),
+n AS (SELECT conv_id, turn, sqrt(sum(v * v)) AS n FROM v GROUP BY ALL)
+SELECT conv_id, turn, bucket::BIGINT AS bucket, round(v / n, 9) AS value FROM v JOIN n USING (conv_id, turn) WHERE v <> 0
+"""
+
+
+@register("v1_embed_texts", V1_SQL, "V1: feature-hashing embeddings of all conversation turns (distinct texts embedded once)")
 def v1_embed_texts(spark, sf_dir):
-    b = read_table(spark, sf_dir, "benchmark")
-    e = V.hashed_embeddings(b, "item_id", "text", dim=64)
-    return e.select("item_id", F.size("embedding").alias("dimension"), F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)), 6).alias("norm"))
+    c = read_table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("id"), "text")
+    e = V.hashed_embeddings(c, "id", "text", dim=64)
+    return e.select("id.conv_id", "id.turn", F.posexplode("embedding").alias("b", "v")).filter(F.col("v") != 0).select(
+        "conv_id", "turn", F.col("b").cast("long").alias("bucket"), F.round("v", 9).alias("value")
+    )
 
 
 A17_SQL = "SELECT label, count(*) AS vector_count, max(len(embedding)) AS dimension FROM embeddings GROUP BY label"

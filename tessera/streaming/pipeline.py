@@ -2,11 +2,10 @@
 
 * ``write_stream_files`` lays a table down as an ordered sequence of files - the
   offline stand-in for a topic (Kafka works the same way when its jar exists).
-* ``ProfileStreamJob`` is the event -> profile stream (D1-D4, D6, D9): each
-  micro-batch is validated and dead-lettered, deduplicated against what is
-  already stored, folded into the profile table (A5 deltas: counts and maxima
-  add up), and committed by a marker per ``batch_id`` so that a replayed batch
-  after a failure is skipped - at-least-once delivery, exactly-once effect.
+* ``ProfileStreamJob`` is the event -> profile stream (D1-D4, D6, D7, D9): each
+  micro-batch is validated, deduplicated, resolved to profiles and folded into
+  bucketed tables; every output lies in a folder per batch and the commit comes
+  last - at-least-once delivery, exactly-once effect.
 * ``dedup_stream`` (D5) and ``windowed_counts`` / ``session_counts`` (D8)
   are plain streaming DataFrames with watermarks.
 """
@@ -15,10 +14,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.segments import SegmentRules
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -109,114 +110,185 @@ def run_to_table(stream_df: DataFrame, output_mode: str = "append", state_partit
     return spark.read.schema(stream_df.schema).parquet(out)
 
 
-class ProfileStreamJob:
-    """The event -> profile stream, one ``foreachBatch`` writer.
+class BucketedTable:
+    """A table kept as hash buckets of its key: a batch writes new versions of the buckets
+    it touches and leaves the others, so its cost follows the batch, not the table."""
+
+    def __init__(self, spark: SparkSession, root: str, name: str, key: list[str], buckets: int) -> None:
+        self.spark, self.path, self.name, self.key, self.buckets = spark, f"{root}/{name}", name, key, buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def read(self, versions: dict[int, int], schema, only: list[int] | None = None) -> DataFrame:
+        """Rows of the current version of the buckets (``versions``: bucket -> batch)."""
+        paths = [f"{self.path}/batch={v}/bucket={b}" for b, v in sorted(versions.items()) if only is None or b in only]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def touched(self, keys: DataFrame) -> list[int]:
+        """Buckets of ``keys``: at most ``buckets`` small numbers."""
+        return sorted(r[0] for r in keys.select(self.bucket()).distinct().collect())
 
-    State lives in tables under ``root``: ``silver`` (accepted events), ``dlq``,
-    ``profiles/v{n}`` (one directory per committed batch; the newest committed
-    version is current), ``segment_changes`` and ``_commits/{batch_id}``.
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """New versions of the buckets that ``df`` holds (a retried batch overwrites its own)."""
+        out = df.withColumn("bucket", self.bucket()).repartition("bucket")
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={batch_id}")
+
+
+IDENTITY_SCHEMA = "id_type string, id_value string, profile_id string"
+COUNTS_SCHEMA = "student_id string, category string, last_ts timestamp, chats long, started long, completed long, events long"
+
+
+class ProfileStreamJob:
+    """The event -> profile stream, one ``foreachBatch`` writer.
+
+    Each micro-batch is validated (rejects to ``dlq``), deduplicated against every
+    event id ever stored, resolved to profiles (J1 against the identity index; a new
+    profile where nothing matches), folded into the profile table, staged with its
+    profile snapshot, and turned into segment changes and feature counts.  Every
+    output of a batch lies in a folder of its own (``.../batch={id}``) and the commit
+    file, written last, names the bucket versions in force: a batch that fails
+    half-way is simply run again over its own folders - exactly-once effect.  Batches
+    run in order, so all folders of smaller batch ids are committed.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, as_of: dt.datetime, status: DataFrame | None = None, dedup_horizon_days: int = 1
+        self,
+        spark: SparkSession,
+        root: str,
+        as_of: dt.datetime,
+        status: DataFrame | None = None,
+        master: DataFrame | None = None,
+        rules: SegmentRules | None = None,
+        markers: Callable[[DataFrame], DataFrame] | None = None,
+        buckets: int = 8,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.as_of = as_of
         self.status = status  # (student_id, enrollment_status) for the funnel-stage feature
-        # A repeated event_id arrives within this many days of the first copy.
-        self.dedup_horizon_days = dedup_horizon_days
-
-    # -- storage helpers ------------------------------------------------------
-    def _committed(self) -> list[int]:
+        self.master = master  # known (profile_id, id_type, id_value)
+        self.rules = rules or SegmentRules()
+        self.markers = markers  # adds the marker columns W1 counts
+        table = lambda name, *key: BucketedTable(spark, self.root, name, list(key), buckets)
+        self.tables = {
+            "ids": table("ids", "event_id"),
+            "identity": table("identity", "id_type", "id_value"),
+            "profiles": table("profiles", "profile_id"),
+            "counts": table("counts", "student_id"),
+        }
+
+    # -- commits --------------------------------------------------------------
+    def _committed(self) -> int:
+        """The last committed batch (-1: none)."""
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
-        fs = p.getFileSystem(conf)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(p):
-            return []
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(p))
-
+            return -1
+        names = [(st.getPath().getName(), st.getPath().toString()) for st in fs.listStatus(p)]
+        done = [int(n) for n, path in names if n.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))]
+        return max(done, default=-1)
+
+    def _versions(self) -> dict[str, dict[int, int]]:
+        """Bucket versions in force, by table (a few numbers per bucket)."""
+        out: dict[str, dict[int, int]] = {name: {} for name in self.tables}
+        last = self._committed()
+        if last >= 0:
+            for r in self.spark.read.parquet(f"{self.root}/_commits/{last}").collect():
+                out[r["table"]][r["bucket"]] = r["batch"]
+        return out
+
+    def _commit(self, batch_id: int, versions: dict[str, dict[int, int]]) -> None:
+        rows = [(name, b, v) for name, held in versions.items() for b, v in held.items()]
+        df = self.spark.createDataFrame(rows, "table string, bucket int, batch long").coalesce(1)
+        df.write.mode("overwrite").parquet(f"{self.root}/_commits/{batch_id}")
+
+    # -- results --------------------------------------------------------------
     def profiles(self) -> DataFrame | None:
-        done = self._committed()
-        if not done:
-            return None
-        return self.spark.read.parquet(f"{self.root}/profiles/v{done[-1]}")
+        held = self._versions()["profiles"]
+        return self.tables["profiles"].read(held, self._profile_schema(held)) if held else None
+
+    def _profile_schema(self, held: dict[int, int]):
+        return self.spark.read.parquet(f"{self.root}/profiles/batch={max(held.values())}").drop("bucket").schema
 
     def features(self) -> DataFrame | None:
-        done = self._committed()
-        if not done:
-            return None
-        return self.spark.read.parquet(f"{self.root}/features/v{done[-1]}")
-
-    def _commit(self, batch_id: int) -> None:
-        self.spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/_commits/{batch_id}"
-        )
+        from tessera.operators.features import features_from_counts
+
+        held = self._versions()["counts"]
+        return features_from_counts(self.tables["counts"].read(held, COUNTS_SCHEMA), self.as_of, status=self.status) if held else None
+
+    def output(self, name: str) -> DataFrame:
+        """``dlq``, ``silver``, ``staging`` or ``segment_changes``: the folders of committed batches."""
+        return self.spark.read.parquet(f"{self.root}/{name}").filter(F.col("batch") <= self._committed()).drop("batch")
 
     # -- the batch function ---------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        from tessera.operators.normalize import source_allow_list
+        from tessera.operators.features import add_counts, feature_counts
+        from tessera.operators.identity import identifier_rows, resolve
+        from tessera.operators.normalize import dedup_events, source_allow_list
         from tessera.operators.profile import build_profiles
-        from tessera.operators.segments import SegmentRules, segment_changes
+        from tessera.operators.segments import segment_changes
+        from tessera.sinks.writers import stage_for_warehouse
 
-        if batch_id in self._committed():
+        if batch_id <= self._committed():
             return  # replay of a committed batch: already applied (D1)
+        versions, t = self._versions(), self.tables
+        folder = lambda name: f"{self.root}/{name}/batch={batch_id}"
         valid, dlq = source_allow_list(batch)
-        dlq.write.mode("append").parquet(f"{self.root}/dlq")  # D4 / D9: always dead-letter
-        # D5 across batches: first occurrence per event_id in the batch, not yet in silver.
-        from tessera.operators.normalize import dedup_events
+        dlq.write.mode("overwrite").parquet(folder("dlq"))  # D4 / D9: always dead-letter
 
+        # D5 over the whole history: the first occurrence of an id in the batch, unknown to the id index.
         fresh = dedup_events(valid)
-        silver_path = f"{self.root}/silver"
-        done = self._committed()
-        if done:
-            # Only silver partitions inside the dedup horizon of this batch are read
-            # (partition pruning on event_date), and only committed batches count.
-            span = fresh.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
-            if span["lo"] is not None:
-                lo = span["lo"] - dt.timedelta(days=self.dedup_horizon_days)
-                seen = (
-                    self.spark.read.parquet(silver_path)
-                    .filter(F.col("event_date").between(F.lit(lo), F.lit(span["hi"])) & F.col("batch").isin(done))
-                    .select("event_id")
-                )
-                fresh = fresh.join(seen, "event_id", "left_anti")
-        # Materialise the accepted rows once (they feed silver, the fold and the
-        # features); a replayed batch overwrites its own folder, so it is idempotent.
+        known = t["ids"].read(versions["ids"], "event_id long", t["ids"].touched(fresh))
+        fresh = fresh.join(known, "event_id", "left_anti")
         schema = fresh.schema
-        fresh.write.mode("overwrite").partitionBy("event_date").parquet(f"{silver_path}/batch={batch_id}")
-        fresh = self.spark.read.schema(schema).parquet(f"{silver_path}/batch={batch_id}")
-        prev = self.profiles()
-        delta_events = fresh.withColumnRenamed("student_id", "profile_id")
-        new = build_profiles(delta_events, self.as_of, previous=prev)
-        new.write.mode("overwrite").parquet(f"{self.root}/profiles/v{batch_id}")
-        # Segment changes of the profiles this batch touched (a new profile
-        # counts against an empty membership).
-        rules = SegmentRules(builtins=False).add_rule("engaged_learner", {"field": "total_events", "operator": ">=", "value": 5})
-        now = rules.evaluate(self.spark.read.parquet(f"{self.root}/profiles/v{batch_id}"))
-        touched_now = now.join(delta_events.select("profile_id").distinct(), "profile_id", "left_semi")
-        before = rules.evaluate(prev) if prev is not None else now.limit(0)
-        segment_changes(touched_now, before.join(delta_events.select("profile_id").distinct(), "profile_id", "left_semi"), as_of=self.as_of).write.mode(
-            "append"
-        ).parquet(f"{self.root}/segment_changes")
-        # Real-time features - recompute W1 for the students this batch touched
-        # (from their full silver history) and upsert them into the feature table.
-        from tessera.operators.features import student_features
-        from tessera.operators.vectors import upsert_by_id
-
-        touched = delta_events.select(F.col("profile_id").alias("student_id")).distinct()
-        history = (
-            self.spark.read.parquet(silver_path)
-            .filter(F.col("batch").isin(done + [batch_id]))
-            .drop("batch")
-            .join(touched, "student_id", "left_semi")
-        )
-        feats = student_features(history, self.as_of, status=self.status)
-        old = self.features()
-        merged = feats if old is None else upsert_by_id(old, feats.select(*old.columns), "entity_id")
-        merged.write.mode("overwrite").parquet(f"{self.root}/features/v{batch_id}")
-        self._commit(batch_id)
+        fresh.write.mode("overwrite").parquet(folder("silver"))
+        fresh = self.spark.read.schema(schema).parquet(folder("silver"))
+
+        # D3: resolve against the identity index, then extend it (smallest profile per identifier).
+        rows = identifier_rows(fresh, "event_id")
+        index_buckets = t["identity"].touched(rows)
+        index = t["identity"].read(versions["identity"], IDENTITY_SCHEMA, index_buckets)
+        owners = index if self.master is None else index.unionByName(self.master.select("id_type", "id_value", "profile_id"))
+        resolved = resolve(fresh.drop("personal_info"), owners.select("profile_id", "id_type", "id_value")).select("event_id", "profile_id")
+        resolved.write.mode("overwrite").parquet(folder("resolved"))
+        resolved = self.spark.read.schema(resolved.schema).parquet(folder("resolved"))
+        seen = rows.join(resolved, "event_id").select("id_type", "id_value", "profile_id")
+        index = index.unionByName(seen).groupBy("id_type", "id_value").agg(F.min("profile_id").alias("profile_id"))
+        t["identity"].write(index, batch_id)
+
+        # Fold into the touched buckets of the profile table.
+        events = fresh.join(resolved, "event_id")
+        touched = t["profiles"].touched(resolved)
+        held = versions["profiles"]
+        prev = t["profiles"].read(held, self._profile_schema(held), touched) if any(b in held for b in touched) else None
+        folded = build_profiles(events, self.as_of, previous=prev)
+        t["profiles"].write(folded, batch_id)
+        now = self.spark.read.schema(folded.schema).parquet(f"{self.root}/profiles/batch={batch_id}")
+
+        # Staging rows for the warehouse.
+        ids = resolved.select("profile_id").distinct()
+        mine = now.join(ids, "profile_id", "left_semi")
+        stage_for_warehouse(events.select("profile_id", "event_id", "event_type", "source", "ts"), mine).write.mode("overwrite").parquet(folder("staging"))
+
+        # Segment changes of the profiles this batch touched (a new profile counts against an empty membership).
+        after = self.rules.evaluate(mine)
+        before = self.rules.evaluate(prev.join(ids, "profile_id", "left_semi")) if prev is not None else after.limit(0)
+        segment_changes(after, before, as_of=self.as_of).write.mode("overwrite").parquet(folder("segment_changes"))
+
+        # Feature counts add up; only touched students' buckets are rewritten.
+        counted = (self.markers or (lambda e: e))(fresh)
+        if {"category", "started", "completed"} <= set(counted.columns):
+            new = feature_counts(counted, self.as_of)
+            old = t["counts"].read(versions["counts"], COUNTS_SCHEMA, t["counts"].touched(fresh.select("student_id")))
+            t["counts"].write(add_counts(old.unionByName(new)), batch_id)
+        t["ids"].write(known.unionByName(fresh.select("event_id")), batch_id)
+
+        for name, keys in (("ids", fresh), ("identity", rows), ("profiles", resolved), ("counts", fresh.select("student_id"))):
+            if name != "counts" or {"category", "started", "completed"} <= set(counted.columns):
+                versions[name] |= dict.fromkeys(t[name].touched(keys), batch_id)
+        self._commit(batch_id, versions)
 
     def run(self, stream: DataFrame) -> None:
         q = (
