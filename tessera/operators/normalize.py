@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.constants import (
+    CONSENT_CHANNELS,
     DLQ_REASON_MAX,
     EMAIL_EVENT_TYPES,
+    ENROLLMENT_STATES,
     EVENT_SOURCES,
+    IDENTIFIER_TYPES,
     MACHINE_OPEN_MARKERS,
     MOBILE_EVENT_TYPES,
     SF_FIELD_MAP,
@@ -28,6 +31,8 @@ from tessera.functions.text import detect_intent, extract_entities, first_non_em
 from tessera.functions.timestamps import coerce_types, parse_timestamp_or
 
 STR_MAP = T.MapType(T.StringType(), T.StringType())
+#: Malformed text lands in the ``_corrupt_record`` field instead of a row of nulls.
+PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 CLICKSTREAM_SCHEMA = T.StructType(
     [
@@ -43,6 +48,7 @@ CLICKSTREAM_SCHEMA = T.StructType(
         T.StructField("event_time", T.StringType()),
         T.StructField("event", T.StringType()),
         T.StructField("student_id", T.StringType()),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 MOBILE_SCHEMA = T.StructType(
@@ -58,6 +64,7 @@ MOBILE_SCHEMA = T.StructType(
         T.StructField("timestamp", T.StringType()),
         T.StructField("properties", STR_MAP),
         T.StructField("event_id", T.StringType()),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 
@@ -70,6 +77,40 @@ def with_errors(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
     return df.withColumn("errors", F.array_compact(F.array(*msgs)))
 
 
+def field_checks(json: str, required: list[str]) -> list[tuple[Column, str]]:
+    """P12 for a parsed payload: malformed text, else each missing required field."""
+    broken = F.col(json).isNull() | F.col(f"{json}._corrupt_record").isNotNull()
+    return [(broken, "malformed json"), *[(~broken & F.col(f"{json}.{c}").isNull(), f"{c}: field required") for c in required]]
+
+
+def profile_checks(df: DataFrame) -> list[tuple[Column, str]]:
+    """P12 of the profile model, for the columns present: identifier type and length (1 to 512),
+    enrollment state, consent channels, scores within 0 and 1."""
+    checks: list[tuple[Column, str]] = []
+    if "identifiers" in df.columns:
+        ids = F.coalesce("identifiers", F.array())
+        size = lambda x: F.length(F.coalesce(x["value"], F.lit("")))
+        checks.append((F.exists(ids, lambda x: ~F.coalesce(x["type"].isin(IDENTIFIER_TYPES), F.lit(False))), "identifiers.type: not a valid enumeration member"))
+        checks.append((F.exists(ids, lambda x: size(x) < 1), "identifiers.value: at least 1 character"))
+        checks.append((F.exists(ids, lambda x: size(x) > 512), "identifiers.value: at most 512 characters"))
+    if "enrollment_status" in df.columns:
+        s = F.col("enrollment_status")
+        checks.append((s.isNotNull() & ~s.isin(ENROLLMENT_STATES), "enrollment_status: not a valid enumeration member"))
+    if "consent" in df.columns:
+        channels = F.map_keys(F.coalesce("consent", F.create_map().cast("map<string,boolean>")))
+        checks.append((F.exists(channels, lambda c: ~c.isin(CONSENT_CHANNELS)), "consent: not a valid enumeration member"))
+    for c in ("engagement", "churn_risk", "enrollment_probability"):
+        if c in df.columns:
+            v = F.col(c)
+            checks.append((v.isNotNull() & (F.isnan(v) | (v < 0) | (v > 1)), f"{c}: between 0 and 1"))
+    return checks
+
+
+def validate_profiles(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profiles that satisfy the model, and dead letters."""
+    return split_valid(with_errors(df, profile_checks(df)))
+
+
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split on ``errors``: valid rows, and dead letters ``{original, error, error_type}`` (K3)."""
     valid = df.filter(F.size("errors") == 0).drop("errors")
@@ -94,15 +135,8 @@ def parse_clickstream(raw: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, Da
 
     Required: ``session_id``, ``page_url``.  Student id is ``user_id`` only.
     """
-    p = raw.select(F.col("value").alias("raw_value"), F.from_json("value", CLICKSTREAM_SCHEMA).alias("j"))
-    p = with_errors(
-        p,
-        [
-            (F.col("j").isNull(), "malformed json"),
-            (F.col("j.session_id").isNull(), "session_id: field required"),
-            (F.col("j.page_url").isNull(), "page_url: field required"),
-        ],
-    )
+    p = raw.select(F.col("value").alias("raw_value"), F.from_json("value", CLICKSTREAM_SCHEMA, PERMISSIVE).alias("j"))
+    p = with_errors(p, field_checks("j", ["session_id", "page_url"]))
     valid, dlq = split_valid(p.withColumn("source", F.lit("website")))
     ts, failed = parse_timestamp_or(first_non_empty(F.col("j.timestamp"), F.col("j.event_time")), as_of)
     norm_map = F.map_concat(
@@ -137,15 +171,8 @@ def parse_mobile(raw: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFra
 
     Types outside the allow-list of 8 are dropped without a dead letter (P6).
     """
-    p = raw.select(F.col("value").alias("raw_value"), F.from_json("value", MOBILE_SCHEMA).alias("j"))
-    p = with_errors(
-        p,
-        [
-            (F.col("j").isNull(), "malformed json"),
-            (F.col("j.event_type").isNull(), "event_type: field required"),
-            (F.col("j.device_id").isNull(), "device_id: field required"),
-        ],
-    )
+    p = raw.select(F.col("value").alias("raw_value"), F.from_json("value", MOBILE_SCHEMA, PERMISSIVE).alias("j"))
+    p = with_errors(p, field_checks("j", ["event_type", "device_id"]))
     valid, dlq = split_valid(p.withColumn("source", F.lit("app")))
     valid = valid.filter(F.col("j.event_type").isin(MOBILE_EVENT_TYPES))
     ts, failed = parse_timestamp_or(first_non_empty(F.col("j.timestamp")), as_of)
@@ -242,6 +269,54 @@ def normalize_whatsapp_text(chat: DataFrame, body: str = "body", sender: str = "
     )
 
 
+def email_events(email: DataFrame) -> DataFrame:
+    """E-mail events as canonical events; the recipient is the identifier."""
+    to = F.nullif(F.lower(F.trim("recipient_email")), F.lit(""))
+    text = F.create_map(*[x for c in ("campaign_id", "link_url", "bounce_type", "user_agent", "ip_address") for x in (F.lit(c), F.col(c))], F.lit("is_machine_open"), F.col("is_machine_open").cast("string"))
+    return email.select(
+        F.sha2(F.concat_ws("\u0001", "raw_payload", F.unix_micros("timestamp").cast("string")), 256).alias("event_id"),
+        "event_type",
+        F.lit("email").alias("source"),
+        F.col("timestamp").alias("ts"),
+        F.lit(None).cast("string").alias("student_id"),
+        _identifiers(("email", to)).alias("identifiers"),
+        F.col("raw_payload").alias("raw_data"),
+        text.alias("normalized_data"),
+        F.to_date("timestamp").alias("event_date"),
+    )
+
+
+def chat_events(chat: DataFrame) -> DataFrame:
+    """Chat events (``parse_whatsapp``) as canonical events with intent and entities; the sender's number is the identifier."""
+    c = normalize_whatsapp_text(chat.withColumn("body", F.coalesce("body", F.lit(""))))
+    phone = F.nullif(F.regexp_replace("from_number", "^whatsapp:", ""), F.lit(""))
+    norm = F.create_map(
+        F.lit("intent"), F.col("intent"),
+        F.lit("entities"), F.to_json("entities"),
+        F.lit("from_number"), F.col("from_number"),
+        F.lit("message_sid"), F.col("message_sid"),
+        F.lit("body_length"), F.col("body_length").cast("string"),
+    )
+    raw = F.to_json(F.struct("body", "from_number", "message_sid", "message_status", "num_media", "media_urls"))
+    return c.select(
+        F.coalesce(F.nullif("message_sid", F.lit("")), F.sha2(F.concat_ws("\u0001", raw, F.unix_micros("timestamp").cast("string")), 256)).alias("event_id"),
+        "event_type",
+        F.lit("whatsapp").alias("source"),
+        F.col("timestamp").alias("ts"),
+        F.lit(None).cast("string").alias("student_id"),
+        _identifiers(("phone", phone)).alias("identifiers"),
+        raw.alias("raw_data"),
+        norm.alias("normalized_data"),
+        F.to_date("timestamp").alias("event_date"),
+    )
+
+
+def _identifiers(*pairs: tuple[str, Column]) -> Column:
+    """Identifier array of the pairs whose value is neither null nor empty."""
+    rows = F.array(*[F.struct(F.lit(t).alias("type"), v.cast("string").alias("value")) for t, v in pairs])
+    return F.filter(rows, lambda x: F.length(x["value"]) > 0)
+
+
 def map_crm_fields(df: DataFrame) -> DataFrame:
     """9 renames; other columns kept as ``sf_<name>``; ``attributes`` dropped."""
     mapped = dict(SF_FIELD_MAP)
@@ -271,9 +346,11 @@ def normalize_csv_rows(df: DataFrame, schema_map: dict[str, str], as_of: dt.date
         F.lit("crm").alias("source"),
         ts.alias("ts"),
         first_non_empty(get("student_id"), get("salesforce_id")).alias("student_id"),
+        _identifiers(("email", get("email")), ("phone", get("phone")), ("salesforce_id", get("salesforce_id"))).alias("identifiers"),
         raw.alias("raw_data"),
         norm.alias("normalized_data"),
         failed.alias("ts_defaulted"),
+        F.to_date(ts).alias("event_date"),
     )
 
 
@@ -284,15 +361,17 @@ def source_allow_list(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_events(df: DataFrame, key: str = "event_id", order: str = "ts") -> DataFrame:
-    """One row per ``event_id``, the earliest by ``ts`` (ties: smallest JSON of the row).
+    """One row per ``event_id``, the earliest by ``ts`` (ties: the least hash of the row).
 
     An aggregate (``min_by`` over a struct of the row) rather than a window: the
     partial aggregation runs map-side, so even an id repeated millions of times
-    reaches the shuffle as one row per map task.
+    reaches the shuffle as one row per map task.  The tie-break is a number, not a
+    rendering of the row.
     """
     others = [c for c in df.columns if c != key]
     row = F.struct(*[F.col(c) for c in others])
-    tie = F.struct(F.col(order), F.to_json(row))
+    flat = [F.map_entries(c) if kind.startswith("map<") else F.col(c) for c, kind in df.dtypes if c != key]
+    tie = F.struct(F.col(order), F.xxhash64(*flat))
     return df.groupBy(key).agg(F.min_by(row, tie).alias("_r")).select(key, "_r.*")
 
 

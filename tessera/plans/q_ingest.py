@@ -163,7 +163,9 @@ def p3_chat_intent(spark, sf_dir):
 
 P3D_SQL = f"""
 SELECT doc_id, {INTENT_CASE} AS intent,
-       len(regexp_extract_all(text, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+')) AS n_emails
+       len(regexp_extract_all(text, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+')) AS n_emails,
+       len(regexp_extract_all(text, '\\+?\\d[\\d\\s\\-()]{{7,15}}')) AS n_phones,
+       len(regexp_extract_all(text, '(?i)\\b(?:B\\.?Sc|M\\.?Sc|MBA|B\\.?A|M\\.?A)\\b\\.?\\s*\\w*')) AS n_programs
 FROM documents
 """
 
@@ -174,7 +176,7 @@ def f4_document_intent(spark, sf_dir):
 
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ents = extract_entities(F.col("text"))
-    return d.select("doc_id", detect_intent(F.col("text")).alias("intent"), F.coalesce(F.size(ents["email"]), F.lit(0)).cast("bigint").alias("n_emails"))
+    return d.select("doc_id", detect_intent(F.col("text")).alias("intent"), *[F.coalesce(F.size(ents[k]), F.lit(0)).cast("bigint").alias(n) for k, n in (("email", "n_emails"), ("phone", "n_phones"), ("program_name", "n_programs"))])
 
 
 F8_SQL = """
@@ -277,22 +279,176 @@ def k3_dead_letters(spark, sf_dir):
     return dlq.groupBy("error", "error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _five_sources(spark, sf_dir):
+    """All five sources parsed from raw payloads to canonical events, and their rejects."""
+    web, r1 = N.parse_clickstream(PL.clickstream_json(spark, sf_dir), AS_OF_EVENTS)
+    app, r2 = N.parse_mobile(PL.mobile_json(spark, sf_dir), AS_OF_EVENTS)
+    mail, r3 = N.parse_email(PL.email_json(spark, sf_dir))
+    fields = {"Id": "salesforce_id", "Email": "email", "Phone": "phone", "LastModifiedDate": "timestamp"}
+    crm = N.normalize_csv_rows(PL.crm_rows(spark, sf_dir), fields, AS_OF_EVENTS)
+    chat = N.chat_events(N.parse_whatsapp(PL.whatsapp_forms(spark, sf_dir)))
+    return N.union_sources(web, app, crm, N.email_events(mail), chat), (r1, r2, r3)
+
+
+FIVE_SQL = f"""five AS (
+  SELECT 'website' AS source, CASE WHEN event_id % 2 = 0 THEN 'page_view' ELSE 'unknown' END AS event_type, date_trunc('second', ts) AS ts,
+         ['session_id:s_' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id % 5 AS VARCHAR)] AS ids FROM events WHERE event_type = 'view' AND event_id % 53 <> 0
+  UNION ALL
+  SELECT 'app', 'mobile.' || ['app_opened','lesson_completed','quiz_taken','push_clicked','course_downloaded',
+                     'study_session_started','study_session_ended','notification_received'][event_id % 9 + 1], date_trunc('second', ts),
+         list_concat(['device_id:d_' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id % 2 AS VARCHAR)],
+                     CASE WHEN event_id % 4 = 0 THEN ['device_id:ad_' || CAST(user_id AS VARCHAR)] ELSE [] END)
+  FROM events WHERE event_type = 'click' AND event_id % 9 <> 8
+  UNION ALL
+  SELECT 'crm', 'csv_import', TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)),
+         ['email:' || {O.email('c_custkey')}, 'phone:' || {O.phone('c_custkey')}, 'salesforce_id:sf_' || CAST(c_custkey AS VARCHAR)] FROM customer
+  UNION ALL
+  SELECT 'email', ['email_opened','email_clicked','email_bounced','email_unsubscribed','email_spam'][event_id % 5 + 1], ts, ['email:' || {O.email()}]
+  FROM events WHERE event_type = 'signup' AND event_id % 5 <> 4
+  UNION ALL
+  SELECT 'whatsapp', CASE WHEN event_id % 7 = 0 THEN 'whatsapp.general_message' ELSE 'whatsapp.program_inquiry' END, ts, ['phone:' || {O.phone()}]
+  FROM events WHERE event_type = 'error')"""
+
 U6_SQL = f"""
-WITH e AS (
-  SELECT 'website' AS source, count(*) AS n FROM events WHERE event_type = 'view' AND event_id % 53 <> 0
-  UNION ALL SELECT 'app', count(*) FROM events WHERE event_type = 'click' AND event_id % 9 <> 8
-  UNION ALL SELECT 'crm', count(*) FROM customer)
-SELECT source, n AS n_events FROM e
+WITH {FIVE_SQL}
+SELECT source, event_type, count(*) AS n_events, CAST(sum(len(ids)) AS BIGINT) AS n_identifiers, min(ids[1]) AS first_identifier, {O.ts_str('max(ts)')} AS last_ts
+FROM five GROUP BY 1, 2
 """
 
 
-@register("u6_union_sources", U6_SQL, "U6: parsed sources unioned by name into one event table")
+@register("u6_union_sources", U6_SQL, "U6 S5 S6 P2 P3: five sources parsed from payloads into one event table with identifiers")
 def u6_union_sources(spark, sf_dir):
-    web, _ = N.parse_clickstream(PL.clickstream_json(spark, sf_dir), AS_OF_EVENTS)
-    app, _ = N.parse_mobile(PL.mobile_json(spark, sf_dir), AS_OF_EVENTS)
-    crm = N.normalize_csv_rows(PL.crm_rows(spark, sf_dir), {"Id": "salesforce_id", "LastModifiedDate": "timestamp"}, AS_OF_EVENTS)
-    allev = N.union_sources(web, app, crm)
-    return allev.groupBy("source").agg(F.count(F.lit(1)).alias("n_events"))
+    return _source_totals(_five_sources(spark, sf_dir)[0])
+
+
+def _source_totals(events):
+    keys = F.transform("identifiers", lambda x: F.concat(x["type"], F.lit(":"), x["value"]))
+    return events.groupBy("source", "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum(F.size("identifiers")).cast("bigint").alias("n_identifiers"),
+        F.min(keys[0]).alias("first_identifier"),
+        _ts(F.max("ts")).alias("last_ts"),
+    )
+
+
+@register("m1_payloads_to_silver", U6_SQL, "M1 U6 P11 W6: raw payloads of five sources, every event delivered twice, to silver")
+def m1_payloads_to_silver(spark, sf_dir):
+    from tessera.plans.medallion import bronze_to_silver
+
+    bronze = _five_sources(spark, sf_dir)[0]
+    again = bronze.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+    silver, _ = bronze_to_silver(bronze.unionByName(again))
+    return _source_totals(silver)
+
+
+M2P_SQL = f"""
+WITH RECURSIVE {FIVE_SQL},
+n AS (SELECT row_number() OVER () AS eid, * FROM five),
+own AS (SELECT DISTINCT ids[1] AS hub, unnest(ids) AS node FROM n),
+edges AS (SELECT hub AS a, node AS b FROM own UNION SELECT node, hub FROM own),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY 1),
+g AS (SELECT comp.component, count(*) AS total_events, count(DISTINCT n.source) AS sources, max(n.ts) AS last_ts FROM n JOIN comp ON comp.node = n.ids[1] GROUP BY 1)
+SELECT sha256(component) AS profile_id, total_events, sources, {O.score('last_ts', 'total_events')} AS engagement_score FROM g
+"""
+
+
+@register("m2_payloads_to_gold", M2P_SQL, "M2 J4 A5: raw payloads of five sources to gold profiles, joined by the identity graph")
+def m2_payloads_to_gold(spark, sf_dir):
+    from tessera.operators import identity as I
+    from tessera.operators.profile import build_profiles
+    from tessera.session import cut_lineage
+
+    silver = cut_lineage(_five_sources(spark, sf_dir)[0])
+    nodes, edges = I.graph_edges(silver)
+    comp = I.connected_components(nodes, edges)
+    ev = I.smallest_identifier(silver).join(comp, F.col("_min_id") == F.col("node")).withColumn("profile_id", I.new_profile_id(F.col("component")))
+    gold = build_profiles(ev.drop("student_id"), AS_OF_EVENTS)
+    return gold.select("profile_id", "total_events", F.size("per_source_count").cast("bigint").alias("sources"), "engagement_score")
+
+
+D9P_SQL = """
+WITH w AS (SELECT event_id, event_type FROM events),
+r AS (
+  SELECT 'website' AS source, CASE WHEN event_id % 59 = 0 THEN 'malformed json' ELSE 'session_id: field required' END AS error
+  FROM w WHERE event_type = 'view' AND (event_id % 59 = 0 OR event_id % 53 = 0)
+  UNION ALL SELECT 'app', 'malformed json' FROM w WHERE event_type = 'click' AND event_id % 59 = 0
+  UNION ALL SELECT 'app', 'device_id: field required' FROM w WHERE event_type = 'click' AND event_id % 59 <> 0 AND event_id % 61 = 0
+  UNION ALL SELECT 'email', 'unsupported event_type' FROM w WHERE event_type = 'signup' AND event_id % 5 = 4)
+SELECT source, error, count(*) AS n FROM r GROUP BY 1, 2
+"""
+
+
+@register("d9_parser_rejects", D9P_SQL, "D9 K3 P12 S1 S2 S5: dead letters of the parsers - malformed text, missing fields, unsupported types")
+def d9_parser_rejects(spark, sf_dir):
+    broken = F.when(F.col("offset") % 59 == 0, F.concat(F.lit("{not json "), F.col("offset").cast("string")))
+    web = PL.clickstream_json(spark, sf_dir).withColumn("value", F.coalesce(broken, "value"))
+    gone = F.when(F.col("offset") % 61 == 0, F.regexp_replace("value", '"device_id":"[^"]*",', "")).otherwise(F.col("value"))
+    app = PL.mobile_json(spark, sf_dir).withColumn("value", F.coalesce(broken, gone))
+    _, r1 = N.parse_clickstream(web, AS_OF_EVENTS)
+    _, r2 = N.parse_mobile(app, AS_OF_EVENTS)
+    _, r3 = N.parse_email(PL.email_json(spark, sf_dir))
+    return r1.unionByName(r2).unionByName(r3).groupBy("source", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+P12_SQL = """
+WITH c AS (SELECT c_custkey AS k FROM customer),
+e AS (
+  SELECT k, 'identifiers.type: not a valid enumeration member' AS error, 1 AS o FROM c WHERE k % 5 = 0
+  UNION ALL SELECT k, 'identifiers.value: at least 1 character', 2 FROM c WHERE k % 7 = 0
+  UNION ALL SELECT k, 'identifiers.value: at most 512 characters', 3 FROM c WHERE k % 11 = 0
+  UNION ALL SELECT k, 'enrollment_status: not a valid enumeration member', 4 FROM c WHERE k % 13 = 0
+  UNION ALL SELECT k, 'engagement: between 0 and 1', 5 FROM c WHERE k % 17 = 0
+  UNION ALL SELECT k, 'churn_risk: between 0 and 1', 6 FROM c WHERE k % 19 = 0)
+SELECT string_agg(error, '; ' ORDER BY o) AS error, k AS profile_id FROM e GROUP BY k
+"""
+
+
+@register("p12_profile_model", P12_SQL, "P12: identifier type and length, enrollment state, score ranges; every failed check named")
+def p12_profile_model(spark, sf_dir):
+    k = F.col("c_custkey")
+    bad = lambda n, wrong, right: F.when(k % n == 0, wrong).otherwise(right)
+    ident = lambda t, v: F.struct(t.alias("type"), v.alias("value"))
+    prof = read_table(spark, sf_dir, "customer").select(
+        k.alias("profile_id"),
+        F.array(
+            ident(bad(5, F.lit("fax"), F.lit("email")), F.lit("x@y.z")),
+            ident(F.lit("phone"), bad(7, F.lit(""), F.lit("+49"))),
+            ident(F.lit("device_id"), bad(11, F.repeat(F.lit("d"), 513), F.repeat(F.lit("d"), 512))),
+        ).alias("identifiers"),
+        bad(13, F.lit("graduated"), F.lit("inquiry")).alias("enrollment_status"),
+        bad(17, F.lit(1.01), F.lit(1.0)).alias("engagement"),
+        bad(19, F.lit(-0.01), F.lit(0.0)).alias("churn_risk"),
+    )
+    _, dlq = N.validate_profiles(prof)
+    return dlq.select("error", F.get_json_object("original", "$.profile_id").cast("bigint").alias("profile_id"))
+
+
+F2_SQL = f"""
+SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') || '+00:00' AS updated_at, CAST(event_id AS VARCHAR) AS code, 'x0' || CAST(event_id AS VARCHAR) AS note
+FROM events
+"""
+
+
+@register("f2_coerced_values", F2_SQL, "F2: payload values coerced - times to UTC text, digit strings without leading zeros, text kept")
+def f2_coerced_values(spark, sf_dir):
+    from tessera.functions.timestamps import coerce_types
+
+    e = read_table(spark, sf_dir, "events")
+    cet = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("CET"))
+    n = F.col("event_id").cast("string")
+    m = coerce_types(F.create_map(F.lit("updated_at"), cet, F.lit("code"), F.concat(F.lit("000"), n), F.lit("note"), F.concat(F.lit("x0"), n)))
+    return e.select("event_id", m["updated_at"].alias("updated_at"), m["code"].alias("code"), m["note"].alias("note"))
+
+
+@register("s3_crm_csv", P8_SQL, "S3 U5 P8: header CSV read in one pass, required columns checked, fields mapped")
+def s3_crm_csv(spark, sf_dir):
+    from tessera.sources.crm import read_crm_csv
+    from tessera.streaming.pipeline import scratch_dir
+
+    path = scratch_dir(spark, "crm_csv")
+    PL.crm_rows(spark, sf_dir).write.option("header", True).csv(path)
+    return N.map_crm_fields(read_crm_csv(spark, path))
 
 
 S8_SQL = f"""
@@ -345,7 +501,7 @@ S4I_SQL = """
 SELECT 'sf_' || CAST(c_custkey AS VARCHAR) AS salesforce_id,
        strftime(TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS sf_modified_at
 FROM customer
-WHERE TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)) > TIMESTAMP '2024-01-30 12:00:00'
+WHERE TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)) >= TIMESTAMP '2024-01-30 00:50:00'
 """
 
 
@@ -354,4 +510,4 @@ def s4_crm_changes_incremental(spark, sf_dir):
     from tessera.sources.crm import crm_changes_since
 
     m = N.map_crm_fields(PL.crm_rows(spark, sf_dir))
-    return crm_changes_since(m, "2024-01-30 12:00:00").select("salesforce_id", "sf_modified_at")
+    return crm_changes_since(m, "2024-01-30 00:50:00").select("salesforce_id", "sf_modified_at")

@@ -351,17 +351,25 @@ def f18_url_params(spark, sf_dir):
     return p.select("page_id", query_param(F.col("url"), "page").alias("page_param"), query_param(F.col("url"), "ref").alias("ref_param"))
 
 
-@register("p23_verify_signatures", None, "P23: HMAC-SHA1 chat-form signatures verified in the JVM")
+P23_SQL = "SELECT event_id AS offset, event_id % 3 <> 0 AS form_valid, event_id % 4 <> 0 AS body_valid FROM events WHERE event_type = 'error'"
+
+
+@register("p23_verify_signatures", P23_SQL, "P23: HMAC-SHA1 form and HMAC-SHA256 body signatures verified in the JVM, some forged")
 def p23_verify_signatures(spark, sf_dir):
-    from tessera.functions.crypto import form_signature_message, hmac_hex, verify_form_signature
+    from tessera.functions.crypto import form_signature_message, hmac_hex, verify_body_signature, verify_form_signature
     from tessera.sources.payloads import whatsapp_forms
 
     forms = whatsapp_forms(spark, sf_dir)
     url = F.lit("https://hooks.example.com/whatsapp")
-    token = "test-token"
-    good = hmac_hex(token, form_signature_message(url, F.col("form")), 1)
-    sig = F.when(F.col("offset") % 3 == 0, F.lit("0" * 40)).otherwise(good)
-    return forms.select("offset", verify_form_signature(token, url, F.col("form"), sig).alias("valid"))
+    token, body = "test-token", F.to_json("form")
+    form_sig = F.when(F.col("offset") % 3 == 0, F.lit("0" * 40)).otherwise(hmac_hex(token, form_signature_message(url, F.col("form")), 1))
+    # A forged body signature is the right one of another body.
+    body_sig = hmac_hex(token, F.when(F.col("offset") % 4 == 0, F.concat(body, F.lit(" "))).otherwise(body), 256)
+    return forms.select(
+        "offset",
+        verify_form_signature(token, url, F.col("form"), form_sig).alias("form_valid"),
+        verify_body_signature(token, body, F.upper(body_sig)).alias("body_valid"),
+    )
 
 
 S10_TEXT = """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.constants import CONSENT_CHANNELS, ERASURE_DOCUMENT_COLLECTIONS, ERASURE_WAREHOUSE_TABLES
@@ -77,6 +78,23 @@ def c1_consent_audit(spark, sf_dir):
     return audit.select("student_id", "channel", "old_value", "new_value", F.date_format("timestamp", TS).alias("timestamp"))
 
 
+T3_SQL = f"""
+SELECT row_number() OVER (ORDER BY timestamp, channel) AS position, channel, new_value, timestamp
+FROM ({C1A_SQL}) WHERE student_id = '7'
+"""
+
+
+@register("t3_consent_trail", T3_SQL, "T3: audit trail of one student in ascending time")
+def t3_consent_trail(spark, sf_dir):
+    _, audit, _ = C.update_consent(consent_records(spark, sf_dir, CONSENT_START), consent_changes(spark, sf_dir))
+    trail = C.consent_audit_trail(audit, "7").withColumn("position", F.monotonically_increasing_id())
+    # One student's rows: numbered in the order the trail gives.
+    order = Window.partitionBy("student_id").orderBy("position")
+    return trail.select(
+        F.row_number().over(order).cast("long").alias("position"), "channel", "new_value", F.date_format("timestamp", TS).alias("timestamp")
+    )
+
+
 C2_SQL = f"""
 WITH {CUR_SQL}
 SELECT CAST(c.c_custkey AS VARCHAR) AS student_id,

@@ -24,17 +24,25 @@ def crm_changes(mapped: DataFrame, day: str, limit: int = SF_CHANGES_LIMIT) -> D
 
 
 def crm_changes_since(mapped: DataFrame, high_water_mark: str | None) -> DataFrame:
-    """S4 incremental form: rows modified after the last high-water mark, once per id."""
+    """S4 incremental form: rows modified at or after the last high-water mark, once per (id, modified).
+
+    Rows that share the mark's timestamp come again: the consumer's upsert by id makes
+    that harmless, while skipping them would lose those that were not read before.
+    """
     modified = F.try_to_timestamp(F.col("sf_modified_at"))
-    rows = mapped if high_water_mark is None else mapped.filter(modified > F.lit(high_water_mark).cast("timestamp"))
+    rows = mapped if high_water_mark is None else mapped.filter(modified >= F.lit(high_water_mark).cast("timestamp"))
     return rows.dropDuplicates(["salesforce_id", "sf_modified_at"])
 
 
-def read_crm_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S3: header CSV with inferred types; fails when the path is absent or ``Id``/``Email`` are missing."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+def read_crm_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """S3: header CSV in one pass; fails when the path is absent or ``Id``/``Email`` are missing.
+
+    The header names the columns; ``types`` casts some of them (text otherwise, and null
+    where a value doesn't fit) - no second read to infer types.
+    """
+    df = spark.read.option("header", True).csv(path)
     check_crm_columns(df)
-    return df
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if types and c in types else F.col(c) for c in df.columns])
 
 
 def load_files(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
