@@ -81,6 +81,17 @@ class SegmentRules:
         self.rules.append((name, conditions))
         return self
 
+    def supported(self, columns: list[str]) -> SegmentRules:
+        """The rules whose fields (their first path step) are all among ``columns``."""
+
+        def fields(rule: dict) -> set[str]:
+            nxt = rule.get("and") or rule.get("and_condition")
+            return {rule["field"].split(".")[0]} | (fields(nxt) if nxt else set())
+
+        out = SegmentRules(builtins=False)
+        out.rules = [(n, r) for n, r in self.rules if fields(r) <= set(columns)]
+        return out
+
     def segments_column(self) -> Column:
         """ARRAY<STRING> of matched segment names, in rule order."""
         hits = [F.when(compile_rule(rule), F.lit(name)) for name, rule in self.rules]

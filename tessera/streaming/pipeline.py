@@ -273,8 +273,9 @@ class ProfileStreamJob:
         stage_for_warehouse(events.select("profile_id", "event_id", "event_type", "source", "ts"), mine).write.mode("overwrite").parquet(folder("staging"))
 
         # Segment changes of the profiles this batch touched (a new profile counts against an empty membership).
-        after = self.rules.evaluate(mine)
-        before = self.rules.evaluate(prev.join(ids, "profile_id", "left_semi")) if prev is not None else after.limit(0)
+        rules = self.rules.supported(folded.columns)
+        after = rules.evaluate(mine)
+        before = rules.evaluate(prev.join(ids, "profile_id", "left_semi")) if prev is not None else after.limit(0)
         segment_changes(after, before, as_of=self.as_of).write.mode("overwrite").parquet(folder("segment_changes"))
 
         # Feature counts add up; only touched students' buckets are rewritten.
