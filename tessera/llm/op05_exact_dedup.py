@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_of
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, drop_table
 
 SALTS = 8
 BUFFER_BYTES = 48 << 20
@@ -83,10 +83,25 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     Repeated rows: each counts in ``group_size``, exactly one is ``kept``.  An empty
     table gives an empty result; other columns are ignored.
     """
+    return _decisions(_local_level(docs))
+
+
+def kept_keys(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_sha256)`` of the rows that stay and have an id, as a table; the level tables are deleted."""
+    local = _local_level(docs)
+    kept = cut_lineage(_decisions(local).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_sha256"))
+    drop_table(local)
+    return kept
+
+
+def _local_level(docs: DataFrame) -> DataFrame:
+    """Level 1, materialised once: row numbers must be the same for every reader."""
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    # Materialised once: row numbers must be the same for every reader.
-    local = cut_lineage(src.mapInArrow(_local_combine, _LOCAL))
+    return cut_lineage(src.mapInArrow(_local_combine, _LOCAL))
+
 
+def _decisions(local: DataFrame) -> DataFrame:
+    """Levels 2 and 3, and the way back to the rows."""
     winners = local.where("body IS NOT NULL").select("doc_id", "local_id", "digest", "n", "body")
     salted = winners.withColumn("salt", F.pmod(F.xxhash64("local_id"), F.lit(SALTS)))
     rank = F.struct(F.col("doc_id").isNotNull(), "doc_id", "local_id")

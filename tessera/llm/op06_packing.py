@@ -31,14 +31,14 @@ from tessera.session import cut_lineage
 WINDOW = 1024
 PIECE = 256
 WAYS = 256
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 SEPARATOR = (0).to_bytes(4, "little")
 
 _PIECES = "doc_id long, rid long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long"
 _NAMES = [c.split()[0] for c in _PIECES.split(", ")]
 
 
-class Encoder(dict):
+class Encoder:
     """Token ids of whole texts, little-endian 32-bit: the ids the library gives for the tokenizer file.
 
     Maps a pre-token to its ids; one not met before is merged on its own (merges never
@@ -47,15 +47,14 @@ class Encoder(dict):
     """
 
     def __init__(self, tokenizer_file: str):
-        super().__init__()
         self.table = class_table(tokenizer_file)
         self.special = {t.content: i.to_bytes(4, "little") for i, t in load(tokenizer_file).get_added_tokens_decoder().items()}
         self.merge = rank_merger(tokenizer_file)
-        self.update(self.special)
+        self.known: dict[str, bytes] = dict(self.special)
 
-    def __missing__(self, word: str) -> bytes:
+    def learn(self, word: str) -> bytes:
         ids = self.merge(word.encode("utf-8", "surrogatepass"))
-        out = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        out = self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
     def pieces(self, text: str) -> list[str]:
@@ -69,10 +68,14 @@ class Encoder(dict):
         return split(text, self.table)
 
     def encode(self, text: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.update(self.special)
-        return b"".join([self[w] for w in self.pieces(text)])
+        if len(self.known) > CACHE_WORDS:
+            self.known = dict(self.special)
+        words = self.pieces(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            known, learn = self.known, self.learn
+            found = [x if x is not None else known.get(w) or learn(w) for x, w in zip(found, words)]
+        return b"".join(found)
 
 
 def _cut(tokenizer_file: str):
@@ -111,6 +114,12 @@ def difference(sizes: list[int], ways: int) -> tuple[list[int], list[list[int]]]
     while len(heap) > 1:
         _, _, sa, na = heapq.heappop(heap)
         _, _, sb, nb = heapq.heappop(heap)
+        if len(sa) + len(sb) <= min(ways, 16):  # few parts, all with room beside each other
+            sums, nodes = zip(*sorted(zip((*sa, *sb), (*na, *nb)), key=lambda p: -p[0]))
+            low = int(sums[-1]) if len(sums) == ways else 0
+            heapq.heappush(heap, (low - int(sums[0]), tie, sums, nodes))
+            tie += 1
+            continue
         sa, na, sb, nb = np.asarray(sa), np.asarray(na), np.asarray(sb), np.asarray(nb)
         free = ways - len(sa)
         if len(sb) <= free:  # the lightest windows of a are empty ones
