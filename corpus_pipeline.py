@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import UPPER, documents, keep_rows, labels, text_of
 from tessera.llm.op02_toxicity import train_toxicity
 from tessera.llm.op03_simhash import simhash_components
-from tessera.llm.op05_exact_dedup import exact_dedup
+from tessera.llm.op05_exact_dedup import kept_keys
 from tessera.llm.op06_packing import pack_documents
 from tessera.llm.op10_mixing import mix
 from tessera.llm.queries import vocabulary
@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id."""
-    kept = exact_dedup(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_sha256")
+    kept = kept_keys(docs)
     digest = F.sha2(F.translate(text_of(docs), UPPER, UPPER.lower()), 256)
     return keep_rows(docs, kept, {"doc_id": F.col("doc_id").cast("long"), "text_sha256": digest})
 
