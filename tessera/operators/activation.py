@@ -58,13 +58,17 @@ def daily_quota_rank(df: DataFrame, day: Column, order: list[Column], buckets: i
 
 def crm_payload(profiles: DataFrame) -> DataFrame:
     """P18 + F10: the CRM payload map (score default 0, segments joined by ``,``, last
-    interaction) and its idempotency key, as two projected columns."""
+    interaction) and the idempotency key over the whole profile row (every column not
+    starting with ``_``), as two projected columns."""
+    whole = [c for c in sorted(profiles.columns) if not c.startswith("_")]
+    atomic = {f.name for f in profiles.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+    row = F.create_map(*[x for c in whole for x in (F.lit(c), F.col(c).cast("string") if c in atomic else F.to_json(c))])
     payload = F.create_map(
         F.lit("Enrollment_Score__c"), F.coalesce(F.col("enrollment_score"), F.lit(0.0)).cast("string"),
         F.lit("CDP_Segment__c"), F.array_join(F.coalesce(F.col("segments"), F.array().cast("array<string>")), ","),
         F.lit("Last_Interaction__c"), F.col("last_interaction").cast("string"),
     )
-    return profiles.withColumn("_payload", payload).withColumn("dedup_key", dedup_key("sf", F.col("profile_id"), F.col("_payload")))
+    return profiles.withColumn("_payload", payload).withColumn("dedup_key", dedup_key("sf", F.col("profile_id"), row))
 
 
 def salesforce_sync(
@@ -219,3 +223,15 @@ def segment_change_actions(changes: DataFrame) -> DataFrame:
     add = changes.select("profile_id", F.explode("segments_added").alias("segment")).withColumn("action", F.lit("add"))
     rem = changes.select("profile_id", F.explode("segments_removed").alias("segment")).withColumn("action", F.lit("remove"))
     return add.unionByName(rem)
+
+
+def audience_outbox(actions: DataFrame, gate: DataFrame, sent_keys: DataFrame, channel: str) -> DataFrame:
+    """Audience changes of one channel - consent (``gate (profile_id, allowed, reason)``),
+    then idempotency against earlier runs and within this one (F11)."""
+    payload = F.create_map(F.lit("segment"), F.col("segment"), F.lit("action"), F.col("action"))
+    r = actions.withColumn("dedup_key", dedup_key(channel, F.col("profile_id"), payload))
+    r = r.join(gate.select("profile_id", "allowed", "reason").dropDuplicates(["profile_id"]), "profile_id", "left")
+    r = r.join(sent_keys.select("dedup_key").distinct().withColumn("_seen", F.lit(True)), "dedup_key", "left")
+    status = F.when(~F.coalesce("allowed", F.lit(False)), F.lit("consent_denied")).when(F.col("_seen").isNotNull(), F.lit("deduplicated")).otherwise(F.lit("queued"))
+    r = _first_of_equal(r, status, "queued")
+    return r.select(F.lit(channel).alias("channel"), "profile_id", "segment", "action", "status", "reason", "dedup_key")

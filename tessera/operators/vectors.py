@@ -44,8 +44,9 @@ def _topk_block(k: int, exclude_self: bool):
                 S[qids[:, None] == vids[None, :]] = -np.inf
             for i in range(S.shape[0]):
                 row = S[i]
-                # Stable order: score desc, then vector id asc.
-                order = np.lexsort((vids, -row))[:kk]
+                # The kk best scores and everything tied with the last of them, then score desc, vector id asc.
+                near = np.flatnonzero(row >= np.partition(row, len(row) - kk)[len(row) - kk]) if kk < len(row) else np.arange(len(row))
+                order = near[np.lexsort((vids[near], -row[near]))[:kk]]
                 order = order[np.isfinite(row[order])]
                 out_q.append(np.full(len(order), qids[i]))
                 out_v.append(vids[order])

@@ -12,6 +12,7 @@ from tessera.plans import oracle_fragments as O
 from tessera.plans.q_privacy import CONSENT_START, CUR_SQL
 from tessera.plans.registry import register
 from tessera.sources.adapters import AS_OF_EVENTS, canonical_events, consent_records, page_markers, phone_of
+from tessera.session import cut_lineage
 from tessera.sources.tables import read_table
 
 QUOTA_LEFT = 20  # the day's quota is used up to 20 calls when this sync runs
@@ -221,9 +222,11 @@ def _r5_sql():
 act AS (
   SELECT profile_id, unnest(string_split(segments_added, ',')) AS segment, 'add' AS action FROM d WHERE segments_added <> ''
   UNION ALL SELECT profile_id, unnest(string_split(segments_removed, ',')), 'remove' FROM d WHERE segments_removed <> '')
-SELECT act.profile_id, act.segment, act.action, coalesce(c.consented, false) AS allowed,
+SELECT ch.channel, act.profile_id, act.segment, act.action,
+       CASE WHEN NOT coalesce(c.consented, false) THEN 'consent_denied' WHEN CAST(act.profile_id AS BIGINT) % 4 = 0 OR copy = 1 THEN 'deduplicated' ELSE 'queued' END AS status,
        CASE WHEN c.consented IS NULL THEN 'no_record' WHEN NOT c.consented THEN 'revoked' END AS reason
-FROM act LEFT JOIN cur c ON c.student_id = act.profile_id AND c.channel = 'push'
+FROM act JOIN (VALUES (0), (1)) k(copy) ON copy = 0 OR CAST(act.profile_id AS BIGINT) % 3 = 0
+     CROSS JOIN (VALUES ('push'), ('email')) ch(channel) LEFT JOIN cur c ON c.student_id = act.profile_id AND c.channel = ch.channel
 """
 
 
@@ -237,6 +240,14 @@ def r5_push_audience_changes(spark, sf_dir):
     now = _profiles_with_segments(spark, sf_dir, AS_OF_EVENTS)
     before = _profiles_with_segments(spark, sf_dir, AS_OF_EVENTS - dt.timedelta(days=7))
     actions = A.segment_change_actions(S.segment_changes(now, before, as_of=AS_OF_EVENTS))
+    # Every third profile's changes come twice in the run; every fourth profile's went out before.
+    actions = cut_lineage(actions.unionByName(actions.filter(F.col("profile_id").cast("bigint") % 3 == 0)))
     students = actions.select("profile_id").distinct()
-    gate = C.consent_gate(actions, students, consent_records(spark, sf_dir, CONSENT_START), "push")
-    return gate.select("profile_id", "segment", "action", "allowed", "reason")
+    none = spark.createDataFrame([], "dedup_key string")
+    out = []
+    for channel in ("push", "email"):
+        gate = C.consent_gate(students, students, consent_records(spark, sf_dir, CONSENT_START), channel)
+        first = A.audience_outbox(actions, gate, none, channel)
+        sent = first.filter(F.col("profile_id").cast("bigint") % 4 == 0).select("dedup_key")
+        out.append(A.audience_outbox(actions, gate, sent, channel).drop("dedup_key"))
+    return out[0].unionByName(out[1])

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -65,6 +66,33 @@ def a13_active_profiles(spark, sf_dir):
     return M.active_profiles(prof, AS_OF_EVENTS, ACTIVE_DAYS)
 
 
+A11C_SQL = f"""
+WITH j3 AS ({J3_SQL.strip()})
+SELECT 'matches' AS counter, match_type AS label, count(*) AS n FROM j3 GROUP BY 2
+UNION ALL SELECT 'dead_letters', 'website: session_id: field required', count(*) FROM events WHERE event_type = 'view' AND event_id % 53 = 0
+UNION ALL SELECT 'dead_letters', 'email: unsupported event_type', count(*) FROM events WHERE event_type = 'signup' AND event_id % 5 = 4
+UNION ALL SELECT 'processed', 'website', count(*) FROM events WHERE event_type = 'view' AND event_id % 53 <> 0
+UNION ALL SELECT 'processed', 'app', count(*) FROM events WHERE event_type = 'click' AND event_id % 9 <> 8
+UNION ALL SELECT 'processed', 'crm', count(*) FROM customer
+UNION ALL SELECT 'processed', 'email', count(*) FROM events WHERE event_type = 'signup' AND event_id % 5 <> 4
+UNION ALL SELECT 'processed', 'whatsapp', count(*) FROM events WHERE event_type = 'error'
+"""
+
+
+@register("a11_pipeline_counters", A11C_SQL, "A11: processed events by source, dead letters by source and error, matches by type")
+def a11_pipeline_counters(spark, sf_dir):
+    from tessera.plans.q_ingest import _five_sources
+
+    events, rejects = _five_sources(spark, sf_dir)
+    dead = reduce(lambda a, b: a.unionByName(b), rejects)
+    counter = lambda df, name, label: M.counts_by(df.select(F.lit(name).alias("counter"), label.alias("label")), "counter", "label")
+    return (
+        counter(events, "processed", F.col("source"))
+        .unionByName(counter(dead, "dead_letters", F.concat_ws(": ", "source", "error")))
+        .unionByName(counter(resolved_events(spark, sf_dir), "matches", F.col("match_type")))
+    )
+
+
 A14_SQL = f"""
 WITH j3 AS ({J3_SQL.strip()})
 SELECT count(*) AS events, CAST(sum(CASE WHEN match_type = 'deterministic' THEN 1 ELSE 0 END) AS BIGINT) AS deterministic,
