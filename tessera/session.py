@@ -104,6 +104,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run in Python workers are found by their module there; a submit with
+    ``--py-files`` or a shared checkout makes this unnecessary, a plain session does not.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tessera-pkg-")), "tessera.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tessera", os.path.relpath(path, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
