@@ -19,31 +19,35 @@ def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None)
     edge leads to the root of its tree (O(log^2 n) rounds at most, about log n in
     practice), with no cap.  A neighbourhood is never held in one row: its minimum is
     a partial aggregate and comes back by a join, which Spark may split where one
-    node has very many edges.  Each round is one table in the shared checkpoint
-    folder; the one before is deleted.  The driver sees two numbers a round,
+    node has very many edges.  Each round is one job and one table in the shared
+    checkpoint folder; the one before is deleted.  A round that changes nothing ends
+    the loop: the driver compares the number of edges and two sums of edge hashes,
     observed on the write.
     """
     pairs = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u != v")
-    table = cut_lineage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    done, rounds = table.isEmpty(), 0
+    table, mark = _written(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    done, rounds = not mark[0], 0
     while not done:
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: (v, m) for neighbours v > u.
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u is the larger end; its smaller neighbours and itself go to their minimum.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        hooked = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nxt = hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        seen = Observation(f"star_{rounds}")
-        # A star forest: every larger end once, and no root is itself a larger end.
-        new = cut_lineage(nxt.observe(seen, F.count(F.lit(1)).alias("edges"), F.sum(F.hash("u", "v").cast("long")).alias("mark")))
-        got = seen.get
-        flat = new.select("u").distinct().count() == got["edges"] and new.join(new.select(F.col("u").alias("w")), F.col("v") == F.col("w"), "left_semi").isEmpty()
+        hooked = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new, now = _written(hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         drop_table(table)
-        table, done, rounds = new, flat, rounds + 1
+        table, done, mark, rounds = new, now == mark, now, rounds + 1
         if on_round:
             on_round(rounds)
     roots = table.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return table.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and (number, two sums of hashes) observed on the write."""
+    seen = Observation()
+    sums = [F.sum(F.hash("u", "v", F.lit(i)).cast("long")).alias(f"h{i}") for i in (1, 2)]
+    table = cut_lineage(edges.observe(seen, F.count(F.lit(1)).alias("n"), *sums))
+    got = seen.get
+    return table, (got.get("n") or 0, got.get("h1"), got.get("h2"))
