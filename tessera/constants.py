@@ -102,7 +102,6 @@ RULE_OPERATORS = [">=", "<=", ">", "<", "==", "!="]
 # FIXED VALUES - quality gates
 # ---------------------------------------------------------------------------
 GATE1_SOURCES_AS_CODED = ["moodle", "canvas", "hubspot", "salesforce", "website", "app", "manual_import"]
-GATE1_TIMESTAMP_FORMAT = "%Y-%m-%dT%H:%M:%S"
 EMAIL_REGEX = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
 GATE3_MIN_COMPLETENESS = 0.6
 GATE3_MIN_CONFIDENCE = 0.85

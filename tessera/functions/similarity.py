@@ -34,29 +34,6 @@ def jaccard_from_counts(shared: Column, size_a: Column, size_b: Column) -> Colum
     return shared.cast("double") / F.greatest(union, F.lit(1)).cast("double")
 
 
-def jaccard_arrays(a: Column, b: Column) -> Column:
-    """U4 on two arrays of values."""
-    return F.size(F.array_intersect(a, b)).cast("double") / F.greatest(F.size(F.array_union(a, b)), F.lit(1)).cast("double")
-
-
 def match_confidence(name_score: Column, overlap: Column) -> Column:
     """``0.6*name + 0.4*overlap``."""
     return F.lit(NAME_WEIGHT) * name_score + F.lit(OVERLAP_WEIGHT) * overlap
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
-
-
-def normalize(a: Column) -> Column:
-    """L2-normalised copy of a vector (zero vector stays zero)."""
-    n = norm(a)
-    return F.transform(a, lambda v: F.when(n > 0, v.cast("double") / n).otherwise(F.lit(0.0)))

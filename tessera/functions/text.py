@@ -30,10 +30,6 @@ def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in cols])
 
 
-def first_truthy_number(*cols: Column) -> Column:
-    return F.coalesce(*[F.nullif(c, F.lit(0)) for c in cols])
-
-
 def detect_intent(text: Column) -> Column:
     """first matching intent pattern (case-insensitive), else ``general_message``."""
     out = None

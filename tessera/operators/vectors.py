@@ -123,22 +123,6 @@ def hashed_embeddings(texts: DataFrame, id_col: str, text_col: str, dim: int = 6
     return keyed.join(emb, "_t", "left").select(id_col, F.coalesce("embedding", empty).alias("embedding"))
 
 
-def embed_with(texts: DataFrame, id_col: str, text_col: str, encoder, dim: int) -> DataFrame:
-    """V1 with a pluggable encoder ``encoder(list[str]) -> list[list[float]]`` run in
-    Arrow batches (``mapInPandas``) over distinct texts, then joined back."""
-    import pandas as pd
-
-    uniq = texts.select(text_col).distinct()
-
-    def run(it):
-        for pdf in it:
-            vecs = encoder(pdf[text_col].fillna("").tolist())
-            yield pd.DataFrame({text_col: pdf[text_col], "embedding": [list(map(float, v)) for v in vecs]})
-
-    emb = uniq.mapInPandas(run, f"{text_col} string, embedding array<double>")
-    return texts.select(id_col, text_col).join(emb, text_col, "left").select(id_col, "embedding")
-
-
 def index_stats(vectors: DataFrame, namespace: str = "label", vec: str = "embedding") -> DataFrame:
     """Vector count per namespace and the dimension."""
     return vectors.groupBy(namespace).agg(F.count(F.lit(1)).alias("vector_count"), F.max(F.size(vec)).cast("bigint").alias("dimension"))

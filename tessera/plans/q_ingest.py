@@ -195,6 +195,24 @@ def f8_redact_documents(spark, sf_dir):
     return d.select("doc_id", F.md5(redact_text(F.col("text"))).alias("redacted_md5"))
 
 
+F8K_SQL = "SELECT event_id, '[REDACTED]' AS email, '[REDACTED]' AS guardian_name, CASE WHEN event_id % 2 = 0 THEN 'mail [REDACTED] now' ELSE 'order ' || CAST(event_id AS VARCHAR) END AS note, CASE WHEN event_id % 3 <> 0 THEN '[REDACTED]' END AS mobile FROM events"
+
+
+@register("f8_redact_fields", F8K_SQL, "F8: log fields - PII key names replaced outright, other text by pattern, null kept")
+def f8_redact_fields(spark, sf_dir):
+    from tessera.functions.text import redact_field
+
+    e = read_table(spark, sf_dir, "events").select("event_id")
+    n = F.col("event_id").cast("string")
+    fields = {
+        "email": n,
+        "guardian_name": F.concat(F.lit("G"), n),
+        "note": F.when(F.col("event_id") % 2 == 0, F.lit("mail a.b@c.example now")).otherwise(F.concat(F.lit("order "), n)),
+        "mobile": F.when(F.col("event_id") % 3 != 0, n),
+    }
+    return e.select("event_id", *[redact_field(k, v).alias(k) for k, v in fields.items()])
+
+
 P8_SQL = f"""
 SELECT 'sf_' || CAST(c_custkey AS VARCHAR) AS salesforce_id, split_part(c_name, '#', 1) AS first_name,
        split_part(c_name, '#', 2) AS last_name, {O.email('c_custkey')} AS email, {O.phone('c_custkey')} AS phone,

@@ -211,6 +211,16 @@ def k1_publish_segment_changes(spark, sf_dir):
     return publish_frame(ch, "cdp.segment.changes", key="profile_id", value_cols=["profile_id", "segments_added", "segments_removed"])
 
 
+@register("k1_topic_delivery", _k1_sql(), "K1: messages delivered as JSON lines per topic, read back")
+def k1_topic_delivery(spark, sf_dir):
+    from tessera.sinks.writers import write_topic
+    from tessera.streaming.pipeline import scratch_dir
+
+    path = scratch_dir(spark, "topics")
+    write_topic(k1_publish_segment_changes(spark, sf_dir), path)
+    return spark.read.schema("topic string, key string, value string").json(path).select("topic", "key", "value")
+
+
 K2_SQL = f"""
 WITH {O.EV}
 SELECT student_id AS profile_id, event_id, student_id IN (SELECT student_id FROM ev WHERE source = 'crm') AS has_snapshot FROM ev

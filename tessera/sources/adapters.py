@@ -184,13 +184,6 @@ def erasure_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_identifier_rows(events: DataFrame) -> DataFrame:
-    """Long form ``(event_id, pos, id_type, id_value)`` of the identifier arrays."""
-    return events.select("event_id", F.posexplode("identifiers").alias("pos", "ident")).select(
-        "event_id", "pos", F.col("ident.type").alias("id_type"), F.col("ident.value").alias("id_value")
-    )
-
-
 def page_markers(events: DataFrame) -> DataFrame:
     """Marker columns of the test warehouse, from ``props.k``: website views carry a page
     category (``c`` + k % 4) and ``viewed_mba_page`` (k ends in 0); app events carry
