@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import splittable
 from tessera.session import cut_lineage, drop_table
 
 
@@ -31,10 +32,10 @@ def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None)
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: (v, m) for neighbours v > u.
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(splittable(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u is the larger end; its smaller neighbours and itself go to their minimum.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hooked = large.join(splittable(least), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new, now = _written(hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         drop_table(table)
         table, done, mark, rounds = new, now == mark, now, rounds + 1

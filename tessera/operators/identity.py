@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tessera.constants import CONFIDENCE_AUTO_MERGE, CONSENT_CHANNELS, IDENTIFIER_TYPES
 from tessera.functions.similarity import difflib_ratio, jaccard_from_counts, match_confidence, name_similarity
 from tessera.operators.components import star_labels
+from tessera.operators.skew import salted_join, splittable
 
 
 def identifier_rows(df: DataFrame, key: str, identifiers: str = "identifiers") -> DataFrame:
@@ -45,9 +46,7 @@ def deterministic_match(event_ids: DataFrame, profile_ids: DataFrame, salt_bucke
 
     ``salt_buckets`` spreads identifier values known to be hot over that many tasks
     (``skew.salted_join``); by default AQE splits skewed partitions at run time."""
-    from tessera.operators.skew import salted_join
-
-    owner = profile_ids.groupBy("id_type", "id_value").agg(F.min("profile_id").alias("profile_id"))
+    owner = splittable(profile_ids.groupBy("id_type", "id_value").agg(F.min("profile_id").alias("profile_id")))
     keys = ["id_type", "id_value"]
     hits = salted_join(event_ids, owner, keys, salt_buckets) if salt_buckets else event_ids.join(owner, keys, "inner")
     return hits.groupBy("event_id").agg(
@@ -148,7 +147,7 @@ def resolve(events: DataFrame, profile_ids: DataFrame, profile_names: DataFrame
         out = out.join(j2, "sig", "left")
     else:
         out = out.withColumn("j2_profile", F.lit(None).cast("string")).withColumn("j2_conf", F.lit(None).cast("double"))
-    out = base.select("event_id", "sig", "_min_id").join(out.drop("name"), "sig")
+    out = base.select("event_id", "sig", "_min_id").join(splittable(out.drop("name")), "sig")
     created = new_profile_id(F.coalesce(F.col("_min_id"), F.concat(F.lit("event:"), F.col("event_id").cast("string"))))
     auto = F.col("j2_conf") >= F.lit(CONFIDENCE_AUTO_MERGE)
     return out.select(

@@ -27,3 +27,14 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int,
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(buckets)])))
     return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
+def splittable(side: DataFrame) -> DataFrame:
+    """The aggregated side of a join on its own grouping key, spread evenly first.
+
+    Spark splits a skewed join only between two plain shuffles.  An aggregate keeps its
+    hash partitioning and is joined in place, so a hot key of the *other* side would stay
+    in one task; after a rebalance both sides are shuffled for the join and the hot
+    partition can be split.  The cost is one more shuffle of the small side.
+    """
+    return side.hint("rebalance")
