@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.rolling import BYTE, LEAST_ID, keyed, packed, unpack
+from tessera.operators.skew import splittable
 from tessera.session import cut_lineage
 
 #: A cut where the hash's low bits are zero; least and most bytes of a chunk; least bytes of a removed run.
@@ -130,7 +131,7 @@ def substring_dedup(docs: DataFrame, least_run: int = LEAST_RUN, keep_text: bool
     first = chunks.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", F.shiftright("place", 32).alias("h"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at"))).alias("first"))
     again = first.where("n > 1").select("d1", "d2", "first")
     at = F.col("place").bitwiseAND(0xFFFFFFFF)
-    later = chunks.join(again, ["d1", "d2"]).where(~((F.col("k") == F.col("first.k")) & (F.shiftright("place", 32) == F.col("first.h")) & (at == F.col("first.at"))))
+    later = chunks.join(splittable(again), ["d1", "d2"]).where(~((F.col("k") == F.col("first.k")) & (F.shiftright("place", 32) == F.col("first.h")) & (at == F.col("first.at"))))
     marks = later.groupBy("k", F.shiftright("place", 32).cast("int").alias("h")).agg(F.collect_set(at.cast("int")).alias("dup"))
     out = packed(docs).join(marks, ["k", "h"], "left").select("k", "body", "dup").mapInArrow(_remove(least_run, keep_text), _RESULT)
     doc_id = F.when(F.col("k") != LEAST_ID, F.col("k")).alias("doc_id")

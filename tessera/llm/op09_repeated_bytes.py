@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.rolling import LEAST_ID, keyed, mix64, packed, slide_min, unpack, window_hash
+from tessera.operators.skew import splittable
 from tessera.session import cut_lineage
 
 MATCH, GRAM = 400, 64
@@ -221,14 +222,14 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, later_
     """
     occ = cut_lineage(keyed(docs).mapInArrow(_stretches(match, gram), _OCC))
     company = occ.groupBy("bucket").agg(F.sum("weight").alias("n")).where("n > 1").select("bucket")
-    live = cut_lineage(occ.join(company, "bucket", "left_semi"))
+    live = cut_lineage(occ.join(splittable(company), "bucket", "left_semi"))
     kinds = live.groupBy("bucket", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"), F.min(F.struct("k", "at", "h", "starts")).alias("rep")
     )
     kinds = cut_lineage(kinds)
     # Texts are asked for where a bucket holds different stretches, or one that may repeat itself.
     sizes = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.max("weight").alias("own")).where("kinds > 1 OR own > 1")
-    ask = kinds.join(sizes, "bucket").select(
+    ask = kinds.join(splittable(sizes), "bucket").select(
         F.col("rep.k").alias("k"), F.col("rep.h").alias("h"),
         F.struct("bucket", F.col("rep.at").alias("at"), F.col("rep.starts").alias("starts"), F.ceil(F.col("kinds") / BLOCK).cast("int").alias("parts")).alias("w"),
     )
