@@ -22,7 +22,7 @@ from tessera.session import cut_lineage
 
 #: A cut where the hash's low bits are zero; least and most bytes of a chunk; least bytes of a removed run.
 CUT_BITS, LEAST, MOST = 5, 24, 256
-LEAST_RUN = 64
+LEAST_RUN = 96
 PASS_BYTES = 2 << 20
 GEAR = (BYTE & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
