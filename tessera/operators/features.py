@@ -77,17 +77,34 @@ def features_from_counts(counts: DataFrame, as_of: dt.datetime, key: str = "stud
     return out.withColumn("funnel_stage", F.lit(None).cast("string"))
 
 
+def time_blocks(df: DataFrame, ts: str, lookback_us: int, block_us: int) -> DataFrame:
+    """``df`` with ``_us`` (time), ``_block`` and ``_own``: every row in the block of its time, and
+    again, not owned, in each later block that looks back on it.
+
+    A trailing window partitioned by (key, block) then sees all it needs, and a key that
+    holds a third of all rows is split over as many tasks as it has blocks.
+    """
+    us = F.unix_micros(F.col(ts))
+    own = F.floor(us / F.lit(block_us)).cast("bigint")
+    last = F.floor((us + F.lit(lookback_us)) / F.lit(block_us)).cast("bigint")
+    x = df.withColumn("_us", us).withColumn("_home", own).withColumn("_block", F.explode(F.sequence(own, last)))
+    return x.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
+
+
 def rolling_average(df: DataFrame, key: str, ts: str, value: Column, days: int = 30) -> DataFrame:
     """Trailing ``days`` average by event time, current row included.
 
     Returned as exact parts (``rolling_sum_cents``, ``rolling_n``) plus the
     average, so results do not depend on summation order for 2-decimal inputs.
-    One window partition per key (sorted, spillable).
+    A key's rows are split into blocks of ``days`` with the tail before each block
+    replicated (``time_blocks``).
     """
-    w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts))).rangeBetween(-days * 86_400 * MICROS, 0)
-    cents = F.round(value * 100).cast("bigint")
-    out = df.withColumn("rolling_sum_cents", F.sum(cents).over(w)).withColumn("rolling_n", F.count(F.lit(1)).over(w))
-    return out.withColumn("rolling_avg", F.col("rolling_sum_cents").cast("double") / F.col("rolling_n").cast("double") / F.lit(100.0))
+    span = days * 86_400 * MICROS
+    w = Window.partitionBy(key, "_block").orderBy("_us").rangeBetween(-span, 0)
+    x = time_blocks(df.withColumn("_cents", F.round(value * 100).cast("bigint")), ts, span, span)
+    out = x.withColumn("rolling_sum_cents", F.sum("_cents").over(w)).withColumn("rolling_n", F.count(F.lit(1)).over(w)).filter("_own")
+    out = out.withColumn("rolling_avg", F.col("rolling_sum_cents").cast("double") / F.col("rolling_n").cast("double") / F.lit(100.0))
+    return out.drop("_us", "_block", "_own", "_cents")
 
 
 def latest_features(features: DataFrame, entity_ids: DataFrame | None, feature_ids: list[str], key: str = "entity_id", ts: str = "event_timestamp") -> DataFrame:
@@ -103,8 +120,11 @@ def rate_limit_window(calls: DataFrame, key: str, ts: str, limit: int = API_RATE
 
     Exact where no key ever exceeds the limit; ``rate_limit_exact`` handles the rest.
     """
-    w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts))).rangeBetween(-(seconds * MICROS) + 1, 0)
-    return calls.withColumn("calls_in_window", F.count(F.lit(1)).over(w)).withColumn("accepted", F.col("calls_in_window") <= limit)
+    span = seconds * MICROS - 1
+    w = Window.partitionBy(key, "_block").orderBy("_us").rangeBetween(-span, 0)
+    x = time_blocks(calls, ts, span, max(60 * seconds, 3600) * MICROS)
+    out = x.withColumn("calls_in_window", F.count(F.lit(1)).over(w)).filter("_own").drop("_us", "_block", "_own")
+    return out.withColumn("accepted", F.col("calls_in_window") <= limit)
 
 
 def rate_limit_exact(calls: DataFrame, key: str, ts: str, call_id: str, limit: int = API_RATE_LIMIT, seconds: int = API_RATE_WINDOW_SECONDS) -> DataFrame:
