@@ -3,12 +3,19 @@
 Documents fall into cells (source, language, topic); a cell's tokens are its first
 weight.  Each sweep rakes the weights to the source, the language and the topic
 marginals in turn.  A document is then kept with probability weight / tokens of its
-cell, scaled so that the largest is 1: nothing is clipped, so expected tokens follow
-the raked weights exactly.
+cell.
+
+The weights sum to a stated share of all tokens and no cell weighs more than its
+tokens: what a full cell cannot take goes to the others of its source, language or
+topic, and what a full value cannot take to the other values.  One rare cell so moves
+its own tokens only.  Without a share the probabilities are scaled to a largest of 1:
+nothing is clipped, but the rarest cell then sets how much of the corpus stays.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +23,8 @@ from tessera.llm.common import text_of
 from tessera.session import cut_lineage
 
 SWEEPS = 10
+#: Share of all tokens that is kept (in expectation).
+SHARE = 0.5
 #: Target shares are the corpus shares to this power (1: as they are, 0: all equal).
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.7}
 SEED = "mix-1"
@@ -46,11 +55,47 @@ def uniform(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(_SCALE)
 
 
-def rake(cells: DataFrame, temper: dict[str, float], targets: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+def _scales(cells: DataFrame, axes: list[str], share: float) -> dict[str, float]:
+    """Per axis the factor on its targets at which their sum, each at most the value's tokens, is ``share`` of all tokens."""
+    values = [cells.groupBy(a).agg(F.sum("n").alias("n"), F.max(f"_t_{a}").alias("t")).select(F.lit(a).alias("axis"), "n", "t") for a in axes]
+    values = cut_lineage(reduce(DataFrame.unionByName, values))
+    goal = share * (cells.agg(F.sum("n")).first()[0] or 0)
+    scales = dict.fromkeys(axes, 0.0)
+    while True:  # factors only rise, and end when no further value is full
+        scale = F.create_map(*[F.lit(x) for pair in scales.items() for x in pair])[F.col("axis")]
+        full = F.col("n") <= scale * F.col("t")
+        sums = values.groupBy("axis").agg(F.sum(F.when(full, F.col("n")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("t"))).alias("open"))
+        found = {r.axis: (goal - r.full) / r.open for r in sums.collect() if r.open > 0}  # a row per axis
+        found = {a: f for a, f in found.items() if f > scales[a] * (1 + 1e-12)}
+        if not found:
+            return scales
+        scales |= found
+
+
+def _raked(out: DataFrame, axis: str, bounded: bool) -> DataFrame:
+    """Weights ``w`` times the factor per value of ``axis`` that meets its target; bounded: a cell counts at most its tokens.
+
+    Bounded, the cells now full are taken to stay so and the others' factor is solved
+    for what they leave; where they leave nothing, all are scaled.  Either step moves
+    towards the solution, and where the target is met the factor is 1.
+    """
+    value, target = Window.partitionBy(axis), F.col(f"_t_{axis}")
+    full = F.col("w") > F.col("n")
+    out = out.withColumn("_m", F.sum(F.when(full, 0.0).otherwise(F.col("w")) if bounded else F.col("w")).over(value))
+    if not bounded:
+        return out.withColumn("w", F.when(F.col("_m") > 0, F.col("w") * target / F.col("_m")).otherwise(0.0)).drop("_m")
+    out = out.withColumn("_full", F.sum(F.when(full, F.col("n")).otherwise(0)).over(value))
+    f = F.when((F.col("_m") > 0) & (target > F.col("_full")), (target - F.col("_full")) / F.col("_m")).when(F.col("_m") + F.col("_full") > 0, target / (F.col("_m") + F.col("_full")))
+    return out.withColumn("w", F.col("w") * F.coalesce(f, F.lit(0.0))).drop("_m", "_full")
+
+
+def rake(cells: DataFrame, temper: dict[str, float], targets: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS, share: float | None = None) -> DataFrame:
     """Raked weights ``w`` of cells ``(source, lang, topic, n)``.
 
     ``targets`` maps an axis to its ``(value, target)`` shares; axes without one take
-    the tempered corpus shares.  Cells without tokens keep weight 0.
+    the tempered corpus shares.  Cells without tokens keep weight 0.  With ``share``
+    no weight is over ``n`` and all sum to that share of the tokens; a value whose
+    target is over its tokens gets all of them, the others share the rest.
     """
     targets = targets or {}
     out = cells.withColumn("w", F.col("n").cast("double"))
@@ -61,18 +106,25 @@ def rake(cells: DataFrame, temper: dict[str, float], targets: dict[str, DataFram
         else:  # targets need no common total: a factor over all cells cancels in the probabilities
             m = F.sum("n").over(Window.partitionBy(axis))
             out = out.withColumn("_m", m).withColumn(f"_t_{axis}", F.when(F.col("_m") > 0, F.pow("_m", F.lit(power))).otherwise(0.0)).drop("_m")
+    if share is not None:
+        out = cut_lineage(out)
+        for axis, scale in _scales(out, list(temper), share).items():
+            out = out.withColumn(f"_t_{axis}", F.least(F.col(f"_t_{axis}") * scale, F.sum("n").over(Window.partitionBy(axis)).cast("double")))
     for sweep in range(sweeps):
-        if sweep and sweep % 10 == 0:  # plans stay short
+        if sweep and sweep % (2 if share is not None else 10) == 0:  # plans stay short (bounded steps are longer)
             out = cut_lineage(out)
         for axis in temper:
-            m = F.sum("w").over(Window.partitionBy(axis))
-            out = out.withColumn("_m", m).withColumn("w", F.when(F.col("_m") > 0, F.col("w") * F.col(f"_t_{axis}") / F.col("_m")).otherwise(0.0)).drop("_m")
+            out = _raked(out, axis, share is not None)
+    if share is not None:
+        out = out.withColumn("w", F.least("w", F.col("n").cast("double")))
     return out.select(*temper, "n", "w")
 
 
-def mix(docs: DataFrame, topic: Column | None = None, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def mix(docs: DataFrame, topic: Column | None = None, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, share: float | None = SHARE) -> DataFrame:
     """``docs`` with ``_topic, _tokens, _probability, _kept`` added.
 
+    Kept tokens are ``share`` of all in expectation; None: the largest probability of
+    a cell with tokens is 1.
     A null source, language or topic is a value of its own.  Null text: empty, 0
     tokens.  A cell without tokens has probability 1 (its documents weigh nothing).
     Repeated rows share one decision.  An empty table gives an empty result; columns
@@ -84,8 +136,8 @@ def mix(docs: DataFrame, topic: Column | None = None, temper: dict[str, float] |
     cells = rows.groupBy("source", "lang", F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("n"))
     # Two tables of a row per cell: their stored size lets the planner broadcast them only when small.
     ratio = F.when(F.col("n") > 0, F.col("w") / F.col("n"))
-    raked = cut_lineage(rake(cut_lineage(cells), temper, targets).withColumn("ratio", ratio))
-    top = raked.agg(F.max("ratio")).first()[0] or 1.0
+    raked = cut_lineage(rake(cut_lineage(cells), temper, targets, share=share).withColumn("ratio", ratio))
+    top = 1.0 if share is not None else raked.agg(F.max("ratio")).first()[0] or 1.0
     rates = raked.select(*[F.col(c).alias(f"_c_{c}") for c in temper], F.coalesce(F.col("ratio") / F.lit(top), F.lit(1.0)).alias("_probability"))
     same = rows["source"].eqNullSafe(F.col("_c_source")) & rows["lang"].eqNullSafe(F.col("_c_lang")) & rows["_topic"].eqNullSafe(F.col("_c_topic"))
     joined = rows.join(rates, same).drop("_c_source", "_c_lang", "_c_topic")
@@ -93,7 +145,7 @@ def mix(docs: DataFrame, topic: Column | None = None, temper: dict[str, float] |
 
 
 def oracle_sql() -> str:
-    """The same rows in SQL (sweeps unrolled)."""
+    """The rows without a share in SQL (sweeps unrolled)."""
     steps = []
     for axis, power in TEMPER.items():
         steps.append(f"t_{axis} AS (SELECT {axis}, pow(sum(n), {power}) AS t FROM cells GROUP BY {axis} HAVING sum(n) > 0)")

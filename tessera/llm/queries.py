@@ -76,8 +76,8 @@ def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibrated sampling probability and decision of every document."""
-    out = mix(documents(spark, sf_dir))
+    """Calibrated sampling probability and decision of every document, scaled as in its SQL (largest 1)."""
+    out = mix(documents(spark, sf_dir), share=None)
     return out.select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
         F.round("_probability", 9).alias("probability"), F.col("_kept").alias("kept"),

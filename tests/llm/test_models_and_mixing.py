@@ -78,6 +78,27 @@ def test_raking_meets_given_marginals(spark):
     assert np.isclose(got.groupby("source")["w"].sum()["a"] / total, 0.4, atol=1e-3)
 
 
+def test_one_rare_cell_does_not_set_the_kept_share(spark):
+    rows = [(i, "word " * (20 + i % 50), "en" if i % 4 else "de", f"s{i % 3}") for i in range(600)]
+    schema = "doc_id long, text string, lang string, source string"
+    for extra in ([], [(1000, "word", "xx", "s0")], [(1000, "word " * 50, "en", "new")]):
+        got = op10_mixing.mix(spark.createDataFrame(rows + extra, schema)).toPandas()
+        assert got["_probability"].max() <= 1
+        assert np.isclose((got["_probability"] * got["_tokens"]).sum() / got["_tokens"].sum(), op10_mixing.SHARE, atol=1e-4)
+        assert got[got["doc_id"] == 1000]["_kept"].all()  # a value whose target is over its tokens stays whole
+        assert abs(got["_kept"].mean() - op10_mixing.SHARE) < 0.1
+
+
+def test_bounded_raking_hands_on_what_full_cells_cannot_take(spark):
+    rows = [("a", "en", "x", 800), ("a", "de", "x", 20), ("b", "en", "x", 100), ("b", "de", "x", 300), ("c", "en", "x", 10)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, n long")
+    t = spark.createDataFrame([("a", 0.45), ("b", 0.35), ("c", 0.2)], "value string, target double")
+    got = op10_mixing.rake(cells, op10_mixing.TEMPER, {"source": t}, sweeps=20, share=0.5).toPandas()
+    by = got.groupby("source")["w"].sum()
+    assert (got["w"] <= got["n"]).all() and np.isclose(got["w"].sum(), 615)
+    assert np.allclose([by["a"], by["b"], by["c"]], [605 * 45 / 80, 605 * 35 / 80, 10], rtol=1e-3)
+
+
 def test_mixing_plan_is_native(spark):
     plan = QUERIES["op10_mixing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
