@@ -99,6 +99,15 @@ def test_bounded_raking_hands_on_what_full_cells_cannot_take(spark):
     assert np.allclose([by["a"], by["b"], by["c"]], [605 * 45 / 80, 605 * 35 / 80, 10], rtol=1e-3)
 
 
+def test_raking_goes_on_until_sparse_cells_meet_their_targets(spark, caplog):
+    cells = spark.createDataFrame([("a", "en", "x", 1000), ("a", "de", "x", 1), ("b", "de", "x", 1000)], "source string, lang string, topic string, n long")
+    t = lambda rows: spark.createDataFrame(rows, "value string, target double")
+    targets = {"source": t([("a", 0.6), ("b", 0.4)]), "lang": t([("en", 0.5), ("de", 0.5)])}
+    got = op10_mixing.rake(cells, op10_mixing.TEMPER, targets).toPandas()
+    assert np.isclose(got.groupby("source")["w"].sum()["a"] / got["w"].sum(), 0.6, rtol=op10_mixing.TOLERANCE)
+    assert not caplog.records
+
+
 def test_mixing_plan_is_native(spark):
     plan = QUERIES["op10_mixing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
