@@ -19,6 +19,11 @@ from tessera.llm.op08_token_counts import token_counts
 from tessera.llm.op09_repeated_bytes import remove_repeats
 from tessera.llm.op10_mixing import mix
 from tessera.llm.op10_mixing import oracle_sql as mixing_sql
+from tessera.llm.op11_resampling import oracle_sql as resampling_sql
+from tessera.llm.op11_resampling import resample
+from tessera.llm.op12_sharding import shard_documents
+from tessera.llm.op13_search import oracle_sql as search_sql
+from tessera.llm.op13_search import search
 
 LOWER = UPPER.lower()
 
@@ -84,6 +89,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole benchmark table."""
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, noisy score and rank of every document against the benchmark texts."""
+    return resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, balanced in bytes, tokens and rows."""
+    return shard_documents(documents(spark, sf_dir))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 OP5_SQL = f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -102,5 +127,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_mixing": op10_mixing,
+    "op11_resampling": op11_resampling,
+    "op12_sharding": op12_sharding,
+    "op13_search": op13_search,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": OP5_SQL.strip(),
+    "op10_mixing": mixing_sql().strip(),
+    "op11_resampling": resampling_sql().strip(),
+    "op13_search": search_sql().strip(),
 }
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op10_mixing": mixing_sql().strip()}

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import pytest
-from tessera.llm import op01_minhash, op02_toxicity, op03_simhash, op04_quality, op05_exact_dedup, op06_packing, op07_substring_dedup, op08_token_counts, op09_repeated_bytes, op10_mixing
+from tessera.llm import op01_minhash, op02_toxicity, op03_simhash, op04_quality, op05_exact_dedup, op06_packing, op07_substring_dedup, op08_token_counts, op09_repeated_bytes, op10_mixing, op11_resampling, op12_sharding, op13_search
 from tessera.llm.queries import vocabulary
 
 from .helpers import clashing, empty, marks, rows_of, tricky, tricky_rows
@@ -19,6 +19,8 @@ OPERATORS = {
     "op8": lambda s, d: op08_token_counts.token_counts(d, BPE),
     "op9": lambda s, d: op09_repeated_bytes.remove_repeats(d),
     "op10": lambda s, d: op10_mixing.mix(d).select("doc_id", "text", "source", "lang", "_topic", "_tokens", "_probability", "_kept"),
+    "op11": lambda s, d: op11_resampling.resample(d, tricky(s)),
+    "op12": lambda s, d: op12_sharding.shard_documents(d).drop("shard", "slot"),
 }
 N = len(tricky_rows())
 
@@ -95,3 +97,33 @@ def test_single_row_follows_itself(spark):
     one = spark.createDataFrame([(7, "a few words that follow themselves")], "doc_id long, text string")
     r = op01_minhash.document_fingerprints(one).collect()
     assert len(r) == 1 and r[0].near_next == 1.0
+
+
+def test_new_operators_on_awkward_rows(spark):
+    d = tricky(spark)
+    by_id = lambda df: {r.doc_id: r for r in df.collect() if r.doc_id is not None}
+    o11 = op11_resampling.resample(d, empty(spark), least_words=2, percent=100).collect()
+    assert [(r.n_features, r.weight) for r in o11 if r.doc_id in (4, 5, 6)] == [(0, 0)] * 3
+    ranks = sorted(r["rank"] for r in o11 if r["rank"] is not None)
+    assert ranks == list(range(1, len(ranks) + 1)) and len(ranks) == sum(r.n_features >= 2 for r in o11)
+    twice = [r["rank"] for r in o11 if r.doc_id == 12]
+    assert abs(twice[0] - twice[1]) == 1  # the repeated row follows
+    o12 = op12_sharding.shard_documents(d).collect()
+    assert {r.size for r in o12 if r.doc_id in (4, 5)} == {1} and {r.law for r in o12} == {"bytes"} and {r.grown_shard for r in o12} == {None}
+    for j in range(op12_sharding.SHARDS):
+        slots = sorted(r.slot for r in o12 if r.shard == j)
+        assert slots == list(range(len(slots)))
+    assert by_id(op12_sharding.shard_documents(d))[9].tokens == 20_000
+
+
+def test_search_on_awkward_rows(spark):
+    d = tricky(spark)
+    items = d.select(d.doc_id.alias("item_id"), "text", d.lang.alias("rank"), d.n_chars.alias("score"))
+    got = rows_of(op13_search.search(d, items), "item_id", "rank", "doc_id", "score")
+    assert rows_of(op13_search.search(clashing(spark).repartition(5, "n_chars"), items.repartition(3)), "item_id", "rank", "doc_id", "score") == got
+    assert not [r for r in got if r[0] in (4, 5, 6)]  # no terms, no rows
+    first = {r[0]: r[2] for r in got if r[1] == 1}
+    assert first[9] in (9, 10) and first[1] == first[2] == 1  # equal scores: the smaller id
+    assert [r[2] for r in got if r[0] == 2][-1] is None or len([r for r in got if r[0] == 2]) <= 10
+    assert op13_search.search(empty(spark), items).count() == op13_search.search(d, items.limit(0)).count() == 0
+    assert op13_search.search(d, items).columns == ["item_id", "rank", "doc_id", "score"]
