@@ -2,11 +2,14 @@
 
 A document is a sparse vector over the terms of the queries: term weight times the
 document's saturated term frequency, in whole numbers.  A query is its terms' counts,
-and a score is the inner product.  Each task builds ball trees over its documents: a
-node knows the centroid and the radius of its vectors, so ``q.c + |q| r``, rounded up
-safely, bounds every score below it.  A query walks the tree best-first and leaves out
-whatever cannot reach its tenth score; leaves are scored exactly in 64-bit integers.
-What a task has found so far prunes its later trees.
+and a score is the inner product.  Each task builds ball trees over its documents.
+The space is a sum of subspaces: one per term that several queries share, one for all
+terms that only a certain query has.  A node knows the centroid c of its vectors and
+their radius r in each subspace, so ``q.c`` plus the sum of ``|q| r`` over the
+subspaces, rounded up safely, bounds every score below it: what a document says
+beside the query does not widen the bound.  A query walks the tree best-first and
+leaves out whatever cannot reach its tenth score; leaves are scored exactly in 64-bit
+integers.  What a task has found so far prunes its later trees.
 """
 
 from __future__ import annotations
@@ -78,15 +81,18 @@ def _holding(size: int):
 
 
 class BallTree:
-    """Ball tree over sparse non-negative integer vectors (rows of a CSR matrix without empty rows)."""
+    """Ball tree over sparse non-negative integer vectors (rows of a CSR matrix without empty rows, terms rising in a row).
 
-    def __init__(self, ids: np.ndarray, ends: np.ndarray, term: np.ndarray, value: np.ndarray, leaf: int = LEAF) -> None:
+    ``space`` numbers the subspace of each term, rising with the term.
+    """
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, term: np.ndarray, value: np.ndarray, space: np.ndarray, leaf: int = LEAF) -> None:
         self.terms, term = np.unique(term, return_inverse=True)
+        self.spaces, self._space = np.unique(space[self.terms], return_inverse=True)
         self._start, self._size = ends[:-1], np.diff(ends)
         self._term, self._value = term, value
         self._float = value.astype(float)
-        self._square = np.add.reduceat(self._float**2, ends[:-1])
-        self.nodes: list[tuple] = []  # (terms of the centroid, its values, radius, least id, children or None, rows)
+        self.nodes: list[list] = []  # centroid (terms, values), radii (subspaces, values), least id, children, rows of a leaf, one vector?
         self.ids, order = ids, []
         self._grow(np.arange(len(ids)), leaf, order)
         # Rows in tree order, so that a leaf is one stretch of the matrix.
@@ -102,12 +108,6 @@ class BallTree:
         begin = np.concatenate([[0], np.cumsum(size)])
         return np.repeat(self._start[rows] - begin[:-1], size) + np.arange(begin[-1]), begin[:-1]
 
-    def _dense(self, row: int) -> np.ndarray:
-        out = np.zeros(len(self.terms))
-        at = slice(self._start[row], self._start[row] + self._size[row])
-        out[self._term[at]] = self._float[at]
-        return out
-
     def _alike(self, rows: np.ndarray, term: np.ndarray, value: np.ndarray) -> bool:
         size = self._size[rows]
         if (size != size[0]).any():
@@ -115,6 +115,46 @@ class BallTree:
         n = size[0]
         return bool((term.reshape(-1, n) == term[:n]).all() and (value.reshape(-1, n) == value[:n]).all())
 
+    def _radii(self, rows: int, begin: np.ndarray, term: np.ndarray, value: np.ndarray, middle: np.ndarray) -> np.ndarray:
+        """Largest distance of a row from the centroid in each subspace, rounded up."""
+        space, n = self._space[term], len(self.spaces)
+        new = np.ones(len(term), dtype=bool)
+        new[1:] = space[1:] != space[:-1]
+        new[begin] = True
+        first = np.flatnonzero(new)
+        here = space[first]  # a row's entries in one subspace are neighbours
+        c2 = np.bincount(self._space, weights=middle**2, minlength=n)
+        x2 = np.add.reduceat(value**2, first)
+        cross = 2 * np.add.reduceat(value * middle[term], first)
+        # Each of the three sums is off by less than (its length + 2) eps times itself: all terms are positive.
+        slack = (len(middle) + 8) * _EPS
+        far = np.maximum(x2 - cross + c2[here], 0.0) + slack * (x2 + cross + c2[here])
+        out = np.where(np.bincount(here, minlength=n) < rows, c2 * (1 + slack), 0.0)  # rows without entries lie at 0
+        np.maximum.at(out, here, far)
+        return np.sqrt(out) * (1 + 8 * _EPS)
+
+    def _halves(self, rows: np.ndarray, begin: np.ndarray, term: np.ndarray, value: np.ndarray, middle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two halves by the projection on a line: through two rows far apart, then through the halves' centroids."""
+        x2 = np.add.reduceat(value**2, begin)
+        a = int(np.argmax(x2 - 2 * np.add.reduceat(value * middle[term], begin)))
+        size, half = self._size[rows], len(rows) // 2
+
+        def dense(i):
+            out = np.zeros(len(self.terms))
+            out[term[begin[i] : begin[i] + size[i]]] = value[begin[i] : begin[i] + size[i]]
+            return out
+
+        da = dense(a)
+        line = da - dense(int(np.argmax(x2 - 2 * np.add.reduceat(value * da[term], begin))))
+        for turn in range(3):
+            by = np.argsort(np.add.reduceat(value * line[term], begin), kind="stable")
+            if turn < 2:
+                high = np.zeros(len(rows), dtype=bool)
+                high[by[half:]] = True
+                up = np.bincount(term, weights=value * np.repeat(high, size), minlength=len(self.terms))
+                line = up / (len(rows) - half) - (middle * len(rows) - up) / half
+        return rows[by[:half]], rows[by[half:]]
+
     def _grow(self, top: np.ndarray, leaf: int, order: list[int]) -> None:
         todo = [(top, None)]  # depth first, so that every node's rows are one range of ``order``
         while todo:
@@ -124,46 +164,44 @@ class BallTree:
             alike = self._alike(rows, term, value)
             if alike:
                 n = self._size[rows[0]]
-                middle, held, radius = None, (term[:n], value[:n]), 0.0
+                held, radii = (term[:n], value[:n]), (np.empty(0, dtype=np.int64), np.empty(0))
             else:
                 middle = np.bincount(term, weights=value, minlength=len(self.terms)) / len(rows)
-                on = np.flatnonzero(middle)
-                held, c2 = (on, middle[on]), float(middle @ middle)
-                dot = np.add.reduceat(value * middle[term], begin)
-                x2 = self._square[rows]
-                # The error of each of the three sums is under (their length + 2) eps times its terms, all positive.
-                slack = (len(self.terms) + 8) * _EPS * (x2 + 2 * dot + c2)
-                far = np.maximum(x2 - 2 * dot + c2, 0.0) + slack
-                radius = math.sqrt(float(far.max())) * (1 + 8 * _EPS)
+                radius = self._radii(len(rows), begin, term, value, middle)
+                on, wide = np.flatnonzero(middle), np.flatnonzero(radius)
+                held, radii = (on, middle[on]), (wide, radius[wide])
             me = len(self.nodes)
             ids = self.ids[rows]
             final = alike or len(rows) <= leaf
             place = (len(order), len(order) + len(rows)) if final else None
-            self.nodes.append([*held, radius, int(ids.min()), [], place, alike])
+            self.nodes.append([held, radii, int(ids.min()), [], place, alike])
             if parent is not None:
-                self.nodes[parent][4].append(me)
+                self.nodes[parent][3].append(me)
             if final:
                 order.extend(rows[np.argsort(ids, kind="stable")].tolist())
-                continue
-            # Halves by the projection on the line through two rows far apart.
-            a = rows[int(np.argmax(far))]
-            da = self._dense(a)
-            b = rows[int(np.argmax(x2 - 2 * np.add.reduceat(value * da[term], begin)))]
-            line = np.add.reduceat(value * (da - self._dense(b))[term], begin)
-            by = rows[np.argsort(line, kind="stable")]
-            half = len(by) // 2
-            todo += [(by[half:], me), (by[:half], me)]
-
-    def bound(self, node: int, query: np.ndarray, norm: float) -> int:
-        """No row of the node scores higher against the dense query of Euclidean length ``norm``."""
-        term, value, radius = self.nodes[node][:3]
-        dot = float(value @ query[term])
-        return math.floor((dot + norm * radius) * (1 + (len(term) + 16) * 2 * _EPS))
+            else:
+                low, high = self._halves(rows, begin, term, value, middle)
+                todo += [(high, me), (low, me)]
+
+    def query(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A query's dense counts, the same in doubles, and its length in each subspace, rounded up."""
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        here = self.terms[at] == terms
+        query = np.zeros(len(self.terms), dtype=np.int64)
+        query[at[here]] = counts[here]
+        real = query.astype(float)
+        return query, real, np.sqrt(np.bincount(self._space, weights=real**2, minlength=len(self.spaces))) * (1 + (len(terms) + 8) * _EPS)
+
+    def bound(self, node: int, real: np.ndarray, norm: np.ndarray) -> int:
+        """No row of the node scores higher against the query (``query``)."""
+        (term, value), (space, radius) = self.nodes[node][:2]
+        most = float(value @ real[term]) + float(radius @ norm[space])
+        return math.floor(most * (1 + (len(term) + len(space) + 16) * 2 * _EPS))
 
     def scores(self, node: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of a leaf's rows (``query`` in integers)."""
-        a, b = self.nodes[node][5]
-        if self.nodes[node][6]:  # one vector
+        a, b = self.nodes[node][4]
+        if self.nodes[node][5]:  # one vector
             at = slice(self.ends[a], self.ends[a + 1])
             return self.ids[a:b], np.full(b - a, int((self._value[at] * query[self._term[at]]).sum()))
         at = slice(self.ends[a], self.ends[b])
@@ -194,16 +232,11 @@ class Best:
 
 def search_tree(tree: BallTree, terms: np.ndarray, counts: np.ndarray, best: Best) -> int:
     """Walks the tree best-first for one query; gives back the number of rows scored."""
-    at = np.searchsorted(tree.terms, terms)
-    here = (at < len(tree.terms)) & (tree.terms[np.minimum(at, len(tree.terms) - 1)] == terms)
-    query = np.zeros(len(tree.terms), dtype=np.int64)
-    query[at[here]] = counts[here]
-    real = query.astype(float)
-    norm = math.sqrt(float(real @ real)) * (1 + (len(terms) + 8) * _EPS)
+    query, real, norm = tree.query(terms, counts)
     queue, seen = [(-tree.bound(0, real, norm), 0)], 0
     while queue:
         bound, node = heapq.heappop(queue)
-        _, _, _, least, children, rows, _ = tree.nodes[node]
+        _, _, least, children, rows, _ = tree.nodes[node]
         if best.hopeless(-bound, least):
             continue
         if rows:
@@ -211,7 +244,7 @@ def search_tree(tree: BallTree, terms: np.ndarray, counts: np.ndarray, best: Bes
             seen += rows[1] - rows[0]
         for c in children:
             b = tree.bound(c, real, norm)
-            if not best.hopeless(b, tree.nodes[c][3]):
+            if not best.hopeless(b, tree.nodes[c][2]):
                 heapq.heappush(queue, (-b, c))
     return seen
 
@@ -222,7 +255,7 @@ def impacts(n: np.ndarray, count: np.ndarray, docs: int, length: int) -> np.ndar
     return (SCALE * count) // (1000 * count + 8 * m)
 
 
-def _trees(batches, weight: np.ndarray, docs: int, length: int, tree_docs: int, leaf: int):
+def _trees(batches, weight: np.ndarray, space: np.ndarray, docs: int, length: int, tree_docs: int, leaf: int):
     """Ball trees over the vectors of this task, one after the other."""
     held, size, entries = [], 0, 0
     for b in batches:
@@ -240,21 +273,21 @@ def _trees(batches, weight: np.ndarray, docs: int, length: int, tree_docs: int,
             held.append((ids[on], sizes[on], term[at], value[at]))
             size, entries, a = size + z - a, entries + int(ends[z] - ends[a]), z
             if size >= tree_docs or entries >= TREE_ENTRIES:
-                yield from _tree(held, leaf)
+                yield from _tree(held, space, leaf)
                 held, size, entries = [], 0, 0
-    yield from _tree(held, leaf)
+    yield from _tree(held, space, leaf)
 
 
-def _tree(held, leaf: int):
+def _tree(held, space: np.ndarray, leaf: int):
     ids, sizes, term, value = (np.concatenate(x) for x in zip(*held)) if held else ([],) * 4
     if len(ids):
-        yield BallTree(ids, np.concatenate([[0], np.cumsum(sizes)]), term, value, leaf)
+        yield BallTree(ids, np.concatenate([[0], np.cumsum(sizes)]), term, value, space, leaf)
 
 
-def _search(queries: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarray, docs: int, length: int, top: int, tree_docs: int, leaf: int):
+def _search(queries: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarray, space: np.ndarray, docs: int, length: int, top: int, tree_docs: int, leaf: int):
     def run(batches):
         best = [Best(top) for _ in queries]
-        for tree in _trees(batches, weight, docs, length, tree_docs, leaf):
+        for tree in _trees(batches, weight, space, docs, length, tree_docs, leaf):
             for (_, terms, counts), b in zip(queries, best):
                 search_tree(tree, terms, counts, b)
         for (q, _, _), b in zip(queries, best):
@@ -264,23 +297,35 @@ def _search(queries: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarra
     return run
 
 
-def _block(texts: DataFrame, items, top: int, tree_docs: int, leaf: int) -> DataFrame:
-    """``(q, doc_id, score)``: the best documents of each task for the items ``[(q, text)]``."""
-    terms: dict[bytes, int] = {}
-    column = pa.array([t for _, t in items], pa.large_string())
+def numbered_terms(items: list[tuple[int, str]]) -> tuple[dict[bytes, int], np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The terms of the items, numbered by subspace; each term's subspace; each item's ``(q, terms, counts)``."""
+    column, found = pa.array([t for _, t in items], pa.large_string()), {}
     for t in tables(column):
         for i in t.owner[t.used].tolist():
-            terms.setdefault(t.grams.read(i), len(terms))
-    _, item, term, count = _counts(column, terms, len(items))
+            found.setdefault(t.grams.read(i), len(found))
+    _, item, term, count = _counts(column, found, len(items))
+    holders, owner = np.bincount(term, minlength=len(found)), np.zeros(len(found), dtype=np.int64)
+    owner[term] = item
+    space = np.where(holders > 1, len(items) + np.arange(len(found)), owner)
+    order = np.argsort(space, kind="stable")
+    number = np.empty(len(found), dtype=np.int64)
+    number[order] = np.arange(len(found))
+    term = number[term]
     cut = np.searchsorted(item, np.arange(len(items) + 1))
-    queries = [(q, term[a:b], count[a:b]) for (q, _), a, b in zip(items, cut, cut[1:]) if b > a]
+    queries = [(q, np.sort(term[a:b]), count[a:b][np.argsort(term[a:b])]) for (q, _), a, b in zip(items, cut, cut[1:]) if b > a]
+    return {w: int(number[i]) for w, i in found.items()}, space[order], queries
+
+
+def _block(texts: DataFrame, items, top: int, tree_docs: int, leaf: int) -> DataFrame:
+    """``(q, doc_id, score)``: the best documents of each task for the items ``[(q, text)]``."""
+    terms, space, queries = numbered_terms(items)
     vectors = cut_lineage(texts.mapInArrow(_vectors(terms), _VECTOR))
     sums = vectors.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("length")).first()
     held = np.zeros(len(terms), dtype=np.int64)
     for r in vectors.select("terms").mapInArrow(_holding(len(terms)), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         held[r.term] = r.df  # a row per term of this block's queries
     weight = np.array([math.floor(1000 * math.log((2 * sums.docs + 2) / (2 * d + 1))) for d in held.tolist()], dtype=np.int64)
-    return vectors.mapInArrow(_search(queries, weight, sums.docs, sums.length or 1, top, tree_docs, leaf), "q long, doc_id long, score long")
+    return vectors.mapInArrow(_search(queries, weight, space, sums.docs, sums.length or 1, top, tree_docs, leaf), "q long, doc_id long, score long")
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, tree_docs: int = TREE_DOCS, leaf: int = LEAF) -> DataFrame:

@@ -193,11 +193,11 @@ def test_search_in_blocks_of_items(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == _ranked(docs, items, 10)
 
 
-def _tree(rows, leaf):
+def _tree(rows, leaf, space=None):
     sizes = [len(r) for r in rows]
     term = np.array([t for r in rows for t in sorted(r)], dtype=np.int64)
     value = np.array([r[t] for r in rows for t in sorted(r)], dtype=np.int64)
-    return op13_search.BallTree(np.arange(len(rows)), np.concatenate([[0], np.cumsum(sizes)]), term, value, leaf)
+    return op13_search.BallTree(np.arange(len(rows)), np.concatenate([[0], np.cumsum(sizes)]), term, value, np.arange(term.max() + 1) // 3 if space is None else space, leaf)
 
 
 _VECTORS = st.lists(st.dictionaries(st.integers(0, 30), st.integers(0, 10**11), min_size=1, max_size=8), min_size=1, max_size=60)
@@ -211,10 +211,13 @@ def test_no_row_beats_its_bounds(rows, query, leaf):
     for t, c in query.items():
         at = np.flatnonzero(tree.terms == t)
         dense[at] = c
-    norm = math.sqrt(float(dense.astype(float) @ dense)) * (1 + 50 * 2.0**-52)
+    terms = np.array(sorted(query), dtype=np.int64)
+    counts = np.array([query[t] for t in sorted(query)], dtype=np.int64)
+    given, real, norm = tree.query(terms, counts)
+    assert (given == dense).all()
 
     def walk(node):
-        children, leaf_rows = tree.nodes[node][4:6]
+        children, leaf_rows = tree.nodes[node][3:5]
         got = [walk(c) for c in children]
         best = max([m for m, _ in got], default=0)
         least = min([i for _, i in got], default=1 << 60)
@@ -224,13 +227,12 @@ def test_no_row_beats_its_bounds(rows, query, leaf):
                 row = (rows + rows[:3] * 4)[i]
                 assert x == sum(query.get(t, 0) * v for t, v in row.items())
             best, least = int(s.max()), int(ids.min())
-        assert tree.bound(node, dense.astype(float), norm) >= best and tree.nodes[node][3] == least
+        assert tree.bound(node, real, norm) >= best and tree.nodes[node][2] == least
         return best, least
 
     walk(0)
     found = op13_search.Best(5)
-    terms = np.array(sorted(query), dtype=np.int64)
-    op13_search.search_tree(tree, terms, np.array([query[t] for t in sorted(query)], dtype=np.int64), found)
+    op13_search.search_tree(tree, terms, counts, found)
     want = sorted((-sum(query.get(t, 0) * v for t, v in r.items()), i) for i, r in enumerate(rows + rows[:3] * 4))
     assert list(zip((-found.scores).tolist(), found.ids.tolist())) == [(s, i) for s, i in want if s < 0][:5]
 
@@ -241,7 +243,7 @@ def test_the_tree_leaves_documents_out():
     for _ in range(40):
         topic = rng.randrange(200)
         rows += [{topic * 20 + rng.randrange(20): rng.randint(500, 1000) for _ in range(12)} for _ in range(50)]
-    tree, seen = _tree(rows, 32), 0
+    tree, seen = _tree(rows, 32, np.arange(4000)), 0
     for r in rows[::100]:
         seen += op13_search.search_tree(tree, np.array(sorted(r), dtype=np.int64), np.ones(len(r), dtype=np.int64), op13_search.Best(3))
     assert seen < 0.5 * len(rows) * len(rows[::100])
