@@ -4,14 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.operators.skew import splittable
 from tessera.session import cut_lineage, drop_table
 
 
-def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None) -> DataFrame:
+#: Edges a task contracts at a time; a graph of no more edges is finished by one task.
+FOREST = 200_000
+
+
+def _forest(edges: int):
+    """Edges ``(u, v)`` to a spanning forest of them, ``edges`` at a time: each node with the smallest of its tree."""
+    import pyarrow as pa
+
+    def run(batches):
+        up: dict = {}
+        size = 0
+
+        def find(x):
+            root = x
+            while (above := up.get(root, root)) != root:
+                root = above
+            while x != root:
+                up[x], x = root, up.get(x, x)
+            return root
+
+        def emit(kinds):
+            rows = [(x, find(x)) for x in list(up) if find(x) != x]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], []), kinds)], names=["u", "v"])
+
+        kinds = None
+        for b in batches:
+            kinds = [c.type for c in b.columns]
+            for u, v in zip(*(c.to_pylist() for c in b.columns)):
+                u, v = find(u), find(v)
+                if u != v:
+                    up[max(u, v)] = min(u, v)
+            size += b.num_rows
+            if size >= edges:
+                yield emit(kinds)
+                up.clear()
+                size = 0
+        if up:
+            yield emit(kinds)
+
+    return run
+
+
+def _contracted(edges: DataFrame, forest: int) -> DataFrame:
+    return edges.mapInArrow(_forest(forest), edges.schema)
+
+
+def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None, forest: int = FOREST) -> DataFrame:
     """``(node, component)`` for every node of ``edges (src, dst)``; component: the smallest node reachable.
 
     Large-star hooks every neighbour of a node that is larger than it to the
@@ -24,11 +70,21 @@ def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None)
     checkpoint folder; the one before is deleted.  A round that changes nothing ends
     the loop: the driver compares the number of edges and two sums of edge hashes,
     observed on the write.
+
+    Before the first shuffle every task contracts the edges it holds to a spanning
+    forest, ``forest`` edges at a time (bounded memory).  Once no more than ``forest``
+    edges are left, at the start or after a round, a single task does the same with
+    all of them, which ends the work.
     """
     pairs = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u != v")
-    table, mark = _written(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    table, mark = _written(_contracted(pairs, forest))
     done, rounds = not mark[0], 0
     while not done:
+        if mark[0] <= forest:
+            new, _ = _written(_contracted(table.coalesce(1), forest + 1))
+            drop_table(table)
+            table = new
+            break
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: (v, m) for neighbours v > u.

@@ -25,6 +25,16 @@ def test_shuffled_chain_in_few_rounds(spark, n):
     assert len(rounds) <= 20
 
 
+@pytest.mark.parametrize("forest", [1, 40, 400])
+def test_contraction_by_rounds_and_by_one_task(spark, forest):
+    edges, names = _shuffled_chain(300, 5)
+    edges += [(f"x{i}", f"x{i % 7}") for i in range(100)] + [("lone", "lone"), (None, "x1")]
+    rounds = []
+    out = {r.node: r.component for r in star_labels(spark.createDataFrame(edges, "src string, dst string").repartition(5), rounds.append, forest).collect()}
+    assert out == {n: min(names) for n in names} | {f"x{i}": min(f"x{j}" for j in range(i % 7, 100, 7)) for i in range(100)}
+    assert len(rounds) <= 15 and (rounds == []) == (forest == 400)
+
+
 def test_hub_trees_and_repeats(spark):
     rng = random.Random(9)
     edges, up = [], {}
