@@ -11,6 +11,6 @@ def load_all() -> None:
         importlib.import_module(f"tessera.plans.{mod}")
 
 
-MODULES = ["q_profiles", "q_ingest", "q_identity", "q_segments", "q_quality", "q_privacy", "q_activation", "q_features", "q_ops", "q_streaming"]
+MODULES = ["q_profiles", "q_ingest", "q_identity", "q_segments", "q_quality", "q_privacy", "q_activation", "q_features", "q_ops", "q_streaming", "q_state"]
 
 __all__ = ["QUERIES", "ORACLE_SQL", "DESCRIPTIONS", "load_all"]
