@@ -25,10 +25,16 @@ def parse_timestamp(raw: Column) -> Column:
     read as UTC (the session time zone).
     """
     s = raw.cast("string")
-    is_epoch = s.rlike(r"^\s*-?[0-9]+(\.[0-9]+)?\s*$")
-    epoch = F.timestamp_micros(F.round(F.try_to_number(F.trim(s), F.lit("S9999999999999.999999")) * 1_000_000).cast("bigint"))
-    iso = F.try_to_timestamp(replace_zone_names(s))
-    return F.when(s.isNull(), F.lit(None).cast("timestamp")).when(is_epoch, epoch).otherwise(iso)
+    is_epoch = s.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    # Any number of decimals, or an exponent; rounded half-even to microseconds, as Python does.
+    seconds = F.trim(s).try_cast("decimal(28,9)")
+    epoch = F.timestamp_micros(F.bround(seconds * 1_000_000).try_cast("bigint"))
+    return F.when(s.isNull(), F.lit(None).cast("timestamp")).when(is_epoch, epoch).otherwise(parse_iso(s))
+
+
+def parse_iso(text: Column) -> Column:
+    """An ISO string (named zones replaced) as a TIMESTAMP, or null; naive strings are read as UTC."""
+    return F.try_to_timestamp(replace_zone_names(text))
 
 
 def parse_timestamp_or(raw: Column, as_of: dt.datetime) -> tuple[Column, Column]:

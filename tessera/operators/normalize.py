@@ -28,7 +28,7 @@ from tessera.constants import (
     SF_REQUIRED_COLUMNS,
 )
 from tessera.functions.text import detect_intent, extract_entities, first_non_empty
-from tessera.functions.timestamps import coerce_types, parse_timestamp_or
+from tessera.functions.timestamps import coerce_types, parse_iso, parse_timestamp, parse_timestamp_or
 
 STR_MAP = T.MapType(T.StringType(), T.StringType())
 #: Malformed text lands in the ``_corrupt_record`` field instead of a row of nulls.
@@ -130,6 +130,46 @@ def _event_id(explicit: Column, raw: Column) -> Column:
     return F.coalesce(explicit, F.sha2(raw, 256))
 
 
+def _truthy(v: Column, key: str) -> Column:
+    """Text of a top-level field of a VARIANT, or null where it is empty: missing, null, "", 0, false, [] or {}."""
+    kind = F.schema_of_variant(F.try_variant_get(v, f"$.{key}", "variant"))
+    text = F.try_variant_get(v, f"$.{key}", "string")
+    hollow = kind.isin("VOID", "ARRAY<VOID>", "OBJECT<>") | (text == "") | ((kind == "BOOLEAN") & (text == "false"))
+    number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    return F.when(text.isNotNull() & ~hollow & ~(number & (F.try_variant_get(v, f"$.{key}", "double") == 0)), text)
+
+
+def normalize_json(raw: DataFrame, source: str, as_of: dt.datetime) -> DataFrame:
+    """JSON payloads of any source (column ``value``) as canonical events, parsed once into a VARIANT.
+
+    The first non-empty of ``timestamp`` and ``event_time`` is the time (a number is an
+    epoch, text an ISO time; none or unreadable: ``as_of``), of ``event_type`` and
+    ``event`` the type (none: ``unknown``), of ``user_id``, ``student_id`` and ``Id``
+    the student.  Empty is what is missing, null, "", 0, false, [] or {}.  Without an
+    ``event_id`` the event is named by a hash of the payload.  ``normalized_data``
+    holds every field after type coercion (P4).  Text that is no JSON object gives a
+    row of type ``unknown`` with all fields null.
+    """
+    p = raw.select(F.col("value").alias("raw_value"), F.try_parse_json(F.col("value")).alias("v"))
+    p = p.withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
+    ts_text = F.coalesce(_truthy(F.col("v"), "timestamp"), _truthy(F.col("v"), "event_time"))
+    key = F.when(_truthy(F.col("v"), "timestamp").isNotNull(), "timestamp").otherwise("event_time")
+    kind = F.when(key == "timestamp", F.schema_of_variant(F.try_variant_get("v", "$.timestamp", "variant"))).otherwise(F.schema_of_variant(F.try_variant_get("v", "$.event_time", "variant")))
+    epoch = F.when(kind == "BOOLEAN", F.timestamp_seconds(F.lit(1))).when(kind != "STRING", parse_timestamp(ts_text))
+    ts = F.coalesce(epoch, F.when(kind == "STRING", parse_iso(ts_text)))
+    out = p.select(
+        _event_id(F.try_variant_get("v", "$.event_id", "string"), F.col("raw_value")).alias("event_id"),
+        F.coalesce(_truthy(F.col("v"), "event_type"), _truthy(F.col("v"), "event"), F.lit("unknown")).alias("event_type"),
+        F.lit(source).alias("source"),
+        F.coalesce(ts, F.lit(as_of).cast("timestamp")).alias("ts"),
+        F.coalesce(*[_truthy(F.col("v"), k) for k in ("user_id", "student_id", "Id")]).alias("student_id"),
+        F.col("raw_value").alias("raw_data"),
+        coerce_types(F.try_variant_get("v", "$", "map<string,string>")).alias("normalized_data"),
+        ts.isNull().alias("ts_defaulted"),
+    )
+    return out.withColumn("event_date", F.to_date("ts"))
+
+
 def parse_clickstream(raw: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """S1 + P12 + P1 + P4: clickstream JSON (column ``value``) -> (events, dead letters).
 
@@ -287,19 +327,36 @@ def email_events(email: DataFrame) -> DataFrame:
 
 
 def chat_events(chat: DataFrame) -> DataFrame:
-    """Chat events (``parse_whatsapp``) as canonical events with intent and entities; the sender's number is the identifier."""
+    """Chat events (``parse_whatsapp``) as canonical events; the sender's number is the identifier.
+
+    A message carries intent and entities and is named by its sid.  A delivery status
+    is an event of its own: typed ``whatsapp.status.{status}``, without an intent, and
+    named by sid and status, so the callbacks of one message neither replace it nor
+    each other while a callback that is sent again counts once.
+    """
     c = normalize_whatsapp_text(chat.withColumn("body", F.coalesce("body", F.lit(""))))
+    status = F.col("event_kind") == "status"
+    sid = F.nullif("message_sid", F.lit(""))
+    c = c.withColumns(
+        {
+            "event_type": F.when(status, F.concat(F.lit("whatsapp.status."), "message_status")).otherwise(F.col("event_type")),
+            "intent": F.when(~status, F.col("intent")),
+            "entities": F.when(~status, F.col("entities")),
+        }
+    )
     phone = F.nullif(F.regexp_replace("from_number", "^whatsapp:", ""), F.lit(""))
     norm = F.create_map(
         F.lit("intent"), F.col("intent"),
         F.lit("entities"), F.to_json("entities"),
         F.lit("from_number"), F.col("from_number"),
         F.lit("message_sid"), F.col("message_sid"),
+        F.lit("event_kind"), F.col("event_kind"),
+        F.lit("message_status"), F.when(status, F.col("message_status")),
         F.lit("body_length"), F.col("body_length").cast("string"),
     )
     raw = F.to_json(F.struct("body", "from_number", "message_sid", "message_status", "num_media", "media_urls"))
     return c.select(
-        F.coalesce(F.nullif("message_sid", F.lit("")), F.sha2(F.concat_ws("\u0001", raw, F.unix_micros("timestamp").cast("string")), 256)).alias("event_id"),
+        F.coalesce(F.when(status, F.concat(sid, F.lit(":"), "message_status")).otherwise(sid), F.sha2(F.concat_ws("\u0001", raw, F.unix_micros("timestamp").cast("string")), 256)).alias("event_id"),
         "event_type",
         F.lit("whatsapp").alias("source"),
         F.col("timestamp").alias("ts"),

@@ -304,7 +304,7 @@ def _five_sources(spark, sf_dir):
     mail, r3 = N.parse_email(PL.email_json(spark, sf_dir))
     fields = {"Id": "salesforce_id", "Email": "email", "Phone": "phone", "LastModifiedDate": "timestamp"}
     crm = N.normalize_csv_rows(PL.crm_rows(spark, sf_dir), fields, AS_OF_EVENTS)
-    chat = N.chat_events(N.parse_whatsapp(PL.whatsapp_forms(spark, sf_dir)))
+    chat = N.chat_events(N.parse_whatsapp(PL.whatsapp_forms(spark, sf_dir).unionByName(PL.whatsapp_status_forms(spark, sf_dir))))
     return N.union_sources(web, app, crm, N.email_events(mail), chat), (r1, r2, r3)
 
 
@@ -324,8 +324,12 @@ FIVE_SQL = f"""five AS (
   SELECT 'email', ['email_opened','email_clicked','email_bounced','email_unsubscribed','email_spam'][event_id % 5 + 1], ts, ['email:' || {O.email()}]
   FROM events WHERE event_type = 'signup' AND event_id % 5 <> 4
   UNION ALL
-  SELECT 'whatsapp', CASE WHEN event_id % 7 = 0 THEN 'whatsapp.general_message' ELSE 'whatsapp.program_inquiry' END, ts, ['phone:' || {O.phone()}]
-  FROM events WHERE event_type = 'error')"""
+  SELECT 'whatsapp', CASE WHEN event_id % 4 = 0 THEN 'whatsapp.status.delivered' WHEN event_id % 7 = 0 THEN 'whatsapp.general_message' ELSE 'whatsapp.program_inquiry' END,
+         ts, ['phone:' || {O.phone()}]
+  FROM events WHERE event_type = 'error'
+  UNION ALL
+  SELECT 'whatsapp', 'whatsapp.status.' || st, ts + to_seconds(secs), ['phone:' || {O.phone()}]
+  FROM events, (VALUES ('sent', 1, 1), ('read', 5, 3)) AS k(st, secs, every) WHERE event_type = 'error' AND event_id % 4 <> 0 AND event_id % every = 0)"""
 
 U6_SQL = f"""
 WITH {FIVE_SQL}
@@ -529,3 +533,45 @@ def s4_crm_changes_incremental(spark, sf_dir):
 
     m = N.map_crm_fields(PL.crm_rows(spark, sf_dir))
     return crm_changes_since(m, "2024-01-30 00:50:00").select("salesforce_id", "sf_modified_at")
+
+
+P1_SQL = f"""
+WITH e AS (SELECT event_id, user_id, ts, event_id % 8 AS k FROM events)
+SELECT CASE WHEN k = 7 THEN sha256('["' || event_id || '"]') ELSE CAST(event_id AS VARCHAR) END AS event_id,
+       ['a', 'b', 'unknown', 'unknown', 'c', 'd', 'e', 'unknown'][k + 1] AS event_type,
+       CASE k WHEN 0 THEN {O.ts_str("date_trunc('second', ts) + INTERVAL 123457 MICROSECONDS")} WHEN 1 THEN '2023-11-14 22:13:20.000000'
+              WHEN 2 THEN {O.ts_str("date_trunc('second', ts)")} WHEN 4 THEN '1969-12-31 23:59:58.500000' ELSE {O.ts_str(O.AS_OF)} END AS ts,
+       CASE WHEN k IN (0, 1, 2, 5) OR (k = 3 AND user_id <> 0) THEN CAST(user_id AS VARCHAR) END AS student_id,
+       k IN (3, 5, 6, 7) AS ts_defaulted,
+       CASE WHEN k = 4 THEN '2024-01-05 10:00:00+00:00' END AS opened_at, CASE WHEN k = 4 THEN '7' END AS code,
+       CASE WHEN k = 5 THEN '{{"a":[1,2]}}' END AS nested
+FROM e
+"""
+
+
+@register("p1_normalize_json", P1_SQL, "P1 P4 F1 F2: any JSON payload to canonical events, parsed once, with the fallback chains of time, type and student")
+def p1_normalize_json(spark, sf_dir):
+    ev = N.normalize_json(PL.odd_json(spark, sf_dir), "website", AS_OF_EVENTS)
+    nd = F.col("normalized_data")
+    return ev.select("event_id", "event_type", _ts(F.col("ts")).alias("ts"), "student_id", "ts_defaulted", *[nd[c].alias(c) for c in ("opened_at", "code", "nested")])
+
+
+F1_TEXTS = [
+    ("1700000000", 1_700_000_000_000_000), ("1700000000.1", 1_700_000_000_100_000), ("1700000000.123456", 1_700_000_000_123_456),
+    ("1700000000.1234567", 1_700_000_000_123_457), ("1700000000.123456789", 1_700_000_000_123_457), ("1.7e9", 1_700_000_000_000_000),
+    ("17E8", 1_700_000_000_000_000), ("-1.5", -1_500_000), (" 42 ", 42_000_000), (".5", 500_000), ("1e30", None), ("1.2.3", None), ("e9", None),
+]
+F1_SQL = (
+    "WITH t(i, raw, us) AS (VALUES " + ", ".join(f"({i}, '{raw}', {'NULL' if us is None else us})" for i, (raw, us) in enumerate(F1_TEXTS)) + f") SELECT e.event_id, t.raw, "
+    f"CASE WHEN t.raw = '1700000000' THEN epoch_us(date_trunc('second', e.ts)) ELSE t.us END AS micros FROM events e JOIN t ON t.i = e.event_id % {len(F1_TEXTS)}"
+)
+
+
+@register("f1_epoch_texts", F1_SQL, "F1: epoch text with 0 to 9 decimals, exponents and signs; what is no number stays null")
+def f1_epoch_texts(spark, sf_dir):
+    from tessera.functions.timestamps import parse_timestamp
+
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    raw = F.element_at(F.array(*[F.lit(x) for x, _ in F1_TEXTS]), (F.col("event_id") % len(F1_TEXTS) + 1).cast("int"))
+    own = F.when(raw == F1_TEXTS[0][0], F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")).otherwise(raw)
+    return e.select("event_id", raw.alias("raw"), F.unix_micros(parse_timestamp(own)).alias("micros"))

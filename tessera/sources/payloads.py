@@ -18,6 +18,10 @@ with the tables.  Rules (all integer arithmetic on ``event_id`` / ``user_id``):
 * chat (error events): form fields; empty body when ``event_id % 7 = 0``;
   ``NumMedia = event_id % 3``; ``MediaUrl1`` missing when ``event_id % 5 = 0``;
   ``MessageStatus = delivered`` when ``event_id % 4 = 0``.
+* chat callbacks: a ``sent`` status one second after each message (not after those
+  with a status of their own), a ``read`` one five seconds after when
+  ``event_id % 3 = 0``, both under the sid of the message.
+* any JSON (all events): odd spellings of time, type and student id by ``event_id % 8``.
 """
 
 from __future__ import annotations
@@ -116,6 +120,38 @@ def whatsapp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("offset"), "ts", form.alias("form"))
 
 
+def whatsapp_status_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery callbacks of the messages of ``whatsapp_forms``, which share the message's sid."""
+    e = _events(spark, sf_dir, "error").filter(F.col("event_id") % 4 != 0)
+    kinds = F.filter(F.array(F.struct(F.lit("sent").alias("s"), F.lit(1).alias("after")), F.when(F.col("event_id") % 3 == 0, F.struct(F.lit("read").alias("s"), F.lit(5).alias("after")))), lambda x: x.isNotNull())
+    e = e.withColumn("k", F.explode(kinds))
+    form = F.create_map(
+        F.lit("From"), F.concat(F.lit("whatsapp:"), phone_of(F.col("user_id"))),
+        F.lit("MessageSid"), F.concat(F.lit("SM"), F.col("event_id").cast("string")),
+        F.lit("MessageStatus"), F.col("k.s"),
+    )
+    return e.select(F.col("event_id").alias("offset"), (F.col("ts") + F.make_interval(secs=F.col("k.after"))).alias("ts"), form.alias("form"))
+
+
+def odd_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON objects with every spelling that the general normaliser (P1) must read; ``kind`` = ``event_id % 8``."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    k = F.col("event_id") % 8
+    u, n = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    sec = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    body = (
+        F.when(k == 0, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":'), sec, F.lit('.1234567,"event_type":"a","user_id":"'), u, F.lit('"}')))
+        .when(k == 1, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":1.7e9,"event_type":"","event":"b","user_id":"","student_id":"'), u, F.lit('"}')))
+        .when(k == 2, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":"","event_time":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('","user_id":0,"student_id":null,"Id":"'), u, F.lit('"}')))
+        .when(k == 3, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":"soon","event_type":0,"event":false,"user_id":[],"student_id":{},"Id":'), u, F.lit("}")))
+        .when(k == 4, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":0,"event_time":-1.5,"event_type":"c","opened_at":"2024-01-05 10:00:00","code":"007","Id":""}')))
+        .when(k == 5, F.concat(F.lit('{"event_id":"'), n, F.lit('","event":"d","user_id":0.0,"student_id":"'), u, F.lit('","nested":{"a":[1,2]}}')))
+        .when(k == 6, F.concat(F.lit('{"event_id":"'), n, F.lit('","timestamp":"'), sec, F.lit('","event_type":"e"}')))
+        .otherwise(F.concat(F.lit('["'), n, F.lit('"]')))
+    )
+    return e.select(F.col("event_id").alias("offset"), body.alias("value"))
+
+
 def crm_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CRM export rows (CSV column names) from ``customer``."""
     c = read_table(spark, sf_dir, "customer")
