@@ -200,6 +200,24 @@ def t5_similar_profiles(spark, sf_dir):
     return _knn(spark, sf_dir, None, True)
 
 
+def _pruned(spark, sf_dir, by, exclude_self):
+    e = read_table(spark, sf_dir, "embeddings")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"), "label")
+    x = e.select(F.col("vec_id").alias("vid"), F.col("embedding").alias("vec"), "label")
+    r, _ = V.knn_pruned(q, x, 5, by=by, exclude_self=exclude_self)
+    return r.select("qid", "vid", "rank", (F.floor(F.col("score") * 1e6 + 0.5) / 1e6).alias("score"))
+
+
+@register("t4_pruned_search", _knn_sql(True, False), "T4: exact cosine top-5 within a label, clusters skipped by an angle bound")
+def t4_pruned_search(spark, sf_dir):
+    return _pruned(spark, sf_dir, "label", False)
+
+
+@register("t5_pruned_search", _knn_sql(False, True), "T5: exact cosine top-5 neighbours, clusters skipped by an angle bound")
+def t5_pruned_search(spark, sf_dir):
+    return _pruned(spark, sf_dir, None, True)
+
+
 V1_SQL = r"""
 WITH w AS (SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS w FROM conversations),
 h AS (SELECT conv_id, turn, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1.0 ELSE -1.0 END AS s FROM w WHERE length(w) > 0),
