@@ -9,12 +9,14 @@ agree in MATCH bytes are neighbours, in position order), and the previous and ne
 smaller positions in that order tell for each start whether the longest previous
 factor, or any other occurrence, reaches MATCH bytes.
 
-The order sorts names of the truncated suffixes (hashes made by doubling, 64 bits
-beside the bucket's 64) rather than their letters: a match is only ever asked to reach
-MATCH bytes, and equal names are all that decides it.
-
-Buckets with more than ``BLOCK`` different stretches are split by suffix name, so no
-task holds one: each part gets the names of its share of the starts.
+The order is a real one: ``suffix_ranks`` sorts the suffixes by their bytes, eight at
+first and twice as many each round up to the match length, so equal ranks are equal
+bytes and no hash decides what is removed.  ``longest_previous`` takes the previous and
+next smaller positions from that order and the lengths of the agreements with them.
+
+Buckets with more than ``BLOCK`` different stretches are split by a hash of the suffix,
+so no task holds one: each part gets the 64-bit names of its share of the starts, and
+only there names beside the bucket's own 64 bits stand for bytes.
 """
 
 from __future__ import annotations
@@ -123,17 +125,38 @@ def _texts(match: int):
     return run
 
 
-def factor_flags(bucket: np.ndarray, names: np.ndarray, doc: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each start: does an earlier, does a later suffix share its name (in its bucket)?
+def suffix_ranks(text: np.ndarray, starts: np.ndarray, match: int) -> np.ndarray:
+    """Rank of the suffix at each of ``starts`` among all suffixes of ``text``, by its first ``match`` bytes.
 
-    In suffix order with ties by position, the previous smaller position of equal name
-    is the neighbour before and the next one the neighbour after, so the longest
-    previous factor reaches the match length iff the neighbour before has the same name.
+    Prefix doubling: ranks by eight bytes first, then of twice the length from pairs of
+    ranks, and of the match length from two overlapping ones.  ``text`` reaches
+    ``match`` bytes beyond every start.
+    """
+    if match < 8:  # a few bytes are their own number
+        out = np.zeros(len(starts), dtype=np.int64)
+        for i in range(match):
+            out = (out << 8) | text[starts + i].astype(np.int64)
+        return np.unique(out, return_inverse=True)[1]
+    lanes = np.lib.stride_tricks.sliding_window_view(text, 8).copy().view(">u8").ravel().astype(np.uint64)
+    rank, size = np.unique(lanes, return_inverse=True)[1].astype(np.int64), 8
+    while size * 2 <= match:
+        key = rank[:-size] << 32 | rank[size:]
+        rank, size = np.unique(key, return_inverse=True)[1].astype(np.int64), size * 2
+    return np.unique(rank[starts] << 32 | rank[starts + match - size], return_inverse=True)[1]
+
+
+def longest_previous(rank: np.ndarray, place: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
+    """Does the longest previous factor of each start, and the longest one later, reach ``match`` bytes?
+
+    ``rank``: of the suffix, ``place``: its position (positions of all documents in one
+    order).  In suffix order with ties by position, the previous smaller position is the
+    last one before it that is smaller, the next smaller one the first after it.  Of
+    equal suffixes the previous smaller one is the neighbour before, and no other
+    suffix agrees in ``match`` bytes; so agreements are counted on neighbours, cut off at ``match``.
     """
-    key = mix64(names) ^ mix64(bucket.view(np.uint64) + np.uint64(1))
-    order = np.lexsort((position, doc, key))
-    same = key[order][1:] == key[order][:-1]
-    earlier, later = np.zeros(len(names), dtype=bool), np.zeros(len(names), dtype=bool)
+    order = np.lexsort((place, rank))
+    same = rank[order][1:] == rank[order][:-1]
+    earlier, later = np.zeros(len(rank), dtype=bool), np.zeros(len(rank), dtype=bool)
     earlier[order[1:][same]] = True
     later[order[:-1][same]] = True
     return earlier, later
@@ -143,25 +166,32 @@ def _spans(match: int, later_only: bool):
     """(k, h, lo, hi) of the repeated windows of each stretch; rows arrive sorted by bucket and part."""
 
     def settle(rows):
-        offset, names, stretch = [], [], []
+        offset, ranks, stretch = [], [], []
         texts = [i for i, r in enumerate(rows) if r[6] is not None]
         joined, base = np.frombuffer(b"".join(rows[i][6] for i in texts), dtype=np.uint8), 0
-        found = window_hash(joined, match)
+        starts = []
         for i in texts:
             n = rows[i][5]
-            names.append(found[base : base + n])
+            starts.append(np.arange(base, base + n))
             offset.append(np.arange(n, dtype=np.int64))
             stretch.append(np.full(n, i))
             base += len(rows[i][6])
-        for i, r in enumerate(rows):
-            if r[6] is None:
-                names.append(np.frombuffer(r[8], dtype=np.uint64))
-                offset.append(np.frombuffer(r[7], dtype="<i4").astype(np.int64))
-                stretch.append(np.full(len(names[-1]), i))
-        names, stretch = np.concatenate(names), np.concatenate(stretch)
+        if texts:
+            ranks.append(suffix_ranks(joined, np.concatenate(starts), match))
+        split = [i for i, r in enumerate(rows) if r[6] is None]
+        for i in split:
+            offset.append(np.frombuffer(rows[i][7], dtype="<i4").astype(np.int64))
+            stretch.append(np.full(len(offset[-1]), i))
+        stretch = np.concatenate(stretch)
         bucket, k, at = (np.array([r[c] for r in rows], dtype=np.int64)[stretch] for c in (0, 2, 4))
         at = at + np.concatenate(offset)
-        earlier, later = factor_flags(bucket, names, k, at)
+        if split:  # whole buckets or split ones never mix, but several split ones may meet here
+            names = mix64(np.concatenate([np.frombuffer(rows[i][8], dtype=np.uint64) for i in split])) ^ mix64(bucket[len(bucket) - sum(len(rows[i][8]) // 8 for i in split) :].view(np.uint64) + np.uint64(1))
+            low = len(ranks[0]) if ranks else 0
+            ranks.append(np.unique(names, return_inverse=True)[1] + low)
+        place = np.empty(len(at), dtype=np.int64)
+        place[np.lexsort((at, k))] = np.arange(len(at))
+        earlier, later = longest_previous(np.concatenate(ranks), place, match)
         hit = np.flatnonzero(earlier if later_only else earlier | later)
         hit = hit[np.lexsort((at[hit], stretch[hit]))]
         s, o = stretch[hit], at[hit]

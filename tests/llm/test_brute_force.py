@@ -311,6 +311,41 @@ def test_op9_small_matches(spark, monkeypatch, block, later_only):
     assert all(got[k].kept_sha256 == sha(bytes(x for x, y in zip(t.encode(), want[k]) if not y)) for k, t in docs)
 
 
+@given(st.text(alphabet="ab", min_size=12, max_size=120), st.sampled_from([1, 3, 8, 9, 12, 24, 40]))
+@settings(max_examples=80, deadline=None)
+def test_op9_suffix_order_and_longest_previous_factors(text, match):
+    data = (text * 3).encode()
+    starts = np.arange(0, len(data) - match + 1, 1 + len(text) % 2)
+    if not len(starts):
+        return
+    rank = op09_repeated_bytes.suffix_ranks(np.frombuffer(data, dtype=np.uint8), starts, match)
+    pieces = [data[i : i + match] for i in starts]
+    order = sorted(set(pieces))
+    assert rank.tolist() == [order.index(x) for x in pieces]
+    earlier, later = op09_repeated_bytes.longest_previous(rank, starts, match)
+
+    def agreement(i, j):
+        n = 0
+        while n < match and data[i + n] == data[j + n]:
+            n += 1
+        return n
+
+    previous = [max([agreement(i, j) for j in starts if j < i], default=0) for i in starts]
+    assert earlier.tolist() == [x == match for x in previous]
+    assert later.tolist() == [x in pieces[a + 1 :] for a, x in enumerate(pieces)]
+
+
+def test_op9_passages_by_length(spark):
+    docs, want = [], {}
+    for i, n in enumerate([300, 399, 400, 401, 450, 560, 2000]):
+        passage = prose(700 + i, 600)[:n]
+        for j in range(3):
+            docs.append((10 * i + j, f"{prose(10 * i + j, 90)} #{i}{j}~{passage}~{j}{i}# {prose(500 + 10 * i + j, 70)}"))
+            want[10 * i + j] = n if n >= 400 else 0
+    got = {r.doc_id: r.n_removed for r in op09_repeated_bytes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(want[k] <= got[k] <= want[k] + 2 if want[k] else got[k] == 0 for k in want)  # the mark beside it may agree
+
+
 def test_window_hashes_and_minima():
     data = np.frombuffer(prose(3, 200).encode() * 2, dtype=np.uint8)
     for n in (1, 2, 3, 24, 64, 100):
