@@ -340,10 +340,10 @@ def test_op9_passages_by_length(spark):
     for i, n in enumerate([300, 399, 400, 401, 450, 560, 2000]):
         passage = prose(700 + i, 600)[:n]
         for j in range(3):
-            docs.append((10 * i + j, f"{prose(10 * i + j, 90)} #{i}{j}~{passage}~{j}{i}# {prose(500 + 10 * i + j, 70)}"))
+            docs.append((10 * i + j, f"{prose(10 * i + j, 90)} {j}{passage}{j} {prose(500 + 10 * i + j, 70)}"))
             want[10 * i + j] = n if n >= 400 else 0
     got = {r.doc_id: r.n_removed for r in op09_repeated_bytes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert all(want[k] <= got[k] <= want[k] + 2 if want[k] else got[k] == 0 for k in want)  # the mark beside it may agree
+    assert got == want
 
 
 def test_window_hashes_and_minima():
