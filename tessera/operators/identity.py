@@ -22,10 +22,10 @@ costs one join row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.constants import CONFIDENCE_AUTO_MERGE, CONSENT_CHANNELS, IDENTIFIER_TYPES
+from tessera.constants import CONFIDENCE_AUTO_MERGE, CONSENT_CHANNELS, IDENTIFIER_TYPES, NAME_WEIGHT, OVERLAP_WEIGHT
 from tessera.functions.similarity import difflib_ratio, jaccard_from_counts, match_confidence, name_similarity
 from tessera.operators.components import star_labels
 from tessera.operators.skew import salted_join, splittable
@@ -102,6 +102,63 @@ def probabilistic_match(
     )
 
 
+def candidate_pairs(
+    query_ids: DataFrame, query_names: DataFrame, profile_ids: DataFrame, profile_names: DataFrame, least: float, exclude_self: bool = False
+) -> DataFrame:
+    """Pairs ``(qid, profile_id, q_n, p_n)`` that can reach a confidence of ``least``; no other pair is made.
+
+    As a name score is 1 at most, the overlap must reach t = (least - name weight) /
+    overlap weight.  Two sets of that overlap share a value among their first
+    n - ceil(t n) + 1, when all values are ordered by how many profiles hold them, the
+    rarest first: a value that very many hold joins only where it is among the rarest
+    an entity has.  Sizes must be within t of each other, and with the lengths of the
+    names (a name score is at most the shorter over the longer) they must still reach
+    ``least``.
+    """
+    t = (least - NAME_WEIGHT) / OVERLAP_WEIGHT
+    tiny = 1e-9  # bounds are kept a little loose against rounding
+    q = query_ids.select(F.col("qid").alias("id"), "id_value").where(F.length("id_value") > 0).distinct()
+    p = profile_ids.select(F.col("profile_id").alias("id"), "id_value").where(F.length("id_value") > 0).distinct()
+    held = splittable(p.groupBy("id_value").agg(F.count(F.lit(1)).alias("held")))
+    qn = query_names.select(F.col("qid").alias("id"), F.length("name").alias("len")).where(F.col("len") > 0)
+    pn = profile_names.select(F.col("profile_id").alias("id"), F.length("name").alias("len"))
+
+    def firsts(side: DataFrame, names: DataFrame, how: str, prefix: str) -> DataFrame:
+        me = Window.partitionBy("id")
+        rows = side.join(held, "id_value", "left").select("id", "id_value", F.coalesce("held", F.lit(0)).alias("held"))
+        rows = rows.withColumn("n", F.count(F.lit(1)).over(me)).withColumn("pos", F.row_number().over(me.orderBy("held", "id_value")))
+        rows = rows.where(F.col("pos") <= F.col("n") - F.greatest(F.ceil(F.lit(t) * F.col("n") - tiny), F.lit(1)) + 1)
+        rows = rows.join(names, "id", how)
+        return rows.select(F.col("id").alias(f"{prefix}_id"), "id_value", F.col("n").alias(f"{prefix}_n"), F.coalesce("len", F.lit(0)).alias(f"{prefix}_len"))
+
+    both = firsts(q, qn, "inner", "q").join(firsts(p, pn, "left", "p"), "id_value")
+    part = lambda a, b: F.least(a, b) / F.greatest(a, b)
+    sizes = part(F.col("q_n"), F.col("p_n"))
+    both = both.where((sizes >= t - tiny) & (NAME_WEIGHT * part(F.col("q_len"), F.col("p_len")) + OVERLAP_WEIGHT * sizes >= least - tiny))
+    if exclude_self:
+        both = both.where("q_id != p_id")
+    return both.select(F.col("q_id").alias("qid"), F.col("p_id").alias("profile_id"), "q_n", "p_n").distinct()
+
+
+def bounded_match(
+    query_ids: DataFrame, query_names: DataFrame, profile_ids: DataFrame, profile_names: DataFrame, least: float = CONFIDENCE_AUTO_MERGE, exclude_self: bool = False
+) -> DataFrame:
+    """J2 for matches of at least ``least``: the rows of ``probabilistic_match`` with such a confidence, from ``candidate_pairs`` only."""
+    pairs = candidate_pairs(query_ids, query_names, profile_ids, profile_names, least, exclude_self)
+    q = query_ids.select("qid", "id_value").where(F.length("id_value") > 0).distinct()
+    p = profile_ids.select("profile_id", "id_value").where(F.length("id_value") > 0).distinct()
+    shared = pairs.join(q, "qid").join(p, ["profile_id", "id_value"]).groupBy("qid", "profile_id", "q_n", "p_n").agg(F.count(F.lit(1)).alias("shared"))
+    names = shared.join(query_names.select("qid", F.col("name").alias("q_name")), "qid").join(profile_names.select("profile_id", F.col("name").alias("p_name")), "profile_id", "left")
+    scored = names.select(
+        "qid", "profile_id", name_similarity(F.col("q_name"), F.coalesce("p_name", F.lit(""))).alias("name_score"), jaccard_from_counts(F.col("shared"), F.col("q_n"), F.col("p_n")).alias("overlap")
+    )
+    scored = scored.withColumn("confidence", match_confidence(F.col("name_score"), F.col("overlap"))).where(F.col("confidence") >= least)
+    best = F.struct(-F.col("confidence"), F.col("profile_id"))
+    return scored.groupBy("qid").agg(
+        F.min_by("profile_id", best).alias("profile_id"), F.min_by("name_score", best).alias("name_score"), F.min_by("overlap", best).alias("overlap"), F.max("confidence").alias("confidence")
+    )
+
+
 def valid_identifier_keys(identifiers: F.Column) -> F.Column:
     """``type:value`` strings of the known-type, non-empty identifiers of one event."""
     ok = F.filter(identifiers, lambda x: x["type"].isin(IDENTIFIER_TYPES) & (F.length(x["value"]) > 0))

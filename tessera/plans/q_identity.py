@@ -236,3 +236,41 @@ def j2_probabilistic_difflib(spark, sf_dir):
         name_mode="difflib",
     )
     return best.select("qid", "profile_id", "confidence")
+
+
+# Another export of the contacts: every third with a further value, every third with one of its own only, every
+# fifth name misspelt.  All share one switchboard value.
+J2B_SQL = f"""
+WITH p AS (
+  SELECT 'p' || c_custkey AS profile_id, unnest([{O.email('c_custkey')}, {O.phone('c_custkey')}, 'sf_' || c_custkey, 'switchboard']) AS id_value FROM customer),
+q AS (
+  SELECT 'q' || c_custkey AS qid, unnest(CASE c_custkey % 3 WHEN 1 THEN [{O.email('c_custkey')}, 'switchboard']
+    WHEN 0 THEN [{O.email('c_custkey')}, {O.phone('c_custkey')}, 'sf_' || c_custkey, 'switchboard', 'dev' || c_custkey]
+    ELSE [{O.email('c_custkey')}, {O.phone('c_custkey')}, 'sf_' || c_custkey, 'switchboard'] END) AS id_value FROM customer),
+names AS (SELECT 'p' || c_custkey AS profile_id, 'q' || c_custkey AS qid, c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'X' || c_name ELSE c_name END AS other FROM customer),
+sh AS (SELECT qid, profile_id, count(*) AS shared FROM (SELECT DISTINCT * FROM q) JOIN (SELECT DISTINCT * FROM p) USING (id_value) GROUP BY 1, 2),
+qs AS (SELECT qid, count(DISTINCT id_value) AS n FROM q GROUP BY 1), ps AS (SELECT profile_id, count(DISTINCT id_value) AS n FROM p GROUP BY 1),
+c AS (
+  SELECT sh.qid, sh.profile_id, 0.6 * (1.0 - CAST(levenshtein(lower(a.other), lower(b.name)) AS DOUBLE) / greatest(length(a.other), length(b.name)))
+         + 0.4 * (CAST(shared AS DOUBLE) / (qs.n + ps.n - shared)) AS confidence
+  FROM sh JOIN qs USING (qid) JOIN ps USING (profile_id) JOIN names a ON a.qid = sh.qid JOIN names b ON b.profile_id = sh.profile_id)
+SELECT qid, arg_min(profile_id, (-confidence, profile_id)) AS profile_id, max(confidence) AS confidence FROM c WHERE confidence >= 0.85 GROUP BY qid
+"""
+
+
+def _second_export(spark, sf_dir):
+    """``(query ids, query names, profile ids, profile names)`` of two exports of the contacts."""
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    key = F.col("k").cast("string")
+    mail, tel, sf, hub = email_of(F.col("k")), phone_of(F.col("k")), F.concat(F.lit("sf_"), key), F.lit("switchboard")
+    values = F.when(F.col("k") % 3 == 1, F.array(mail, hub)).when(F.col("k") % 3 == 0, F.array(mail, tel, sf, hub, F.concat(F.lit("dev"), key))).otherwise(F.array(mail, tel, sf, hub))
+    qid, pid = F.concat(F.lit("q"), key).alias("qid"), F.concat(F.lit("p"), key).alias("profile_id")
+    return (
+        c.select(qid, F.explode(values).alias("id_value")), c.select(qid, F.when(F.col("k") % 5 == 0, F.concat(F.lit("X"), "name")).otherwise(F.col("name")).alias("name")),
+        c.select(pid, F.explode(F.array(mail, tel, sf, hub)).alias("id_value")), c.select(pid, "name"),
+    )
+
+
+@register("j2_bounded_match", J2B_SQL, "J2 T6: fuzzy matches of at least 0.85 from prefix, size and name-length bounds; a value shared by all makes no pairs")
+def j2_bounded_match(spark, sf_dir):
+    return I.bounded_match(*_second_export(spark, sf_dir)).select("qid", "profile_id", "confidence")
