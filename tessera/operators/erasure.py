@@ -10,13 +10,19 @@ large batch stays a shuffle join and still works.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.constants import ERASURE_SLA_HOURS, ERASURE_TOPICS
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ensure_checkpoint_dir
+
+#: Requests up to this number become an IN list, which Parquet checks against min/max and bloom filters; more are joined.
+IN_LIST = 1000
 
 
 def erase(stores: dict[str, tuple[DataFrame, str]], requests: DataFrame, skip: tuple[str, ...] = ()) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -46,6 +52,64 @@ def erase(stores: dict[str, tuple[DataFrame, str]], requests: DataFrame, skip: t
     return {name: left for name, (left, _) in done.items()}, requests.sparkSession.createDataFrame(report, "store string, records_affected long")
 
 
+def write_store(df: DataFrame, path: str, key: str, partition_by: str | None = None, keys_per_file: int = 100_000) -> None:
+    """A store as Parquet files with a bloom filter on ``key``: row groups without a given student are skipped unread."""
+    w = df.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", str(keys_per_file))
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+
+
+@dataclass
+class FileStore:
+    """A store as a list of files: those an erasure left alone, by reference, and the ones written in place of the others."""
+
+    base: str
+    kept: list[str]
+    rewritten: str | None
+    schema: StructType
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        parts = [spark.read.schema(self.schema).option("basePath", self.base).parquet(*self.kept)] if self.kept else []
+        if self.rewritten:
+            parts.append(spark.read.schema(self.schema).parquet(self.rewritten))
+        return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else spark.createDataFrame([], self.schema)
+
+
+def hit_files(store: DataFrame, key: str, requests: DataFrame) -> DataFrame:
+    """``(file, records_affected)``: the files of a Parquet store that hold rows of the requests' students."""
+    ids = requests.select(F.col("student_id").cast("string").alias("_erase_id")).where(F.col("_erase_id").isNotNull()).distinct()
+    few = ids.limit(IN_LIST + 1).collect()
+    rows = store.select(key, F.col("_metadata.file_path").alias("file"))
+    if len(few) <= IN_LIST:  # literals of the column's own type reach the scan
+        kind = store.schema[key].dataType
+        rows = rows.where(F.col(key).isin([F.lit(r[0]).try_cast(kind) for r in few])) if few else rows.limit(0)
+    else:
+        rows = rows.join(ids, F.col(key).cast("string") == F.col("_erase_id"), "left_semi")
+    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("records_affected"))
+
+
+def erase_in_files(spark: SparkSession, path: str, key: str, requests: DataFrame) -> tuple[FileStore, DataFrame]:
+    """E1 / K7 / K9 on a Parquet store: only files that hold a requested student are read in full and written anew.
+
+    Returns the store without the students' rows and the report ``(file,
+    records_affected)`` of the files replaced.  Rewritten files go to a new folder in
+    the shared folder; nothing of ``path`` is changed, so a failed run is run again and
+    the new list of files is put in force (and the replaced files deleted) by whoever
+    holds the store.  The driver holds file names only.
+    """
+    store = spark.read.parquet(path)
+    report = cut_lineage(hit_files(store, key, requests))
+    hit = sorted(r.file for r in report.select("file").collect())
+    if not hit:
+        return FileStore(path, sorted(store.inputFiles()), None, store.schema), report
+    ids = requests.select(F.col("student_id").cast("string").alias("_erase_id")).distinct()
+    left = spark.read.schema(store.schema).option("basePath", path).parquet(*hit).join(ids, F.col(key).cast("string") == F.col("_erase_id"), "left_anti")
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/erased_{uuid.uuid4().hex}"
+    write_store(left, target, key)
+    plain = lambda f: f.split(":", 1)[-1].lstrip("/")  # noqa: E731 - file:/x and file:///x are the same file
+    gone = {plain(f) for f in hit}
+    return FileStore(path, sorted(f for f in store.inputFiles() if plain(f) not in gone), target, store.schema), report
+
+
 def erasure_audit(requests: DataFrame, report: DataFrame) -> DataFrame:
     """One ``delete`` row per request with the stores' results (``report`` has a row per store)."""
     results = F.to_json(F.array_sort(F.collect_list(F.struct("store", "records_affected"))))

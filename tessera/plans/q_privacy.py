@@ -291,3 +291,26 @@ def j15_crm_mapping_erase(spark, sf_dir):
         F.col("c_custkey").cast("string").alias("student_id"), F.concat(F.lit("sf_"), F.col("c_custkey").cast("string")).alias("salesforce_id")
     )
     return X.crm_mappings_to_delete(erasure_requests(spark, sf_dir), cust)
+
+
+E1F_SQL = """
+WITH e AS (SELECT user_id, user_id % 16 AS bucket, user_id % 50 = 0 AND user_id IN (SELECT c_custkey FROM customer) AS gone FROM events)
+SELECT bucket, count(*) FILTER (WHERE gone) AS records_affected, bool_or(gone) AS rewritten, count(*) FILTER (WHERE NOT gone) AS records_left FROM e GROUP BY 1
+"""
+
+
+@register("e1_erase_in_files", E1F_SQL, "E1 K7 K9: erasure that reads and rewrites only the files holding a requested student")
+def e1_erase_in_files(spark, sf_dir):
+    from tessera.operators import erasure as E
+    from tessera.streaming.pipeline import scratch_dir
+
+    events = read_table(spark, sf_dir, "events").withColumn("bucket", (F.col("user_id") % 16).cast("int"))
+    path = scratch_dir(spark, "event_store")
+    E.write_store(events.repartition("bucket").sortWithinPartitions("bucket", "user_id"), path, "user_id", partition_by="bucket")
+    requests = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 50 == 0).select(F.col("c_custkey").cast("string").alias("student_id"))
+    store, report = E.erase_in_files(spark, path, "user_id", requests)
+    hit = report.groupBy(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("int").alias("bucket")).agg(F.sum("records_affected").alias("records_affected"))
+    left = store.read(spark).groupBy("bucket").agg(F.count(F.lit(1)).alias("records_left"))
+    out = left.join(hit, "bucket", "full")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.select(F.col("bucket").cast("bigint").alias("bucket"), zero("records_affected"), F.col("records_affected").isNotNull().alias("rewritten"), zero("records_left"))
