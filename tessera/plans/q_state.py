@@ -145,3 +145,25 @@ def d8_state_idle(spark, sf_dir):
     make = lambda e: K.count_input(e, F.col("student_id"), F.col("source") == "whatsapp")
     root = _counts(spark, source, make, _middle(spark, source), idle_days=30)
     return K.idle_keys(spark, root).where("key != '-1'").select(F.col("key").alias("student_id"), F.date_format("last_ts", TS).alias("last_ts"))
+
+
+A11S_SQL = f"""
+WITH {O.EV}, b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM ev),
+c AS (SELECT source, (event_id - lo) // ((hi - lo) // {CHUNKS} + 1) AS batch FROM ev, b)
+SELECT batch, source AS counter, count(*) AS n FROM c GROUP BY ALL
+"""
+
+
+@register("a11_stream_counters", A11S_SQL, "A11 S7: events by source of every micro-batch, observed in the running stream and gathered by a listener")
+def a11_stream_counters(spark, sf_dir):
+    from tessera.streaming.metrics import CounterListener, with_counters
+
+    path, schema = _source(spark, sf_dir)
+    listener = CounterListener("ingested")
+    spark.streams.addListener(listener)
+    try:
+        sources = {s: F.col("source") == s for s in ("website", "app", "crm", "email", "whatsapp")}
+        S.run_to_table(with_counters(S.read_event_stream(spark, path, schema), "ingested", sources))
+        return listener.table(spark).where("n > 0").drop("run_id")
+    finally:
+        spark.streams.removeListener(listener)
