@@ -225,6 +225,76 @@ def j14_reconcile(spark, sf_dir):
     return Q.reconcile(a, b, "profile_id", ["score"])
 
 
+# Two copies of the profile table that drifted apart: rows missing on either side, older rows on
+# either side, a score lost (null) under an equal time.
+_A_KEEPS, _B_KEEPS = "pid % 41 <> 0", "pid % 40 <> 0"
+_HEAL_STORES = f"""
+WITH {O.EV}, g AS (SELECT student_id AS profile_id, CAST(student_id AS BIGINT) AS pid, count(*) AS n, max(epoch_us(ts)) AS last_us FROM ev GROUP BY 1, 2),
+a AS (SELECT profile_id, CASE WHEN pid % 31 = 0 THEN n + 1 ELSE n END AS n, CASE WHEN pid % 31 = 0 THEN last_us + 1 ELSE last_us END AS last_us FROM g WHERE {_A_KEEPS}),
+b AS (SELECT profile_id, CASE WHEN pid % 37 = 0 THEN NULL WHEN pid % 30 = 0 THEN n + 2 ELSE n END AS n,
+             CASE WHEN pid % 37 <> 0 AND pid % 30 = 0 THEN last_us + 2 ELSE last_us END AS last_us FROM g WHERE {_B_KEEPS}),
+j AS (SELECT coalesce(a.profile_id, b.profile_id) AS profile_id, a.profile_id IS NULL AS no_a, b.profile_id IS NULL AS no_b,
+             a.n AS an, a.last_us AS aat, b.n AS bn, b.last_us AS bat FROM a FULL JOIN b ON a.profile_id = b.profile_id),
+d AS (SELECT *, no_a OR (NOT no_b AND bat > aat) AS from_b FROM j WHERE no_a OR no_b OR an IS DISTINCT FROM bn OR aat IS DISTINCT FROM bat)"""
+
+J14_HEAL_SQL = f"""{_HEAL_STORES}
+SELECT profile_id, CASE WHEN from_b THEN 'a' ELSE 'b' END AS store,
+       CASE WHEN no_a THEN 'missing_a' WHEN no_b THEN 'missing_b' ELSE 'differs' END AS status,
+       CASE WHEN from_b THEN bn ELSE an END AS n, CASE WHEN from_b THEN bat ELSE aat END AS last_us FROM d
+"""
+J14_WORK_SQL = f"""{_HEAL_STORES},
+r AS (SELECT DISTINCT substr(md5(profile_id), 1, 4) AS leaf FROM d),
+s AS (SELECT substr(md5(profile_id), 1, 4) AS leaf, 1 AS na, 0 AS nb FROM a UNION ALL SELECT substr(md5(profile_id), 1, 4), 0, 1 FROM b)
+SELECT CAST(sum(na) AS BIGINT) AS rows_a, CAST(sum(nb) AS BIGINT) AS rows_b, count(DISTINCT s.leaf) AS ranges, (SELECT count(*) FROM r) AS ranges_differing,
+       CAST(count_if(na = 1 AND r.leaf IS NOT NULL) AS BIGINT) AS joined_a, CAST(count_if(nb = 1 AND r.leaf IS NOT NULL) AS BIGINT) AS joined_b,
+       CAST(0 AS BIGINT) AS differences_left
+FROM s LEFT JOIN r ON s.leaf = r.leaf
+"""
+
+
+def _drifted_stores(spark, sf_dir):
+    """Both copies written as reconcilable stores: their paths."""
+    import uuid
+
+    from tessera.operators.healing import write_store
+    from tessera.session import ensure_checkpoint_dir
+
+    g = canonical_events(spark, sf_dir).groupBy(F.col("student_id").alias("profile_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("last_us")
+    ).withColumn("pid", F.col("profile_id").cast("bigint"))
+    bump = lambda when, c, by: F.when(when, F.col(c) + by).otherwise(F.col(c)).alias(c)
+    up_a, up_b, lost = F.expr("pid % 31 = 0"), F.expr("pid % 37 <> 0 AND pid % 30 = 0"), F.expr("pid % 37 = 0")
+    a = g.where(_A_KEEPS).select("profile_id", bump(up_a, "n", 1), bump(up_a, "last_us", 1))
+    b = g.where(_B_KEEPS).select("profile_id", F.when(~lost, bump(up_b, "n", 2)).alias("n"), bump(up_b, "last_us", 2))
+    paths = [f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/store_{uuid.uuid4().hex}" for _ in "ab"]
+    for store, path in zip((a, b), paths):
+        write_store(store, "profile_id", ["n", "last_us"], path)
+    return paths
+
+
+_STORE_SCHEMA = "profile_id string, n long, last_us long"
+
+
+@register("j14_heal", J14_HEAL_SQL, "J14: repair rows of two drifted stores, only ranges with differing digests joined")
+def j14_heal(spark, sf_dir):
+    from tessera.operators.healing import compare_stores
+
+    return compare_stores(spark, *_drifted_stores(spark, sf_dir), "profile_id", _STORE_SCHEMA, ["n", "last_us"], "last_us")[0]
+
+
+@register("j14_heal_work", J14_WORK_SQL, "J14: rows and ranges read by the digest tree, and the differences left once the repair rows are applied")
+def j14_heal_work(spark, sf_dir):
+    from tessera.operators.healing import apply_repairs, compare_stores, read_store
+    from tessera.session import cut_lineage
+
+    paths = _drifted_stores(spark, sf_dir)
+    repairs, work = compare_stores(spark, *paths, "profile_id", _STORE_SCHEMA, ["n", "last_us"], "last_us")
+    repairs = cut_lineage(repairs)
+    healed = [apply_repairs(read_store(spark, p, _STORE_SCHEMA), repairs, s, "profile_id") for p, s in zip(paths, "ab")]
+    left = Q.reconcile(*healed, "profile_id", ["n", "last_us"]).agg(F.count(F.lit(1)).alias("differences_left"))
+    return work.join(left, F.lit(True))  # one row with one row
+
+
 A8_SQL = """
 WITH a AS (
   SELECT count(*) AS n,
