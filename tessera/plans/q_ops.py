@@ -302,6 +302,23 @@ def k6_merge_overwrite(spark, sf_dir):
     return _k6(spark, sf_dir, "overwrite")
 
 
+#: Buckets of the test tables; a production table takes its size divided by about 256 MB.
+TEST_BUCKETS = 8
+
+
+@register("k6_merge_bucketed", _k6_sql("overwrite"), "K6: MERGE into a bucketed target, whose rows are never shuffled")
+def k6_merge_bucketed(spark, sf_dir):
+    from tessera.sinks.bucketed import merge_bucketed, write_bucketed
+    from tessera.streaming.pipeline import scratch_dir
+
+    old, new = f"profiles_{uuid.uuid4().hex}", f"profiles_{uuid.uuid4().hex}"
+    t = _score_at(spark, sf_dir, PREV).withColumn("updated_at", F.lit(PREV).cast("timestamp"))
+    write_bucketed(t, old, ["profile_id"], TEST_BUCKETS, scratch_dir(spark, "bucketed"))
+    s = _score_at(spark, sf_dir, AS_OF_EVENTS).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    merge_bucketed(spark, old, s, AS_OF_EVENTS, new, scratch_dir(spark, "bucketed"))
+    return spark.table(new).select("profile_id", "score", F.date_format("updated_at", TS).alias("updated_at"))
+
+
 K8_SQL = f"""
 WITH {O.EV},
 old AS (SELECT DISTINCT student_id FROM ev WHERE ts < {PREV_SQL}),
@@ -318,6 +335,26 @@ FROM cur LEFT JOIN old USING (student_id)
 def k8_upsert_profiles(spark, sf_dir):
     from tessera.sinks.writers import upsert_profiles
 
+    out = upsert_profiles(*_k8_inputs(spark, sf_dir), AS_OF_EVENTS)
+    return _k8_rows(out)
+
+
+@register("k8_upsert_bucketed", K8_SQL, "K8: profile upsert into a bucketed table, whose rows are never shuffled")
+def k8_upsert_bucketed(spark, sf_dir):
+    from tessera.sinks.bucketed import upserted_bucketed, write_bucketed
+    from tessera.streaming.pipeline import scratch_dir
+
+    stored, incoming = _k8_inputs(spark, sf_dir)
+    name = f"profiles_{uuid.uuid4().hex}"
+    write_bucketed(stored, name, ["profile_id"], TEST_BUCKETS, scratch_dir(spark, "bucketed"))
+    return _k8_rows(upserted_bucketed(spark, name, incoming, AS_OF_EVENTS))
+
+
+def _k8_rows(out):
+    return out.select("profile_id", "total_events", "version", F.date_format("created_at", TS).alias("created_at"), F.date_format("updated_at", TS).alias("updated_at"))
+
+
+def _k8_inputs(spark, sf_dir):
     ev = canonical_events(spark, sf_dir)
     stored = (
         ev.filter(F.col("ts") < F.lit(PREV))
@@ -328,8 +365,7 @@ def k8_upsert_profiles(spark, sf_dir):
         .withColumn("updated_at", F.lit(PREV).cast("timestamp"))
     )
     incoming = ev.groupBy(F.col("student_id").alias("profile_id")).agg(F.count(F.lit(1)).alias("total_events"))
-    out = upsert_profiles(stored, incoming, AS_OF_EVENTS)
-    return out.select("profile_id", "total_events", "version", F.date_format("created_at", TS).alias("created_at"), F.date_format("updated_at", TS).alias("updated_at"))
+    return stored, incoming
 
 
 F9_SQL = f"""
