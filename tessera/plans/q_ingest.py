@@ -535,6 +535,34 @@ def s4_crm_changes_incremental(spark, sf_dir):
     return crm_changes_since(m, "2024-01-30 00:50:00").select("salesforce_id", "sf_modified_at")
 
 
+S4S_SQL = """
+SELECT 'sf_' || CAST(c_custkey AS VARCHAR) AS salesforce_id,
+       strftime(TIMESTAMP '2024-01-30 00:00:00' + to_minutes(CAST(c_custkey % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS sf_modified_at,
+       c_mktsegment AS segment, CAST(1 AS BIGINT) AS deliveries
+FROM customer
+"""
+
+
+@register("s4_stream_changes", S4S_SQL, "S4: polled change feed as a stream source, late rows and repeats across restarts, each (id, modified) once")
+def s4_stream_changes(spark, sf_dir):
+    from tessera.sources.changes import changes_stream, deliver_changes
+    from tessera.streaming.pipeline import scratch_dir
+
+    m = N.map_crm_fields(PL.crm_rows(spark, sf_dir))
+    key = F.substring("salesforce_id", 4, 18).cast("long")
+    page = m.select(F.col("salesforce_id").alias("id"), F.col("sf_modified_at").alias("modified"), F.to_json(F.struct(*m.columns)).alias("payload"), key.alias("k"))
+    # Three pages of eight hours; one row in eleven comes a poll late, one in seven is sent again by the next poll.
+    hours = F.hour(F.to_timestamp("modified"))
+    due = F.least(F.lit(2), F.floor(hours / 8).cast("int") + F.when(F.col("k") % 11 == 0, 1).otherwise(0))
+    feed, out, checkpoint = (scratch_dir(spark, n) for n in ("feed", "changes", "changes_ckpt"))
+    for poll in range(3):
+        again = (due == poll - 1) & (F.col("k") % 7 == 0)
+        page.where((due == poll) | again).drop("k").write.mode("append").parquet(feed)
+        deliver_changes(changes_stream(spark, feed, 20 * 3600), out, checkpoint)  # each poll a query of its own, as after a restart
+    got = spark.read.parquet(out).select("id", "modified", F.get_json_object("payload", "$.enrollment_status").alias("segment"))
+    return got.groupBy(F.col("id").alias("salesforce_id"), F.col("modified").alias("sf_modified_at"), "segment").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
 P1_SQL = f"""
 WITH e AS (SELECT event_id, user_id, ts, event_id % 8 AS k FROM events)
 SELECT CASE WHEN k = 7 THEN sha256('["' || event_id || '"]') ELSE CAST(event_id AS VARCHAR) END AS event_id,
