@@ -231,6 +231,95 @@ def knn_pruned(
     return best, work
 
 
+#: Hyperplane hashing: tables, bits of a code, buckets probed per table.  On vectors without any clusters (64 dimensions) these
+#: find about 0.97 of the true neighbours and score 0.6 of the pairs; clustered vectors need far less of both.
+LSH_TABLES, LSH_BITS, LSH_PROBES = 16, 8, 16
+
+
+def _bucket_rows(kind: str, tables: int, bits: int, probes: int, seed: int, keep: list[str]):
+    """mapInPandas body: a row per vector and bucket (``tbl``, ``code``) that holds it, or that its query probes.
+
+    The probes of a query are the codes whose differing bits have the least sum of
+    distances to their planes: the buckets its neighbours most likely fell into.
+    """
+    import numpy as np
+    import pandas as pd
+
+    codes = np.arange(1 << bits)
+    set_ = ((codes[:, None] >> np.arange(bits)) & 1).astype(bool)
+
+    def run(batches):
+        for pdf in batches:
+            unit, good = _units(pdf[kind])
+            if not good.any():
+                continue
+            part, unit = pdf.loc[good, keep], unit[good]
+            planes = np.random.default_rng(seed).normal(size=(unit.shape[1], tables, bits))
+            for t in range(tables):
+                side = unit @ planes[:, t]
+                if kind == "vec":
+                    yield part.assign(tbl=np.int32(t), code=((side > 0) @ (1 << np.arange(bits))).astype("int32"))
+                    continue
+                for lo in range(0, len(part), QUERY_SLICE):
+                    here = side[lo : lo + QUERY_SLICE]
+                    away = np.abs(here)[:, None, :] * (set_[None] != (here > 0)[:, None, :])
+                    near = np.argsort(away.sum(axis=2), axis=1, kind="stable")[:, :probes]
+                    rows = part.iloc[lo : lo + QUERY_SLICE]
+                    yield rows.iloc[np.repeat(np.arange(len(rows)), near.shape[1])].assign(tbl=np.int32(t), code=near.ravel().astype("int32"))
+
+    return run
+
+
+def knn_lsh(
+    queries: DataFrame,
+    index: DataFrame,
+    k: int = 5,
+    by: str | None = None,
+    exclude_self: bool = False,
+    tables: int = LSH_TABLES,
+    bits: int = LSH_BITS,
+    probes: int = LSH_PROBES,
+    seed: int = 0,
+    block_rows: int = 20_000,
+    chunk_rows: int = 20_000,
+) -> DataFrame:
+    """T4: approximate cosine top-``k`` by random hyperplanes; frames and result as ``knn_exact``.
+
+    Every vector of the index lies in one bucket per table, and a query scores, exactly,
+    the vectors of the ``probes`` buckets nearest to it in each.  Buckets of any size are
+    dealt out in blocks and their queries in chunks, a task emits its top ``k`` per query,
+    and no (query, vector) pair is a row.  Vectors without a direction (zero, NaN, null)
+    have no cosine and are neither found nor answered.  With ``probes = 2 ** bits`` the
+    result is the exact one; ``recall`` measures any other setting.
+    """
+    extra = [by] if by else []
+    keys = [*extra, "tbl", "code"]
+
+    def buckets(df: DataFrame, kind: str, keep: list[str]) -> DataFrame:
+        fields = ", ".join([*(f"{c} {t}" for c, t in df.select(*keep).dtypes), "tbl int", "code int"])
+        return df.where(F.col(kind).isNotNull()).mapInPandas(_bucket_rows(kind, tables, bits, probes, seed, keep), fields)
+
+    x, q = index.select("vid", "vec", *extra), queries.select("qid", "qvec", *extra)
+    parts = lambda df, kind, rows, name: buckets(df, kind, extra).groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+    meet = parts(x, "vec", block_rows, "n_blk").join(parts(q, "qvec", chunk_rows, "n_chk"), keys)
+    share = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = buckets(x, "vec", x.columns).join(meet, keys).withColumn("_blk", share("vid", "n_blk")).withColumn("_chk", each("n_chk")).drop("n_blk", "n_chk")
+    asked = buckets(q, "qvec", q.columns).join(meet, keys).withColumn("_chk", share("qid", "n_chk")).withColumn("_blk", each("n_blk")).drop("n_blk", "n_chk")
+    group = [*keys, "_blk", "_chk"]
+    found = asked.groupBy(*group).cogroup(held.groupBy(*group)).applyInPandas(_topk_block(k, exclude_self), "qid long, vid long, score double")
+    once = found.groupBy("qid", "vid").agg(F.max("score").alias("score"))  # several tables may hold the same pair
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("vid").asc())
+    return once.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row ``(queries, neighbours, hits, recall)``: the true neighbours that an approximate search found (recall 1 of none)."""
+    hit = exact.select("qid", "vid").join(found.select("qid", "vid", F.lit(1).alias("hit")), ["qid", "vid"], "left")
+    n, hits = F.count(F.lit(1)), F.count("hit")
+    return hit.agg(F.count_distinct("qid").alias("queries"), n.alias("neighbours"), hits.alias("hits"), F.when(n > 0, hits / n).otherwise(F.lit(1.0)).alias("recall"))
+
+
 def hashed_embeddings(texts: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:
     """V1 default encoder: signed feature hashing of lower-case words, L2-normalised.
 

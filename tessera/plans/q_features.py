@@ -218,6 +218,31 @@ def t5_pruned_search(spark, sf_dir):
     return _pruned(spark, sf_dir, None, True)
 
 
+def _asked(spark, sf_dir):
+    """Every vector whose id is divisible by 100 as a query, and the whole table as the index."""
+    e = read_table(spark, sf_dir, "embeddings")
+    q = e.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    return q, e.select(F.col("vec_id").alias("vid"), F.col("embedding").alias("vec"))
+
+
+@register("t4_lsh_search", None, "T4: approximate cosine top-5 by multi-probe hyperplane hashing")
+def t4_lsh_search(spark, sf_dir):
+    return V.knn_lsh(*_asked(spark, sf_dir), 5, exclude_self=True)
+
+
+T4_RECALL_SQL = """
+WITH n AS (SELECT count(*) AS total, count(*) FILTER (vec_id % 100 = 0) AS queries FROM embeddings)
+SELECT queries, queries * least(5, total - 1) AS neighbours, TRUE AS nine_tenths_found FROM n
+"""
+
+
+@register("t4_lsh_recall", T4_RECALL_SQL, "T4: recall of the hashed search against brute force, at least 0.9")
+def t4_lsh_recall(spark, sf_dir):
+    q, x = _asked(spark, sf_dir)
+    r = V.recall(V.knn_lsh(q, x, 5, exclude_self=True), V.knn_exact(q, x, 5, exclude_self=True))
+    return r.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("nine_tenths_found"))
+
+
 V1_SQL = r"""
 WITH w AS (SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS w FROM conversations),
 h AS (SELECT conv_id, turn, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1.0 ELSE -1.0 END AS s FROM w WHERE length(w) > 0),

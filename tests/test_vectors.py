@@ -31,3 +31,28 @@ def test_nothing_to_find(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0])], "qid long, qvec array<double>")
     assert V.knn_pruned(q, x)[0].count() == 0
     assert V.knn_pruned(q.limit(0), q.toDF("vid", "vec"))[0].count() == 0
+
+
+@pytest.mark.parametrize("by,exclude_self", [(None, True), ("label", False)])
+def test_hashed_search(spark, by, exclude_self):
+    rows = _clustered()
+    x = spark.createDataFrame(rows, "vid long, vec array<double>, label int").repartition(3)
+    q = spark.createDataFrame(rows[::20] + rows[-2:], "qid long, qvec array<double>, label int")
+    found = lambda df: {(r.qid, r["rank"]): (r.vid, round(r.score, 9)) for r in df.collect()}
+    exact = V.knn_exact(q, x, 4, by=by, exclude_self=exclude_self)
+    # Every bucket probed: the exact rows, the hot bucket in blocks and its queries in chunks.
+    every = V.knn_lsh(q, x, 4, by=by, exclude_self=exclude_self, tables=1, bits=3, probes=8, block_rows=100, chunk_rows=30)
+    assert found(every) == found(exact)
+    few = V.knn_lsh(q, x, 4, by=by, exclude_self=exclude_self, tables=4, bits=6, probes=4)
+    r = V.recall(few, exact).first()
+    assert r.recall >= 0.95 and r.neighbours == exact.count()
+    right = {(r.qid, r.vid): r.score for r in V.knn_exact(q, x, 2_000, by=by, exclude_self=exclude_self).collect()}
+    got = few.collect()
+    assert len({(r.qid, r.vid) for r in got}) == len(got) and all(abs(right[r.qid, r.vid] - r.score) < 1e-12 for r in got)
+
+
+def test_hashed_search_finds_nothing_in_nothing(spark):
+    x = spark.createDataFrame([], "vid long, vec array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid long, qvec array<double>")
+    got = V.knn_lsh(q, x)
+    assert got.count() == 0 and V.recall(got, got).first().recall == 1.0
