@@ -302,6 +302,8 @@ def knn_lsh(
     x, q = index.select("vid", "vec", *extra), queries.select("qid", "qvec", *extra)
     parts = lambda df, kind, rows, name: buckets(df, kind, extra).groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
     meet = parts(x, "vec", block_rows, "n_blk").join(parts(q, "qvec", chunk_rows, "n_chk"), keys)
+    if not by and tables << bits <= 1 << 16:  # a row per bucket at most, so the copies of the vectors are shuffled once
+        meet = F.broadcast(meet)
     share = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     held = buckets(x, "vec", x.columns).join(meet, keys).withColumn("_blk", share("vid", "n_blk")).withColumn("_chk", each("n_chk")).drop("n_blk", "n_chk")
