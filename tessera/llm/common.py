@@ -54,19 +54,22 @@ def training_rows(docs: DataFrame, marks: DataFrame, label: str, bound: int) ->
     return d.join(F.broadcast(y), "doc_id").select("text", "y")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, on: dict[str, Column]) -> DataFrame:
-    """Rows of ``docs`` whose key is in ``kept``, each document once, with the columns of ``docs``.
+def content_key(text: Column) -> Column:
+    """SHA-256 of a text (lowercase hex): names a document's content where ids may be null or repeat."""
+    return F.sha2(text, 256)
 
-    ``on`` maps key columns of ``kept`` (one row per key) to expressions over
-    ``docs``.  Rows without a doc_id cannot be named by a decision and stay; rows
-    that repeat an id and its text count as one document.
+
+def keep_rows(docs: DataFrame, kept: DataFrame, content: Column) -> DataFrame:
+    """Rows of ``docs`` that ``kept`` names, each document once, with the columns of ``docs``.
+
+    ``kept`` has one row ``(doc_id, content)`` per document that stays; ``content`` is the
+    same key over ``docs``.  A null id matches a null id, so rows without one are judged
+    like any other.  Rows that repeat an id and its content count as one document.  The
+    first of each key is picked in every task before the one shuffle of the rows, and the
+    join reuses that partitioning: a text that holds a third of all rows sends a row a task.
     """
-    names = [f"_keep_{i}" for i in range(len(on))]
-    d = docs.where(F.col("doc_id").isNotNull())
-    for name, expr in zip(names, on.values()):
-        d = d.withColumn(name, expr)
-    k = kept.select(*[F.col(c).alias(name) for c, name in zip(on, names)])
-    d = d.join(k, names, "left_semi")
-    w = Window.partitionBy("doc_id", "_keep_h").orderBy("doc_id")
-    d = d.withColumn("_keep_h", F.xxhash64(text_of(d))).withColumn("_keep_n", F.row_number().over(w)).where("_keep_n = 1")
-    return d.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    names = ["_keep_id", "_keep_null", "_keep_content"]
+    key = lambda df, c: df.withColumns({"_keep_id": F.coalesce(df["doc_id"].cast("long"), F.lit(0)), "_keep_null": df["doc_id"].isNull(), "_keep_content": c})
+    w = Window.partitionBy(*names).orderBy(F.xxhash64(text_of(docs)))
+    first = key(docs, content).withColumn("_keep_n", F.row_number().over(w)).where("_keep_n = 1")
+    return first.join(key(kept, F.col("content")).select(*names), names, "left_semi").select(*docs.columns)

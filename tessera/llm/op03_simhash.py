@@ -17,7 +17,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_of
@@ -54,9 +54,10 @@ def fingerprint(text: str, words_per_shingle: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprint_batches(batches):
+    """Columns (text, ...) -> (fp, ...): what follows the text travels on as it is."""
     for b in batches:
-        fps = np.array([fingerprint(t) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        fps = np.array([fingerprint(t) for t in b.column(0).to_pylist()], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(fps), *b.columns[1:]], names=["fp", *b.schema.names[1:]])
 
 
 def _bit_counts(batches):
@@ -264,20 +265,44 @@ def linked_fingerprints(distinct: DataFrame) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(_bucket_links, "src long, dst long")
 
 
+def _fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
+    """``fp, doc_id`` and ``more`` per row, as a table."""
+    src = docs.select(text_of(docs).alias("_text"), docs["doc_id"].cast("long").alias("doc_id"), *more)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[1:])
+    return cut_lineage(src.mapInArrow(_fingerprint_batches, f"fp long, {types}"))
+
+
+def _components(distinct: DataFrame) -> DataFrame:
+    """Component of each distinct fingerprint: the rows of ``distinct`` with ``component``."""
+    labels = star_labels(linked_fingerprints(distinct))
+    return distinct.join(labels, distinct.fp == labels.node, "left").select(*distinct.columns, F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint, component_id``.
 
     ``component_id`` is the smallest doc_id reachable over links of at most MAX_BITS
     differing bits.  Null and empty texts have fingerprint zero and link like any
     other.  A null doc_id takes part in links but never names a component (it is
-    null only where no id is reachable).  Repeated rows give repeated results; an
-    empty table an empty one; other columns are ignored.
+    null only where no id is reachable).  Very long texts are hashed whole, a block
+    of shingles at a time.  Repeated rows give repeated results; an empty table an
+    empty one; other columns are ignored.
     """
-    src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    rows = cut_lineage(src.mapInArrow(_fingerprint_batches, "doc_id long, fp long"))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    labels = star_labels(linked_fingerprints(distinct))
-    named = distinct.join(labels, distinct.fp == labels.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
+    rows = _fingerprints(docs)
+    named = _components(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     by_fp = named.join(lowest, "component").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def component_keys(docs: DataFrame, content: Column) -> DataFrame:
+    """``(doc_id, content)`` of the one document that stays of each component.
+
+    It is the one with the smallest doc_id (rows without an id come after all
+    others), of one id's texts the one with the least ``content``; so a component
+    of rows without ids keeps one of them, and a second text under a kept id goes.
+    """
+    rows = _fingerprints(docs, content.alias("content"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")
+    named = _components(rows.groupBy("fp").agg(F.min(order).alias("low")))
+    return named.groupBy("component").agg(F.min("low").alias("low")).select("low.doc_id", "low.content")

@@ -87,9 +87,9 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def kept_keys(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_sha256)`` of the rows that stay and have an id, as a table; the level tables are deleted."""
+    """``(doc_id, content)`` of the row that stays of each text (null id: no row of that text has one), as a table; the level tables are deleted."""
     local = _local_level(docs)
-    kept = cut_lineage(_decisions(local).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_sha256"))
+    kept = cut_lineage(_decisions(local).where("kept").select("doc_id", F.col("text_sha256").alias("content")))
     drop_table(local)
     return kept
 
