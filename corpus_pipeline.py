@@ -1,8 +1,9 @@
 """Corpus pipeline over ``documents``: each stage reads all that its predecessor kept.
 
 Every function takes ``(spark, docs, sf_dir)``; all but the last return the columns of
-documents.  Rows without a doc_id pass the two dedup stages (no decision can name
-them) and are judged like any other row elsewhere; an empty table stays empty.
+documents, whatever further columns the table has.  Null texts count as empty.  Rows
+without a doc_id are judged by every stage like any other row, whole texts are read
+whatever their length, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import UPPER, documents, keep_rows, labels, text_of
+from tessera.llm.common import UPPER, content_key, documents, keep_rows, labels, text_of
 from tessera.llm.op02_toxicity import train_toxicity
-from tessera.llm.op03_simhash import simhash_components
+from tessera.llm.op03_simhash import component_keys
 from tessera.llm.op05_exact_dedup import kept_keys
 from tessera.llm.op06_packing import pack_documents
 from tessera.llm.op10_mixing import mix
@@ -21,22 +22,27 @@ from tessera.session import cut_lineage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is under 0.5."""
+    """Documents whose toxicity score is under 0.5; a row is judged by its text alone, repeated rows alike."""
     model = train_toxicity(docs, labels(spark, sf_dir))
     return docs.where(model.column(text_of(docs)) < 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
-    kept = kept_keys(docs)
-    digest = F.sha2(F.translate(text_of(docs), UPPER, UPPER.lower()), 256)
-    return keep_rows(docs, kept, {"doc_id": F.col("doc_id").cast("long"), "text_sha256": digest})
+    """Of equal texts one document, that with the largest doc_id (empty texts are equal; a repeated row counts once).
+
+    Where no row of a text has an id, one of them stays.
+    """
+    return keep_rows(docs, kept_keys(docs), content_key(F.translate(text_of(docs), UPPER, UPPER.lower())))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest doc_id."""
-    kept = simhash_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return keep_rows(docs, kept, {"doc_id": F.col("doc_id").cast("long")})
+    """Of each SimHash component one document, that with the smallest doc_id.
+
+    Of one id's texts in a component the one with the least digest; rows without an
+    id come after all others, and a component of such rows keeps one of them.
+    """
+    content = content_key(text_of(docs))
+    return keep_rows(docs, component_keys(docs, content), content)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
