@@ -259,6 +259,4 @@ def d8_stream_late_rows(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "late_rows_stream")
     S.write_stream_files(ev, src, "event_id", CHUNKS)
-    router = S.LateRowRouter(spark, S.scratch_dir(spark, "late_router"), dt.timedelta(days=1))
-    router.run(S.read_event_stream(spark, src, ev.schema, max_files=1))
-    return router.late_rows(ev.schema.add("error", "string")).select("event_id", "user_id", "error")
+    return S.late_rows(spark, src, ev.schema, "1 day").select("event_id", "user_id", "error")

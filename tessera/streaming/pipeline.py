@@ -303,65 +303,21 @@ class ProfileStreamJob:
             raise RuntimeError(str(q.exception()))
 
 
-class LateRowRouter:
-    """Rows that arrive behind the watermark go to a late-data dead-letter
-    table instead of being dropped silently.
-
-    The watermark follows Spark's rule: after each micro-batch it is the largest
-    event time seen so far minus ``delay``; a row is late when its time is below
-    the watermark in force when its batch starts.  State is one number per
-    committed batch (the running maximum), stored next to the outputs, and a
-    replayed batch id is skipped.
+def late_rows(spark: SparkSession, path: str, schema, delay: str, key: str = "event_id", max_files: int = 1) -> DataFrame:
+    """Rows of the file stream at ``path`` that Spark's watermark dropped, with the reason.
+
+    The stream runs once behind a watermark of ``delay`` and Spark drops what arrives at
+    or behind it; the rows it let through are a table, and the input without them is the
+    late-data dead-letter table.  ``key`` names a row; a repeat of a row that was let
+    through is no late row.  The query has one stateful operator, so its watermark for
+    late rows is that of the batch before (with several it would lag one batch more).
     """
-
-    def __init__(self, spark: SparkSession, root: str, delay: dt.timedelta, ts: str = "ts") -> None:
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.delay = delay
-        self.ts = ts
-
-    def _state(self):
-        """(last committed batch id, running max event time) from the newest marker."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_marks")
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            return None, None
-        ids = [int(st.getPath().getName()) for st in fs.listStatus(p) if st.getPath().getName().isdigit()]
-        if not ids:
-            return None, None
-        last = max(ids)
-        return last, self.spark.read.parquet(f"{self.root}/_marks/{last}").first()["max_ts"]
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        last, seen = self._state()
-        if last is not None and batch_id <= last:
-            return  # a replayed batch: already routed
-        if seen is not None:
-            watermark = F.lit(seen - self.delay).cast("timestamp")
-            late = batch.filter(F.col(self.ts) < watermark)
-            on_time = batch.filter(~(F.col(self.ts) < watermark))
-        else:
-            late, on_time = batch.limit(0), batch
-        late.withColumn("error", F.lit("behind watermark")).write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
-        on_time.write.mode("overwrite").parquet(f"{self.root}/on_time/batch={batch_id}")
-        batch_max = batch.agg(F.max(self.ts).alias("m")).first()["m"]
-        new_max = max([v for v in (seen, batch_max) if v is not None], default=None)
-        self.spark.createDataFrame([(batch_id, new_max)], "batch_id long, max_ts timestamp").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/_marks/{batch_id}"
-        )
-
-    def run(self, stream: DataFrame) -> None:
-        q = (
-            stream.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.root}/_stream_ckpt")
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-
-    def late_rows(self, schema) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/late")
+    conf = "spark.sql.streaming.statefulOperator.allowMultiple"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        kept = run_to_table(dedup_stream(read_event_stream(spark, path, schema, max_files), delay))
+    finally:
+        spark.conf.set(conf, before)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.join(kept.select(key), key, "left_anti").withColumn("error", F.lit("behind watermark"))

@@ -210,17 +210,17 @@ def test_salesforce_sync_matches_sequential_loop(spark):
     assert got == want
 
 
-def test_late_router_replay_and_split(spark):
+def test_late_rows_are_those_behind_the_watermark(spark):
     import datetime as _dt
 
-    from tessera.streaming.pipeline import LateRowRouter, scratch_dir
+    from tessera.streaming.pipeline import late_rows, scratch_dir
 
     base = _dt.datetime(2024, 1, 10)
-    b0 = spark.createDataFrame([(1, base), (2, base + _dt.timedelta(days=3))], "event_id long, ts timestamp")
-    b1 = spark.createDataFrame([(3, base), (4, base + _dt.timedelta(days=2, hours=12))], "event_id long, ts timestamp")
-    r = LateRowRouter(spark, scratch_dir(spark, "late_test"), _dt.timedelta(days=1))
-    r.process(b0, 0)
-    r.process(b1, 1)
-    r.process(b1, 1)  # replay: skipped
-    late = sorted(x.event_id for x in r.late_rows(b0.schema.add("error", "string")).collect())
-    assert late == [3]  # watermark after batch 0 is day 13 - 1 = day 12; row 4 (day 12.5) is on time
+    path = scratch_dir(spark, "late_test")
+    schema = "event_id long, ts timestamp"
+    day = lambda n: base + _dt.timedelta(days=n)
+    for rows in ([(1, day(0)), (2, day(3))], [(3, day(0)), (4, day(2.5))], [(1, day(0)), (5, day(9))], [(6, day(7)), (7, day(8.1))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    late = late_rows(spark, path, schema, "1 day")
+    # Watermarks: day 2 after the first file, day 8 after the third; the repeat of row 1 was let through before.
+    assert sorted(r.event_id for r in late.collect()) == [3, 6]
