@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.constants import CONSENT_CHANNELS, MERGE_LEGAL_BASIS, TERMS_VERSION
+from tessera.operators.skew import unbroadcast
 
 KEY = ["student_id", "channel"]
 
@@ -82,7 +83,7 @@ def merge_consent(state: DataFrame, pairs: DataFrame, as_of) -> tuple[DataFrame,
     grid = pairs.select("primary_id", "secondary_id", F.explode(chans).alias("channel"))
     p = state.select(F.col("student_id").alias("primary_id"), "channel", F.col("consented").alias("p_c"))
     s = state.select(F.col("student_id").alias("secondary_id"), "channel", F.col("consented").alias("s_c"))
-    g = grid.join(p, ["primary_id", "channel"], "left").join(s, ["secondary_id", "channel"], "left")
+    g = grid.join(unbroadcast(p), ["primary_id", "channel"], "left").join(unbroadcast(s), ["secondary_id", "channel"], "left")
     merged = F.coalesce("p_c", F.lit(False)) & F.coalesce("s_c", F.lit(False))
     rewrites = g.filter(F.col("p_c").isNull() | (F.col("p_c") != merged)).select(
         F.col("primary_id").alias("student_id"),
@@ -92,8 +93,8 @@ def merge_consent(state: DataFrame, pairs: DataFrame, as_of) -> tuple[DataFrame,
         F.lit(as_of).cast("timestamp").alias("updated_at"),
         F.lit(TERMS_VERSION).alias("terms_version"),
     )
-    kept = state.join(pairs.select(F.col("secondary_id").alias("student_id")), "student_id", "left_anti")
-    kept = kept.join(rewrites.select(*KEY), KEY, "left_anti")
+    kept = state.join(unbroadcast(pairs.select(F.col("secondary_id").alias("student_id"))), "student_id", "left_anti")
+    kept = kept.join(unbroadcast(rewrites.select(*KEY)), KEY, "left_anti")
     return kept.unionByName(rewrites), rewrites
 
 
