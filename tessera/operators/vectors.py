@@ -16,10 +16,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-QUERY_SLICE = 256  # queries scored per matrix product inside a task (bounds task memory)
+QUERY_SLICE, INDEX_SLICE = 256, 8_192  # queries and vectors of one matrix product inside a task (bounds task memory)
+
+
+class _Best:
+    """The best ``k`` of each of ``n`` queries over any number of score matrices: score descending, then vector id ascending."""
+
+    def __init__(self, n: int, k: int, least=None) -> None:
+        import numpy as np
+
+        self.k, self.row, self.vid, self.score = k, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        self.least = np.full(n, -np.inf) if least is None else least  # no lower score can be among the best
+        self.known = least is not None
+
+    def add(self, S, vids, rows) -> None:
+        """Scores of the queries ``rows`` (positions) against the vectors ``vids``; -inf: not to be found."""
+        import numpy as np
+
+        least = self.least[rows]
+        if not self.known and S.shape[1] > self.k:
+            least = np.maximum(least, np.partition(S, S.shape[1] - self.k, axis=1)[:, S.shape[1] - self.k])
+        r, c = np.nonzero((S >= least[:, None]) & (S > -np.inf))
+        if not len(r):
+            return
+        row, vid, score = np.concatenate([self.row, rows[r]]), np.concatenate([self.vid, vids[c]]), np.concatenate([self.score, S[r, c]])
+        order = np.lexsort((vid, -score, row))
+        row, vid, score = row[order], vid[order], score[order]
+        start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        place = np.arange(len(row)) - np.repeat(start, np.diff(np.r_[start, len(row)]))
+        kept = place < self.k
+        last = place == self.k - 1
+        self.least[row[last]] = score[last]
+        self.row, self.vid, self.score = row[kept], vid[kept], score[kept]
+        self.known = True
+
+
+def _cosines(Q, qn, X, xn):
+    import numpy as np
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        S = Q @ X.T
+        S /= qn[:, None] * xn[None, :]
+    S[np.isnan(S)] = -np.inf
+    return S
+
+
+def _matrix(column):
+    import numpy as np
+
+    m = np.vstack([np.asarray(v, dtype=np.float64) for v in column])
+    return m, np.linalg.norm(m, axis=1)
 
 
-def _topk_block(k: int, exclude_self: bool):
+def _topk_block(k: int, exclude_self: bool, bounds=None):
+    """Cogroup body: the best ``k`` of a block of vectors for each query of a chunk.
+
+    With ``bounds`` the vectors carry their ``cluster`` and the queries ``least``, a score that
+    a result must reach, and the ``cluster`` that gave it: other clusters are scored where
+    ``bounds(unit queries, clusters)`` reaches that score.
+    """
     import numpy as np
     import pandas as pd
 
@@ -27,33 +82,35 @@ def _topk_block(k: int, exclude_self: bool):
         empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         if q.empty or x.empty:
             return empty
-        X = np.vstack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
-        xn = np.linalg.norm(X, axis=1)
+        if bounds:
+            x = x.sort_values("cluster", kind="stable")
+            cluster = x["cluster"].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1]])
+            spans = [(a + i, min(a + i + INDEX_SLICE, b), j) for j, (a, b) in enumerate(zip(cuts, np.r_[cuts[1:], len(x)])) for i in range(0, b - a, INDEX_SLICE)]
+        else:
+            spans = [(a, min(a + INDEX_SLICE, len(x)), 0) for a in range(0, len(x), INDEX_SLICE)]
+        X, xn = _matrix(x["vec"])
         vids = x["vid"].to_numpy()
-        kk = min(k, X.shape[0])
-        out_q, out_v, out_s = [], [], []
+        out = []
         for lo in range(0, len(q), QUERY_SLICE):
             part = q.iloc[lo : lo + QUERY_SLICE]
-            Q = np.vstack([np.asarray(v, dtype=np.float64) for v in part["qvec"]])
-            qn = np.linalg.norm(Q, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                S = (Q @ X.T) / np.outer(qn, xn)
-            S = np.nan_to_num(S, nan=-np.inf)
-            qids = part["qid"].to_numpy()
-            if exclude_self:
-                S[qids[:, None] == vids[None, :]] = -np.inf
-            for i in range(S.shape[0]):
-                row = S[i]
-                # The kk best scores and everything tied with the last of them, then score desc, vector id asc.
-                near = np.flatnonzero(row >= np.partition(row, len(row) - kk)[len(row) - kk]) if kk < len(row) else np.arange(len(row))
-                order = near[np.lexsort((vids[near], -row[near]))[:kk]]
-                order = order[np.isfinite(row[order])]
-                out_q.append(np.full(len(order), qids[i]))
-                out_v.append(vids[order])
-                out_s.append(row[order])
-        if not out_q:
-            return empty
-        return pd.DataFrame({"qid": np.concatenate(out_q), "vid": np.concatenate(out_v), "score": np.concatenate(out_s)})
+            Q, qn = _matrix(part["qvec"])
+            qids, every = part["qid"].to_numpy(), np.arange(len(part))
+            best = _Best(len(part), k, part["least"].fillna(-np.inf).to_numpy().copy() if bounds else None)
+            if bounds:
+                best.known = bool(np.isfinite(best.least).all())
+                open_ = bounds(Q / qn[:, None], cluster[cuts]) >= best.least[:, None]
+                open_ &= part["cluster"].to_numpy()[:, None] != cluster[cuts][None, :]
+            for a, b, j in spans:
+                rows = np.flatnonzero(open_[:, j]) if bounds else every
+                if not len(rows):
+                    continue
+                S = _cosines(Q[rows], qn[rows], X[a:b], xn[a:b])
+                if exclude_self:
+                    S[qids[rows][:, None] == vids[None, a:b]] = -np.inf
+                best.add(S, vids[a:b], rows)
+            out.append((qids[best.row], best.vid, best.score))
+        return pd.DataFrame({"qid": np.concatenate([o[0] for o in out]), "vid": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
 
     return run
 
@@ -66,7 +123,7 @@ def knn_exact(
     exclude_self: bool = False,
     index_blocks: int | None = None,
     query_chunks: int | None = None,
-    block_rows: int = 50_000,
+    block_rows: int = 20_000,
     chunk_rows: int = 20_000,
 ) -> DataFrame:
     """T4 / T5: exact cosine top-``k``.
@@ -141,10 +198,12 @@ def pivot_index(index: DataFrame, pivots: int | None = None, by: str | None = No
             unit, good = _units(pdf["vec"])
             if not len(centre) or not good.any():
                 continue
-            cos = unit[good] @ centre.T
-            best = cos.argmax(axis=1)
-            angle = np.arccos(np.clip(cos[np.arange(len(best)), best], -1.0, 1.0))
-            yield pdf[good].assign(cluster=best.astype("int32"), angle=angle)
+            part, unit = pdf[good], unit[good]
+            for lo in range(0, len(part), QUERY_SLICE):
+                cos = unit[lo : lo + QUERY_SLICE] @ centre.T
+                best = cos.argmax(axis=1)
+                angle = np.arccos(np.clip(cos[np.arange(len(best)), best], -1.0, 1.0))
+                yield part.iloc[lo : lo + QUERY_SLICE].assign(cluster=best.astype("int32"), angle=angle)
 
     fields = ", ".join(f"{c} {t}" for c, t in index.select("vid", "vec", *([by] if by else [])).dtypes)
     out = cut_lineage(index.select("vid", "vec", *([by] if by else [])).mapInPandas(assign, f"{fields}, cluster int, angle double"))
@@ -162,73 +221,86 @@ def knn_pruned(
     For a query at angle a from a pivot whose cluster is w wide, no vector of the
     cluster has a cosine over ``cos(max(0, a - w))``.  Each query first scores the
     nearest cluster; its k-th score there is the least that a result can have, and only
-    clusters whose bound (rounded up) reaches it are scored as well.  Clusters and
-    their queries are dealt out in blocks, so a cluster of any size is many tasks, and
-    no (query, vector) pair is ever a row.
+    clusters whose bound (rounded up) reaches it are scored as well.  For that, clusters
+    lie together in blocks of about ``block_rows`` vectors, a larger one in several: a
+    query goes once to each block with a cluster to score, whatever their number, and the
+    task leaves out the others.  No (query, vector) or (query, cluster) pair is ever a row.
 
     Returns ``(result, work)``: ``(qid, vid, score, rank)`` as ``knn_exact`` gives, and
     ``(qid, scored, total)``, the vectors that the bound left to score for each query
     and all there are.
     """
     import numpy as np
-    import pandas as pd
 
     from tessera.session import cut_lineage
 
     held, centre, width, size = pivot_index(index, pivots, by)
     total = int(size.sum())
-    blocks = np.maximum(1, -(-size // block_rows))
     extra = [by] if by else []
     q = queries.select("qid", "qvec", *extra)
     fields = ", ".join(f"{c} {t}" for c, t in q.dtypes)
     chunks = max(1, -(-q.count() // chunk_rows))
 
-    def bounds(unit):
-        angle = np.arccos(np.clip(unit @ centre.T, -1.0, 1.0))
-        return np.cos(np.maximum(0.0, angle - width[None, :] - _ANGLE_SLACK)) + 1e-12
+    # Blocks: pivots next to each other (by the nearest of a few of them) until a block is full.
+    parts, first_block = np.maximum(1, -(-size // block_rows)), np.zeros(len(centre), dtype=np.int64)
+    few = centre[: max(1, total // block_rows)]
+    block = filled = 0
+    for c in np.argsort((centre @ few.T).argmax(axis=1), kind="stable") if len(centre) else []:
+        if filled and filled + size[c] > block_rows:
+            block, filled = block + 1, 0
+        first_block[c] = block
+        block, filled = (block + int(parts[c]), 0) if parts[c] > 1 else (block, filled + int(size[c]))
 
-    def nearest(batches):
-        for pdf in batches:
-            unit, good = _units(pdf["qvec"])
-            if len(centre) and good.any():
-                near = np.where(width[None, :] < 0, -2.0, unit[good] @ centre.T).argmax(axis=1)
-                yield pdf[good].assign(cluster=near.astype("int32"))
+    def bounds(unit, clusters=slice(None)):
+        angle = np.arccos(np.clip(unit @ centre[clusters].T, -1.0, 1.0))
+        return np.cos(np.maximum(0.0, angle - width[clusters][None, :] - _ANGLE_SLACK)) + 1e-12
 
-    def others(batches):
+    def nearest(batches):
         for pdf in batches:
             unit, good = _units(pdf["qvec"])
             if not len(centre) or not good.any():
                 continue
-            part = pdf[good]
-            least = part["least"].fillna(-2.0).to_numpy()
-            open_ = (bounds(unit[good]) >= least[:, None]) & (width[None, :] >= 0)
-            open_[np.arange(len(part)), part["cluster"].to_numpy()] = False
-            row, cluster = np.nonzero(open_)
-            out = part.drop(columns=["cluster", "least"]).iloc[row].assign(cluster=cluster.astype("int32"))
-            for a in range(0, len(out), 50_000):
-                yield out.iloc[a : a + 50_000]
-
-    keys = [*extra, "cluster", "_blk", "_chk"]
-    n_blocks = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cluster") + 1) if len(blocks) else F.lit(1)
-    x = held.withColumn("_blk", F.pmod(F.xxhash64("vid"), n_blocks).cast("int"))
-
-    def score(pairs: DataFrame) -> DataFrame:
-        asked = pairs.withColumn("_chk", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int"))
-        wanted = asked.select(*[F.col(c).alias(f"w_{c}") for c in [*extra, "cluster", "_chk"]]).distinct()
-        meet = [F.col(c) == F.col(f"w_{c}") for c in [*extra, "cluster"]]
-        here = x.join(wanted, meet).withColumn("_chk", F.col("w__chk") + 0)  # a copy per chunk of queries that asks for it
-        asked = asked.withColumn("_blk", F.explode(F.sequence(F.lit(0), n_blocks.cast("int") - 1)))
-        return asked.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(_topk_block(k, exclude_self), "qid long, vid long, score double")
+            part, unit = pdf[good], unit[good]
+            for lo in range(0, len(part), QUERY_SLICE):
+                near = np.where(width[None, :] < 0, -2.0, unit[lo : lo + QUERY_SLICE] @ centre.T).argmax(axis=1)
+                yield part.iloc[lo : lo + QUERY_SLICE].assign(cluster=near.astype("int32"))
 
+    def opened(batches):
+        for pdf in batches:
+            for lo in range(0, len(pdf), QUERY_SLICE):
+                part = pdf.iloc[lo : lo + QUERY_SLICE]
+                near = part["cluster"].to_numpy()
+                open_ = (bounds(_units(part["qvec"])[0]) >= part["least"].fillna(-2.0).to_numpy()[:, None]) & (width[None, :] >= 0)
+                open_[np.arange(len(part)), near] = False
+                visits = [np.unique(np.concatenate([first_block[o], *(np.arange(first_block[c], first_block[c] + parts[c]) for c in np.flatnonzero(o & (parts > 1)))])).astype("int32") for o in open_]
+                yield part.assign(scored=open_ @ size + size[near], visits=visits)
+
+    pick = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cluster") + 1) if len(values) else F.lit(1)
+    share = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
+    out = "qid long, vid long, score double"
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("vid").asc()))
+
+    # The nearest cluster of each query: its vectors in parts, its queries in chunks.
     first = cut_lineage(q.mapInPandas(nearest, f"{fields}, cluster int"))
-    found = cut_lineage(score(first).withColumn("rank", rank).where(F.col("rank") <= k))
+    near = np.zeros(len(centre), dtype=np.int64)
+    for r in first.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per pivot
+        near[r.cluster] = -(-r.n // chunk_rows)
+    keys = [*extra, "cluster", "_blk", "_chk"]
+    asked = first.withColumn("_chk", share("qid", pick(near))).withColumn("_blk", each(pick(parts)))
+    here = held.withColumn("_n", pick(near)).where("_n > 0").withColumn("_blk", share("vid", pick(parts))).withColumn("_chk", each(F.col("_n"))).drop("_n")
+    found = asked.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(_topk_block(k, exclude_self), out)
+    found = cut_lineage(found.withColumn("rank", rank).where(F.col("rank") <= k))
+
+    # The blocks that hold a cluster whose bound reaches the k-th score of the nearest one.
     least = found.where(F.col("rank") == k).select("qid", F.col("score").alias("least"))
-    more = cut_lineage(first.join(least, "qid", "left").mapInPandas(others, f"{fields}, cluster int"))
-    best = found.drop("rank").unionByName(score(more)).withColumn("rank", rank).where(F.col("rank") <= k)
-    sizes = F.element_at(F.array(*[F.lit(int(s)) for s in size]), F.col("cluster") + 1) if len(size) else F.lit(0)
-    work = first.select("qid", "cluster").unionByName(more.select("qid", "cluster")).groupBy("qid").agg(F.sum(sizes).alias("scored")).withColumn("total", F.lit(total).cast("long"))
-    return best, work
+    todo = cut_lineage(first.join(least, "qid", "left").mapInPandas(opened, f"{fields}, cluster int, least double, scored long, visits array<int>"))
+    keys = [*extra, "_blk", "_chk"]
+    asked = todo.drop("scored").withColumn("_blk", F.explode("visits")).drop("visits").withColumn("_chk", share("qid", F.lit(chunks)))
+    here = held.withColumn("_blk", (pick(first_block) + share("vid", pick(parts))).cast("int")).withColumn("_chk", each(F.lit(chunks)))
+    more = asked.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(_topk_block(k, exclude_self, bounds), out)
+    best = found.drop("rank").unionByName(more).withColumn("rank", rank).where(F.col("rank") <= k)
+    return best, todo.groupBy("qid").agg(F.sum("scored").alias("scored")).withColumn("total", F.lit(total).cast("long"))
 
 
 #: Hyperplane hashing: tables, bits of a code, buckets probed per table.  On vectors without any clusters (64 dimensions) these

@@ -56,3 +56,38 @@ def test_hashed_search_finds_nothing_in_nothing(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid long, qvec array<double>")
     got = V.knn_lsh(q, x)
     assert got.count() == 0 and V.recall(got, got).first().recall == 1.0
+
+
+def test_a_task_scores_slice_by_slice():
+    """A block of any size is scored in matrices of bounded size, ties across slices by id."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n = V.INDEX_SLICE + 500
+    vec = [v.tolist() for v in rng.normal(size=(n, 4))]
+    vec[-1] = vec[0] = vec[5]
+    x = pd.DataFrame({"vid": np.arange(n)[::-1], "vec": vec})
+    q = pd.DataFrame({"qid": [n - 6, 10**6], "qvec": [vec[5], vec[7]]})
+    seen, plain = [], V._cosines
+    V._cosines = lambda *a: seen.append((s := plain(*a)).shape) or s
+    try:
+        got = V._topk_block(3, True)(q, x)
+    finally:
+        V._cosines = plain
+    assert max(s[1] for s in seen) <= V.INDEX_SLICE and len(seen) == 2
+    unit = np.array(vec) / np.linalg.norm(vec, axis=1)[:, None]
+    for qid, v, own in ((n - 6, 5, n - 6), (10**6, 7, -1)):
+        score = dict(zip(x.vid, np.round(unit @ unit[v], 12)))
+        want = sorted((-s, i) for i, s in score.items() if i != own)[:3]
+        assert [(i, round(s, 12)) for i, s in got[got.qid == qid][["vid", "score"]].itertuples(index=False)] == [(i, -s) for s, i in want]
+
+
+def test_pruned_search_makes_no_row_per_cluster(spark):
+    """Vectors without clusters: every cluster is scored, yet a query goes once to a block."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 24)))]
+    x = spark.createDataFrame(rows, "vid long, vec array<double>")
+    got, _ = V.knn_pruned(x.toDF("qid", "qvec"), x, 3, exclude_self=True, block_rows=300)
+    found = lambda df: {(r.qid, r["rank"]): (r.vid, round(r.score, 9)) for r in df.collect()}
+    assert found(got) == found(V.knn_exact(x.toDF("qid", "qvec"), x, 3, exclude_self=True, index_blocks=2))
+    assert "visits" in got._jdf.queryExecution().toString()  # the second round reads the blocks of each query, not its clusters
