@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,6 +20,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 COUNTS = ("chats", "started", "completed", "events")
 _STATE = "first_us long, last_us long, chats long, started long, completed long, events long"
 OUTPUT = f"key string, kind string, category string, {_STATE}"
+_ROW = Row(*(c.split()[0] for c in OUTPUT.split(", ")))
 
 
 class RunningCounts(StatefulProcessor):
@@ -27,7 +28,8 @@ class RunningCounts(StatefulProcessor):
 
     A row of kind ``counts`` is given out for every (key, category) that a batch touched,
     with all counts so far.  ``idle_days`` after the last event of a key, by the watermark,
-    a row of kind ``idle`` is given out; a later event moves the timer.
+    a row of kind ``idle`` is given out; a later event moves the timer.  Rows go through
+    plain Python: a key has few in a batch, and a frame per key costs far more than they do.
     """
 
     def __init__(self, idle_days: int | None = None, fail_on: int | None = None) -> None:
@@ -39,41 +41,38 @@ class RunningCounts(StatefulProcessor):
         self.timer = handle.getValueState("timer", "at_ms long, last_us long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803 - names fixed by the interface
-        import pandas as pd
-
-        batch = pd.concat(list(rows), ignore_index=True)
-        if self.fail_on is not None and (batch["event_id"] == self.fail_on).any():
-            raise RuntimeError("planned crash")
-        batch["category"] = batch["category"].astype(object).where(batch["category"].notna(), "")
-        out = []
-        for category, part in batch.groupby("category"):
-            first, last, *sums = (int(x) for x in (part["us"].min(), part["us"].max(), part["chat"].sum(), part["started"].sum(), part["completed"].sum(), len(part)))
-            if self.counts.containsKey((category,)):
-                old = self.counts.getValue((category,))
-                first, last, sums = min(first, old[0]), max(last, old[1]), [a + b for a, b in zip(sums, old[2:])]
-            self.counts.updateValue((category,), (first, last, *sums))
-            out.append((key[0], "counts", category or None, first, last, *sums))
-        if self.idle_days is not None:
-            last = int(batch["us"].max())
+        found: dict[str, list] = {}
+        for r in rows:
+            if self.fail_on is not None and r["event_id"] == self.fail_on:
+                raise RuntimeError("planned crash")
+            n = found.setdefault(r["category"] or "", [None, None, 0, 0, 0, 0])
+            if r["us"] is not None:
+                n[0], n[1] = (r["us"], r["us"]) if n[0] is None else (min(n[0], r["us"]), max(n[1], r["us"]))
+            for i, c in enumerate(("chat", "started", "completed"), 2):
+                n[i] += r[c]
+            n[5] += 1
+        newest = max((n[1] for n in found.values() if n[1] is not None), default=None)
+        for category in sorted(found):
+            n, old = found[category], self.counts.getValue((category,))  # no value: None, one request less than asking first
+            if old is not None:
+                for i, least in ((0, min), (1, max)):
+                    n[i] = least((x for x in (n[i], old[i]) if x is not None), default=None)
+                n[2:] = [a + b for a, b in zip(n[2:], old[2:])]
+            self.counts.updateValue((category,), tuple(n))
+            yield _ROW(key[0], "counts", category or None, *n)
+        if self.idle_days is not None and newest is not None:
             before = self.timer.get() if self.timer.exists() else None
-            if before is None or last > before[1]:
+            if before is None or newest > before[1]:
                 if before is not None:
                     self.handle.deleteTimer(before[0])
-                at = last // 1000 + self.idle_days * 86_400_000
+                at = newest // 1000 + self.idle_days * 86_400_000
                 self.handle.registerTimer(at)
-                self.timer.update((at, last))
-        yield self._rows(out)
+                self.timer.update((at, newest))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
         last = self.timer.get()[1]
         self.timer.clear()
-        yield self._rows([(key[0], "idle", None, last, last, 0, 0, 0, 0)])
-
-    @staticmethod
-    def _rows(out):
-        import pandas as pd
-
-        return pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
+        yield _ROW(key[0], "idle", None, last, last, 0, 0, 0, 0)
 
     def close(self) -> None:
         pass
@@ -101,7 +100,7 @@ def running_counts(rows: DataFrame, root: str, watermark: str = "40 days", idle_
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
     try:
         keyed = rows.withWatermark("ts", watermark).groupBy("key")
-        out = keyed.transformWithStateInPandas(RunningCounts(idle_days, fail_on), OUTPUT, "Append", "EventTime")
+        out = keyed.transformWithState(RunningCounts(idle_days, fail_on), OUTPUT, "Append", "EventTime")
         q = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start()
         q.awaitTermination()
     finally:
