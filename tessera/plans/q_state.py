@@ -20,20 +20,20 @@ TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _source(spark, sf_dir, sentinel: bool = False):
-    """The canonical events as ``CHUNKS`` files in event order: ``(path, schema)``; an optional far-future row goes last."""
+    """The canonical events as ``CHUNKS`` chunks in event order: ``(path, schema, files of a chunk)``; an optional far-future row goes last."""
     events = canonical_events(spark, sf_dir, with_contact=True)
     path = S.scratch_dir(spark, "state_stream")
     last = None
     if sentinel:
         far = {"event_id": F.lit(-1).cast("long"), "ts": F.lit(FAR_FUTURE).cast(events.schema["ts"].dataType), "student_id": F.lit("-1")}
         last = events.limit(1).withColumns(far).select(*[F.col(f.name).cast(f.dataType) for f in events.schema])
-    S.write_stream_files(events, path, "event_id", CHUNKS, sentinel=last)
-    return path, events.schema
+    files = S.write_stream_files(events, path, "event_id", CHUNKS, sentinel=last)
+    return path, events.schema, files
 
 
-def _identity(spark, sf_dir, crash_at: int = 2) -> IdentityStream:
+def _identity(spark, source, crash_at: int = 2) -> IdentityStream:
     """The identity stream, with a crash after all writes of one batch but before its commit, and the run after it."""
-    path, schema = _source(spark, sf_dir)
+    path, schema, files = source
     job = IdentityStream(spark, S.scratch_dir(spark, "identity"))
     process = job.process
 
@@ -44,18 +44,18 @@ def _identity(spark, sf_dir, crash_at: int = 2) -> IdentityStream:
 
     job.process = crash
     try:
-        job.run(S.read_event_stream(spark, path, schema))
+        job.run(S.read_event_stream(spark, path, schema, files))
     except Exception as e:  # noqa: BLE001 - the planned crash only
         if "planned crash" not in str(e):
             raise
     job.process = process
-    job.run(S.read_event_stream(spark, path, schema))
+    job.run(S.read_event_stream(spark, path, schema, files))
     return job
 
 
 @register("d3_stream_identity", J4_SQL, "D3 J4: connected components kept up batch by batch, across a crash, equal the batch components")
 def d3_stream_identity(spark, sf_dir):
-    comp = _identity(spark, sf_dir).components()
+    comp = _identity(spark, _source(spark, sf_dir)).components()
     return comp.groupBy("component").agg(F.count(F.lit(1)).alias("n_identifiers")).withColumn("profile_id", I.new_profile_id(F.col("component")))
 
 
@@ -80,14 +80,14 @@ SELECT batch, component, old_component, old_size FROM met QUALIFY count(*) OVER
 
 @register("d3_stream_merges", _merges_sql(), "D3 J12: audit of the components that each batch of the stream merged")
 def d3_stream_merges(spark, sf_dir):
-    return _identity(spark, sf_dir).merges().drop("kept")
+    return _identity(spark, _source(spark, sf_dir)).merges().drop("kept")
 
 
 def _counts(spark, source, make, crash_event: int, **options):
     """``RunningCounts`` over a source, failing in a task at one event, then run to the end."""
-    path, schema = source
+    path, schema, files = source
     root = S.scratch_dir(spark, "counts")
-    rows = lambda: make(S.read_event_stream(spark, path, schema))
+    rows = lambda: make(S.read_event_stream(spark, path, schema, files))
     try:
         K.running_counts(rows(), root, fail_on=crash_event, **options)
     except Exception as e:  # noqa: BLE001 - the planned crash only
@@ -117,7 +117,7 @@ def d2_stream_unified_profiles(spark, sf_dir):
     source = _source(spark, sf_dir)
     hub = lambda e: F.coalesce(F.array_min(I.valid_identifier_keys(F.col("identifiers"))), F.concat(F.lit("event:"), F.col("event_id").cast("string")))
     root = _counts(spark, source, lambda e: K.count_input(e, hub(e), F.col("source") == "whatsapp", category=F.col("source")), _middle(spark, source))
-    out = K.unified_profiles(K.current_counts(spark, root), _identity(spark, sf_dir).components(), AS_OF_EVENTS)
+    out = K.unified_profiles(K.current_counts(spark, root), _identity(spark, source).components(), AS_OF_EVENTS)
     return out.withColumns({c: F.date_format(c, TS) for c in ("first_ts", "last_ts")})
 
 
@@ -158,12 +158,12 @@ SELECT batch, source AS counter, count(*) AS n FROM c GROUP BY ALL
 def a11_stream_counters(spark, sf_dir):
     from tessera.streaming.metrics import CounterListener, with_counters
 
-    path, schema = _source(spark, sf_dir)
+    path, schema, files = _source(spark, sf_dir)
     listener = CounterListener("ingested")
     spark.streams.addListener(listener)
     try:
         sources = {s: F.col("source") == s for s in ("website", "app", "crm", "email", "whatsapp")}
-        S.run_to_table(with_counters(S.read_event_stream(spark, path, schema), "ingested", sources))
+        S.run_to_table(with_counters(S.read_event_stream(spark, path, schema, files), "ingested", sources))
         return listener.table(spark).where("n > 0").drop("run_id")
     finally:
         spark.streams.removeListener(listener)

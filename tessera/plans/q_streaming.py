@@ -96,14 +96,14 @@ def _stream_job(spark, sf_dir, crash_at: int = 1):
 
     bronze = _bronze(spark, sf_dir)
     src = S.scratch_dir(spark, "bronze_stream")
-    S.write_stream_files(bronze, src, "_pos", CHUNKS)
+    files = S.write_stream_files(bronze, src, "_pos", CHUNKS)
     status = crm_contacts(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("student_id"), F.col("lead_status").alias("enrollment_status"))
     master, _ = crm_master(spark, sf_dir)
     master = master.filter(F.substring("profile_id", 2, 20).cast("bigint") % 2 == 0)
     rules = SegmentRules(builtins=False).add_rule("engaged_learner", {"field": "total_events", "operator": ">=", "value": 5})
     job = S.ProfileStreamJob(spark, S.scratch_dir(spark, "profile_job"), AS_OF_EVENTS, status=status, master=master, rules=rules, markers=page_markers, buckets=4)
     crash = _CrashOnce(job, crash_at)
-    stream = lambda: S.read_event_stream(spark, src, bronze.schema, max_files=1).drop("_pos")
+    stream = lambda: S.read_event_stream(spark, src, bronze.schema, max_files=files).drop("_pos")
     try:
         job.run(stream())
     except Exception:  # noqa: BLE001 - the planned crash; anything else fails again below
@@ -181,8 +181,8 @@ D5_SQL = "SELECT DISTINCT event_id FROM events"
 def d5_stream_dedup(spark, sf_dir):
     bronze = canonical_events(spark, sf_dir, with_duplicates=True).select("event_id", "ts", "student_id", "source")
     src = S.scratch_dir(spark, "dup_stream")
-    S.write_stream_files(bronze, src, "event_id", CHUNKS)
-    out = S.run_to_table(S.dedup_stream(S.read_event_stream(spark, src, bronze.schema), "1 hour"))
+    files = S.write_stream_files(bronze, src, "event_id", CHUNKS)
+    out = S.run_to_table(S.dedup_stream(S.read_event_stream(spark, src, bronze.schema, files), "1 hour"))
     return out.select("event_id")
 
 
@@ -215,9 +215,9 @@ FROM c JOIN w USING (chunk) WHERE seen IS NULL OR date_trunc('day', ts) + INTERV
 def d8_stream_daily_windows(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "late_stream")
-    # One file per batch in event order: rows of a window that closed before their batch are dropped.
-    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark))
-    out = S.run_to_table(S.windowed_counts(S.read_event_stream(spark, src, ev.schema), "user_id", "1 day", "1 day"))
+    # One chunk per batch in event order: rows of a window that closed before their batch are dropped.
+    files = S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark))
+    out = S.run_to_table(S.windowed_counts(S.read_event_stream(spark, src, ev.schema, files), "user_id", "1 day", "1 day"))
     return out.filter(F.col("user_id") != -1).select("user_id", F.date_format("window_start", TS).alias("window_start"), "n")
 
 
@@ -235,8 +235,8 @@ FROM g GROUP BY user_id, sid
 def d8_stream_sessions(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "session_stream")
-    S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark), ordered=False)
-    out = S.run_to_table(S.session_counts(S.read_event_stream(spark, src, ev.schema), "user_id", "40 days", "6 hours"))
+    files = S.write_stream_files(ev, src, "event_id", CHUNKS, sentinel=_sentinel(spark), ordered=False)
+    out = S.run_to_table(S.session_counts(S.read_event_stream(spark, src, ev.schema, files), "user_id", "40 days", "6 hours"))
     return out.filter(F.col("user_id") != -1).select(
         "user_id", F.date_format("session_start", TS).alias("session_start"), F.date_format("session_end", TS).alias("session_end"), "n"
     )
@@ -258,5 +258,5 @@ FROM c JOIN w USING (chunk) WHERE w.seen IS NOT NULL AND c.ts < w.seen - INTERVA
 def d8_stream_late_rows(spark, sf_dir):
     ev = _late_events(spark, sf_dir)
     src = S.scratch_dir(spark, "late_rows_stream")
-    S.write_stream_files(ev, src, "event_id", CHUNKS)
-    return S.late_rows(spark, src, ev.schema, "1 day").select("event_id", "user_id", "error")
+    files = S.write_stream_files(ev, src, "event_id", CHUNKS)
+    return S.late_rows(spark, src, ev.schema, "1 day", max_files=files).select("event_id", "user_id", "error")

@@ -28,27 +28,50 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}_{uuid.uuid4().hex}"
 
 
+#: Rows of a stream file: a chunk of more is several files, so that it is written and read by several tasks.
+FILE_ROWS = 100_000
+
+
 def write_stream_files(
-    df: DataFrame, path: str, order_col: str, chunks: int, sentinel: DataFrame | None = None, ordered: bool = True
-) -> None:
-    """Write ``df`` as ``chunks`` files in ``order_col`` order, one append per chunk so
+    df: DataFrame, path: str, order_col: str, chunks: int, sentinel: DataFrame | None = None, ordered: bool = True, file_rows: int = FILE_ROWS
+) -> int:
+    """Write ``df`` as ``chunks`` chunks in ``order_col`` order, one append per chunk so
     file modification times follow the order; an optional sentinel goes last.
 
+    Every chunk has the same number of files, about ``file_rows`` rows each, and that
+    number is given back: a stream that reads as many files per batch
+    (``read_event_stream``) has one batch per chunk.
+
     ``ordered=False`` writes all chunks in one job (range-partitioned on
     ``order_col``) for consumers whose result does not depend on file order."""
+    bounds = df.select(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    files = max(1, -(-bounds["n"] // (chunks * file_rows)))
     if not ordered:
-        df.repartitionByRange(chunks, order_col).write.mode("append").parquet(path)
+        df.repartitionByRange(chunks * files, order_col).write.mode("append").parquet(path)
         if sentinel is not None:
             sentinel.coalesce(1).write.mode("append").parquet(path)
-        return
-    bounds = df.select(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+        return files
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // chunks + 1
+    held = 0
     for i in range(chunks):
         part = df.filter((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
+        if files > 1:  # a chunk of few rows may leave partitions, and so files, out
+            held, before = _parquet_files(df.sparkSession, path), held
+            for _ in range(files - (held - before)):
+                df.limit(0).coalesce(1).write.mode("append").parquet(path)
+            held = before + files
     if sentinel is not None:
         sentinel.coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
+def _parquet_files(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(folder))
 
 
 def read_event_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
