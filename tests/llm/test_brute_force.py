@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -335,6 +336,62 @@ def test_op9_suffix_order_and_longest_previous_factors(text, match):
     assert later.tolist() == [x in pieces[a + 1 :] for a, x in enumerate(pieces)]
 
 
+@given(st.lists(st.integers(0, 7), min_size=1, max_size=12), st.sampled_from([3, 8, 24, 40]), st.booleans())
+@settings(max_examples=60, deadline=None)
+def test_op9_ranks_of_shared_suffixes(parts, match, one_hash):
+    """Starts with an equal get the rank of their bytes, others none; hashes that all agree change nothing."""
+    units = [prose(900 + i, 6) for i in range(4)] + ["x" * 30, "ab" * 20, "abc" * 9, "y"]
+    data = ("".join(units[i] for i in parts) + "z" * match).encode()
+    text, starts = np.frombuffer(data, dtype=np.uint8), np.arange(0, len(data) - match + 1, 1 + len(data) % 2)
+    pieces = [data[i : i + match] for i in starts]
+    shared = {i for i, x in enumerate(pieces) if pieces.count(x) > 1}
+    with pytest.MonkeyPatch.context() as m:
+        if one_hash:
+            m.setattr(op09_repeated_bytes, "window_hash", lambda t, n: np.zeros(len(t) - n + 1, dtype=np.uint64))
+        which, rank = op09_repeated_bytes.shared_ranks(text, starts, match)
+    assert which.tolist() == sorted(which.tolist()) and shared <= set(which.tolist())
+    if not one_hash:
+        assert set(which.tolist()) == shared
+    order = sorted({pieces[i] for i in which})
+    assert rank.tolist() == [order.index(pieces[i]) for i in which]
+
+
+def test_op9_sorts_a_repeated_suffix_once(monkeypatch):
+    """Of four copies between texts of their own, the sort sees the starts of one (all starts of all texts before)."""
+    seen, sort = [], op09_repeated_bytes.suffix_ranks
+    monkeypatch.setattr(op09_repeated_bytes, "suffix_ranks", lambda t, s, n: seen.append((len(t), len(s))) or sort(t, s, n))
+    passage = prose(950, 200)[:900]
+    texts = [f"{prose(951 + i, 80)} {i}{passage}{i} {prose(961 + i, 80)}".encode() for i in range(4)]
+    rows = [(1, 0, i, 0, 0, len(t) - 399, t, None, None) for i, t in enumerate(texts)]
+    batch = op09_repeated_bytes._bucket_rows(rows)
+    spans = [r for b in op09_repeated_bytes._spans(400, False)([batch]) for r in b.to_pylist()]
+    assert [(r["k"], texts[r["k"]][r["lo"] : r["hi"]].decode()) for r in spans] == [(i, passage) for i in range(4)]
+    assert seen == [(900, 501)]
+
+
+def test_op9_stretches_one_window_at_a_time():
+    """Edges, least hashes and the mark of a stretch that may repeat itself, against a plain loop."""
+    rng = random.Random(8)
+    units = [prose(970 + i, 5) for i in range(3)] + ["x" * 40, "ab" * 25]
+    docs = [(i, "".join(rng.choice(units) for _ in range(rng.randint(1, 8)))) for i in range(40)]
+    docs = [(i, t) for i, t in docs if len(t) >= 24]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs], pa.int64()), pa.array([0] * len(docs), pa.int32()), pa.array([t for _, t in docs])], names=["k", "h", "text"])
+    got = [tuple(r[c] for c in ("k", "at", "starts", "bucket", "weight")) for b in op09_repeated_bytes._stretches(24, 6)([batch]) for r in b.to_pylist()]
+    want = []
+    for k, t in docs:
+        hashes = rolling.window_hash(np.frombuffer(t.encode(), dtype=np.uint8), 6)
+        low = [int(hashes[i : i + 19].min()) for i in range(len(t) - 23)]
+        a = 0
+        for i in range(1, len(low) + 1):
+            if i == len(low) or low[i] != low[a]:
+                for x in range(a, i, op09_repeated_bytes.STRETCH):
+                    y = min(i, x + op09_repeated_bytes.STRETCH)
+                    twice = i - a > 19 or (hashes[x : y + 18] == low[a]).sum() > 1
+                    want.append((k, x, y - x, low[a] - (1 << 64 if low[a] >> 63 else 0), 2 if twice else 1))
+                a = i
+    assert got == want
+
+
 def test_op9_passages_by_length(spark):
     docs, want = [], {}
     for i, n in enumerate([300, 399, 400, 401, 450, 560, 2000]):
