@@ -1,10 +1,17 @@
-"""Keyed state on streams (D2, D7): running counts per key in Spark's RocksDB state store.
+"""Keyed state on streams (D2, D7, D8): running counts per key in Spark's RocksDB state store.
 
 ``running_counts`` folds every event into the state of its key and gives out the new
-counts of the keys that a batch touched.  Spark keeps the state, its checkpoints and the
-exactly-once file sink; a batch reads and writes the states of its own keys only, so
-its cost does not follow the number of keys stored.  Counts only grow: the current row
-of a key is the largest in each column (``current_counts``).
+counts of the keys that a batch touched.  Spark keeps the state and its checkpoints; a
+batch reads and writes the states of its own keys only, so its cost does not follow the
+number of keys stored.  Counts only grow: the current row of a key is the largest in each
+column (``current_counts``).
+
+Counts alone are a streaming aggregate: a batch is added up per task before its one
+shuffle, and state is read and written in the JVM, once for each (key, category) of the
+batch.  A batch writes a folder of its own, which it overwrites when it is repeated, and
+Spark's commit log tells which folders are in force.  Only idle timers, which an aggregate
+has not, take a ``StatefulProcessor`` with Spark's exactly-once file sink: each of its
+state requests is a round trip to a Python worker.
 """
 
 from __future__ import annotations
@@ -16,11 +23,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tessera.streaming.identity import last_committed
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COUNTS = ("chats", "started", "completed", "events")
 _STATE = "first_us long, last_us long, chats long, started long, completed long, events long"
 OUTPUT = f"key string, kind string, category string, {_STATE}"
 _ROW = Row(*(c.split()[0] for c in OUTPUT.split(", ")))
+_CRASH = "\0planned crash"  # key of the group that fails; only in a batch that never commits
 
 
 class RunningCounts(StatefulProcessor):
@@ -87,21 +97,46 @@ def count_input(events: DataFrame, key: F.Column, chat: F.Column, category: F.Co
     )
 
 
+def _counted(rows: DataFrame, fail_on: int | None) -> DataFrame:
+    """``OUTPUT`` rows of kind ``counts``: every (key, category) that a batch touched with all counts so far.
+
+    ``fail_on``: that event is a group of its own, whose row fails in a task that has
+    put states of the batch, and so have the tasks beside it.
+    """
+    key = F.col("key")
+    if fail_on is not None:
+        rows = rows.withColumn("key", F.when(F.col("event_id") == fail_on, F.lit(_CRASH)).otherwise(key))
+        key = F.when(key == _CRASH, F.raise_error(F.lit("planned crash"))).otherwise(key)
+    sums = [F.sum(c).cast("long").alias(n) for c, n in zip(("chat", "started", "completed"), COUNTS)]
+    g = rows.withColumn("category", F.nullif("category", F.lit(""))).groupBy("key", "category")
+    g = g.agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"), *sums, F.count(F.lit(1)).alias("events"))
+    return g.select(key.alias("key"), F.lit("counts").alias("kind"), "category", "first_us", "last_us", *COUNTS)
+
+
+def _write_batch(root: str):
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/counts/batch={batch_id}")
+
+
 def running_counts(rows: DataFrame, root: str, watermark: str = "40 days", idle_days: int | None = None, fail_on: int | None = None, partitions: int | None = None):
-    """Drives ``count_input`` rows through ``RunningCounts`` into ``{root}/out``; gives back the finished query.
+    """Folds ``count_input`` rows into counts per (key, category) under ``root``; gives back the finished query.
 
-    State and sink live under ``root``: a run after a crash, or with more input, goes on
+    State and output live under ``root``: a run after a crash, or with more input, goes on
     where the last one committed.  ``partitions``: state partitions, fixed for the life
-    of the checkpoint (default: one per task slot).
+    of the checkpoint (default: one per task slot).  ``idle_days`` is fixed for it too: with
+    it ``RunningCounts`` keeps timers by the ``watermark``, without it no row is late.
     """
     spark = rows.sparkSession
     held = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
     try:
-        keyed = rows.withWatermark("ts", watermark).groupBy("key")
-        out = keyed.transformWithState(RunningCounts(idle_days, fail_on), OUTPUT, "Append", "EventTime")
-        q = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start()
+        if idle_days is None:
+            out = _counted(rows, fail_on).writeStream.outputMode("update").foreachBatch(_write_batch(root))
+        else:
+            keyed = rows.withWatermark("ts", watermark).groupBy("key")
+            out = keyed.transformWithState(RunningCounts(idle_days, fail_on), OUTPUT, "Append", "EventTime")
+            out = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+        q = out.option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start()
         q.awaitTermination()
     finally:
         for k, v in held.items():
@@ -111,7 +146,11 @@ def running_counts(rows: DataFrame, root: str, watermark: str = "40 days", idle_
 
 def current_counts(spark: SparkSession, root: str) -> DataFrame:
     """``(key, category, first_ts, last_ts, chats, started, completed, events)`` as of the last committed batch."""
-    rows = spark.read.schema(OUTPUT).parquet(f"{root}/out").where("kind = 'counts'")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/counts")
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        rows = spark.read.schema(f"{OUTPUT}, batch int").parquet(f"{root}/counts").where(F.col("batch") <= last_committed(spark, f"{root}/_stream"))
+    else:  # kept with timers
+        rows = spark.read.schema(OUTPUT).parquet(f"{root}/out").where("kind = 'counts'")
     most = [F.max(c).alias(c) for c in COUNTS]
     g = rows.groupBy("key", "category").agg(F.min("first_us").alias("f"), F.max("last_us").alias("l"), *most)
     return g.select("key", "category", F.timestamp_micros("f").alias("first_ts"), F.timestamp_micros("l").alias("last_ts"), *COUNTS)

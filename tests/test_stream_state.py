@@ -1,5 +1,7 @@
 """Streamed identity equals batch identity for any split; keyed state is exactly-once and costs what the batch holds."""
 
+import datetime
+import json
 import random
 
 import pytest
@@ -103,3 +105,66 @@ def test_state_goes_on_and_costs_what_the_batch_holds(spark):
     got = {(r.key, r.category): (r.events, r.chats, r.first_ts, r.last_ts) for r in K.current_counts(spark, root).collect()}
     want = some(spark.range(2003)).groupBy("student", "source").agg(F.count("*"), F.sum((F.col("source") == "whatsapp").cast("int")), F.min("ts"), F.max("ts")).collect()
     assert got == {(r[0], r[1]): (r[2], r[3] or 0, r[4], r[5]) for r in want}
+
+
+def _odd(spark, path, rows):
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(path)
+
+
+def _current(spark, root):
+    rows = K.current_counts(spark, root).select("key", "category", F.unix_seconds("first_ts"), F.unix_seconds("last_ts"), "chats", "events").collect()
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def _at(s):
+    return None if s is None else datetime.datetime.fromtimestamp(s, datetime.timezone.utc)
+
+
+def test_counts_without_timers_are_kept_by_the_jvm_and_no_row_is_late(spark):
+    path, root = S.scratch_dir(spark, "rows"), S.scratch_dir(spark, "state")
+    day, now = 86_400, 1_700_000_000
+    _odd(spark, path, [(1, _at(now), "a", "app"), (2, _at(now - 5), "a", ""), (3, None, "a", None), (4, None, None, "app"), (5, _at(now), "b", "whatsapp")])
+    _odd(spark, path, [(6, _at(now + 1), "c", "app")])
+    _odd(spark, path, [(7, _at(now - 90 * day), "a", "app"), (7, _at(now - 90 * day), "a", "app"), (8, _at(now), None, "app"), (9, None, "b", "whatsapp")])
+    last = _counted(spark, path, root)
+    progress = [x if isinstance(x, dict) else json.loads(x.json) for x in last.recentProgress]
+    assert {p["stateOperators"][0]["operatorName"] for p in progress} == {"stateStoreSave"}  # no state request leaves the JVM
+    assert _current(spark, root) == {
+        ("a", "app"): (now - 90 * day, now, 0, 3), ("a", None): (now - 5, now - 5, 0, 2), (None, "app"): (now, now, 0, 2),
+        ("b", "whatsapp"): (now, now, 2, 2), ("c", "app"): (now + 1, now + 1, 0, 1),
+    }
+
+
+@pytest.mark.parametrize("fails", ["a state task", "after the writes"])
+def test_a_batch_that_did_not_commit_counts_once(spark, monkeypatch, fails):
+    path, root = S.scratch_dir(spark, "rows"), S.scratch_dir(spark, "state")
+    row = lambda i: (i, _at(1_700_000_000 + i), f"s{i % 7}", "whatsapp")
+    for a in (0, 40):
+        _odd(spark, path, [row(i) for i in range(a, a + 40)])
+    fold = lambda rows: {(f"s{k}", "whatsapp"): (1_700_000_000 + min(m), 1_700_000_000 + max(m), len(m), len(m)) for k in range(7) if (m := [i for i in rows if i % 7 == k])}
+    with monkeypatch.context() as m, pytest.raises(Exception, match="planned crash"):
+        if fails == "after the writes":
+            write = K._write_batch(root)
+
+            def crash(batch, batch_id):
+                write(batch, batch_id)
+                if batch_id == 1:
+                    raise RuntimeError("planned crash")
+
+            m.setattr(K, "_write_batch", lambda _: crash)
+        _counted(spark, path, root, fail_on=55 if fails == "a state task" else None)
+    assert _current(spark, root) == fold(range(40))  # what the failed batch wrote is not read
+    _counted(spark, path, root)
+    assert _current(spark, root) == fold(range(80))
+
+
+def test_counts_kept_with_timers_equal_those_without(spark):
+    path = S.scratch_dir(spark, "rows")
+    for a in (0, 40):
+        _odd(spark, path, [(i, _at(1_700_000_000 + i), f"s{i % 7}", ("whatsapp", "app", None)[i % 3]) for i in range(a, a + 40)])
+    plain, timed = S.scratch_dir(spark, "state"), S.scratch_dir(spark, "state")
+    _counted(spark, path, plain)
+    _counted(spark, path, timed, idle_days=30)
+    assert _current(spark, plain) == _current(spark, timed) and len(_current(spark, plain)) == 21
