@@ -11,44 +11,64 @@ from tessera.operators.skew import splittable
 from tessera.session import cut_lineage, drop_table
 
 
-#: Edges a task contracts at a time; a graph of no more edges is finished by one task.
-FOREST = 200_000
+#: Edges a task contracts at a time beside other tasks.
+SLICE = 200_000
+#: A graph of no more edges is finished by one task: some 300 bytes an edge of names of 30.
+FOREST = 1_000_000
+#: Edges a task gives out at a time.
+_OUT = 20_000
+
+
+def _roots(a, b, n: int):
+    """For each of ``n`` nodes the smallest that edges ``(a, b)`` lead to; int arrays.
+
+    Each root hooks to the smallest root next to it and every path is then cut short to
+    its root, until no edge lies between two trees: O(log n) passes over the edges.
+    """
+    import numpy as np
+
+    up = np.arange(n)
+    while len(a):
+        a, b = up[a], up[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(above := up[up], up):
+            up = above
+    return up
 
 
 def _forest(edges: int):
-    """Edges ``(u, v)`` to a spanning forest of them, ``edges`` at a time: each node with the smallest of its tree."""
+    """Edges ``(u, v)`` to a spanning forest of them, ``edges`` at a time: each node with the smallest of its tree.
+
+    Nodes are numbered in their order by Arrow, so no value becomes a Python object.
+    """
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def contracted(held):
+        t = pa.Table.from_batches(held)
+        ends = pa.chunked_array([*t["u"].chunks, *t["v"].chunks])
+        names = pc.unique(ends)
+        names = names.take(pc.sort_indices(names))
+        ids = pc.index_in(ends, value_set=names).to_numpy()
+        root = _roots(ids[: t.num_rows], ids[t.num_rows :], len(names))
+        moved = np.flatnonzero(root != np.arange(len(names)))
+        for i in range(0, len(moved), _OUT):
+            some = moved[i : i + _OUT]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(some)), names.take(pa.array(root[some]))], names=["u", "v"])
 
     def run(batches):
-        up: dict = {}
-        size = 0
-
-        def find(x):
-            root = x
-            while (above := up.get(root, root)) != root:
-                root = above
-            while x != root:
-                up[x], x = root, up.get(x, x)
-            return root
-
-        def emit(kinds):
-            rows = [(x, find(x)) for x in list(up) if find(x) != x]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], []), kinds)], names=["u", "v"])
-
-        kinds = None
+        held, size = [], 0
         for b in batches:
-            kinds = [c.type for c in b.columns]
-            for u, v in zip(*(c.to_pylist() for c in b.columns)):
-                u, v = find(u), find(v)
-                if u != v:
-                    up[max(u, v)] = min(u, v)
+            held.append(b)
             size += b.num_rows
             if size >= edges:
-                yield emit(kinds)
-                up.clear()
-                size = 0
-        if up:
-            yield emit(kinds)
+                yield from contracted(held)
+                held, size = [], 0
+        if size:
+            yield from contracted(held)
 
     return run
 
@@ -72,12 +92,12 @@ def star_labels(edges: DataFrame, on_round: Callable[[int], None] | None = None,
     observed on the write.
 
     Before the first shuffle every task contracts the edges it holds to a spanning
-    forest, ``forest`` edges at a time (bounded memory).  Once no more than ``forest``
+    forest, ``SLICE`` edges at a time (bounded memory).  Once no more than ``forest``
     edges are left, at the start or after a round, a single task does the same with
     all of them, which ends the work.
     """
     pairs = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u != v")
-    table, mark = _written(_contracted(pairs, forest))
+    table, mark = _written(_contracted(pairs, min(forest, SLICE)))
     done, rounds = not mark[0], 0
     while not done:
         if mark[0] <= forest:

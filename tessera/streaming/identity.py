@@ -10,7 +10,9 @@ Tables are folders with one partition per batch; a batch reads the partitions be
 its own and overwrites its own, so a repeated batch gives the same result.  Spark's own
 commit log in the checkpoint tells which batches are in force.
 
-Costs: the graph that is contracted holds the batch's identifiers and the labels they
+Costs: a batch is read twice, for the node of each event and for its distinct lists of
+identifiers, from which the graph is built.  The graph that is contracted holds these
+identifiers and the labels they
 lead to, and writes follow the batch and the smaller sides of its merges.  The lookup
 scans the node table once or, where something merges, twice (two narrow columns,
 reduced by a semi-join before any aggregate).
@@ -74,7 +76,8 @@ class IdentityStream:
         """Folds the identifiers of a batch of events ``(event_id, identifiers)`` into the components."""
         events = smallest_identifier(batch).select("event_id", F.coalesce("_min_id", F.concat(F.lit("event:"), F.col("event_id").cast("string"))).alias("node"))
         self._write(events, "events", batch_id)
-        nodes, edges = graph_edges(batch)
+        events = self.spark.read.schema(SCHEMAS["events"]).parquet(f"{self.root}/events/batch={batch_id}")
+        nodes, edges = graph_edges(cut_lineage(batch.select("identifiers").distinct()))
         nodes = cut_lineage(nodes.unionByName(events.where(F.col("node").startswith("event:")).select("node")))
         stored, comps = self.table("nodes", batch_id), self.table("components", batch_id)
         known = cut_lineage(self._latest(stored.join(nodes, "node", "left_semi"), "node", "label"))

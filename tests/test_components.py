@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import identity as I
-from tessera.operators.components import star_labels
+from tessera.operators.components import _forest, star_labels
 
 
 def _shuffled_chain(n, seed):
@@ -78,3 +78,50 @@ def test_merge_keeps_profiles_without_a_mapping(spark):
     rows = {r.canonical_id: (r.members, r.n_identifiers) for r in merged.select("canonical_id", "members", "n_identifiers").collect()}
     assert rows == {"c": (2, 1), "p3": (1, 0)}
     assert merged.where(F.col("canonical_id") == "c").first().consent == {"email": False}
+
+
+def _tree(edges):
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        up[max(x, y)] = min(x, y)
+    return {(x, find(x)) for x in up if find(x) != x}
+
+
+@pytest.mark.parametrize("kind", ["random", "rising", "falling", "hubs above their leaves", "names"])
+def test_a_task_contracts_to_the_smallest_of_each_tree(kind):
+    import pyarrow as pa
+
+    rng = random.Random(kind)
+    edges = {
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(300)],
+        "rising": [(i, i + 1) for i in range(500)],
+        "falling": [(i + 1, i) for i in range(500)],
+        "hubs above their leaves": [(1000 + h, rng.randrange(300)) for h in range(40) for _ in range(9)],
+        "names": [(f"é{rng.randrange(60)}" * rng.randrange(3), f"\U0001f600{rng.randrange(60)}") for _ in range(90)],
+    }[kind]
+    edges = [(a, b) for a, b in edges if a != b]
+    rng.shuffle(edges)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges)], names=["u", "v"])
+    out = lambda n: [x for b in _forest(n)(batch.slice(i, 7) for i in range(0, len(edges), 7)) for x in zip(*(c.to_pylist() for c in b.columns))]
+    whole = out(len(edges) + 1)
+    assert set(whole) == _tree(edges) and len(whole) == len(_tree(edges))
+    assert _tree(out(50)) == _tree(edges)  # in slices: other edges, the same components
+
+
+def test_a_graph_of_some_100000_edges_needs_no_round(spark):
+    people = spark.range(130_000).select(F.col("id").cast("string").alias("p"), (F.col("id") / 2).cast("long").cast("string").alias("h"))
+    edges = people.select(F.concat(F.lit("e"), "p").alias("src"), F.concat(F.lit("d"), "p").alias("dst"))
+    edges = edges.unionByName(people.select(F.concat(F.lit("h"), "h").alias("src"), F.concat(F.lit("e"), "p").alias("dst")))
+    rounds = []
+    out = star_labels(edges.repartition(4), rounds.append)
+    assert rounds == []
+    sizes = out.groupBy("component").count().groupBy("count").count().collect()
+    assert [tuple(r) for r in sizes] == [(5, 65_000)]
+    assert out.where("substr(component, 1, 1) != 'd' OR node < component").count() == 0

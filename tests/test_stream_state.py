@@ -65,6 +65,19 @@ def test_a_merge_rewrites_the_smaller_side(spark):
     assert sorted(r.node for r in job.table("nodes").where("batch = 2").collect()) == ["device_id:y", "email:z"]
 
 
+def test_a_batch_makes_its_graph_from_distinct_lists(spark, monkeypatch):
+    from tessera.streaming import identity as ID
+
+    seen = []
+    graph = ID.graph_edges
+    monkeypatch.setattr(ID, "graph_edges", lambda events: (seen.append(events.count()), graph(events))[1])
+    rows = [(i, [("email", f"u{i % 3}"), ("device_id", f"d{i % 3}")] if i % 10 else [("phone", "")]) for i in range(40)] + [(40, None), (None, [])]
+    job = _feed(spark, rows, [20])
+    assert seen == [4, 6]  # three lists with valid identifiers, and the others: an empty value, null, no element
+    got = {r.node: r.component for r in job.components().collect()}
+    assert got == {f"{t}{k}": f"device_id:d{k}" for t in ("email:u", "device_id:d") for k in range(3)} | {f"event:{i}": f"event:{i}" for i in (0, 10, 20, 30, 40)}
+
+
 def test_a_repeated_batch_changes_nothing(spark):
     rows = _events(9)
     job = IdentityStream(spark, S.scratch_dir(spark, "ids"))
